@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["tiers"]
+MODULES = ["tiers", "pages", "reshape"]
 
 
 def _mods():

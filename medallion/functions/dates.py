@@ -29,7 +29,7 @@ def date_add_part(datepart: str, n, ts) -> Column:
     p = _part(datepart)
     n_c = n if isinstance(n, Column) else F.lit(n)
     t = _col(ts)
-    return F.timestampadd(_PARTS[p], n_c, t)
+    return F.timestamp_add(_PARTS[p], n_c, t)
 
 
 def date_floor(datepart: str, ts) -> Column:
@@ -44,5 +44,5 @@ def intervals_between(start, end, datepart: str) -> Column:
     p = _part(datepart)
     s, e = date_floor(p, start), date_floor(p, end)
     if p == "week":
-        return F.floor(F.timestampdiff("DAY", s, e) / 7)
-    return F.timestampdiff(_PARTS[p], s, e)
+        return F.floor(F.timestamp_diff("DAY", s, e) / 7)
+    return F.timestamp_diff(_PARTS[p], s, e)
