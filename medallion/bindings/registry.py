@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["tiers", "pages", "reshape"]
+MODULES = ["tiers", "pages", "reshape", "scalars"]
 
 
 def _mods():
