@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["tiers", "pages", "reshape", "scalars", "checks"]
+MODULES = ["tiers", "pages", "reshape", "scalars", "checks", "history"]
 
 
 def _mods():
