@@ -18,16 +18,15 @@ from medallion.operators.checks.core import Check
 
 def _report_rows(checks_and_failures: list[tuple[int, Check]], failures_df: DataFrame,
                  col_of: dict[int, str]) -> DataFrame:
-    parts = []
+    """One report row per check, made from the single row of ``failures_df``
+    by one ``inline`` — the aggregate below is computed once, not per check."""
+    structs = []
     for i, chk in checks_and_failures:
         f = F.coalesce(F.col(col_of[i]).cast("bigint"), F.lit(0).cast("bigint"))
-        parts.append(failures_df.select(F.lit(i).alias("check_index"), F.lit(chk.name).alias("check"),
-                                        F.lit(chk.relation).alias("relation"), f.alias("failures"),
-                                        chk.status(f).alias("status")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+        structs.append(F.struct(F.lit(i).alias("check_index"), F.lit(chk.name).alias("check"),
+                                F.lit(chk.relation).alias("relation"), f.alias("failures"),
+                                chk.status(f).alias("status")))
+    return failures_df.select(F.inline(F.array(*structs)))
 
 
 def run_checks(checks: Sequence[Check], fuse: bool = True) -> DataFrame:
