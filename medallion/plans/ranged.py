@@ -120,8 +120,9 @@ def ranged_shift(df: DataFrame, value_col: str, order_cols: Sequence[str], out_c
         edge_val = F.max_by(F.col(value_col), order_struct)
     else:
         inner = F.lead(value_col).over(w)
-        edge_at = F.row_number().over(Window.partitionBy(*keys).orderBy(
-            *[F.col(c).desc_nulls_last() for c in order_cols], F.col(_TB).desc())) == 1
+        # the last row by the *same* ordering as the lead (exact duplicate rows
+        # tie on the hash too, so a second, reversed ordering could disagree)
+        edge_at = F.row_number().over(w) == F.count(F.lit(1)).over(Window.partitionBy(*keys))
         edge_val = F.min_by(F.col(value_col), order_struct)
     staged = b.withColumn("_rng_inner", inner).withColumn("_rng_edge", edge_at)
     edges = staged.groupBy(*keys).agg(edge_val.alias("_rng_val"))

@@ -2,7 +2,7 @@
 
 Layout under ``root``::
 
-    data/v=<N>/<partition dirs>/part-*.parquet   rows written by version N
+    data/_snapshot_version=<N>/<partition dirs>/part-*.parquet   rows of version N
     _log/v=<N>/part-*.json                       the commit of version N
 
 A commit file holds JSON lines in the common transaction-log shape:
@@ -27,6 +27,10 @@ from pyspark.sql import types as T
 
 from medallion.operators.silver import ensure_columns
 from medallion.plans.ranged import _null_safe_join
+
+# directory key of a version's data; partition discovery turns it into a
+# column, so it must not clash with user column names
+VERSION_DIR = "_snapshot_version"
 from medallion.sources.commit_log import history_from_log
 
 
@@ -122,7 +126,7 @@ class SnapshotTable:
         return 0 if v is None else v + 1
 
     def _write_data(self, df: DataFrame, version: int) -> str:
-        rel = f"data/v={version:020d}"
+        rel = f"data/{VERSION_DIR}={version:020d}"
         w = df.write.mode("errorifexists")
         if self.partition_by:
             df = df.repartition(*self.partition_by)
@@ -155,7 +159,7 @@ class SnapshotTable:
         src = (self.spark.read.option("basePath", f"{self.root}/data")
                .parquet(*[f"{self.root}/{p}" for p in self._paths(version)]))
         rel = F.concat(F.lit("data/"), F.regexp_extract(F.col("_metadata.file_path"),
-                                                        r"^.*/data/(v=\d+/.*)/[^/]*$", 1))
+                                                        rf"^.*/data/({VERSION_DIR}=\d+/.*)/[^/]*$", 1))
         return src.select(rel.alias("rel"), *self.partition_by).distinct()
 
     def upsert(self, source: DataFrame, keys: Sequence[str], operation: str = "MERGE",
