@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from medallion.bindings.common import table
 from medallion.bindings.scored import scored
-from medallion.bindings.tiers import GOLD_INCOME_SQL, GOLD_UF_SQL, GOLD_YOY_SQL, _W, silver, silver_pct
+from medallion.bindings.tiers import GOLD_INCOME_SQL, GOLD_UF_SQL, GOLD_YOY_SQL, _W, silver_pct
 from medallion.functions import snap_round
 from medallion.operators import checks as C
 from medallion.operators import gold
@@ -189,8 +189,10 @@ def q_assert_equal(s, d):
 
 def declared_checks(s, d):
     """The 11 checks declared on the three marts (K4)."""
-    sp = silver_pct(s, d)
-    uf, inc, yoy = gold.performance_by_uf(sp), gold.performance_by_income(sp), gold.yearly_evolution(silver(s, d))
+    # the three marts share one silver table: materialise it once in the
+    # shared checkpoint folder instead of recomputing it per mart
+    sp = silver_pct(s, d).checkpoint()
+    uf, inc, yoy = gold.performance_by_uf(sp), gold.performance_by_income(sp), gold.yearly_evolution(sp)
     return [
         C.not_null(uf, "uf", relation="gold_uf"),
         C.not_null(uf, "ano", relation="gold_uf"),
