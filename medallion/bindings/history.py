@@ -219,3 +219,55 @@ ORACLE = {
         WHERE o_orderstatus = 'P'""",
     "stream_ingest": "SELECT * FROM orders",
 }
+
+
+def _raw_years(s, d):
+    """The scored binding written as raw CSV extracts, one folder per year."""
+    from medallion.bindings.scored import scored
+    path = scratch_dir(s, "raw_years")
+    (scored(s, d).withColumn("year", F.col("ano")).write.partitionBy("year").option("header", True).csv(path))
+    return path
+
+
+def q_discover_years(s, d):
+    from medallion.sources.csv import discover_partitions
+    return discover_partitions(s, _raw_years(s, d), r"year=(\d{4})/").select(F.col("value").cast("int").alias("ano"))
+
+
+def q_pipeline_bronze_silver(s, d):
+    """K1 → K2: raw CSV → bronze (audit, dynamic overwrite) → silver upsert into
+    a snapshot table → percentile added as a new version; run twice to show
+    that a re-run gives the same rows."""
+    from medallion import jobs
+    from medallion.bindings.scored import SILVER_ARGS
+    from medallion.bindings.tiers import SILVER_COLUMNS
+    raw = _raw_years(s, d)
+    bronze_path = scratch_dir(s, "bronze")
+    snap = SnapshotTable(s, scratch_dir(s, "silver"), ["ano", "regiao"])
+    for _ in range(2):
+        jobs.bronze(s, raw + "/year=*/*.csv", bronze_path)
+        jobs.silver(s, s.read.parquet(bronze_path), snap, **SILVER_ARGS)
+    return snap.read().select(*SILVER_COLUMNS, "percentil_nacional")
+
+
+QUERIES.update({
+    "discover_years": q_discover_years,
+    "pipeline_bronze_silver": q_pipeline_bronze_silver,
+})
+
+_SILVER_ORACLE_COLS = ", ".join([
+    "nu_inscricao", "ano", "sg_uf_residencia", "regiao", "tp_sexo", "nu_idade", "tp_escola",
+    "renda_familiar", "in_treineiro", "tp_presenca", "nu_nota_cn", "nu_nota_ch", "nu_nota_lc",
+    "nu_nota_mt", "nu_nota_redacao", "dt_carga", "media_objetivas", "media_geral",
+    "faixa_desempenho", "fl_escola_publica", "grupo_renda", "percentil_nacional"])
+
+
+def _pipeline_oracle():
+    from medallion.bindings.scored import SILVER_SQL
+    return f"WITH {SILVER_SQL} SELECT {_SILVER_ORACLE_COLS} FROM silver_pct"
+
+
+ORACLE.update({
+    "discover_years": "SELECT DISTINCT CAST(year(o_orderdate) AS INTEGER) AS ano FROM orders",
+    "pipeline_bronze_silver": _pipeline_oracle(),
+})

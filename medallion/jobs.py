@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from medallion.operators import checks as C
 from medallion.operators import gold, marts
 from medallion.operators.silver import percent_rank_pct, transform_silver
-from medallion.sources.csv import enforce_schema, with_audit, year_paths
+from medallion.sources.csv import enforce_schema, with_audit
 from medallion.sources.snapshots import SnapshotTable
 from medallion.sources.tables import observed, overwrite_partitions
 
@@ -36,11 +36,12 @@ BRONZE_SCHEMA = T.StructType([
 ])
 
 
-def bronze(spark: SparkSession, raw_dir: str, years: Sequence[int], target: str,
+def bronze(spark: SparkSession, paths: str | Sequence[str], target: str,
            schema: T.StructType = BRONZE_SCHEMA, rejects: str | None = None) -> dict:
-    """K1: one scan over all years' files → typed rows (rejects kept apart) →
-    audit columns → reload of exactly the years present (dynamic overwrite)."""
-    good, rejected = enforce_schema(spark, year_paths(raw_dir, years), schema, mode="quarantine")
+    """K1: one scan over all years' files (a glob or a list, see
+    ``csv.year_paths``) → typed rows, rejects kept apart → audit columns →
+    reload of exactly the years present (dynamic partition overwrite)."""
+    good, rejected = enforce_schema(spark, paths, schema, mode="quarantine")
     rows, obs = observed(with_audit(good))
     overwrite_partitions(rows, target, ["ano"])
     out = {"rows": obs.get.get("rows", 0)}

@@ -81,11 +81,13 @@ def enforce_schema(spark: SparkSession, paths: str | Sequence[str], schema: T.St
 
 
 def discover_partitions(spark: SparkSession, directory: str, pattern: str = r"(\d{4})") -> DataFrame:
-    """Values found in file names under ``directory`` (S3), ascending, e.g. the
-    years of ``enem_2021.csv``.  Spark lists the files; nothing is read."""
-    files = (spark.read.format("binaryFile").option("pathGlobFilter", "*").load(directory)
-             .select(F.regexp_extract(F.col("path"), r"[^/]*$", 0).alias("file_name")))
-    return (files.select(F.regexp_extract("file_name", pattern, 1).alias("value"))
+    """Values found in the file paths under ``directory`` (S3), ascending —
+    e.g. the years of ``enem_2021.csv`` or of ``ano=2021/part-….csv``.  Spark
+    lists the files; their contents are not read."""
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(directory)
+             .select(F.substring_index(F.col("path"), directory.rstrip("/").split("/")[-1] + "/", -1)
+                     .alias("rel")))
+    return (files.select(F.regexp_extract("rel", pattern, 1).alias("value"))
             .where(F.col("value") != "").distinct().orderBy("value"))
 
 
