@@ -32,6 +32,7 @@ from medallion.plans.ranged import _null_safe_join
 # column, so it must not clash with user column names
 VERSION_DIR = "_snapshot_version"
 from medallion.sources.commit_log import history_from_log
+from medallion.sources.tables import path_exists
 
 
 class SnapshotTable:
@@ -45,11 +46,7 @@ class SnapshotTable:
         return f"{self.root}/_log"
 
     def exists(self) -> bool:
-        try:
-            self.spark.read.format("json").load(self._log_dir()).limit(1).count()
-            return True
-        except Exception:  # noqa: BLE001 — no log yet
-            return False
+        return path_exists(self.spark, self._log_dir())
 
     def history(self) -> DataFrame:
         """version, timestamp, operation, operationParameters, ordered (H2)."""

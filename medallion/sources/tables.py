@@ -70,3 +70,12 @@ def observed(df: DataFrame, name: str = "rows") -> tuple[DataFrame, Observation]
     write does not need a second scan for its row count."""
     obs = Observation(name)
     return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` exists, asked of the Hadoop file system that serves it
+    (local, HDFS, object stores) — no query is run."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return bool(fs.exists(p))
