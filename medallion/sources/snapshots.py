@@ -31,7 +31,7 @@ from medallion.plans.ranged import _null_safe_join
 # directory key of a version's data; partition discovery turns it into a
 # column, so it must not clash with user column names
 VERSION_DIR = "_snapshot_version"
-from medallion.sources.commit_log import history_from_log
+from medallion.sources.commit_log import LOG_SCHEMA, history_from_log, version_from_path
 from medallion.sources.tables import path_exists
 
 
@@ -40,6 +40,7 @@ class SnapshotTable:
         self.spark = spark
         self.root = root.rstrip("/")
         self.partition_by = list(partition_by)
+        self._cached_state: dict[int, dict] | None = None
 
     # ---- log -------------------------------------------------------------
     def _log_dir(self) -> str:
@@ -55,27 +56,47 @@ class SnapshotTable:
     def _commits(self) -> DataFrame:
         return self.spark.read.json(self._log_dir())
 
+    def _state(self) -> dict[int, dict]:
+        """Per version: its data paths and schema — the commit log is metadata
+        (a few lines per version), read once with one small job and kept until
+        the next commit by this handle."""
+        if self._cached_state is None:
+            if not self.exists():
+                return {}
+            raw = (self.spark.read.schema(LOG_SCHEMA).option("recursiveFileLookup", "true").json(self._log_dir())
+                   .select(version_from_path(F.col("_metadata.file_path")).alias("version"),
+                           F.col("commitInfo.operation").alias("op"), F.col("add.path").alias("path"),
+                           F.col("metaData.schemaString").alias("schema")).collect())
+            state: dict[int, dict] = {}
+            for r in raw:
+                e = state.setdefault(r["version"], {"paths": set(), "schema": None, "committed": False})
+                if r["path"] is not None:
+                    e["paths"].add(r["path"])
+                if r["schema"] is not None:
+                    e["schema"] = r["schema"]
+                if r["op"] is not None:
+                    e["committed"] = True
+            self._cached_state = {v: e for v, e in state.items() if e["committed"]}
+        return self._cached_state
+
     def latest_version(self) -> int | None:
-        if not self.exists():
-            return None
-        return self.history().agg(F.max("version")).first()[0]
+        st = self._state()
+        return max(st) if st else None
 
     def _paths(self, version: int) -> list[str]:
-        rows = (self._commits().where(F.col("add").isNotNull())
-                .withColumn("v", F.regexp_extract(F.col("_metadata.file_path"), r"/v=(\d+)/", 1).cast("long"))
-                .where(F.col("v") == version).select("add.path").collect())
-        if not rows and version not in self._versions():
+        st = self._state()
+        if version not in st:
             raise ValueError(f"version {version} does not exist")
-        return sorted({r["path"] for r in rows})
+        return sorted(st[version]["paths"])
 
     def _versions(self) -> set[int]:
-        return {r[0] for r in self.history().select("version").collect()}
+        return set(self._state())
 
     def _schema(self, version: int) -> T.StructType:
-        row = (self._commits().where(F.col("metaData").isNotNull())
-               .withColumn("v", F.regexp_extract(F.col("_metadata.file_path"), r"/v=(\d+)/", 1).cast("long"))
-               .where(F.col("v") == version).select("metaData.schemaString").first())
-        return T.StructType.fromJson(json.loads(row[0]))
+        st = self._state()
+        if version not in st:
+            raise ValueError(f"version {version} does not exist")
+        return T.StructType.fromJson(json.loads(st[version]["schema"]))
 
     def _write_commit(self, version: int, operation: str, params: dict, schema: T.StructType,
                       paths: Sequence[str]) -> None:
@@ -86,6 +107,7 @@ class SnapshotTable:
         lines = [json.dumps(info), json.dumps(meta)] + [json.dumps({"add": {"path": p}}) for p in paths]
         (self.spark.createDataFrame([(ln,) for ln in lines], "value string").coalesce(1)
          .write.mode("errorifexists").text(f"{self._log_dir()}/v={version:020d}"))
+        self._cached_state = None
 
     # ---- read ------------------------------------------------------------
     def read(self, version: int | None = None) -> DataFrame:
