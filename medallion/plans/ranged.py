@@ -3,8 +3,10 @@
 A window such as ``lag(x) over (order by k)`` has no partition key, so Spark
 runs it in one task.  Here the rows are cut into ordered *range buckets*:
 
-1. per partition group, ``percentile_approx`` gives ``n - 1`` bounds on the
-   order key (a deterministic aggregate, so task retries give the same bounds);
+1. ``percentile_approx`` gives ``n - 1`` bounds on the order key — for the
+   whole input, or per group for the (at most n) groups bigger than one
+   bucket's share; smaller groups stay whole.  The bounds are brought to the
+   driver once and inlined, so all plan branches and retries use the same;
 2. a row's bucket is the number of bounds below its key — equal keys share a
    bucket, NULL keys go to bucket 0 (NULLS FIRST);
    a key that fills several quantiles (a hot value) is spread over those
@@ -78,12 +80,36 @@ def add_range_bucket(df: DataFrame, order_col: str, n_buckets: int | None = None
     if n <= 1:
         return keyed.withColumn(_B, F.lit(0)).drop(_K)
     probs = [i / n for i in range(1, n)]
-    bounds = keyed.groupBy(*partition_cols).agg(
-        F.percentile_approx(F.col(_K), probs, accuracy).alias("_rng_bounds"))
-    if not partition_cols:
-        # one row holding n - 1 numbers: a proven size bound
-        bounds = F.broadcast(bounds)
-    joined = _null_safe_join(keyed, bounds, list(partition_cols), "left")
+    # Every branch of the plan (the per-bucket window and the edge table) and
+    # every task retry must see the *same* bounds, and merging approximate
+    # quantile sketches depends on the order partial results arrive in.  So
+    # the bounds are computed once and brought to the driver — a proven small
+    # size: n - 1 numbers without groups; with groups, bounds are needed only
+    # for the groups larger than one bucket's share, of which there are at
+    # most n — and put back into the plan as literals.
+    pct = F.percentile_approx(F.col(_K), probs, accuracy).cast("array<double>").alias("_rng_bounds")
+    pcols = list(partition_cols)
+    if not pcols:
+        row = keyed.agg(pct).first()
+        values = [float(x) for x in (row[0] or [])] if row is not None else []
+        lit = F.array(*[F.lit(x) for x in values]) if values else F.array()
+        joined = keyed.withColumn("_rng_bounds", lit.cast("array<double>"))
+    else:
+        spark = df.sparkSession
+        sizes = keyed.groupBy(*pcols).agg(F.count(F.lit(1)).alias("_rng_n"))
+        total = sizes.agg(F.sum("_rng_n")).first()[0] or 0
+        hot = sizes.where(F.col("_rng_n") > F.lit(total / n)).select(*pcols).collect()
+        if not hot:
+            joined = keyed.withColumn("_rng_bounds", F.lit(None).cast("array<double>"))
+        else:
+            key_schema = keyed.select(*pcols).schema
+            hot_df = spark.createDataFrame(hot, key_schema)
+            rows = (_null_safe_join(keyed, F.broadcast(hot_df), pcols, "left_semi")
+                    .groupBy(*pcols).agg(pct).collect())
+            bschema = T.StructType(list(key_schema.fields)
+                                   + [T.StructField("_rng_bounds", T.ArrayType(T.DoubleType()))])
+            bdf = spark.createDataFrame([tuple(r) for r in rows], bschema)
+            joined = _null_safe_join(keyed, F.broadcast(bdf), pcols, "left")
     k = F.col(_K)
     below = F.size(F.filter(F.coalesce(F.col("_rng_bounds"), F.array().cast("array<double>")),
                             lambda b: b < k))
