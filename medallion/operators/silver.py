@@ -61,30 +61,32 @@ def transform_silver(df: DataFrame, income_groups=None, school_mark: str = PUBLI
 
 def percent_rank_pct(df: DataFrame, partition_by: Sequence[str] = ("ano",), order_by: str = "media_geral",
                      out_col: str = "percentil_nacional", digits: int = 1,
-                     strategy: str = "histogram", n_buckets: int | None = 1) -> DataFrame:
+                     strategy: str = "histogram", n_buckets: int | None = None) -> DataFrame:
     """``round(percent_rank() over (partition by … order by … nulls first) * 100, digits)``.
 
     ``strategy="window"`` is the plain window: one task sorts a whole partition
     (a whole year).  ``strategy="histogram"`` counts rows per (partition, value)
     with a map-side partial aggregate, takes an exclusive running count over the
     distinct values and joins it back: ``(rows before) / (n - 1)``, 0 for a
-    one-row partition.  The running count is range-bucketed when
-    ``n_buckets > 1`` (for partitions with very many distinct values)."""
+    one-row partition.  A partition with more distinct values than one bucket's
+    share (``n_buckets``, default: the shuffle partitions) has its running
+    count range-bucketed (``plans.ranged``); ``n_buckets=1`` never cuts."""
     parts = list(partition_by)
     if strategy == "window":
         w = Window.partitionBy(*parts).orderBy(F.col(order_by).asc_nulls_first())
         return df.withColumn(out_col, snap_round(F.percent_rank().over(w) * 100, digits))
     if strategy != "histogram":
         raise ValueError("strategy must be 'histogram' or 'window'")
-    hist = df.groupBy(*parts, order_by).agg(F.count(F.lit(1)).alias("_pr_c"))
-    if n_buckets and n_buckets > 1:
-        hist = ranged_prefix_sum(hist, "_pr_c", order_by, "_pr_before", parts, n_buckets)
-    else:
-        w = Window.partitionBy(*parts).orderBy(F.col(order_by).asc_nulls_first()) \
-                  .rowsBetween(Window.unboundedPreceding, -1)
-        hist = hist.withColumn("_pr_before", F.coalesce(F.sum("_pr_c").over(w), F.lit(0)))
-    wn = Window.partitionBy(*parts)
-    hist = hist.withColumn("_pr_n", F.sum("_pr_c").over(wn))
+    # the histogram is read several times (sizing the buckets, the running
+    # count, the totals): materialise it once in the shared checkpoint folder
+    # so the input's lineage is evaluated once for it
+    hist = df.groupBy(*parts, order_by).agg(F.count(F.lit(1)).alias("_pr_c")).checkpoint(eager=True)
+    # running count over the distinct values; partitions (years) with more
+    # distinct values than one bucket's share are range-bucketed, the rest use
+    # one window task each
+    hist = ranged_prefix_sum(hist, "_pr_c", order_by, "_pr_before", parts, n_buckets)
+    totals = hist.groupBy(*parts).agg(F.sum("_pr_c").alias("_pr_n"))
+    hist = _null_safe_join(hist, totals, parts, "left") if parts else hist.crossJoin(F.broadcast(totals))
     pr = F.when(F.col("_pr_n") > 1, F.col("_pr_before").cast("double") / (F.col("_pr_n") - 1).cast("double")) \
           .otherwise(F.lit(0.0))
     ranks = hist.select(*parts, order_by, snap_round(pr * 100, digits).alias(out_col))

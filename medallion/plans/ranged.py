@@ -73,12 +73,18 @@ def add_range_bucket(df: DataFrame, order_col: str, n_buckets: int | None = None
                      partition_cols: Sequence[str] = (), spread_ties: bool = True,
                      accuracy: int = 10000) -> DataFrame:
     """Add ``_rng_bucket`` (ordered bucket per group) and ``_rng_tie`` (row hash)."""
+    return _bucketize(df, order_col, n_buckets, partition_cols, spread_ties, accuracy)[0]
+
+
+def _bucketize(df: DataFrame, order_col: str, n_buckets: int | None, partition_cols: Sequence[str],
+               spread_ties: bool, accuracy: int = 10000) -> tuple[DataFrame, bool]:
+    """``add_range_bucket`` plus whether any group was actually cut."""
     n = n_buckets or default_buckets(df)
     dtype = df.schema[order_col].dataType
     keyed = df.withColumn(_K, numeric_key(F.col(order_col), dtype)) \
               .withColumn(_TB, F.xxhash64(*[F.col(c) for c in df.columns]))
     if n <= 1:
-        return keyed.withColumn(_B, F.lit(0)).drop(_K)
+        return keyed.withColumn(_B, F.lit(0)).drop(_K), False
     probs = [i / n for i in range(1, n)]
     # Every branch of the plan (the per-bucket window and the edge table) and
     # every task retry must see the *same* bounds, and merging approximate
@@ -100,7 +106,7 @@ def add_range_bucket(df: DataFrame, order_col: str, n_buckets: int | None = None
         total = sizes.agg(F.sum("_rng_n")).first()[0] or 0
         hot = sizes.where(F.col("_rng_n") > F.lit(total / n)).select(*pcols).collect()
         if not hot:
-            joined = keyed.withColumn("_rng_bounds", F.lit(None).cast("array<double>"))
+            return keyed.withColumn(_B, F.lit(0)).drop(_K), False
         else:
             key_schema = keyed.select(*pcols).schema
             hot_df = spark.createDataFrame(hot, key_schema)
@@ -121,7 +127,7 @@ def add_range_bucket(df: DataFrame, order_col: str, n_buckets: int | None = None
     else:
         bucket = below
     return joined.withColumn(_B, F.when(k.isNull(), F.lit(-1)).otherwise(bucket) + 1) \
-                 .drop("_rng_bounds", _K)
+                 .drop("_rng_bounds", _K), True
 
 
 def ranged_shift(df: DataFrame, value_col: str, order_cols: Sequence[str], out_col: str,
@@ -134,10 +140,14 @@ def ranged_shift(df: DataFrame, value_col: str, order_cols: Sequence[str], out_c
     order_cols = list(order_cols)
     if spread_ties is None:
         spread_ties = len(order_cols) == 1
-    b = add_range_bucket(df, order_cols[0], n_buckets, partition_cols, spread_ties)
+    b, cut = _bucketize(df, order_cols[0], n_buckets, partition_cols, spread_ties)
     keys = list(partition_cols) + [_B]
     ordering = [F.col(c).asc_nulls_first() for c in order_cols] + [F.col(_TB)]
     w = Window.partitionBy(*keys).orderBy(*ordering)
+    if not cut:
+        # no group is bigger than a bucket's share: the plain per-group window
+        shift = F.lag(value_col) if direction == "lag" else F.lead(value_col)
+        return b.withColumn(out_col, shift.over(w)).drop(_B, _TB)
     order_struct = F.struct(*[F.col(c) for c in order_cols], F.col(_TB))
     if direction == "lag":
         inner = F.lag(value_col).over(w)
@@ -167,11 +177,13 @@ def ranged_prefix_sum(df: DataFrame, weight_col: str, order_col: str, out_col: s
     """Exclusive running sum of ``weight_col`` in ``order_col`` order
     (NULLS FIRST) per group.  Meant for rows with distinct order keys per group
     (a histogram); equal keys would be summed in hash order."""
-    b = add_range_bucket(df, order_col, n_buckets, partition_cols, spread_ties=False)
+    b, cut = _bucketize(df, order_col, n_buckets, partition_cols, spread_ties=False)
     keys = list(partition_cols) + [_B]
     w = Window.partitionBy(*keys).orderBy(F.col(order_col).asc_nulls_first(), F.col(_TB)) \
               .rowsBetween(Window.unboundedPreceding, -1)
     inner = b.withColumn("_rng_in", F.coalesce(F.sum(weight_col).over(w), F.lit(0)))
+    if not cut:
+        return inner.withColumnRenamed("_rng_in", out_col).drop(_B, _TB)
     totals = b.groupBy(*keys).agg(F.sum(weight_col).alias("_rng_tot"))
     ew = (Window.partitionBy(*partition_cols) if partition_cols else Window.partitionBy()) \
         .orderBy(F.col(_B)).rowsBetween(Window.unboundedPreceding, -1)
