@@ -39,8 +39,9 @@ BRONZE_SCHEMA = T.StructType([
 def bronze(spark: SparkSession, paths: str | Sequence[str], target: str,
            schema: T.StructType = BRONZE_SCHEMA, rejects: str | None = None) -> dict:
     """K1: one scan over all years' files (a glob or a list, see
-    ``csv.year_paths``) → typed rows, rejects kept apart → audit columns →
-    reload of exactly the years present (dynamic partition overwrite)."""
+    ``csv.existing_year_paths``, which skips absent years with a warning) →
+    typed rows, rejects kept apart → audit columns → reload of exactly the
+    years present (dynamic partition overwrite)."""
     good, rejected = enforce_schema(spark, paths, schema, mode="quarantine")
     rows, obs = observed(with_audit(good))
     overwrite_partitions(rows, target, ["ano"])

@@ -57,8 +57,18 @@ class Check:
         m = self.measure(rows) if self.measure else F.count(F.lit(1))
         return rows.agg(F.coalesce(m.cast("bigint"), F.lit(0).cast("bigint")).alias("failures"))
 
+    def store_failures(self, path: str, mode: str = "overwrite") -> None:
+        """Keep the failing rows as a Parquet table for later inspection."""
+        self.rows().write.mode(mode).parquet(path)
+
     def configured(self, warn_if: str | None = None, error_if: str | None = None,
-                   severity: str | None = None) -> Check:
+                   severity: str | None = None,
+                   measure: Callable[[DataFrame], Column] | None = None) -> Check:
+        """Thresholds ('!=0', '>10', …), severity ('error' / 'warn') and a
+        custom failures measure over the failing rows (which disables fusion)."""
+        if measure is not None:
+            self.measure = measure
+            self.fused = None
         if warn_if is not None:
             self.warn_if = warn_if
         if error_if is not None:

@@ -24,11 +24,12 @@ def for_period(df: DataFrame, col: str = "ano", value=None) -> DataFrame:
     return latest_period(df, col) if value is None else df.where(F.col(col) == F.lit(value))
 
 
-def overview_kpis(mart: DataFrame, ano=None, weighted: bool = False) -> DataFrame:
+def overview_kpis(mart: DataFrame, ano=None, weighted: bool = False, approx: bool = False) -> DataFrame:
     """Headline numbers of one year of the state mart.
 
     The means are *unweighted* means of state means unless ``weighted=True``
-    (then each state counts with its number of candidates)."""
+    (then each state counts with its number of candidates).  ``approx=True``
+    counts distinct states with ``approx_count_distinct`` (HyperLogLog)."""
     m = for_period(mart, "ano", ano)
     if weighted:
         n = F.sum("total_candidatos")
@@ -43,7 +44,7 @@ def overview_kpis(mart: DataFrame, ano=None, weighted: bool = False) -> DataFram
                  mean("media_geral").alias("media_geral"),
                  mean("media_matematica").alias("media_matematica"),
                  mean("pct_escola_publica").alias("pct_escola_publica"),
-                 F.count_distinct("uf").alias("n_uf"))
+                 (F.approx_count_distinct("uf") if approx else F.count_distinct("uf")).alias("n_uf"))
 
 
 def region_means(mart: DataFrame, ano=None) -> DataFrame:

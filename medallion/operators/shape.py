@@ -105,10 +105,17 @@ def value_counts(df: DataFrame | None, column: str, order_by: str | Column = "co
     return out.drop("_order") if "_order" in out.columns else out
 
 
-def column_values(df: DataFrame, column: str, max_records: int = 1000, **kw) -> list:
+def column_values(df: DataFrame | None, column: str, max_records: int = 1000, default: Sequence | None = None,
+                  **kw) -> list:
     """The values of ``value_counts`` as a Python list — only for building a
-    plan (pivot columns).  ``max_records`` bounds what reaches the driver."""
-    return [r["value"] for r in value_counts(df, column, max_records=max_records, **kw).collect()]
+    plan (pivot columns).  ``max_records`` bounds what reaches the driver.
+    ``default`` is returned when the table is missing or has no values."""
+    if df is None:
+        if default is None:
+            raise ValueError("relation does not exist and no default value was provided")
+        return list(default)
+    vals = [r["value"] for r in value_counts(df, column, max_records=max_records, **kw).collect()]
+    return vals if vals or default is None else list(default)
 
 
 _CMPS = {"=": "__eq__", "!=": "__ne__", "<>": "__ne__", "<": "__lt__", "<=": "__le__",

@@ -5,6 +5,7 @@ Rejected rows are kept apart instead of being silently turned into NULLs."""
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -104,9 +105,23 @@ def year_paths(directory: str, years: Sequence[int], template: str = "enem_{year
     return [f"{directory.rstrip('/')}/{template.format(year=y)}" for y in years]
 
 
+def existing_year_paths(spark: SparkSession, directory: str, years: Sequence[int],
+                        template: str = "enem_{year}.csv") -> list[str]:
+    """``year_paths`` without the years whose file is absent; each absent year
+    is reported with a warning and skipped (S1)."""
+    from medallion.sources.tables import path_exists
+    out = []
+    for y, p in zip(years, year_paths(directory, years, template)):
+        if path_exists(spark, p):
+            out.append(p)
+        else:
+            warnings.warn(f"no file for year {y} ({p}); skipped", stacklevel=2)
+    return out
+
+
 def year_from_name(col: Column, pattern: str = r"(\d{4})") -> Column:
     return F.regexp_extract(col, pattern, 1).cast("int")
 
 
 __all__ = ["read_typed_csv", "enforce_schema", "discover_partitions", "with_audit", "year_paths",
-           "year_from_name", "CORRUPT"]
+           "existing_year_paths", "year_from_name", "CORRUPT"]

@@ -117,3 +117,14 @@ def test_runner_thresholds_and_fusion(spark):
     # the three fusable checks on one table are one scan
     plan = C.run_checks(checks[:3])._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Scan ExistingRDD") == 1
+
+
+def test_custom_measure_and_store(spark):
+    import tempfile
+    df = spark.createDataFrame([(1,), (5,), (7,)], "x int")
+    chk = C.accepted_range(df, "x", 0, 4).configured(measure=lambda r: F.sum("x"), error_if=">100", warn_if=">0")
+    rep = C.run_checks([chk]).first()
+    assert rep["failures"] == 12 and rep["status"] == "warn"
+    path = tempfile.mkdtemp(prefix="fail-") + "/rows"
+    chk.store_failures(path)
+    assert spark.read.parquet(path).count() == 2

@@ -54,3 +54,14 @@ def test_incremental_picks_up_new_files_once(spark):
     bronze_incremental(spark, src, SCHEMA, tgt + "/t", ["ano"], ck)
     got = sorted((r["id"], r["ano"]) for r in spark.read.parquet(tgt + "/t").collect())
     assert got == [("a", 2020), ("b", 2021)]
+
+
+def test_absent_years_skipped_with_warning(spark):
+    import warnings as w
+    from medallion.sources.csv import existing_year_paths
+    d = tempfile.mkdtemp(prefix="yrs-")
+    _write(d, "enem_2020.csv", "id,ano,nota\na,2020,1.0\n")
+    with w.catch_warnings(record=True) as caught:
+        w.simplefilter("always")
+        paths = existing_year_paths(spark, d, [2020, 2021])
+    assert paths == [f"{d}/enem_2020.csv"] and any("2021" in str(c.message) for c in caught)
