@@ -11,12 +11,13 @@ from medallion.bindings.common import table
 from medallion.operators import checks as C
 from medallion.operators import shape
 from medallion.operators.silver import percent_rank_pct
+from medallion.plans.inspect import physical_plan, uses_python
 from medallion.plans.ranged import ranged_prefix_sum, ranged_shift
 from medallion.sources.tables import read_partition_pruned, write_partitioned
 
 
 def plan(df):
-    return df._jdf.queryExecution().executedPlan().toString()
+    return physical_plan(df)
 
 
 def test_partition_filter_reaches_scan(spark, sf001):
@@ -64,8 +65,7 @@ def test_no_python_udfs_in_registered_queries(spark, sf001):
     for name, q in registry.queries().items():
         if name in skip:
             continue
-        p = plan(q(spark, sf001))
-        assert "BatchEvalPython" not in p and "ArrowEvalPython" not in p, name
+        assert not uses_python(q(spark, sf001)), name
 
 
 def test_ranged_shift_equals_global_window(spark):
