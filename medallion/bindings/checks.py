@@ -14,6 +14,7 @@ from medallion.bindings.tiers import GOLD_INCOME_SQL, GOLD_UF_SQL, GOLD_YOY_SQL,
 from medallion.functions import snap_round
 from medallion.operators import checks as C
 from medallion.operators import gold
+from medallion.session import checkpointed
 
 AS_OF = dt.datetime(2024, 2, 1, 0, 0, 0)
 
@@ -191,7 +192,7 @@ def declared_checks(s, d):
     """The 11 checks declared on the three marts (K4)."""
     # the three marts share one silver table: materialise it once in the
     # shared checkpoint folder instead of recomputing it per mart
-    sp = silver_pct(s, d).checkpoint()
+    sp = checkpointed(silver_pct(s, d))
     uf, inc, yoy = gold.performance_by_uf(sp), gold.performance_by_income(sp), gold.yearly_evolution(sp)
     return [
         C.not_null(uf, "uf", relation="gold_uf"),

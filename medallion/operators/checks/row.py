@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from medallion.functions.dates import date_add_part
 from medallion.operators.checks.core import Check, col, filtered, where_col
+from medallion.session import ntz_literal
 
 
 def _sum_if(pred: Column) -> Column:
@@ -171,7 +172,7 @@ def recency(df: DataFrame, field: str, datepart: str, interval: int, as_of=None,
     interval datepart`` (C15; strict ``<``; an empty table passes).  ``as_of``
     defaults to now; pass it for repeatable runs."""
     now = F.current_timestamp() if as_of is None else (
-        F.lit(as_of).cast("timestamp_ntz") if isinstance(as_of, (dt.datetime, str)) else as_of)
+        ntz_literal(as_of) if isinstance(as_of, (dt.datetime, str)) else as_of)
     thr = date_add_part(datepart, -interval, now)
     thr = thr.cast("date") if ignore_time_component else thr.cast("timestamp_ntz")
     newest = F.max(col(field))

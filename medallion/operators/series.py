@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from medallion.functions.dates import DATE_PARTS, date_add_part, intervals_between
+from medallion.session import ntz_literal
 
 
 def generate_series(spark: SparkSession, n: int) -> DataFrame:
@@ -22,7 +23,7 @@ def _lit(v) -> Column:
     if isinstance(v, Column):
         return v
     if isinstance(v, dt.datetime):
-        return F.lit(v).cast("timestamp_ntz")
+        return ntz_literal(v)
     if isinstance(v, dt.date):
         return F.lit(v)
     return F.lit(v)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from medallion.functions import band, flag_contains, map_groups, mean_of, snap_round, weighted_mean
 from medallion.plans.ranged import _null_safe_join, ranged_prefix_sum
+from medallion.session import checkpointed
 
 # Labels, thresholds and groupings of the silver rules.
 PRESENT = "Presente"
@@ -80,7 +81,7 @@ def percent_rank_pct(df: DataFrame, partition_by: Sequence[str] = ("ano",), orde
     # the histogram is read several times (sizing the buckets, the running
     # count, the totals): materialise it once in the shared checkpoint folder
     # so the input's lineage is evaluated once for it
-    hist = df.groupBy(*parts, order_by).agg(F.count(F.lit(1)).alias("_pr_c")).checkpoint(eager=True)
+    hist = checkpointed(df.groupBy(*parts, order_by).agg(F.count(F.lit(1)).alias("_pr_c")))
     # running count over the distinct values; partitions (years) with more
     # distinct values than one bucket's share are range-bucketed, the rest use
     # one window task each

@@ -60,3 +60,20 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     """A new, unique folder under the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark)
     return f"{base.rstrip('/')}/medallion/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def checkpointed(df, eager: bool = True):
+    """``df.checkpoint()`` into the session's shared checkpoint folder (set to
+    a local folder only when the session has none, as in tests)."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=eager)
+
+
+def ntz_literal(value):
+    """A ``timestamp_ntz`` literal for a naive datetime (or ISO text), built
+    from its wall-clock text so no time zone is involved."""
+    import datetime as _dt
+    from pyspark.sql import functions as F
+    if isinstance(value, _dt.datetime):
+        value = value.isoformat(sep=" ")
+    return F.to_timestamp_ntz(F.lit(str(value)))

@@ -3,7 +3,7 @@
 Layout under ``root``::
 
     data/_snapshot_version=<N>/<partition dirs>/part-*.parquet   rows of version N
-    _log/v=<N>/part-*.json                       the commit of version N
+    commit_log/v=<N>/part-*.json                 the commit of version N
 
 A commit file holds JSON lines in the common transaction-log shape:
 ``{"commitInfo": {version, timestamp, operation, operationParameters}}``,
@@ -12,7 +12,7 @@ A commit file holds JSON lines in the common transaction-log shape:
 reference directories written by older versions (partition-level upsert,
 restore), so nothing is copied that did not change.  Data is written first,
 the commit last, so a reader never sees half a version.  Single writer; a
-second writer of the same version fails when creating ``_log/v=<N>``.
+second writer of the same version fails when creating ``commit_log/v=<N>``.
 """
 
 from __future__ import annotations
@@ -44,7 +44,7 @@ class SnapshotTable:
 
     # ---- log -------------------------------------------------------------
     def _log_dir(self) -> str:
-        return f"{self.root}/_log"
+        return f"{self.root}/commit_log"
 
     def exists(self) -> bool:
         return path_exists(self.spark, self._log_dir())
