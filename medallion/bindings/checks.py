@@ -134,7 +134,8 @@ def q_sequential_grouped(s, d):
 
 
 def q_sequential_dates(s, d):
-    days = table(s, d, "orders").select(F.date_trunc("month", "o_orderdate").alias("month")).distinct()
+    days = table(s, d, "orders").select(F.date_trunc("month", "o_orderdate").cast("timestamp_ntz")
+                                        .alias("month")).distinct()
     return C.sequential_values(days, "month", datepart="month").failing_rows()
 
 
@@ -286,8 +287,8 @@ def _mer(src, part, zl_op, zl_words, gap_op, gap_words):
       SELECT * FROM calc WHERE NOT (lower_bound_{zl_words}_upper_bound AND upper_bound_{gap_words}_next_lower_bound)"""
 
 
-_YR = ("a AS (SELECT year(o_orderdate) AS yr, COUNT(*) AS ca FROM orders GROUP BY 1), "
-       "b AS (SELECT year(l_shipdate) AS yr, COUNT(*) AS cb FROM lineitem GROUP BY 1)")
+_YR = ("a AS (SELECT CAST(year(o_orderdate) AS INTEGER) AS yr, COUNT(*) AS ca FROM orders GROUP BY 1), "
+       "b AS (SELECT CAST(year(l_shipdate) AS INTEGER) AS yr, COUNT(*) AS cb FROM lineitem GROUP BY 1)")
 _CHK_GOLD = f"{_W}, {GOLD_UF_SQL}, {GOLD_INCOME_SQL}, {GOLD_YOY_SQL}"
 
 

@@ -186,7 +186,8 @@ ORACLE = {
     "as_of_version": _V0,
     "as_of_time": _V0,
     "restore": _V0,
-    "history": """SELECT * FROM (VALUES (0, 'WRITE', '{"mode":"Overwrite"}'),
+    "history": """SELECT CAST(version AS BIGINT) AS version, operation, parameters FROM (VALUES
+        (0, 'WRITE', '{"mode":"Overwrite"}'),
         (1, 'MERGE', '{"predicate":"target.o_orderkey = source.o_orderkey"}'),
         (2, 'RESTORE', '{"version":"0"}')) t(version, operation, parameters)""",
     "data_diff": f"""SELECT o_orderkey, CASE WHEN o_year > 1998 THEN 'added' ELSE 'changed' END AS change
@@ -198,7 +199,7 @@ ORACLE = {
         CASE WHEN o_totalprice < 0 THEN 0 WHEN o_totalprice >= 500000 THEN 11
              ELSE CAST(floor(10 * (o_totalprice - 0) / (500000.0 - 0)) AS BIGINT) + 1 END AS price_band
         FROM ({_O}) o""",
-    "schema_by_version": """SELECT * FROM (VALUES
+    "schema_by_version": """SELECT CAST(version AS BIGINT) AS version, * EXCLUDE (version) FROM (VALUES
         (0, true, true, true, true, true, true, true, false),
         (1, true, true, false, true, true, true, true, true))
         t(version, o_custkey, o_orderdate, o_orderpriority, o_orderkey, o_orderstatus, o_totalprice, o_year,

@@ -59,7 +59,8 @@ ORACLE = {
     "school_crosstab": f"{_INC} SELECT grupo_renda, {_pivot_cols} FROM inc_latest GROUP BY grupo_renda",
     "density_grid": f"""{_INC} SELECT grupo_renda, tp_escola,
         {rounded_avg_sql('pct_bom_ou_excelente')} AS pct_bom_ou_excelente FROM inc_latest GROUP BY 1, 2""",
-    "ranking": f"""{_UF} SELECT *, RANK() OVER (PARTITION BY ano ORDER BY media_geral DESC NULLS LAST) AS rank
+    "ranking": f"""{_UF} SELECT *, CAST(RANK() OVER (PARTITION BY ano ORDER BY media_geral DESC NULLS LAST) AS INTEGER)
+        AS rank
         FROM uf_latest""",
     "latest_year": f"{_UF} SELECT * FROM uf_latest",
     "column_summary": f"""{_W} SELECT COUNT(*) AS n_rows, {rounded_avg_sql('media_geral')} AS avg_media_geral
