@@ -81,10 +81,9 @@ def value_counts(df: DataFrame | None, column: str, order_by: str | Column = "co
             spark = SparkSession.getActiveSession()
         return spark.createDataFrame([(v, None) for v in default], "value string, n bigint")
     src = df.where(where) if where is not None else df
-    counted = src.groupBy(F.col(column).alias("value")).agg(F.count(F.lit(1)).alias("n"))
+    aggs = [F.count(F.lit(1)).alias("n")]
     if isinstance(order_by, Column):
-        counted = src.groupBy(F.col(column).alias("value")).agg(
-            F.count(F.lit(1)).alias("n"), order_by.alias("_order"))
+        aggs.append(order_by.alias("_order"))
         ordering = [F.col("_order"), F.col("value").asc_nulls_first()]
     else:
         key = order_by.strip().lower()
@@ -99,6 +98,7 @@ def value_counts(df: DataFrame | None, column: str, order_by: str | Column = "co
         if key not in table:
             raise ValueError(f"unsupported order_by {order_by!r}")
         ordering = table[key]
+    counted = src.groupBy(F.col(column).alias("value")).agg(*aggs)
     out = counted.orderBy(*ordering)
     if max_records is not None:
         out = out.limit(max_records)
