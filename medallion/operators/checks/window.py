@@ -40,12 +40,11 @@ def mutually_exclusive_ranges(df: DataFrame, lower_bound_column: str, upper_boun
                          F.col(lower_bound_column).alias("lower_bound"),
                          F.col(upper_bound_column).alias("upper_bound"))
         pcols = ["partition_by_col"] if parts else []
-        # one lead of a non-NULL struct gives both the next lower bound and
-        # "has a successor" (a successor's bound itself may be NULL)
-        base = base.withColumn("_nx", F.struct(F.col("lower_bound").alias("lb")))
-        w = ranged_shift(base, "_nx", ["lower_bound", "upper_bound"], "_next", "lead", pcols, n_buckets)
-        calc = (w.withColumn("next_lower_bound", F.col("_next.lb"))
-                 .withColumn("is_last_record", F.col("_next").isNull()).drop("_nx", "_next"))
+        # the next lower bound, and whether a next row exists at all (its
+        # bound may itself be NULL)
+        w = ranged_shift(base, "lower_bound", ["lower_bound", "upper_bound"], "next_lower_bound", "lead",
+                         pcols, n_buckets, exists_col="_has_next")
+        calc = w.withColumn("is_last_record", ~F.col("_has_next")).drop("_has_next")
         c1 = f"lower_bound_{zl_words}_upper_bound"
         c2 = f"upper_bound_{gap_words}_next_lower_bound"
         calc = (calc.withColumn(c1, F.coalesce(_cmp(zl_op, F.col("lower_bound"), F.col("upper_bound")), F.lit(False)))

@@ -132,9 +132,13 @@ def _bucketize(df: DataFrame, order_col: str, n_buckets: int | None, partition_c
 
 def ranged_shift(df: DataFrame, value_col: str, order_cols: Sequence[str], out_col: str,
                  direction: str = "lag", partition_cols: Sequence[str] = (),
-                 n_buckets: int | None = None, spread_ties: bool | None = None) -> DataFrame:
+                 n_buckets: int | None = None, spread_ties: bool | None = None,
+                 exists_col: str | None = None) -> DataFrame:
     """``lag``/``lead`` of ``value_col`` by one row, ordered by ``order_cols``
-    (ascending, NULLS FIRST) within ``partition_cols``, bucketed by range."""
+    (ascending, NULLS FIRST) within ``partition_cols``, bucketed by range.
+
+    ``exists_col`` adds a boolean telling whether a previous / next row exists
+    at all (the shifted value itself may be NULL either way)."""
     if direction not in ("lag", "lead"):
         raise ValueError("direction must be 'lag' or 'lead'")
     order_cols = list(order_cols)
@@ -144,32 +148,40 @@ def ranged_shift(df: DataFrame, value_col: str, order_cols: Sequence[str], out_c
     keys = list(partition_cols) + [_B]
     ordering = [F.col(c).asc_nulls_first() for c in order_cols] + [F.col(_TB)]
     w = Window.partitionBy(*keys).orderBy(*ordering)
+    shift = F.lag if direction == "lag" else F.lead
     if not cut:
         # no group is bigger than a bucket's share: the plain per-group window
-        shift = F.lag(value_col) if direction == "lag" else F.lead(value_col)
-        return b.withColumn(out_col, shift.over(w)).drop(_B, _TB)
+        out = b.withColumn(out_col, shift(value_col).over(w))
+        if exists_col:
+            out = out.withColumn(exists_col, shift(F.lit(1)).over(w).isNotNull())
+        return out.drop(_B, _TB)
+    # When the shifted value is the leading order key itself, a bucket's
+    # last (first) value is simply its max (min): a fixed-width hash aggregate.
+    # Otherwise it is max_by / min_by over the full ordering.
+    simple = value_col == order_cols[0]
     order_struct = F.struct(*[F.col(c) for c in order_cols], F.col(_TB))
     if direction == "lag":
         inner = F.lag(value_col).over(w)
         edge_at = F.row_number().over(w) == 1
         # last value of each bucket, carried to the next non-empty bucket
-        edge_val = F.max_by(F.col(value_col), order_struct)
+        edge_val = F.max(value_col) if simple else F.max_by(F.col(value_col), order_struct)
     else:
         inner = F.lead(value_col).over(w)
         # the last row by the *same* ordering as the lead (exact duplicate rows
         # tie on the hash too, so a second, reversed ordering could disagree)
         edge_at = F.row_number().over(w) == F.count(F.lit(1)).over(Window.partitionBy(*keys))
-        edge_val = F.min_by(F.col(value_col), order_struct)
+        edge_val = F.min(value_col) if simple else F.min_by(F.col(value_col), order_struct)
     staged = b.withColumn("_rng_inner", inner).withColumn("_rng_edge", edge_at)
-    edges = staged.groupBy(*keys).agg(edge_val.alias("_rng_val"))
+    edges = b.groupBy(*keys).agg(edge_val.alias("_rng_val"))
     ew = Window.partitionBy(*partition_cols).orderBy(F.col(_B)) if partition_cols \
         else Window.orderBy(F.col(_B))
-    carry = (F.lag("_rng_val") if direction == "lag" else F.lead("_rng_val")).over(ew)
-    edges = edges.withColumn("_rng_carry", carry).drop("_rng_val")
+    edges = (edges.withColumn("_rng_carry", shift("_rng_val").over(ew))
+                  .withColumn("_rng_has", shift(F.col(_B)).over(ew).isNotNull()).drop("_rng_val"))
     out = _null_safe_join(staged, edges, keys, "left")
-    return out.withColumn(out_col, F.when(F.col("_rng_edge"), F.col("_rng_carry"))
-                          .otherwise(F.col("_rng_inner"))) \
-              .drop("_rng_inner", "_rng_edge", "_rng_carry", _B, _TB)
+    out = out.withColumn(out_col, F.when(F.col("_rng_edge"), F.col("_rng_carry")).otherwise(F.col("_rng_inner")))
+    if exists_col:
+        out = out.withColumn(exists_col, F.when(F.col("_rng_edge"), F.col("_rng_has")).otherwise(F.lit(True)))
+    return out.drop("_rng_inner", "_rng_edge", "_rng_carry", "_rng_has", _B, _TB)
 
 
 def ranged_prefix_sum(df: DataFrame, weight_col: str, order_col: str, out_col: str,

@@ -92,3 +92,17 @@ def test_ranged_prefix_sum(spark):
     for i in range(100):
         assert got[i] == run
         run += i % 3
+
+
+def test_ranged_shift_other_value_column(spark):
+    rnd = random.Random(5)
+    keys = rnd.sample(range(100000), 1500)
+    df = spark.createDataFrame([(k, rnd.choice([None, "x", "y", "z"])) for k in keys], "k int, v string")
+    for direction, fn in (("lag", F.lag), ("lead", F.lead)):
+        plain = df.withColumn("p", fn("v").over(Window.orderBy("k")))
+        got = ranged_shift(df, "v", ["k"], "p", direction, n_buckets=6, exists_col="e")
+        assert sorted(map(tuple, plain.select("k", "p").collect()), key=str) == \
+            sorted(map(tuple, got.select("k", "p").collect()), key=str)
+        flags = {r["k"]: r["e"] for r in got.collect()}
+        assert flags[min(keys) if direction == "lag" else max(keys)] is False
+        assert sum(1 for f in flags.values() if not f) == 1
