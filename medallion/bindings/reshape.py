@@ -174,24 +174,27 @@ def q_columns_as_arrays(spark, d):
 
 
 def _register_daily(spark, d):
-    ev = table(spark, d, "events")
-    for day in ("2024-01-01", "2024-01-02", "2024-01-03"):
-        name = "events_" + day.replace("-", "")
-        ev.where(F.to_date("ts") == F.lit(day)).select("user_id", "event_type", "ts") \
-          .createOrReplaceTempView(name)
-    ev.where(F.to_date("ts") == F.lit("2024-01-04")).select("user_id", "value") \
-      .createOrReplaceTempView("events_20240104")
+    """One temp view per day of the events table (``events_YYYYMMDD``) — every
+    day, so the union covers the whole table; odd days carry ``value`` instead
+    of ``event_type`` so the unions have different column sets to align."""
+    ev = table(spark, d, "events").withColumn("day", F.to_date("ts"))
+    days = [r["day"] for r in ev.select("day").distinct().collect()]  # one row per calendar day
+    for day in days:
+        cols = ["user_id", "event_type", "ts"] if day.day % 2 == 0 else ["user_id", "value", "ts"]
+        ev.where(F.col("day") == F.lit(day)).select(*cols).createOrReplaceTempView(
+            "events_" + day.strftime("%Y%m%d"))
     ev.select("user_id").createOrReplaceTempView("events_all_days")
 
 
 def q_union_by_prefix(spark, d):
     _register_daily(spark, d)
-    return catalog.union_by_prefix(spark, "%", "events_2024", exclude="%0104")
+    return catalog.union_by_prefix(spark, "%", "events_2", exclude="%_all_%")
 
 
 def q_union_matching(spark, d):
     _register_daily(spark, d)
-    return catalog.union_matching(spark, "%", "EVENTS_2024010_", source_column="src")
+    return catalog.union_matching(spark, "%", "EVENTS_20______", source_column="src",
+                                  include=["user_id", "TS"])
 
 
 QUERIES = {
@@ -312,20 +315,8 @@ ORACLE = {
         list(l_flag ORDER BY l_linenumber, l_partkey, l_suppkey, l_linenumber, l_quantity,
              l_flag NULLS FIRST) AS l_flag
         FROM li GROUP BY l_orderkey""",
-    "union_by_prefix": """
-        SELECT 'events_20240101' AS _dbt_source_relation, user_id, event_type, ts FROM events
-            WHERE CAST(ts AS DATE) = DATE '2024-01-01'
-        UNION ALL SELECT 'events_20240102', user_id, event_type, ts FROM events
-            WHERE CAST(ts AS DATE) = DATE '2024-01-02'
-        UNION ALL SELECT 'events_20240103', user_id, event_type, ts FROM events
-            WHERE CAST(ts AS DATE) = DATE '2024-01-03'""",
-    "union_matching": """
-        SELECT 'events_20240101' AS src, user_id, event_type, ts, CAST(NULL AS DOUBLE) AS value FROM events
-            WHERE CAST(ts AS DATE) = DATE '2024-01-01'
-        UNION ALL SELECT 'events_20240102', user_id, event_type, ts, NULL FROM events
-            WHERE CAST(ts AS DATE) = DATE '2024-01-02'
-        UNION ALL SELECT 'events_20240103', user_id, event_type, ts, NULL FROM events
-            WHERE CAST(ts AS DATE) = DATE '2024-01-03'
-        UNION ALL SELECT 'events_20240104', user_id, NULL, NULL, value FROM events
-            WHERE CAST(ts AS DATE) = DATE '2024-01-04'""",
+    "union_by_prefix": """SELECT 'events_' || strftime(ts, '%Y%m%d') AS _dbt_source_relation, user_id,
+        CASE WHEN day(ts) % 2 = 0 THEN event_type END AS event_type, ts,
+        CASE WHEN day(ts) % 2 = 1 THEN value END AS value FROM events""",
+    "union_matching": """SELECT 'events_' || strftime(ts, '%Y%m%d') AS src, user_id, ts FROM events""",
 }
