@@ -72,7 +72,9 @@ def pairs(spark, d):
 
     return {
         "w1_percent_rank_window": lambda: percent_rank_pct(silver(spark, d), strategy="window"),
-        "w1_percent_rank_histogram": lambda: percent_rank_pct(silver(spark, d), strategy="histogram"),
+        "w1_percent_rank_histogram": lambda: percent_rank_pct(silver(spark, d), strategy="histogram",
+                                                              n_buckets=1),
+        "w1_percent_rank_hist_bucketed": lambda: percent_rank_pct(silver(spark, d), strategy="histogram"),
         "u3_equality_except": lambda: sets.symmetric_difference(*eq_inputs(), strategy="except"),
         "u3_equality_aggregate": lambda: sets.symmetric_difference(*eq_inputs(), strategy="aggregate"),
         "r2_unpivot_union": lambda: _unpivot_union(orders, ["o_orderkey"], unpivot_cols),

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from medallion.bindings.common import pct_sql, rounded_avg_sql, snap_sql
 from medallion.bindings.scored import SILVER_ARGS, SILVER_SQL, scored
 from medallion.operators import gold
-from medallion.operators.silver import percent_rank_pct, transform_silver
+from medallion.operators.silver import national_percentile, percent_rank_pct, transform_silver
 
 SILVER_COLUMNS = [
     "nu_inscricao", "ano", "sg_uf_residencia", "regiao", "tp_sexo", "nu_idade", "tp_escola",
@@ -23,6 +23,8 @@ def silver(spark: SparkSession, sf_dir: str, audit: bool = False) -> DataFrame:
 
 
 def silver_pct(spark: SparkSession, sf_dir: str, strategy: str = "histogram") -> DataFrame:
+    if strategy == "histogram":
+        return national_percentile(silver(spark, sf_dir))
     return percent_rank_pct(silver(spark, sf_dir), ["ano"], "media_geral", strategy=strategy)
 
 
@@ -60,6 +62,8 @@ QUERIES = {
     "silver_bands": q_silver_bands,
     "percent_rank_window": _pr("window"),
     "percent_rank_histogram": _pr("histogram"),
+    "percent_rank_bucketed": lambda s, d: percent_rank_pct(silver(s, d), ["ano"], "media_geral", n_buckets=None)
+    .select("nu_inscricao", "ano", "media_geral", "percentil_nacional"),
     "gold_by_uf": q_gold_by_uf,
     "gold_by_income": q_gold_by_income,
     "gold_yoy": q_gold_yoy,
@@ -122,6 +126,7 @@ ORACLE = {
         FROM silver GROUP BY 1, 2, 3""",
     "percent_rank_window": f"{_W} SELECT nu_inscricao, ano, media_geral, percentil_nacional FROM silver_pct",
     "percent_rank_histogram": f"{_W} SELECT nu_inscricao, ano, media_geral, percentil_nacional FROM silver_pct",
+    "percent_rank_bucketed": f"{_W} SELECT nu_inscricao, ano, media_geral, percentil_nacional FROM silver_pct",
     "gold_by_uf": f"{_W}, {GOLD_UF_SQL} SELECT * FROM gold_uf",
     "gold_by_income": f"{_W}, {GOLD_INCOME_SQL} SELECT * FROM gold_income",
     "gold_yoy": f"{_W}, {GOLD_YOY_SQL} SELECT * FROM gold_yoy",

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from medallion.operators import checks as C
 from medallion.operators import gold, marts
-from medallion.operators.silver import percent_rank_pct, transform_silver
+from medallion.operators.silver import national_percentile, percent_rank_pct, transform_silver
 from medallion.sources.csv import enforce_schema, with_audit
 from medallion.sources.snapshots import SnapshotTable
 from medallion.sources.tables import observed, overwrite_partitions
@@ -61,8 +61,10 @@ def silver(spark: SparkSession, bronze_df: DataFrame, table: SnapshotTable,
     table.upsert(rows, keys, by_partition=True)
 
     def with_pct(df: DataFrame) -> DataFrame:
-        return percent_rank_pct(df.drop("percentil_nacional"), ["ano"], "media_geral",
-                                strategy=percentile_strategy)
+        base = df.drop("percentil_nacional")
+        if percentile_strategy == "histogram":
+            return national_percentile(base)
+        return percent_rank_pct(base, ["ano"], "media_geral", strategy=percentile_strategy)
     return table.add_column(with_pct)
 
 

@@ -60,6 +60,19 @@ def transform_silver(df: DataFrame, income_groups=None, school_mark: str = PUBLI
     return out.drop(*AUDIT_COLUMNS)
 
 
+# Fixed value: the overall score has 2 decimals within [0, 1000], so a year
+# holds at most 100,001 distinct scores — a bound on the rank histogram per
+# year that does not grow with the data; one window task per year suffices.
+SCORE_RANK_BUCKETS = 1
+
+
+def national_percentile(df: DataFrame, out_col: str = "percentil_nacional") -> DataFrame:
+    """The silver percentile column (W1): percent rank of ``media_geral``
+    within each year, histogram strategy with the score-domain bound above."""
+    return percent_rank_pct(df, ["ano"], "media_geral", out_col, strategy="histogram",
+                            n_buckets=SCORE_RANK_BUCKETS)
+
+
 def percent_rank_pct(df: DataFrame, partition_by: Sequence[str] = ("ano",), order_by: str = "media_geral",
                      out_col: str = "percentil_nacional", digits: int = 1,
                      strategy: str = "histogram", n_buckets: int | None = None) -> DataFrame:
@@ -78,16 +91,23 @@ def percent_rank_pct(df: DataFrame, partition_by: Sequence[str] = ("ano",), orde
         return df.withColumn(out_col, snap_round(F.percent_rank().over(w) * 100, digits))
     if strategy != "histogram":
         raise ValueError("strategy must be 'histogram' or 'window'")
-    # the histogram is read several times (sizing the buckets, the running
-    # count, the totals): materialise it once in the shared checkpoint folder
-    # so the input's lineage is evaluated once for it
-    hist = checkpointed(df.groupBy(*parts, order_by).agg(F.count(F.lit(1)).alias("_pr_c")))
-    # running count over the distinct values; partitions (years) with more
-    # distinct values than one bucket's share are range-bucketed, the rest use
-    # one window task each
-    hist = ranged_prefix_sum(hist, "_pr_c", order_by, "_pr_before", parts, n_buckets)
-    totals = hist.groupBy(*parts).agg(F.sum("_pr_c").alias("_pr_n"))
-    hist = _null_safe_join(hist, totals, parts, "left") if parts else hist.crossJoin(F.broadcast(totals))
+    hist = df.groupBy(*parts, order_by).agg(F.count(F.lit(1)).alias("_pr_c"))
+    if n_buckets == 1:
+        # one window task per partition over its distinct values; running and
+        # total counts share the partitioning and the sort
+        run = Window.partitionBy(*parts).orderBy(F.col(order_by).asc_nulls_first()) \
+                    .rowsBetween(Window.unboundedPreceding, -1)
+        hist = (hist.withColumn("_pr_before", F.coalesce(F.sum("_pr_c").over(run), F.lit(0)))
+                    .withColumn("_pr_n", F.sum("_pr_c").over(Window.partitionBy(*parts))))
+    else:
+        # the histogram is read several times (sizing the buckets, the running
+        # count, the totals): materialise it once in the shared checkpoint
+        # folder so the input's lineage is evaluated once for it; partitions
+        # with more distinct values than one bucket's share are range-bucketed
+        hist = checkpointed(hist)
+        hist = ranged_prefix_sum(hist, "_pr_c", order_by, "_pr_before", parts, n_buckets)
+        totals = hist.groupBy(*parts).agg(F.sum("_pr_c").alias("_pr_n"))
+        hist = _null_safe_join(hist, totals, parts, "left") if parts else hist.crossJoin(F.broadcast(totals))
     pr = F.when(F.col("_pr_n") > 1, F.col("_pr_before").cast("double") / (F.col("_pr_n") - 1).cast("double")) \
           .otherwise(F.lit(0.0))
     ranks = hist.select(*parts, order_by, snap_round(pr * 100, digits).alias(out_col))
