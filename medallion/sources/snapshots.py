@@ -259,18 +259,26 @@ class SnapshotTable:
     def file_stats(self, version: int | None = None) -> DataFrame:
         """Files and KB per partition of one version."""
         v = self.latest_version() if version is None else version
-        src = (self.spark.read.option("basePath", f"{self.root}/data")
-               .parquet(*[f"{self.root}/{p}" for p in self._paths(v)]))
-        return partition_file_stats(src, self.partition_by)
-
-
-def partition_file_stats(df: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Number of files and total KB (rounded to 0.1) per partition of a
-    file-backed DataFrame (A18), from the hidden ``_metadata`` column."""
-    files = df.select(*by, F.col("_metadata.file_path").alias("file"),
-                      F.col("_metadata.file_size").alias("size")).distinct()
-    return files.groupBy(*by).agg(F.count(F.lit(1)).alias("n_files"),
-                                  F.round(F.sum("size") / F.lit(1024.0), 1).alias("tamanho_kb"))
+        stats = partition_file_stats(self.spark, [f"{self.root}/{p}" for p in self._paths(v)],
+                                     self.partition_by)
+        schema = self._schema(v)
+        return stats.select(*[F.col(c).cast(schema[c].dataType) if c in schema.fieldNames() else F.col(c)
+                              for c in self.partition_by], "n_files", "tamanho_kb")
+
+
+def partition_file_stats(spark: SparkSession, paths: str | Sequence[str], by: Sequence[str]) -> DataFrame:
+    """Number of data files and total KB (rounded to 0.1) per partition under
+    ``paths`` (A18).  Only file metadata is read (the ``binaryFile`` source
+    without its content column), never the rows; partition values are taken
+    from the ``col=value`` directory names."""
+    paths = [paths] if isinstance(paths, str) else list(paths)
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+             .option("pathGlobFilter", "*.parquet").load(paths)
+             .select("path", "length"))
+    cols = [F.url_decode(F.regexp_extract("path", f"/{c}=([^/]*)/", 1)).alias(c) for c in by]
+    return (files.select(*cols, "length").groupBy(*by)
+            .agg(F.count(F.lit(1)).alias("n_files"),
+                 F.round(F.sum("length") / F.lit(1024.0), 1).alias("tamanho_kb")))
 
 
 def data_diff(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> DataFrame:
