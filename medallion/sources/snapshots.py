@@ -174,12 +174,15 @@ class SnapshotTable:
         return self.commit(fn(self.read()), operation, params or {"mode": "Overwrite", "mergeSchema": "true"})
 
     def _partition_dirs(self, version: int) -> DataFrame:
-        """(relative partition dir, partition values…) of every file of a version."""
-        src = (self.spark.read.option("basePath", f"{self.root}/data")
-               .parquet(*[f"{self.root}/{p}" for p in self._paths(version)]))
-        rel = F.concat(F.lit("data/"), F.regexp_extract(F.col("_metadata.file_path"),
-                                                        rf"^.*/data/({VERSION_DIR}=\d+/.*)/[^/]*$", 1))
-        return src.select(rel.alias("rel"), *self.partition_by).distinct()
+        """(relative partition dir, partition values…) of every data file of a
+        version — from the file listing only, no rows are read."""
+        schema = self._schema(version)
+        files = (self.spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+                 .option("pathGlobFilter", "*.parquet").load([f"{self.root}/{p}" for p in self._paths(version)])
+                 .select("path"))
+        rel = F.concat(F.lit("data/"), F.regexp_extract(F.col("path"), rf"^.*/data/({VERSION_DIR}=\d+/.*)/[^/]*$", 1))
+        vals = [_dir_value(c).try_cast(schema[c].dataType).alias(c) for c in self.partition_by]
+        return files.select(rel.alias("rel"), *vals).distinct()
 
     def upsert(self, source: DataFrame, keys: Sequence[str], operation: str = "MERGE",
                by_partition: bool = False) -> int:
@@ -262,10 +265,20 @@ class SnapshotTable:
         stats = partition_file_stats(self.spark, [f"{self.root}/{p}" for p in self._paths(v)],
                                      self.partition_by)
         schema = self._schema(v)
-        return stats.select(*[F.col(c).cast(schema[c].dataType) if c in schema.fieldNames() else F.col(c)
+        return stats.select(*[F.col(c).try_cast(schema[c].dataType) if c in schema.fieldNames() else F.col(c)
                               for c in self.partition_by], "n_files", "tamanho_kb")
 
 
+_NULL_DIR = "__HIVE_DEFAULT_PARTITION__"
+
+
+def _dir_value(c: str):
+    """Value of partition column ``c`` from a file path (NULL partitions are
+    written under a fixed directory name)."""
+    raw = F.url_decode(F.regexp_extract(F.col("path"), f"/{c}=([^/]*)/", 1))
+    return F.when(raw == F.lit(_NULL_DIR), F.lit(None)).otherwise(raw)
+
+
 def partition_file_stats(spark: SparkSession, paths: str | Sequence[str], by: Sequence[str]) -> DataFrame:
     """Number of data files and total KB (rounded to 0.1) per partition under
     ``paths`` (A18).  Only file metadata is read (the ``binaryFile`` source
@@ -275,7 +288,7 @@ def partition_file_stats(spark: SparkSession, paths: str | Sequence[str], by: Se
     files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
              .option("pathGlobFilter", "*.parquet").load(paths)
              .select("path", "length"))
-    cols = [F.url_decode(F.regexp_extract("path", f"/{c}=([^/]*)/", 1)).alias(c) for c in by]
+    cols = [_dir_value(c).alias(c) for c in by]
     return (files.select(*cols, "length").groupBy(*by)
             .agg(F.count(F.lit(1)).alias("n_files"),
                  F.round(F.sum("length") / F.lit(1024.0), 1).alias("tamanho_kb")))

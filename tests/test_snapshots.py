@@ -73,3 +73,13 @@ def test_data_diff(spark):
     assert got == [("c", "changed"), ("d", "added")]
     got = sorted(tuple(r) for r in data_diff(b.drop("ano"), a.drop("ano"), ["k"]).collect())
     assert got == [("c", "changed"), ("d", "removed")]
+
+
+def test_partition_mode_with_null_partition(spark):
+    t = _table(spark, "nullpart")
+    t.commit(_src(spark, [("a", 2020, 1.0), ("b", None, 2.0), ("c", 2021, 3.0)]))
+    t.upsert(_src(spark, [("b", None, 20.0), ("d", 2021, 4.0)]), ["k"], by_partition=True)
+    got = sorted((tuple(r) for r in t.read().collect()), key=str)
+    assert got == sorted([("a", 2020, 1.0), ("b", None, 20.0), ("c", 2021, 3.0), ("d", 2021, 4.0)], key=str)
+    stats = {r["ano"]: r["n_files"] for r in t.file_stats().collect()}
+    assert set(stats) == {2020, 2021, None}
