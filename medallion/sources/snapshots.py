@@ -117,15 +117,14 @@ class SnapshotTable:
             raise ValueError(f"no table at {self.root}")
         schema = self._schema(v)
         paths = self._paths(v)
-        # every data path sits under data/, so partition discovery sees the
-        # same columns (v plus the partition columns) for all of them
-        df = (self.spark.read.option("basePath", f"{self.root}/data").option("mergeSchema", "true")
+        # Every data path sits under data/, so partition discovery sees the same
+        # columns for all of them.  The logged schema is given to the reader:
+        # no file footers are read to infer or merge schemas, and files
+        # written before a column was added read it as NULL.
+        read_schema = T.StructType(list(schema.fields) + [T.StructField(VERSION_DIR, T.LongType())])
+        df = (self.spark.read.schema(read_schema).option("basePath", f"{self.root}/data")
               .parquet(*[f"{self.root}/{p}" for p in paths]))
-        cols = []
-        for f in schema.fields:
-            cols.append(F.col(f.name).cast(f.dataType) if f.name in df.columns
-                        else F.lit(None).cast(f.dataType).alias(f.name))
-        return df.select(*cols)
+        return df.select(*[F.col(f.name) for f in schema.fields])
 
     def version_as_of(self, ts) -> int:
         """Latest version committed at or before ``ts`` (datetime or ms)."""
