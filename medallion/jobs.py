@@ -47,7 +47,8 @@ def bronze(spark: SparkSession, paths: str | Sequence[str], target: str,
     overwrite_partitions(rows, target, ["ano"])
     out = {"rows": obs.get.get("rows", 0)}
     if rejects is not None and rejected is not None:
-        rejected.write.mode("append").parquet(rejects)
+        # a reload of a file replaces that file's rejects
+        overwrite_partitions(rejected, rejects, ["_source_file"])
     return out
 
 

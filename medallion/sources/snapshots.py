@@ -144,12 +144,15 @@ class SnapshotTable:
         return 0 if v is None else v + 1
 
     def _write_data(self, df: DataFrame, version: int) -> str:
+        """Write a version's rows.  Until its commit exists the version is
+        invisible, so a failed write can simply be run again: the directory
+        is overwritten, never half-kept."""
         rel = f"data/{VERSION_DIR}={version:020d}"
-        w = df.write.mode("errorifexists")
         if self.partition_by:
             df = df.repartition(*self.partition_by)
-            w = df.write.mode("errorifexists").partitionBy(*self.partition_by)
-        w.parquet(f"{self.root}/{rel}")
+            df.write.mode("overwrite").partitionBy(*self.partition_by).parquet(f"{self.root}/{rel}")
+        else:
+            df.write.mode("overwrite").parquet(f"{self.root}/{rel}")
         return rel
 
     def commit(self, df: DataFrame, operation: str = "WRITE", params: dict | None = None) -> int:

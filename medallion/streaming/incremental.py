@@ -23,6 +23,9 @@ def bronze_incremental(spark: SparkSession, source_dir: str, schema: T.StructTyp
                        file_glob: str = "*.csv", max_files_per_trigger: int | None = None) -> int:
     """Ingest new CSV files from ``source_dir`` into the partitioned ``target``.
 
+    Each batch replaces the partitions it holds (a reload), as with yearly
+    extracts where one file carries a whole year; a partition whose rows
+    arrive split over several runs must use an append sink instead.
     Returns the number of micro-batches run."""
     reader = (spark.readStream.format("csv").option("header", True).schema(schema)
               .option("pathGlobFilter", file_glob))
