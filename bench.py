@@ -16,7 +16,6 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from pyspark.sql import DataFrame, Window  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
-from medallion.bindings import checks as qchecks  # noqa: E402
 from medallion.bindings import registry  # noqa: E402
 from medallion.bindings.common import table  # noqa: E402
 from medallion.bindings.tiers import silver  # noqa: E402
@@ -121,7 +120,6 @@ def main() -> None:
     sf = os.path.basename(SF_DIR.rstrip("/")).replace("sf", "")
     print(json.dumps({"metric": "headline_total_sec", "value": total, "unit": "sec", "queries": times,
                       "sf": sf, "cpus": int(CPUS)}))
-    del qchecks
 
 
 if __name__ == "__main__":

@@ -9,7 +9,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from medallion.bindings.common import table
-from medallion.bindings.scored import scored
+from medallion.bindings.scored import SCORED_SQL, scored
 from medallion.bindings.tiers import GOLD_INCOME_SQL, GOLD_UF_SQL, GOLD_YOY_SQL, _W, silver_pct
 from medallion.functions import snap_round
 from medallion.operators import checks as C
@@ -268,7 +268,7 @@ QUERIES = {
     "chk_report": q_check_report,
 }
 
-_SCORED = "WITH " + __import__("medallion.bindings.scored", fromlist=["SCORED_SQL"]).SCORED_SQL
+_SCORED = "WITH " + SCORED_SQL
 _F_PRICE = "(SELECT *, CASE WHEN o_orderstatus = 'F' THEN o_totalprice END AS f_price FROM orders)"
 _RANGES = """(SELECT o_custkey, lo, lo + INTERVAL 60 DAY AS hi FROM (SELECT o_custkey,
     o_orderdate + to_seconds(CAST(floor(o_totalprice) AS BIGINT)) AS lo FROM orders) x)"""

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
 
 from medallion.bindings.common import rounded_avg_sql
 from medallion.bindings.tiers import GOLD_INCOME_SQL, GOLD_UF_SQL, _W, silver_pct

@@ -137,17 +137,18 @@ def pivot_columns(df: DataFrame, by: Sequence[str], column: str, values: Sequenc
     if values is None:
         values = column_values(df, column, max_records=max_values)
     fns = {"sum": F.sum, "count": F.count, "max": F.max, "min": F.min, "avg": F.avg}
-    dfns = {"sum": F.sum_distinct, "count": F.count_distinct, "avg": lambda c: F.avg(F.lit(None))}
+    distinct_fns = {"sum": F.sum_distinct, "count": F.count_distinct}
     if agg not in fns:
         raise ValueError(f"agg must be one of {sorted(fns)}")
+    if distinct and agg not in distinct_fns:
+        raise ValueError("distinct is supported for agg='sum' and agg='count'")
     aggs = []
     for v in values:
         cond = getattr(F.col(column), _CMPS[cmp])(F.lit(v))
-        expr = F.when(cond, F.lit(then_value)).otherwise(F.lit(else_value))
-        if distinct and agg in ("sum", "count"):
-            a = dfns[agg](expr)
-        else:
-            a = fns[agg](expr)
+        then_c = then_value if isinstance(then_value, Column) else F.lit(then_value)
+        else_c = else_value if isinstance(else_value, Column) else F.lit(else_value)
+        expr = F.when(cond, then_c).otherwise(else_c)
+        a = distinct_fns[agg](expr) if distinct else fns[agg](expr)
         name = f"{prefix}{v}{suffix}"
         aggs.append(a.alias(normalized_alias(name) if normalize_names else name))
     return df.groupBy(*by).agg(*aggs)
