@@ -106,3 +106,16 @@ def test_ranged_shift_other_value_column(spark):
         flags = {r["k"]: r["e"] for r in got.collect()}
         assert flags[min(keys) if direction == "lag" else max(keys)] is False
         assert sum(1 for f in flags.values() if not f) == 1
+
+
+def test_rank_table_broadcast_by_aqe_at_runtime(spark, sf001):
+    """The rank table is joined back by a broadcast chosen by AQE from its
+    measured size (no static hint)."""
+    from medallion.bindings.tiers import silver
+    from medallion.operators.silver import national_percentile
+    df = national_percentile(silver(spark, sf001))
+    df.collect()
+    p = physical_plan(df)
+    assert "isFinalPlan=true" in p and "percent_rank" not in p
+    top = [ln for ln in p.splitlines() if "Join" in ln][0]
+    assert "BroadcastHashJoin" in top
