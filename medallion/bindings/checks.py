@@ -433,3 +433,50 @@ ORACLE = {
     "chk_quality_report": f"{_CHK_GOLD} {_status(_QUALITY, {})}",
     "chk_report": _status(_REPORT, _REPORT_RULES),
 }
+
+
+def q_documents_report(s, d):
+    """Checks over the whole document texts and their labels: one fused scan
+    of ``documents`` for the row-level checks, the rest on their own."""
+    docs, labels, conv = table(s, d, "documents"), table(s, d, "labels"), table(s, d, "conversations")
+    checks = [
+        C.not_null(docs, "text", relation="documents"),
+        C.not_empty_string(docs, "text", relation="documents"),
+        C.expression_is_true(docs, "n_chars = length(text)", relation="documents"),
+        C.not_null_proportion(docs, "lang", at_least=0.99, relation="documents"),
+        C.accepted_values(docs, "lang", ["en", "fr", "de"], relation="documents").configured(warn_if=">0",
+                                                                                         error_if=">2"),
+        C.unique(docs, "doc_id", relation="documents"),
+        C.relationships_where(labels, "doc_id", docs, "doc_id", relation="labels"),
+        C.accepted_range(labels, "quality", 0, 1, relation="labels"),
+        C.unique_combination(conv, ["conv_id", "turn"], relation="conversations"),
+        C.accepted_values(conv, "role", ["user", "assistant"], relation="conversations"),
+    ]
+    return C.run_checks(checks)
+
+
+QUERIES["chk_documents_report"] = q_documents_report
+_DOCS = " UNION ALL ".join([
+    "SELECT 0 AS check_index, 'not_null_text' AS \"check\", 'documents' AS relation, "
+    "CAST(COUNT(*) FILTER (WHERE text IS NULL) AS BIGINT) AS failures FROM documents",
+    "SELECT 1, 'not_empty_string_text', 'documents', CAST(COUNT(*) FILTER (WHERE trim(text) = '') AS BIGINT)"
+    " FROM documents",
+    "SELECT 2, 'expression_is_true', 'documents', CAST(COUNT(*) FILTER (WHERE NOT (n_chars = length(text)))"
+    " AS BIGINT) FROM documents",
+    "SELECT 3, 'not_null_proportion_lang', 'documents', CAST(CASE WHEN CAST(COUNT(lang) AS DOUBLE) / COUNT(*)"
+    " < 0.99 THEN 1 ELSE 0 END AS BIGINT) FROM documents",
+    "SELECT 4, 'accepted_values_lang', 'documents', CAST(COUNT(DISTINCT CASE WHEN lang NOT IN ('en', 'fr', 'de')"
+    " THEN lang END) AS BIGINT) FROM documents",
+    "SELECT 5, 'unique_doc_id', 'documents', CAST(COUNT(*) AS BIGINT) FROM (SELECT doc_id FROM documents"
+    " WHERE doc_id IS NOT NULL GROUP BY 1 HAVING COUNT(*) > 1)",
+    "SELECT 6, 'relationships_where_doc_id', 'labels', CAST(COUNT(*) AS BIGINT) FROM labels l"
+    " WHERE l.doc_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM documents d WHERE d.doc_id = l.doc_id)",
+    "SELECT 7, 'accepted_range_quality', 'labels', CAST(COUNT(*) FILTER (WHERE NOT (quality >= 0) OR"
+    " NOT (quality <= 1)) AS BIGINT) FROM labels",
+    "SELECT 8, 'unique_combination_of_conv_id_turn', 'conversations', CAST(COUNT(*) AS BIGINT) FROM"
+    " (SELECT 1 FROM conversations GROUP BY conv_id, turn HAVING COUNT(*) > 1)",
+    "SELECT 9, 'accepted_values_role', 'conversations', CAST(COUNT(DISTINCT CASE WHEN role NOT IN"
+    " ('user', 'assistant') THEN role END) AS BIGINT) FROM conversations",
+])
+ORACLE["chk_documents_report"] = _status(_DOCS, {
+    4: "CASE WHEN failures > 2 THEN 'fail' WHEN failures > 0 THEN 'warn' ELSE 'pass' END"})
