@@ -77,8 +77,13 @@ def add_range_bucket(df: DataFrame, order_col: str, n_buckets: int | None = None
 
 
 def _bucketize(df: DataFrame, order_col: str, n_buckets: int | None, partition_cols: Sequence[str],
-               spread_ties: bool, accuracy: int = 10000) -> tuple[DataFrame, bool]:
-    """``add_range_bucket`` plus whether any group was actually cut."""
+               spread_ties: bool, accuracy: int = 10000,
+               second_col: str | None = None) -> tuple[DataFrame, bool]:
+    """``add_range_bucket`` plus whether any group was actually cut.
+
+    ``second_col`` (without groups): a leading key value that fills several
+    quantiles is spread over its buckets by ranges of the second order key,
+    so ties of the first key stay ordered by the second."""
     n = n_buckets or default_buckets(df)
     dtype = df.schema[order_col].dataType
     keyed = df.withColumn(_K, numeric_key(F.col(order_col), dtype)) \
@@ -119,6 +124,11 @@ def _bucketize(df: DataFrame, order_col: str, n_buckets: int | None, partition_c
     k = F.col(_K)
     below = F.size(F.filter(F.coalesce(F.col("_rng_bounds"), F.array().cast("array<double>")),
                             lambda b: b < k))
+    if not spread_ties and second_col is not None and not pcols:
+        sub = _second_key_spread(keyed, values, second_col, n, accuracy)
+        if sub is not None:
+            return joined.withColumn(_B, F.when(k.isNull(), F.lit(-1)).otherwise(below + sub) + 1) \
+                         .drop("_rng_bounds", _K), True
     if spread_ties:
         at_or_below = F.size(F.filter(F.coalesce(F.col("_rng_bounds"), F.array().cast("array<double>")),
                                       lambda b: b <= k))
@@ -130,6 +140,40 @@ def _bucketize(df: DataFrame, order_col: str, n_buckets: int | None, partition_c
                  .drop("_rng_bounds", _K), True
 
 
+def _second_key_spread(keyed: DataFrame, bounds: list[float], second_col: str, n: int, accuracy: int):
+    """Sub-bucket (a Column) for rows whose leading key fills several
+    quantiles; None when no value does.  For such a value v appearing c times
+    among the bounds, its rows are cut by c bounds on the second key (taken
+    from an n-quantile grid per hot value: at most n - 1 values, each with
+    n - 1 numbers, brought to the driver), so they use buckets
+    below(v) … below(v) + c in second-key order."""
+    counts: dict[float, int] = {}
+    for v in bounds:
+        counts[v] = counts.get(v, 0) + 1
+    if not counts:
+        return None
+    hot = sorted(counts)
+    dtype = keyed.schema[second_col].dataType
+    k2 = numeric_key(F.col(second_col), dtype)
+    grid = [i / n for i in range(1, n)]
+    rows = (keyed.where(F.col(_K).isin(hot)).groupBy(F.col(_K).alias("v"))
+            .agg(F.percentile_approx(k2, grid, accuracy).cast("array<double>").alias("g")).collect())
+    per_value = {}
+    for r in rows:
+        c, g = counts[r["v"]], list(r["g"] or [])
+        if not g:
+            continue
+        picks = [g[min(len(g) - 1, max(0, round(j * n / (c + 1)) - 1))] for j in range(1, c + 1)]
+        per_value[r["v"]] = picks
+    if not per_value:
+        return None
+    m = F.create_map(*[x for v, picks in per_value.items()
+                       for x in (F.lit(v), F.array(*[F.lit(float(p)) for p in picks]))])
+    sub_bounds = F.coalesce(F.element_at(m, F.col(_K)), F.array().cast("array<double>"))
+    # NULL second keys sort first, so they take the first sub-bucket
+    return F.when(k2.isNull(), F.lit(0)).otherwise(F.size(F.filter(sub_bounds, lambda b: b < k2)))
+
+
 def ranged_shift(df: DataFrame, value_col: str, order_cols: Sequence[str], out_col: str,
                  direction: str = "lag", partition_cols: Sequence[str] = (),
                  n_buckets: int | None = None, spread_ties: bool | None = None,
@@ -144,7 +188,8 @@ def ranged_shift(df: DataFrame, value_col: str, order_cols: Sequence[str], out_c
     order_cols = list(order_cols)
     if spread_ties is None:
         spread_ties = len(order_cols) == 1
-    b, cut = _bucketize(df, order_cols[0], n_buckets, partition_cols, spread_ties)
+    second = order_cols[1] if len(order_cols) > 1 and not spread_ties else None
+    b, cut = _bucketize(df, order_cols[0], n_buckets, partition_cols, spread_ties, second_col=second)
     keys = list(partition_cols) + [_B]
     ordering = [F.col(c).asc_nulls_first() for c in order_cols] + [F.col(_TB)]
     w = Window.partitionBy(*keys).orderBy(*ordering)

@@ -119,3 +119,18 @@ def test_rank_table_broadcast_by_aqe_at_runtime(spark, sf001):
     assert "isFinalPlan=true" in p and "percent_rank" not in p
     top = [ln for ln in p.splitlines() if "Join" in ln][0]
     assert "BroadcastHashJoin" in top
+
+
+def test_ranged_shift_composite_order_spreads_hot_leading_key(spark):
+    rnd = random.Random(11)
+    data = [(5 if rnd.random() < 0.5 else rnd.randint(0, 40), rnd.choice([None] + list(range(100))))
+            for _ in range(3000)]
+    df = spark.createDataFrame(data, "lo int, hi int")
+    w = Window.orderBy(F.col("lo").asc_nulls_first(), F.col("hi").asc_nulls_first())
+    plain = df.withColumn("p", F.lead("lo").over(w))
+    got = ranged_shift(df, "lo", ["lo", "hi"], "p", "lead", n_buckets=8)
+    assert sorted(map(tuple, plain.collect()), key=str) == sorted(map(tuple, got.select("lo", "hi", "p").collect()), key=str)
+    # the hot value 5 is cut into several buckets instead of one
+    from medallion.plans.ranged import _bucketize
+    b, _ = _bucketize(df, "lo", 8, [], False, second_col="hi")
+    assert b.where("lo = 5").select("_rng_bucket").distinct().count() > 1
