@@ -218,12 +218,28 @@ class SnapshotTable:
             self._write_commit(v, operation, params, merged.schema, [rel])
             return v
         # partitions touched: those of the source rows and of the replaced rows
+        # (at most one row per partition of the table, so they can be listed)
         p = self.partition_by
         replaced = target.join(src.select(*keys), keys, "left_semi").select(*p)
         touched = src.select(*p).unionByName(replaced).distinct()
-        touched_rows = _null_safe_join(merged, touched, p, "left_semi")
-        rel = self._write_data(touched_rows, v)
-        untouched = _null_safe_join(self._partition_dirs(v - 1), touched, p, "left_anti")
+        touched_list = touched.collect()
+        touched_df = self.spark.createDataFrame(touched_list, touched.schema)
+        if len(touched_list) <= _MAX_LISTED_PARTITIONS:
+            # a literal partition filter: the rewrite reads only the touched
+            # partitions (static partition pruning in the scan)
+            conds = []
+            for r in touched_list:
+                c = None
+                for col_name in p:
+                    e = F.col(col_name).eqNullSafe(F.lit(r[col_name]))
+                    c = e if c is None else c & e
+                conds.append(c)
+            target_t = target.where(_balanced_or(conds))
+        else:
+            target_t = _null_safe_join(target, F.broadcast(touched_df), p, "left_semi")
+        kept_t = target_t.join(src.select(*keys), keys, "left_anti")
+        rel = self._write_data(kept_t.unionByName(src, allowMissingColumns=True), v)
+        untouched = _null_safe_join(self._partition_dirs(v - 1), F.broadcast(touched_df), p, "left_anti")
         keep_paths = [r["rel"] for r in untouched.select("rel").distinct().collect()]
         self._write_commit(v, operation, params, merged.schema, [rel, *keep_paths])
         return v
@@ -272,6 +288,16 @@ class SnapshotTable:
 
 
 _NULL_DIR = "__HIVE_DEFAULT_PARTITION__"
+_MAX_LISTED_PARTITIONS = 2000
+
+
+def _balanced_or(conds: list):
+    """OR of many conditions as a balanced tree (no deep left chain)."""
+    if not conds:
+        return F.lit(False)
+    while len(conds) > 1:
+        conds = [conds[i] | conds[i + 1] if i + 1 < len(conds) else conds[i] for i in range(0, len(conds), 2)]
+    return conds[0]
 
 
 def _dir_value(c: str):
