@@ -25,6 +25,37 @@ LOCAL_CONF = {
 }
 
 
+# Settings for a large cluster run (e.g. ~100 TB over ~1000 executors).  AQE
+# sizes shuffle partitions from measured map output (start high, coalesce to
+# the advisory size), splits skewed join partitions, and converts joins to
+# broadcast only under the runtime size threshold.  Scan splits of 256 MB keep
+# a task's input well inside executor memory; the shuffle starts with enough
+# partitions that none exceeds the advisory size before coalescing.
+CLUSTER_CONF = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "40000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.shuffle.partitions": "4000",
+    "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    "spark.sql.session.timeZone": "UTC",
+}
+
+
+def apply_cluster_conf(spark: SparkSession, overrides: dict | None = None) -> None:
+    """Set the runtime SQL settings above (``overrides`` win) on a session."""
+    conf = dict(CLUSTER_CONF)
+    conf.update(overrides or {})
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+
+
 def get_session(master: str | None = None, shuffle_partitions: int = 8,
                 app_name: str = "medallion", extra: dict | None = None) -> SparkSession:
     """Build (or reuse) a local session with AQE on and the UI off."""
