@@ -38,13 +38,14 @@ def mutually_exclusive_ranges(df: DataFrame, lower_bound_column: str, upper_boun
         parts = [partition_by] if partition_by else []
         base = df.select(*([F.col(partition_by).alias("partition_by_col")] if partition_by else []),
                          F.col(lower_bound_column).alias("lower_bound"),
-                         F.col(upper_bound_column).alias("upper_bound"))
+                         F.col(upper_bound_column).alias("upper_bound"),
+                         F.xxhash64(*[F.col(c) for c in df.columns]).alias("_row_h"))
         pcols = ["partition_by_col"] if parts else []
         # the next lower bound, and whether a next row exists at all (its
         # bound may itself be NULL)
         w = ranged_shift(base, "lower_bound", ["lower_bound", "upper_bound"], "next_lower_bound", "lead",
                          pcols, n_buckets, exists_col="_has_next")
-        calc = w.withColumn("is_last_record", ~F.col("_has_next")).drop("_has_next")
+        calc = w.withColumn("is_last_record", ~F.col("_has_next")).drop("_has_next", "_row_h")
         c1 = f"lower_bound_{zl_words}_upper_bound"
         c2 = f"upper_bound_{gap_words}_next_lower_bound"
         calc = (calc.withColumn(c1, F.coalesce(_cmp(zl_op, F.col("lower_bound"), F.col("upper_bound")), F.lit(False)))
@@ -62,8 +63,11 @@ def sequential_values(df: DataFrame, column: str, interval: int = 1, datepart: s
     prev = "previous_" + normalized_alias(column)
 
     def rows():
-        base = df.select(*group_by, column)
-        w = ranged_shift(base, column, [column], prev, "lag", list(group_by), n_buckets)
+        # the hash of the whole input row travels along, so rows that only
+        # share the checked value still get different tie-breaks (and a hot
+        # value is spread over several buckets)
+        base = df.select(*group_by, column, F.xxhash64(*[F.col(c) for c in df.columns]).alias("_row_h"))
+        w = ranged_shift(base, column, [column], prev, "lag", list(group_by), n_buckets).drop("_row_h")
         if datepart:
             nxt = date_add_part(datepart, interval, F.col(prev)).cast("timestamp")
             ok = F.col(column).cast("timestamp") == nxt

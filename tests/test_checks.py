@@ -128,3 +128,20 @@ def test_custom_measure_and_store(spark):
     path = tempfile.mkdtemp(prefix="fail-") + "/rows"
     chk.store_failures(path)
     assert spark.read.parquet(path).count() == 2
+
+
+def test_sequential_hot_value_is_spread(spark):
+    """A value held by half of the rows is cut over several buckets (rows differ
+    in other columns), and the failing rows still equal the plain window's."""
+    import random
+    from pyspark.sql import Window
+    rnd = random.Random(2)
+    data = [(7 if rnd.random() < 0.5 else rnd.randint(0, 500), i) for i in range(4000)]
+    df = spark.createDataFrame(data, "v int, other int")
+    got = C.sequential_values(df, "v", n_buckets=8).failing_rows()
+    plain = (df.select("v").withColumn("previous_v", F.lag("v").over(Window.orderBy("v")))
+             .where(~(F.col("v") == F.col("previous_v") + 1)))
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, plain.collect()), key=str)
+    from medallion.plans.ranged import add_range_bucket
+    b = add_range_bucket(df.withColumn("h", F.xxhash64("v", "other")), "v", 8)
+    assert b.where("v = 7").select("_rng_bucket").distinct().count() > 1
