@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from medallion.functions.dates import date_add_part
 from medallion.operators.checks.core import Check, col, filtered, where_col
+from medallion.operators.marts import first_non_null
 from medallion.session import ntz_literal
 
 
@@ -86,7 +87,7 @@ def at_least_one(df: DataFrame, column: str, group_by: Sequence[str] = (), where
         return Check(f"at_least_one_{column}", relation, rows)
 
     def rows():
-        first = filtered(df, where).select(column).where(col(column).isNotNull()).limit(1)
+        first = first_non_null(filtered(df, where), column)   # stops at the first hit
         return first.agg(F.count(col(column)).alias("filler_column")).where(F.col("filler_column") == 0)
     return Check(f"at_least_one_{column}", relation, rows, source=df,
                  fused=F.when(F.count(F.when(where_col(where), col(column))) == 0, 1).otherwise(0))
