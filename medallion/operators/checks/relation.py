@@ -82,6 +82,12 @@ def equality(a: DataFrame, b: DataFrame, compare_columns: Sequence[str] | None =
                  measure=measure)
 
 
+# Names of the constant join-key columns in the row-count
+# comparison outputs (kept equal to other tools' output columns).
+EQUAL_ROWCOUNT_KEY = "id_dbtutils_test_equal_rowcount"
+FEWER_ROWS_KEY = "id_dbtutils_test_fewer_rows_than"
+
+
 def _counts(df: DataFrame, group_by: Sequence[str], fake: str, count_col: str) -> DataFrame:
     return df.groupBy(*group_by).agg(F.count(F.lit(1)).alias(count_col)).withColumn(fake, F.lit(1))
 
@@ -105,7 +111,7 @@ def equal_rowcount(a: DataFrame, b: DataFrame, group_by: Sequence[str] = (), str
     """Row counts (per group) compared with a full join of the two count
     tables (C17).  Measure ``sum(coalesce(diff_count, 0))``: a group present on
     one side only counts 0 unless ``strict_groups=True``."""
-    fake = "id_dbtutils_test_equal_rowcount"
+    fake = EQUAL_ROWCOUNT_KEY
 
     def rows():
         j = _full_counts(a, b, group_by, fake, "count_a", "count_b")
@@ -122,7 +128,7 @@ def fewer_rows_than(a: DataFrame, b: DataFrame, group_by: Sequence[str] = (),
                     relation: str = "model") -> Check:
     """``a`` must have fewer rows than ``b`` (per group) (C18).  Delta: more
     rows → the excess; equal → 1; fewer or a missing side → 0."""
-    fake = "id_dbtutils_test_fewer_rows_than"
+    fake = FEWER_ROWS_KEY
 
     def rows():
         j = _full_counts(a, b, group_by, fake, "count_our_model", "count_comparison_model")

@@ -190,10 +190,15 @@ def normalize_column_names(df: DataFrame) -> DataFrame:
     return df.toDF(*[normalized_alias(c) for c in df.columns])
 
 
+# Fixed value: default name of the column recording each row's input relation
+# (kept equal to the name other tools use, so unioned outputs line up).
+SOURCE_COLUMN = "_dbt_source_relation"
+
+
 def union_relations(relations: Mapping[str, DataFrame] | Sequence[DataFrame],
                     include: Sequence[str] = (), exclude: Sequence[str] = (),
                     column_override: Mapping[str, str] | None = None,
-                    source_column: str | None = "_dbt_source_relation",
+                    source_column: str | None = SOURCE_COLUMN,
                     where: str | Column | None = None) -> DataFrame:
     """Union by name over the superset of columns.
 

@@ -83,7 +83,7 @@ def enforce_schema(spark: SparkSession, paths: str | Sequence[str], schema: T.St
 
 def discover_partitions(spark: SparkSession, directory: str, pattern: str = r"(\d{4})") -> DataFrame:
     """Values found in the file paths under ``directory`` (S3), ascending —
-    e.g. the years of ``enem_2021.csv`` or of ``ano=2021/part-….csv``.  Spark
+    e.g. the years of ``extract_2021.csv`` or of ``ano=2021/part-….csv``.  Spark
     lists the files; their contents are not read."""
     files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(directory)
              .select(F.substring_index(F.col("path"), directory.rstrip("/").split("/")[-1] + "/", -1)
@@ -100,13 +100,13 @@ def with_audit(df: DataFrame, loaded_at: str = "_bronze_loaded_at", source_file:
               .withColumn(source_file, F.col("_metadata.file_name")))
 
 
-def year_paths(directory: str, years: Sequence[int], template: str = "enem_{year}.csv") -> list[str]:
+def year_paths(directory: str, years: Sequence[int], template: str = "extract_{year}.csv") -> list[str]:
     """Paths of the yearly files to read in one scan."""
     return [f"{directory.rstrip('/')}/{template.format(year=y)}" for y in years]
 
 
 def existing_year_paths(spark: SparkSession, directory: str, years: Sequence[int],
-                        template: str = "enem_{year}.csv") -> list[str]:
+                        template: str = "extract_{year}.csv") -> list[str]:
     """``year_paths`` without the years whose file is absent; each absent year
     is reported with a warning and skipped (S1)."""
     from medallion.sources.tables import path_exists

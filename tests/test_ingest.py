@@ -19,17 +19,17 @@ def _write(d, name, text):
 
 def test_quarantine_and_failfast(spark):
     d = tempfile.mkdtemp(prefix="csv-")
-    _write(d, "enem_2020.csv", "id,ano,nota\na,2020,1.5\nb,2020,abc\n,2020,3.0\nc,2020,\n")
-    good, bad = enforce_schema(spark, f"{d}/enem_2020.csv", SCHEMA)
+    _write(d, "extract_2020.csv", "id,ano,nota\na,2020,1.5\nb,2020,abc\n,2020,3.0\nc,2020,\n")
+    good, bad = enforce_schema(spark, f"{d}/extract_2020.csv", SCHEMA)
     assert sorted(r["id"] for r in good.collect()) == ["a", "c"]
     reasons = sorted(((r["_raw_id"], r["_reject_reason"], tuple(r["_bad_fields"])) for r in bad.collect()), key=str)
     assert reasons == sorted([(None, "null_required", ()), ("b", "unparsable", ("nota",))], key=str)
     # selecting only some columns must not hide the bad cell
     assert good.select("id").count() == 2
-    df, _ = enforce_schema(spark, f"{d}/enem_2020.csv", SCHEMA, mode="failfast")
+    df, _ = enforce_schema(spark, f"{d}/extract_2020.csv", SCHEMA, mode="failfast")
     with pytest.raises(Exception):
         df.collect()
-    assert read_typed_csv(spark, f"{d}/enem_2020.csv", SCHEMA).count() == 4
+    assert read_typed_csv(spark, f"{d}/extract_2020.csv", SCHEMA).count() == 4
 
 
 def test_overwrite_partitions_idempotent(spark):
@@ -47,9 +47,9 @@ def test_overwrite_partitions_idempotent(spark):
 
 def test_incremental_picks_up_new_files_once(spark):
     src, tgt, ck = (tempfile.mkdtemp(prefix=p) for p in ("in-", "out-", "ck-"))
-    _write(src, "enem_2020.csv", "id,ano,nota\na,2020,1.0\n")
+    _write(src, "extract_2020.csv", "id,ano,nota\na,2020,1.0\n")
     bronze_incremental(spark, src, SCHEMA, tgt + "/t", ["ano"], ck)
-    _write(src, "enem_2021.csv", "id,ano,nota\nb,2021,2.0\n")
+    _write(src, "extract_2021.csv", "id,ano,nota\nb,2021,2.0\n")
     bronze_incremental(spark, src, SCHEMA, tgt + "/t", ["ano"], ck)
     bronze_incremental(spark, src, SCHEMA, tgt + "/t", ["ano"], ck)
     got = sorted((r["id"], r["ano"]) for r in spark.read.parquet(tgt + "/t").collect())
@@ -60,8 +60,8 @@ def test_absent_years_skipped_with_warning(spark):
     import warnings as w
     from medallion.sources.csv import existing_year_paths
     d = tempfile.mkdtemp(prefix="yrs-")
-    _write(d, "enem_2020.csv", "id,ano,nota\na,2020,1.0\n")
+    _write(d, "extract_2020.csv", "id,ano,nota\na,2020,1.0\n")
     with w.catch_warnings(record=True) as caught:
         w.simplefilter("always")
         paths = existing_year_paths(spark, d, [2020, 2021])
-    assert paths == [f"{d}/enem_2020.csv"] and any("2021" in str(c.message) for c in caught)
+    assert paths == [f"{d}/extract_2020.csv"] and any("2021" in str(c.message) for c in caught)

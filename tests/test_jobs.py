@@ -24,7 +24,7 @@ ROWS_2022 = [
 def test_jobs_end_to_end(spark):
     raw = tempfile.mkdtemp(prefix="raw-")
     for year, rows in ((2021, ROWS_2021), (2022, ROWS_2022)):
-        with open(os.path.join(raw, f"enem_{year}.csv"), "w") as fh:
+        with open(os.path.join(raw, f"extract_{year}.csv"), "w") as fh:
             fh.write("\n".join([HEADER] + rows) + "\n")
     out = tempfile.mkdtemp(prefix="tiers-")
     paths = existing_year_paths(spark, raw, [2020, 2021, 2022])
