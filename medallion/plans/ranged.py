@@ -81,9 +81,9 @@ def _bucketize(df: DataFrame, order_col: str, n_buckets: int | None, partition_c
                second_col: str | None = None) -> tuple[DataFrame, bool]:
     """``add_range_bucket`` plus whether any group was actually cut.
 
-    ``second_col`` (without groups): a leading key value that fills several
-    quantiles is spread over its buckets by ranges of the second order key,
-    so ties of the first key stay ordered by the second."""
+    ``second_col``: a leading key value that fills several quantiles (of the
+    whole input or of a cut group) is spread over its buckets by ranges of the
+    second order key, so ties of the first key stay ordered by the second."""
     n = n_buckets or default_buckets(df)
     dtype = df.schema[order_col].dataType
     keyed = df.withColumn(_K, numeric_key(F.col(order_col), dtype)) \
@@ -105,6 +105,7 @@ def _bucketize(df: DataFrame, order_col: str, n_buckets: int | None, partition_c
         values = [float(x) for x in (row[0] or [])] if row is not None else []
         lit = F.array(*[F.lit(x) for x in values]) if values else F.array()
         joined = keyed.withColumn("_rng_bounds", lit.cast("array<double>"))
+        bounds_by_group = [((), values)]
     else:
         spark = df.sparkSession
         sizes = keyed.groupBy(*pcols).agg(F.count(F.lit(1)).alias("_rng_n"))
@@ -121,14 +122,23 @@ def _bucketize(df: DataFrame, order_col: str, n_buckets: int | None, partition_c
                                    + [T.StructField("_rng_bounds", T.ArrayType(T.DoubleType()))])
             bdf = spark.createDataFrame([tuple(r) for r in rows], bschema)
             joined = _null_safe_join(keyed, F.broadcast(bdf), pcols, "left")
+            bounds_by_group = [(tuple(r[c] for c in pcols), [float(x) for x in (r["_rng_bounds"] or [])])
+                               for r in rows]
     k = F.col(_K)
     below = F.size(F.filter(F.coalesce(F.col("_rng_bounds"), F.array().cast("array<double>")),
                             lambda b: b < k))
-    if not spread_ties and second_col is not None and not pcols:
-        sub = _second_key_spread(keyed, values, second_col, n, accuracy)
-        if sub is not None:
+    if not spread_ties and second_col is not None:
+        subs = _second_key_spread(keyed, bounds_by_group, pcols, second_col, accuracy)
+        if subs is not None:
+            k2 = numeric_key(F.col(second_col), keyed.schema[second_col].dataType)
+            joined = _null_safe_join(joined.withColumn(_K, F.col(_K).cast("double")), F.broadcast(subs),
+                                     [*pcols, _K], "left")
+            # NULL second keys sort first, so they take the first sub-bucket
+            sub = F.when(k2.isNull(), F.lit(0)).otherwise(
+                F.size(F.filter(F.coalesce(F.col("_rng_sub"), F.array().cast("array<double>")),
+                                lambda b: b < k2)))
             return joined.withColumn(_B, F.when(k.isNull(), F.lit(-1)).otherwise(below + sub) + 1) \
-                         .drop("_rng_bounds", _K), True
+                         .drop("_rng_bounds", "_rng_sub", _K), True
     if spread_ties:
         at_or_below = F.size(F.filter(F.coalesce(F.col("_rng_bounds"), F.array().cast("array<double>")),
                                       lambda b: b <= k))
@@ -140,38 +150,40 @@ def _bucketize(df: DataFrame, order_col: str, n_buckets: int | None, partition_c
                  .drop("_rng_bounds", _K), True
 
 
-def _second_key_spread(keyed: DataFrame, bounds: list[float], second_col: str, n: int, accuracy: int):
-    """Sub-bucket (a Column) for rows whose leading key fills several
-    quantiles; None when no value does.  For such a value v appearing c times
-    among the bounds, its rows are cut by c bounds on the second key (taken
-    from an n-quantile grid per hot value: at most n - 1 values, each with
-    n - 1 numbers, brought to the driver), so they use buckets
-    below(v) … below(v) + c in second-key order."""
-    counts: dict[float, int] = {}
-    for v in bounds:
-        counts[v] = counts.get(v, 0) + 1
-    if not counts:
+def _second_key_spread(keyed: DataFrame, bounds_by_group: list, pcols: list[str], second_col: str,
+                       accuracy: int) -> DataFrame | None:
+    """Sub-bounds on the second order key for leading-key values that fill
+    several quantiles.  For a value v appearing c times among its group's
+    bounds, c quantiles of the second key over the rows (group, v) cut those
+    rows into c + 1 buckets below(v) … below(v) + c, in second-key order.
+    At most n - 1 such values per group and at most n cut groups, each value
+    with c ≤ n - 1 numbers: the result is brought to the driver and returned
+    as a small local table (group keys, ``_rng_key``, ``_rng_sub``)."""
+    pairs: dict[int, list] = {}
+    for gkey, bounds in bounds_by_group:
+        counts: dict[float, int] = {}
+        for v in bounds:
+            counts[v] = counts.get(v, 0) + 1
+        for v, c in counts.items():
+            pairs.setdefault(c, []).append((*gkey, v))
+    if not pairs:
         return None
-    hot = sorted(counts)
-    dtype = keyed.schema[second_col].dataType
-    k2 = numeric_key(F.col(second_col), dtype)
-    grid = [i / n for i in range(1, n)]
-    rows = (keyed.where(F.col(_K).isin(hot)).groupBy(F.col(_K).alias("v"))
-            .agg(F.percentile_approx(k2, grid, accuracy).cast("array<double>").alias("g")).collect())
-    per_value = {}
-    for r in rows:
-        c, g = counts[r["v"]], list(r["g"] or [])
-        if not g:
-            continue
-        picks = [g[min(len(g) - 1, max(0, round(j * n / (c + 1)) - 1))] for j in range(1, c + 1)]
-        per_value[r["v"]] = picks
-    if not per_value:
+    spark = keyed.sparkSession
+    key_fields = list(keyed.select(*pcols).schema.fields) + [T.StructField(_K, T.DoubleType())]
+    k2 = numeric_key(F.col(second_col), keyed.schema[second_col].dataType)
+    out = []
+    for c, plist in pairs.items():
+        sel = spark.createDataFrame(plist, T.StructType(key_fields))
+        probs = [j / (c + 1) for j in range(1, c + 1)]
+        rows = (_null_safe_join(keyed.withColumn(_K, F.col(_K).cast("double")), F.broadcast(sel),
+                                [*pcols, _K], "left_semi")
+                .groupBy(*pcols, _K).agg(F.percentile_approx(k2, probs, accuracy).cast("array<double>")
+                                         .alias("_rng_sub")).collect())
+        out.extend(tuple(r) for r in rows)
+    if not out:
         return None
-    m = F.create_map(*[x for v, picks in per_value.items()
-                       for x in (F.lit(v), F.array(*[F.lit(float(p)) for p in picks]))])
-    sub_bounds = F.coalesce(F.element_at(m, F.col(_K)), F.array().cast("array<double>"))
-    # NULL second keys sort first, so they take the first sub-bucket
-    return F.when(k2.isNull(), F.lit(0)).otherwise(F.size(F.filter(sub_bounds, lambda b: b < k2)))
+    schema = T.StructType(key_fields + [T.StructField("_rng_sub", T.ArrayType(T.DoubleType()))])
+    return spark.createDataFrame(out, schema)
 
 
 def ranged_shift(df: DataFrame, value_col: str, order_cols: Sequence[str], out_col: str,

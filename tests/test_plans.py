@@ -134,3 +134,21 @@ def test_ranged_shift_composite_order_spreads_hot_leading_key(spark):
     from medallion.plans.ranged import _bucketize
     b, _ = _bucketize(df, "lo", 8, [], False, second_col="hi")
     assert b.where("lo = 5").select("_rng_bucket").distinct().count() > 1
+
+
+def test_ranged_shift_grouped_composite_hot_key(spark):
+    rnd = random.Random(13)
+    data = []
+    for _ in range(3000):
+        g = 0 if rnd.random() < 0.6 else rnd.randint(1, 20)
+        lo = 5 if (g == 0 and rnd.random() < 0.5) else rnd.randint(0, 40)
+        data.append((g, lo, rnd.choice([None] + list(range(60)))))
+    df = spark.createDataFrame(data, "g int, lo int, hi int")
+    w = Window.partitionBy("g").orderBy(F.col("lo").asc_nulls_first(), F.col("hi").asc_nulls_first())
+    plain = df.withColumn("p", F.lead("lo").over(w))
+    got = ranged_shift(df, "lo", ["lo", "hi"], "p", "lead", ["g"], n_buckets=6)
+    assert sorted(map(tuple, plain.collect()), key=str) == \
+        sorted(map(tuple, got.select("g", "lo", "hi", "p").collect()), key=str)
+    from medallion.plans.ranged import _bucketize
+    b, cut = _bucketize(df, "lo", 6, ["g"], False, second_col="hi")
+    assert cut and b.where("g = 0 AND lo = 5").select("_rng_bucket").distinct().count() > 1
