@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+import public_tokenizers
 
+from medallion.llm.bpe import bpe_digest, read_spec
 from medallion.llm.common import table
 from medallion.llm.exact_dedup import exact_labels
+from medallion.llm.minhash import near_labels
+from medallion.llm.mixing import mixing_report
 from medallion.llm.quality_rules import quality_report
 
 
@@ -17,9 +20,24 @@ def op6_quality_rules(spark, sf_dir):
     return quality_report(table(spark, sf_dir, "documents"))
 
 
+def op3_bagminhash(spark, sf_dir):
+    return near_labels(table(spark, sf_dir, "documents")).drop("__node")
+
+
+def op8_bpe(spark, sf_dir):
+    return bpe_digest(table(spark, sf_dir, "documents"), read_spec(public_tokenizers.path("byte_bpe_50k.json")))
+
+
+def op9_temperature_mixing(spark, sf_dir):
+    return mixing_report(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
+    "op3_bagminhash": op3_bagminhash,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_quality_rules": op6_quality_rules,
+    "op8_bpe": op8_bpe,
+    "op9_temperature_mixing": op9_temperature_mixing,
 }
 
 _NORM = ("translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")
