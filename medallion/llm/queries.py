@@ -7,9 +7,34 @@ import public_tokenizers
 from medallion.llm.bpe import bpe_digest, read_spec
 from medallion.llm.common import table
 from medallion.llm.exact_dedup import exact_labels
+from medallion.llm.line_dedup import line_dedup_report
+from medallion.llm.lm_scoring import lm_scores
 from medallion.llm.minhash import near_labels
 from medallion.llm.mixing import mixing_report
 from medallion.llm.quality_rules import quality_report
+from medallion.llm.sharding import shard_rows
+from medallion.llm.url_filters import url_verdicts
+from medallion.llm.warc import warc_roundtrip
+
+
+def op1_lm_scoring(spark, sf_dir):
+    return lm_scores(table(spark, sf_dir, "documents"))
+
+
+def op2_url_filters(spark, sf_dir):
+    return url_verdicts(table(spark, sf_dir, "pages"))
+
+
+def op4_line_dedup(spark, sf_dir):
+    return line_dedup_report(table(spark, sf_dir, "documents"))
+
+
+def op7_arc_to_warc(spark, sf_dir):
+    return warc_roundtrip(table(spark, sf_dir, "pages"))
+
+
+def op10_minimax_sharding(spark, sf_dir):
+    return shard_rows(table(spark, sf_dir, "documents"), 8)
 
 
 def op5_exact_dedup(spark, sf_dir):
@@ -32,13 +57,9 @@ def op9_temperature_mixing(spark, sf_dir):
     return mixing_report(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {
-    "op3_bagminhash": op3_bagminhash,
-    "op5_exact_dedup": op5_exact_dedup,
-    "op6_quality_rules": op6_quality_rules,
-    "op8_bpe": op8_bpe,
-    "op9_temperature_mixing": op9_temperature_mixing,
-}
+QUERIES = {f.__name__: f for f in (
+    op1_lm_scoring, op2_url_filters, op3_bagminhash, op4_line_dedup, op5_exact_dedup, op6_quality_rules,
+    op7_arc_to_warc, op8_bpe, op9_temperature_mixing, op10_minimax_sharding)}
 
 _NORM = ("translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")
 
