@@ -58,9 +58,11 @@ def temperature_weights(totals: DataFrame, max_repeat: float | None = None, min_
         lo, hi = 0.0, 1.0
         for _ in range(_ROUNDS):
             rows = measured([lo + (hi - lo) * i / _WAYS for i in range(_WAYS + 1)])
+            if not rows:
+                return 1.0
             at = next((i for i, r in enumerate(rows) if fits(r)), len(rows) - 1)
             if at == 0:
-                return rows[0]["a"] if rows else 1.0
+                return rows[0]["a"]
             lo, hi = rows[at - 1]["a"], rows[at]["a"]
         return hi
 

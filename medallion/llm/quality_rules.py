@@ -20,11 +20,11 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from medallion.llm.common import WORD, text_or_empty, words
+from medallion.llm.common import WORD, col, text_or_empty, words
 
-_SYMBOLS = r"[#*$%&|<>]"
-_SPACE = r"[\x20\x09-\x0D]"
-_MARKS = r"[!?#*$%&|<>=~^_\\/+{}\[\]@•»«›‹…]"
+SYMBOLS = r"[#*$%&|<>]"
+SPACE = r"[\x20\x09-\x0D]"
+MARKS = r"[!?#*$%&|<>=~^_\\/+{}\[\]@•»«›‹…]"
 
 
 @dataclass(frozen=True)
@@ -45,7 +45,7 @@ class LineRules:
 def _line_fails(line: Column, low: Column, r: LineRules) -> Column:
     phrases = F.array(*[F.lit(p) for p in r.boilerplate])
     return (~line.rlike(r"[\p{L}\p{N}]")
-            | (F.regexp_count(line, F.lit(_MARKS)) > F.char_length(line) * F.lit(r.max_marks))
+            | (F.regexp_count(line, F.lit(MARKS)) > F.char_length(line) * F.lit(r.max_marks))
             | (F.regexp_count(line, F.lit(r.separators)) > r.max_separators)
             | F.exists(phrases, lambda p: F.contains(low, p)))
 
@@ -74,8 +74,8 @@ def quality_measures(df: DataFrame, text_col: str = "text", rules: LineRules | N
     d = d.withColumns({"__w": words(F.col("__t")), "__lines": F.split("__t", "\n")})
     d = d.withColumns({
         "__n_words": F.size("__w").cast("long"),
-        "__word_chars": (F.char_length("__t") - F.regexp_count("__t", F.lit(_SPACE))).cast("long"),
-        "__n_symbols": F.regexp_count("__t", F.lit(_SYMBOLS)).cast("long"),
+        "__word_chars": (F.char_length("__t") - F.regexp_count("__t", F.lit(SPACE))).cast("long"),
+        "__n_symbols": F.regexp_count("__t", F.lit(SYMBOLS)).cast("long"),
         "__full": F.filter("__lines", lambda x: x.rlike(WORD)),
         "__hash": F.expr("case when size(__w) < 3 then array() else "
                          "transform(slice(__w, 1, size(__w) - 2), (x, i) -> xxhash64(x, __w[i + 1], __w[i + 2])) end"),
@@ -93,7 +93,7 @@ def quality_measures(df: DataFrame, text_col: str = "text", rules: LineRules | N
     })
     d = d.drop("__good", "__sorted").withColumns({
         "__n_repeat_words": _repeat_words(),
-        "__left": (F.char_length("__clean") - F.regexp_count("__clean", F.lit(_SPACE))).cast("long")})
+        "__left": (F.char_length("__clean") - F.regexp_count("__clean", F.lit(SPACE))).cast("long")})
     d = d.drop("__hash", "__rep")
     failed = ((F.col("__n_words") < r.min_words)
               | (100 * F.col("__n_repeat_words") > r.max_repeat_pct * F.col("__n_words")))
@@ -109,7 +109,6 @@ def quality_report(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                    rules: LineRules | None = None) -> DataFrame:
     """One row per document: id, the base measures, both verdicts and the word
     characters its removed lines took."""
-    from medallion.llm.common import col
     d = quality_measures(df.select(col(id_col).alias("__id"), col(text_col).alias("__in")), "__in", rules)
     return d.select(F.col("__id").alias(id_col), *[F.col(f"__{c}").alias(c) for c in _OUT],
                     (F.col("__word_chars") - F.col("__left")).alias("lost_chars"))

@@ -5,15 +5,15 @@ from __future__ import annotations
 import public_tokenizers
 
 from medallion.llm.bpe import bpe_digest, read_spec
-from medallion.llm.common import table
+from medallion.llm.common import WORD, table
 from medallion.llm.exact_dedup import exact_labels
 from medallion.llm.line_dedup import line_dedup_report
 from medallion.llm.lm_scoring import lm_scores
 from medallion.llm.minhash import near_labels
 from medallion.llm.mixing import mixing_report
-from medallion.llm.quality_rules import quality_report
+from medallion.llm.quality_rules import MARKS, SPACE, SYMBOLS, LineRules, quality_report
 from medallion.llm.sharding import shard_rows
-from medallion.llm.url_filters import url_verdicts
+from medallion.llm.url_filters import HOST_RULES, WORD_RULES, url_verdicts
 from medallion.llm.warc import warc_roundtrip
 
 
@@ -61,11 +61,66 @@ QUERIES = {f.__name__: f for f in (
     op1_lm_scoring, op2_url_filters, op3_bagminhash, op4_line_dedup, op5_exact_dedup, op6_quality_rules,
     op7_arc_to_warc, op8_bpe, op9_temperature_mixing, op10_minimax_sharding)}
 
-_NORM = ("translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")
+_NORM = "translate(coalesce({}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+def _url_sql() -> str:
+    """Host rules by length, then the words, tried in their order of preference."""
+    by_length = sorted(HOST_RULES, key=lambda r: (len(r.name), r.name), reverse=True)
+    words = sorted(WORD_RULES, key=lambda r: (len(r.name), r.name), reverse=True)
+
+    def fits(rule):
+        host, path = rule.name.split("/", 1)
+        return f"((host = '{host}' OR host LIKE '%.{host}') AND starts_with(path, '/{path}'))"
+
+    def says(rule):
+        return f"regexp_matches(host || path, '{rule.pattern}')"
+
+    rule = "CASE " + " ".join(f"WHEN {fits(r)} THEN '{r.name}'" for r in by_length) + " END"
+    verdict = ("CASE " + " ".join(f"WHEN {fits(r)} THEN '{r.verdict}'" for r in by_length)
+               + " ".join(f" WHEN {says(r)} THEN '{r.verdict}'" for r in words) + " ELSE 'allow' END")
+    matched = ("CASE " + " ".join(f"WHEN {fits(r)} THEN '{r.name}'" for r in by_length)
+               + " ".join(f" WHEN {says(r)} THEN '{r.name}'" for r in words) + " END")
+    host = _NORM.format("regexp_extract(rest, '(?s)^([^/?#]*)', 1)")
+    return f"""
+        WITH u AS (SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest
+                   FROM pages),
+             h AS (SELECT page_id, {host} AS host, regexp_extract(rest, '(?s)^[^/?#]*([^?#]*)', 1) AS path FROM u)
+        SELECT page_id, host, path, {rule} AS rule, {verdict} AS verdict, {matched} AS matched FROM h"""
+
+
+def _quality_sql(r: LineRules) -> str:
+    said = " OR ".join(f"contains(lower(line), '{p}')" for p in r.boilerplate)
+    return rf"""
+        WITH d AS (SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '{WORD}') AS ws FROM documents),
+             g AS (SELECT doc_id, i, ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2] AS tri
+                   FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 1)) AS i FROM d)),
+             c AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, tri) AS n FROM g),
+             rep AS (SELECT doc_id, count(DISTINCT p) AS n FROM
+                     (SELECT doc_id, unnest([i, i + 1, i + 2]) AS p FROM c WHERE n > 1) GROUP BY doc_id),
+             l AS (SELECT doc_id, line, length(regexp_replace(line, '{SPACE}', '', 'g')) AS chars
+                   FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS line FROM d)),
+             ln AS (SELECT doc_id, count(*) - count(DISTINCT line) AS dup,
+                           sum(CASE WHEN NOT regexp_matches(line, '[\p{{L}}\p{{N}}]')
+                                      OR len(regexp_extract_all(line, '{MARKS}')) > length(line) * {r.max_marks}
+                                      OR len(regexp_extract_all(line, '{r.separators}')) > {r.max_separators}
+                                      OR {said} THEN chars ELSE 0 END) AS lost
+                    FROM l WHERE chars > 0 GROUP BY doc_id),
+             m AS (SELECT d.doc_id, CAST(len(ws) AS BIGINT) AS n_words,
+                          CAST(length(regexp_replace(t, '{SPACE}', '', 'g')) AS BIGINT) AS word_chars,
+                          CAST(len(regexp_extract_all(t, '{SYMBOLS}')) AS BIGINT) AS n_symbols,
+                          CAST(coalesce(dup, 0) AS BIGINT) AS n_dup_lines, CAST(coalesce(rep.n, 0) AS BIGINT) AS n_repeat_words,
+                          CAST(coalesce(lost, 0) AS BIGINT) AS lost_chars
+                   FROM d LEFT JOIN rep USING (doc_id) LEFT JOIN ln USING (doc_id)),
+             f AS (SELECT *, n_words < {r.min_words} OR 100 * n_repeat_words > {r.max_repeat_pct} * n_words AS base_failed FROM m)
+        SELECT *, NOT base_failed AND lost_chars <= {r.max_lost} * word_chars AS kept FROM f"""
+
 
 ORACLE = {
+    "op2_url_filters": _url_sql(),
     "op5_exact_dedup": f"""
-        WITH d AS (SELECT doc_id, {_NORM} AS t FROM documents)
+        WITH d AS (SELECT doc_id, {_NORM.format("text")} AS t FROM documents)
         SELECT doc_id, max(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size,
                doc_id = max(doc_id) OVER (PARTITION BY t) AS kept, sha256(t) AS text_sha256 FROM d""",
+    "op6_quality_rules": _quality_sql(LineRules()),
 }
