@@ -169,10 +169,10 @@ def read_spec(path: str) -> str:
         return f.read()
 
 
-_DIGEST = "n_tokens long, ids_sha256 string, decoded_sha256 string"
+_DIGEST = {"n_tokens": "long", "ids_sha256": "string", "decoded_sha256": "string"}
 
 
-def _map(df: DataFrame, id_col: str, text_col: str, spec: str, fields: str, row) -> DataFrame:
+def _map(df: DataFrame, id_col: str, text_col: str, spec: str, fields: dict[str, str], row) -> DataFrame:
     shared = df.sparkSession.sparkContext.broadcast(spec)
     src = df.select(col(id_col).alias("__id"), text_or_empty(text_col).alias("__t"))
     id_type = src.schema["__id"].dataType.simpleString()
@@ -180,16 +180,17 @@ def _map(df: DataFrame, id_col: str, text_col: str, spec: str, fields: str, row)
     def run(batches: Iterator):
         import pyarrow as pa
 
+        kinds = [{"long": pa.int64(), "string": pa.string(), "array<int>": pa.list_(pa.int32())}[k] for k in fields.values()]
         codec = codec_of(shared.value)
         for batch in batches:
             ids, texts = batch.column(0), batch.column(1)
             for at in range(0, batch.num_rows, 64):
                 rows = [row(codec, t.as_py()) for t in texts[at:at + 64]]
-                yield pa.RecordBatch.from_arrays([ids[at:at + 64], *map(pa.array, zip(*rows))], schema=None,
-                                                 names=names)
+                yield pa.RecordBatch.from_arrays([ids[at:at + 64], *map(pa.array, zip(*rows), kinds)],
+                                                 names=["__id", *fields])
 
-    names = ["__id", *[f.split()[0] for f in fields.split(", ")]]
-    return src.mapInArrow(run, f"__id {id_type}, {fields}").withColumnRenamed("__id", id_col)
+    ddl = ", ".join(f"{name} {kind}" for name, kind in fields.items())
+    return src.mapInArrow(run, f"__id {id_type}, {ddl}").withColumnRenamed("__id", id_col)
 
 
 def _digests(codec: BpeCodec, text: str) -> tuple[int, str, str]:
@@ -207,10 +208,10 @@ def bpe_digest(df: DataFrame, spec: str, id_col: str = "doc_id", text_col: str =
 
 def bpe_encode(df: DataFrame, spec: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document with its ids as ``ids array<int>``."""
-    return _map(df, id_col, text_col, spec, "ids array<int>", lambda c, t: (c.encode(t),))
+    return _map(df, id_col, text_col, spec, {"ids": "array<int>"}, lambda c, t: (c.encode(t),))
 
 
 def bpe_decode(df: DataFrame, spec: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
     """One row per row of ids with their text; unknown ids raise ``KeyError``."""
     src = df.select(col(id_col), F.to_json(F.coalesce(col(ids_col), F.array().cast("array<int>"))).alias("__ids"))
-    return _map(src, id_col, "__ids", spec, "text string", lambda c, t: (c.decode(json.loads(t)),))
+    return _map(src, id_col, "__ids", spec, {"text": "string"}, lambda c, t: (c.decode(json.loads(t)),))
