@@ -153,6 +153,33 @@ def q_stream_ingest(s, d):
     return s.read.parquet(target).select(*ORDER_COLS)
 
 
+def q_stream_split_files(s, d):
+    """Rows of one year in several files, one file a batch, over two runs."""
+    src, target, ckpt = (scratch_dir(s, n) for n in ("split_src", "split_target", "split_ckpt"))
+    o = table(s, d, "orders").withColumn("y", F.year("o_orderdate"))
+    schema = T.StructType(ORDERS_SCHEMA.fields + [T.StructField("y", T.IntegerType())])
+    for half in (0, 1):
+        part = o.where(F.pmod("o_orderkey", F.lit(2)) == half)
+        part.repartition(3, "o_orderkey").write.mode("append").option("header", True).csv(src)
+        bronze_incremental(s, src, schema, target, ["y"], ckpt, max_files_per_trigger=1)
+    return s.read.parquet(target).select(*ORDER_COLS)
+
+
+def q_pipeline_rejects(s, d):
+    """K1 with rows that do not parse: kept apart without being asked for, and
+    replaced, not doubled, by a reload."""
+    from medallion import jobs
+    target = scratch_dir(s, "bronze_rejects")
+    raw = _csv_dir(s, d, bad_prices=True)
+    schema = T.StructType([*ORDERS_SCHEMA.fields, T.StructField("ano", T.IntegerType())])
+    path = scratch_dir(s, "orders_ano")
+    (s.read.option("header", True).csv(raw).select(*ORDER_COLS, F.col("y").alias("ano"))
+     .write.option("header", True).csv(path))
+    for _ in range(2):
+        jobs.bronze(s, path, target, schema)
+    return s.read.parquet(f"{target}_rejects").select("o_orderkey", "_reject_reason")
+
+
 QUERIES = {
     "upsert_orders": q_upsert,
     "upsert_partitions": q_upsert_partitions,
@@ -172,6 +199,8 @@ QUERIES = {
     "csv_quarantine_good": q_csv_quarantine_good,
     "csv_quarantine_rejected": q_csv_quarantine_rejected,
     "stream_ingest": q_stream_ingest,
+    "stream_split_files": q_stream_split_files,
+    "pipeline_rejects": q_pipeline_rejects,
 }
 
 _O = "SELECT *, CAST(year(o_orderdate) AS INTEGER) AS o_year FROM orders"
@@ -219,6 +248,9 @@ ORACLE = {
     "csv_quarantine_rejected": """SELECT o_orderkey, 'unparsable' AS _reject_reason FROM orders
         WHERE o_orderstatus = 'P'""",
     "stream_ingest": "SELECT * FROM orders",
+    "stream_split_files": "SELECT * FROM orders",
+    "pipeline_rejects": """SELECT o_orderkey, 'unparsable' AS _reject_reason FROM orders
+        WHERE o_orderstatus = 'P'""",
 }
 
 

@@ -3,12 +3,15 @@ G1–G3, D1–D4) on the driver's tables."""
 
 from __future__ import annotations
 
+from datetime import datetime, time, timedelta
+
 from pyspark.sql import functions as F
 
 from medallion.bindings.common import table
 from medallion.operators import catalog, sets, shape
 from medallion.operators.series import date_spine_over, generate_series
-from medallion.functions import intervals_between
+from medallion.functions import intervals_between, rounded_avg
+from medallion.session import ntz_literal
 
 # Part types of the test tables (pivot columns).
 PART_TYPES = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
@@ -177,27 +180,57 @@ def _register_daily(spark, d):
     """One temp view per day of the events table (``events_YYYYMMDD``) — every
     day, so the union covers the whole table; odd days carry ``value`` instead
     of ``event_type`` so the unions have different column sets to align."""
-    ev = table(spark, d, "events").withColumn("day", F.to_date("ts"))
-    days = [r["day"] for r in ev.select("day").distinct().collect()]  # one row per calendar day
+    ev = table(spark, d, "events")
+    days = [r["day"] for r in ev.select(F.to_date("ts").alias("day")).distinct().collect()]  # one row per calendar day
+    names = ["events_all_days"]
     for day in days:
         cols = ["user_id", "event_type", "ts"] if day.day % 2 == 0 else ["user_id", "value", "ts"]
-        ev.where(F.col("day") == F.lit(day)).select(*cols).createOrReplaceTempView(
-            "events_" + day.strftime("%Y%m%d"))
-    ev.select("user_id").createOrReplaceTempView("events_all_days")
+        start, end = (datetime.combine(day, time()) + timedelta(days=n) for n in (0, 1))
+        # a range of ts reaches the scan as a pushed filter
+        one = ev.where((F.col("ts") >= ntz_literal(start).cast(ev.schema["ts"].dataType))
+                       & (F.col("ts") < ntz_literal(end).cast(ev.schema["ts"].dataType)))
+        names.append("events_" + day.strftime("%Y%m%d"))
+        one.select(*cols).createOrReplaceTempView(names[-1])
+    ev.select("user_id").createOrReplaceTempView(names[0])
+    return names
+
+
+def _over_daily(spark, d, build):
+    """``build()`` over the day views, which are gone afterwards."""
+    names = _register_daily(spark, d)
+    try:
+        return build()
+    finally:
+        for n in names:
+            spark.catalog.dropTempView(n)
 
 
 def q_union_by_prefix(spark, d):
-    _register_daily(spark, d)
-    return catalog.union_by_prefix(spark, "%", "events_2", exclude="%_all_%")
+    return _over_daily(spark, d, lambda: catalog.union_by_prefix(spark, "%", "events_2", exclude="%_all_%"))
 
 
 def q_union_matching(spark, d):
-    _register_daily(spark, d)
-    return catalog.union_matching(spark, "%", "EVENTS_20______", source_column="src",
-                                  include=["user_id", "TS"])
+    return _over_daily(spark, d, lambda: catalog.union_matching(spark, "%", "EVENTS_20______", source_column="src",
+                                                                include=["user_id", "TS"]))
+
+
+def q_pivot_wide(spark, d):
+    """One column per user of the events table: as many as there are."""
+    wide = shape.pivot_columns(table(spark, d, "events"), ["event_type"], "user_id", prefix="u_")
+    ids = [F.regexp_replace(F.lit(c), "^u_", "").cast("long") for c in wide.columns[1:]]
+    cells = F.arrays_zip(F.array(*ids).alias("user_id"), F.array(*[F.col(c) for c in wide.columns[1:]]).alias("n"))
+    return (wide.select("event_type", F.explode(cells).alias("c"))
+            .select("event_type", F.col("c.user_id").alias("user_id"), F.col("c.n").alias("n")).filter("n > 0"))
+
+
+def q_avg_many_decimals(spark, d):
+    li = table(spark, d, "lineitem").withColumn("x", F.col("l_extendedprice") / 7)
+    return li.groupBy("l_returnflag").agg(rounded_avg("x", 4).alias("avg_x"))
 
 
 QUERIES = {
+    "pivot_wide": q_pivot_wide,
+    "avg_many_decimals": q_avg_many_decimals,
     "pivot_types": q_pivot_types,
     "pivot_types_auto": q_pivot_types_auto,
     "pivot_cmp": q_pivot_cmp,
@@ -319,4 +352,6 @@ ORACLE = {
         CASE WHEN day(ts) % 2 = 0 THEN event_type END AS event_type, ts,
         CASE WHEN day(ts) % 2 = 1 THEN value END AS value FROM events""",
     "union_matching": """SELECT 'events_' || strftime(ts, '%Y%m%d') AS src, user_id, ts FROM events""",
+    "pivot_wide": "SELECT event_type, user_id, CAST(COUNT(*) AS BIGINT) AS n FROM events GROUP BY 1, 2",
+    "avg_many_decimals": "SELECT l_returnflag, ROUND(AVG(l_extendedprice / 7), 4) AS avg_x FROM lineitem GROUP BY 1",
 }

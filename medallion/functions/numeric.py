@@ -23,25 +23,28 @@ def snap_round(c: ColumnOrName, digits: int = 2) -> Column:
     binary value (other engines); ties such as 512.325 then disagree.  Going
     through ``decimal(28,10)`` makes every engine round the same decimal.
     """
-    return F.round(_col(c).cast("decimal(28,10)"), digits).cast("double")
-
-
-def exact_avg(c: ColumnOrName, scale: int = 2, precision: int = 18) -> Column:
-    """Mean whose sum is exact, so it does not depend on task order.
-
-    Inputs must carry at most ``scale`` decimals (scores, money).  Each value
-    is scaled to an integer (``rint(x * 10^scale)``, exact for such inputs) and
-    summed as a long — several times faster than a decimal(28, s) buffer —
-    and ``sum / 10^scale`` is the correctly rounded double of the exact decimal
-    sum (for |sum| < 2^53), i.e. the same value as
-    ``cast(sum(cast(x as decimal(p, scale))) as double)``.  A long overflow
-    raises (ANSI mode) instead of wrapping.  ``precision`` is kept for callers
-    that document their decimal type."""
-    del precision
     x = _col(c)
-    factor = float(10 ** scale)
-    total = F.sum(F.rint(x * F.lit(factor)).cast("long")).cast("double") / F.lit(factor)
-    return total / F.nullif(F.count(x), F.lit(0))
+    # decimal(28,10) holds 18 digits before the point; NaN and larger values
+    # have no such text and are rounded as they are
+    return F.when(F.abs(x) < F.lit(1e17), F.round(x.cast("decimal(28,10)"), digits).cast("double")).otherwise(
+        F.round(x.cast("double"), digits))
+
+
+def exact_avg(c: ColumnOrName, scale: int = 2) -> Column:
+    """Mean whose sum is exact where the values have at most ``scale`` decimals
+    (scores, money), so it does not depend on task order.
+
+    Each such value is scaled to an integer and summed as a long — several times
+    faster than a decimal buffer; ``sum / 10^scale`` is the rounded exact sum.
+    Every row is checked: one value with more decimals, one outside the exact range
+    of a double or an overflowing sum and the plain ``avg`` is the result."""
+    x = _col(c).cast("double")
+    scaled = x * F.lit(float(10 ** scale))
+    whole = F.rint(scaled)
+    fits = (F.abs(scaled) < F.lit(9e15)) & (F.abs(scaled - whole) <= F.lit(1e-5))
+    total = F.try_sum(F.when(fits, whole.cast("long"))).cast("double") / F.lit(float(10 ** scale))
+    return (F.when(F.bool_or(~fits), F.avg(x))
+            .otherwise(F.coalesce(total / F.nullif(F.count(x), F.lit(0)), F.avg(x))))
 
 
 def rounded_avg(c: ColumnOrName, digits: int = 2, scale: int = 2) -> Column:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -12,7 +13,7 @@ from medallion.operators import gold, marts
 from medallion.operators.silver import national_percentile, percent_rank_pct, transform_silver
 from medallion.sources.csv import enforce_schema, with_audit
 from medallion.sources.snapshots import SnapshotTable
-from medallion.sources.tables import observed, overwrite_partitions
+from medallion.sources.tables import drop_partitions, observed, overwrite_partitions
 
 # The 16-column raw schema of the yearly extracts.
 BRONZE_SCHEMA = T.StructType([
@@ -40,15 +41,18 @@ def bronze(spark: SparkSession, paths: str | Sequence[str], target: str,
     """K1: one scan over all years' files (a glob or a list, see
     ``csv.existing_year_paths``, which skips absent years with a warning) →
     typed rows, rejects kept apart → audit columns → reload of exactly the
-    years present (dynamic partition overwrite)."""
+    years present (dynamic partition overwrite).  Rejected rows always go to
+    ``rejects`` (default: ``<target>_rejects``), one partition per file, and are
+    counted."""
     good, rejected = enforce_schema(spark, paths, schema, mode="quarantine")
     rows, obs = observed(with_audit(good))
     overwrite_partitions(rows, target, ["ano"])
-    out = {"rows": obs.get.get("rows", 0)}
-    if rejects is not None and rejected is not None:
-        # a reload of a file replaces that file's rejects
-        overwrite_partitions(rejected, rejects, ["_source_file"])
-    return out
+    # a reload of a file replaces that file's rejects
+    bad, bad_obs = observed(rejected)
+    rejects = rejects or f"{target.rstrip('/')}_rejects"
+    drop_partitions(spark, rejects, [{"_source_file": unquote(f.rsplit("/", 1)[-1])} for f in good.inputFiles()])
+    overwrite_partitions(bad, rejects, ["_source_file"])
+    return {"rows": obs.get.get("rows", 0), "rejected": bad_obs.get.get("rows", 0)}
 
 
 def silver(spark: SparkSession, bronze_df: DataFrame, table: SnapshotTable,

@@ -130,7 +130,7 @@ def not_null_proportion(df: DataFrame, column: str, at_least: float, at_most: fl
     if not group_by:
         w = where_col(where)
         p = (F.sum(F.when(w & col(column).isNotNull(), 1).otherwise(0)).cast("double")
-             / F.sum(F.when(w, 1).otherwise(0)).cast("double"))
+             / F.nullif(F.sum(F.when(w, 1).otherwise(0)), F.lit(0)).cast("double"))  # no row, no share: passes
         fused = F.when((p < at_least) | (p > at_most), 1).otherwise(0)
     return Check(f"not_null_proportion_{column}", relation, rows,
                  source=df if fused is not None else None, fused=fused)

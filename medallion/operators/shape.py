@@ -64,6 +64,15 @@ def group_by_first_n(df: DataFrame, exprs: Sequence[Column | str], n: int) -> Da
     return g.agg(*aggs) if aggs else g.agg(F.count(F.lit(1)).alias("_n")).drop("_n")
 
 
+def type_of(values: Sequence) -> T.DataType:
+    """Column type of Python values: whole numbers, numbers, booleans or text."""
+    if all(isinstance(v, bool) for v in values):
+        return T.BooleanType()
+    if all(isinstance(v, int) for v in values):
+        return T.LongType()
+    return T.DoubleType() if all(isinstance(v, float) for v in values) else T.StringType()
+
+
 def value_counts(df: DataFrame | None, column: str, order_by: str | Column = "count desc",
                  where: str | Column | None = None, max_records: int | None = None,
                  default: Sequence | None = None, spark: SparkSession | None = None) -> DataFrame:
@@ -79,7 +88,9 @@ def value_counts(df: DataFrame | None, column: str, order_by: str | Column = "co
             raise ValueError("relation does not exist and no default value was provided")
         if spark is None:
             spark = SparkSession.getActiveSession()
-        return spark.createDataFrame([(v, None) for v in default], "value string, n bigint")
+        kind = T.StringType() if not default else type_of(default)
+        return spark.createDataFrame([(v, None) for v in default], T.StructType(
+            [T.StructField("value", kind), T.StructField("n", T.LongType())]))
     src = df.where(where) if where is not None else df
     aggs = [F.count(F.lit(1)).alias("n")]
     if isinstance(order_by, Column):
@@ -105,16 +116,20 @@ def value_counts(df: DataFrame | None, column: str, order_by: str | Column = "co
     return out.drop("_order") if "_order" in out.columns else out
 
 
-def column_values(df: DataFrame | None, column: str, max_records: int = 1000, default: Sequence | None = None,
+def column_values(df: DataFrame | None, column: str, max_records: int | None = None, default: Sequence | None = None,
                   **kw) -> list:
     """The values of ``value_counts`` as a Python list — only for building a
-    plan (pivot columns).  ``max_records`` bounds what reaches the driver.
+    plan (pivot columns).  More than ``max_records`` values, where given, raise
+    an error that names the bound; none is ever left out.
     ``default`` is returned when the table is missing or has no values."""
     if df is None:
         if default is None:
             raise ValueError("relation does not exist and no default value was provided")
         return list(default)
-    vals = [r["value"] for r in value_counts(df, column, max_records=max_records, **kw).collect()]
+    probe = None if max_records is None else max_records + 1
+    vals = [r["value"] for r in value_counts(df, column, max_records=probe, **kw).collect()]
+    if max_records is not None and len(vals) > max_records:
+        raise ValueError(f"{column} has more than {max_records} values; raise the bound or list the values")
     return vals if vals or default is None else list(default)
 
 
@@ -125,13 +140,13 @@ _CMPS = {"=": "__eq__", "!=": "__ne__", "<>": "__ne__", "<": "__lt__", "<=": "__
 def pivot_columns(df: DataFrame, by: Sequence[str], column: str, values: Sequence | None = None,
                   agg: str = "sum", cmp: str = "=", prefix: str = "", suffix: str = "",
                   then_value=1, else_value=0, distinct: bool = False,
-                  normalize_names: bool = False, max_values: int = 1000) -> DataFrame:
+                  normalize_names: bool = False, max_values: int = 10_000) -> DataFrame:
     """One conditional aggregate per value: ``agg(case when column <cmp> value
     then then_value else else_value end)`` grouped by ``by`` (R1).
 
     The default counts matches per group (0 when none).  ``values=None`` takes
-    the distinct values of ``column`` (at most ``max_values``, most frequent
-    first).  Values may hold quotes; they are passed as literals."""
+    the distinct values of ``column``, most frequent first; more than
+    ``max_values`` raise.  Values may hold quotes; they are passed as literals."""
     if cmp not in _CMPS:
         raise ValueError(f"cmp must be one of {sorted(_CMPS)}")
     if values is None:

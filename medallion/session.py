@@ -82,6 +82,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if conf:
         spark.sparkContext.setCheckpointDir(conf)
         return spark.sparkContext.getCheckpointDir() or conf
+    if not spark.sparkContext.master.split("[")[0] == "local":
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     local = tempfile.mkdtemp(prefix="medallion-ckpt-")
     spark.sparkContext.setCheckpointDir(local)
     return spark.sparkContext.getCheckpointDir() or local

@@ -2,7 +2,7 @@
 
 Layout under ``root``::
 
-    data/_snapshot_version=<N>/<partition dirs>/part-*.parquet   rows of version N
+    data/_snapshot_version=<N>-<id>/<partition dirs>/part-*.parquet   rows written for version N
     commit_log/v=<N>/part-*.json                 the commit of version N
 
 A commit file holds JSON lines in the common transaction-log shape:
@@ -11,14 +11,19 @@ A commit file holds JSON lines in the common transaction-log shape:
 ``{"add": {"path"}}`` per data directory of the version.  A version may
 reference directories written by older versions (partition-level upsert,
 restore), so nothing is copied that did not change.  Data is written first,
-the commit last, so a reader never sees half a version.  Single writer; a
-second writer of the same version fails when creating ``commit_log/v=<N>``.
+the commit last, so a reader never sees half a version.  Every write has a
+directory of its own, so a writer that loses the race for a version fails when
+creating ``commit_log/v=<N>`` without touching committed rows; the log is listed
+anew before each write.  A commit that died half way holds no ``commitInfo`` and
+is replaced by the next one.
 """
 
 from __future__ import annotations
 
 import json
 import time
+import uuid
+from zoneinfo import ZoneInfo
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -32,7 +37,8 @@ from medallion.plans.ranged import _null_safe_join
 # column, so it must not clash with user column names
 VERSION_DIR = "_snapshot_version"
 from medallion.sources.commit_log import LOG_SCHEMA, history_from_log, version_from_path
-from medallion.sources.tables import path_exists
+from medallion.session import checkpointed
+from medallion.sources.tables import path_exists, rebalanced
 
 
 class SnapshotTable:
@@ -105,8 +111,11 @@ class SnapshotTable:
                                "operationParameters": {k: str(v) for k, v in (params or {}).items()}}}
         meta = {"metaData": {"schemaString": schema.json(), "partitionColumns": self.partition_by}}
         lines = [json.dumps(info), json.dumps(meta)] + [json.dumps({"add": {"path": p}}) for p in paths]
+        path = f"{self._log_dir()}/v={version:020d}"
+        self._cached_state = None
+        dead = path_exists(self.spark, path) and version not in self._versions()
         (self.spark.createDataFrame([(ln,) for ln in lines], "value string").coalesce(1)
-         .write.mode("errorifexists").text(f"{self._log_dir()}/v={version:020d}"))
+         .write.mode("overwrite" if dead else "errorifexists").text(path))
         self._cached_state = None
 
     # ---- read ------------------------------------------------------------
@@ -116,18 +125,25 @@ class SnapshotTable:
         if v is None:
             raise ValueError(f"no table at {self.root}")
         schema = self._schema(v)
-        paths = self._paths(v)
+        return self._read_paths(schema, self._paths(v))
+
+    def _read_paths(self, schema: T.StructType, paths: Sequence[str]) -> DataFrame:
+        if not paths:
+            return self.spark.createDataFrame([], schema)
         # Every data path sits under data/, so partition discovery sees the same
         # columns for all of them.  The logged schema is given to the reader:
         # no file footers are read to infer or merge schemas, and files
         # written before a column was added read it as NULL.
-        read_schema = T.StructType(list(schema.fields) + [T.StructField(VERSION_DIR, T.LongType())])
+        read_schema = T.StructType(list(schema.fields) + [T.StructField(VERSION_DIR, T.StringType())])
         df = (self.spark.read.schema(read_schema).option("basePath", f"{self.root}/data")
               .parquet(*[f"{self.root}/{p}" for p in paths]))
         return df.select(*[F.col(f.name) for f in schema.fields])
 
     def version_as_of(self, ts) -> int:
-        """Latest version committed at or before ``ts`` (datetime or ms)."""
+        """Latest version committed at or before ``ts`` (datetime or ms); a naive
+        datetime is in the session's time zone."""
+        if not isinstance(ts, (int, float)) and ts.tzinfo is None:
+            ts = ts.replace(tzinfo=ZoneInfo(self.spark.conf.get("spark.sql.session.timeZone")))
         ms = ts if isinstance(ts, (int, float)) else int(ts.timestamp() * 1000)
         row = (self.history().where(F.col("timestamp_ms") <= F.lit(ms)).agg(F.max("version")).first())
         if row is None or row[0] is None:
@@ -140,19 +156,18 @@ class SnapshotTable:
 
     # ---- write -----------------------------------------------------------
     def _next_version(self) -> int:
+        self._cached_state = None
         v = self.latest_version()
         return 0 if v is None else v + 1
 
     def _write_data(self, df: DataFrame, version: int) -> str:
-        """Write a version's rows.  Until its commit exists the version is
-        invisible, so a failed write can simply be run again: the directory
-        is overwritten, never half-kept."""
-        rel = f"data/{VERSION_DIR}={version:020d}"
+        """Write a version's rows to a directory no other write uses.  Until a
+        commit names it the directory is invisible."""
+        rel = f"data/{VERSION_DIR}={version:020d}-{uuid.uuid4().hex[:12]}"
         if self.partition_by:
-            df = df.repartition(*self.partition_by)
-            df.write.mode("overwrite").partitionBy(*self.partition_by).parquet(f"{self.root}/{rel}")
+            rebalanced(df, self.partition_by).write.partitionBy(*self.partition_by).parquet(f"{self.root}/{rel}")
         else:
-            df.write.mode("overwrite").parquet(f"{self.root}/{rel}")
+            df.write.parquet(f"{self.root}/{rel}")
         return rel
 
     def commit(self, df: DataFrame, operation: str = "WRITE", params: dict | None = None) -> int:
@@ -182,7 +197,7 @@ class SnapshotTable:
         files = (self.spark.read.format("binaryFile").option("recursiveFileLookup", "true")
                  .option("pathGlobFilter", "*.parquet").load([f"{self.root}/{p}" for p in self._paths(version)])
                  .select("path"))
-        rel = F.concat(F.lit("data/"), F.regexp_extract(F.col("path"), rf"^.*/data/({VERSION_DIR}=\d+/.*)/[^/]*$", 1))
+        rel = F.concat(F.lit("data/"), F.regexp_extract(F.col("path"), rf"^.*/data/({VERSION_DIR}=[^/]+/.*)/[^/]*$", 1))
         vals = [_dir_value(c).try_cast(schema[c].dataType).alias(c) for c in self.partition_by]
         return files.select(rel.alias("rel"), *vals).distinct()
 
@@ -196,6 +211,8 @@ class SnapshotTable:
         (the source's partitions and those of replaced rows); untouched
         partition directories are referenced, not copied."""
         keys = list(keys)
+        source = checkpointed(source)  # evaluated once: key check, partitions and rows read it
+        self._cached_state = None
         any_null = F.lit(False)
         for k in keys:
             any_null = any_null | F.col(k).isNull()
@@ -217,30 +234,20 @@ class SnapshotTable:
             rel = self._write_data(merged, v)
             self._write_commit(v, operation, params, merged.schema, [rel])
             return v
-        # partitions touched: those of the source rows and of the replaced rows
-        # (at most one row per partition of the table, so they can be listed)
+        # partitions touched: those of the source rows and of the replaced rows;
+        # keys that hold the partition columns replace rows of the same partition
         p = self.partition_by
-        replaced = target.join(src.select(*keys), keys, "left_semi").select(*p)
-        touched = src.select(*p).unionByName(replaced).distinct()
-        touched_list = touched.collect()
-        touched_df = self.spark.createDataFrame(touched_list, touched.schema)
-        if len(touched_list) <= _MAX_LISTED_PARTITIONS:
-            # a literal partition filter: the rewrite reads only the touched
-            # partitions (static partition pruning in the scan)
-            conds = []
-            for r in touched_list:
-                c = None
-                for col_name in p:
-                    e = F.col(col_name).eqNullSafe(F.lit(r[col_name]))
-                    c = e if c is None else c & e
-                conds.append(c)
-            target_t = target.where(_balanced_or(conds))
-        else:
-            target_t = _null_safe_join(target, F.broadcast(touched_df), p, "left_semi")
-        kept_t = target_t.join(src.select(*keys), keys, "left_anti")
+        touched = src.select(*p)
+        if not set(p) <= set(keys):
+            touched = touched.unionByName(target.join(src.select(*keys), keys, "left_semi").select(*p))
+        touched = checkpointed(touched.distinct())
+        # of the table's partition directories (file listing only) the touched
+        # ones are read and rewritten, the others are named by the new commit
+        dirs = self._partition_dirs(v - 1).select("rel", *[F.col(c) for c in p])
+        changed = [r["rel"] for r in _null_safe_join(dirs, touched, p, "left_semi").select("rel").distinct().collect()]
+        keep_paths = [r["rel"] for r in _null_safe_join(dirs, touched, p, "left_anti").select("rel").distinct().collect()]
+        kept_t = self._read_paths(target.schema, changed).join(src.select(*keys), keys, "left_anti")
         rel = self._write_data(kept_t.unionByName(src, allowMissingColumns=True), v)
-        untouched = _null_safe_join(self._partition_dirs(v - 1), F.broadcast(touched_df), p, "left_anti")
-        keep_paths = [r["rel"] for r in untouched.select("rel").distinct().collect()]
         self._write_commit(v, operation, params, merged.schema, [rel, *keep_paths])
         return v
 
@@ -288,16 +295,6 @@ class SnapshotTable:
 
 
 _NULL_DIR = "__HIVE_DEFAULT_PARTITION__"
-_MAX_LISTED_PARTITIONS = 2000
-
-
-def _balanced_or(conds: list):
-    """OR of many conditions as a balanced tree (no deep left chain)."""
-    if not conds:
-        return F.lit(False)
-    while len(conds) > 1:
-        conds = [conds[i] | conds[i + 1] if i + 1 < len(conds) else conds[i] for i in range(0, len(conds), 2)]
-    return conds[0]
 
 
 def _dir_value(c: str):
@@ -324,12 +321,16 @@ def partition_file_stats(spark: SparkSession, paths: str | Sequence[str], by: Se
 
 def data_diff(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Full join on the keys; rows only in b are 'added', only in a
-    'removed', in both with any differing common column 'changed' (NULL-safe)."""
+    'removed', in both with any differing common column 'changed'; NULL keys match."""
     keys = list(keys)
     common = [c for c in a.columns if c in b.columns and c not in keys]
     la = a.select(*keys, F.struct(*common).alias("_a"), F.lit(True).alias("_in_a"))
-    lb = b.select(*keys, F.struct(*common).alias("_b"), F.lit(True).alias("_in_b"))
-    j = la.join(lb, keys, "full")
+    lb = b.select(*[F.col(k).alias(f"_b_{k}") for k in keys], F.struct(*common).alias("_b"), F.lit(True).alias("_in_b"))
+    same = F.lit(True)
+    for k in keys:
+        same = same & la[k].eqNullSafe(lb[f"_b_{k}"])
+    j = la.join(lb, same, "full").select(*[F.coalesce(F.col(k), F.col(f"_b_{k}")).alias(k) for k in keys],
+                                         "_a", "_b", "_in_a", "_in_b")
     change = (F.when(F.col("_in_a").isNull(), F.lit("added"))
               .when(F.col("_in_b").isNull(), F.lit("removed"))
               .when(~F.col("_a").eqNullSafe(F.col("_b")), F.lit("changed")))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -15,9 +16,11 @@ def overwrite_partitions(df: DataFrame, path: str, by: Sequence[str], expected:
     Dynamic partition overwrite: partitions not in ``df`` are left untouched.
     ``expected`` (e.g. ``{"ano": 2021}``) asserts that every row belongs to
     that partition, like a ``replaceWhere`` predicate; it is checked on the
-    written rows themselves (``raise_error``), not in a separate scan."""
+    written rows themselves (``raise_error``), not in a separate scan, and a
+    reload without rows empties the partition."""
     out = df
     if expected:
+        out, obs = observed(df)
         ok = F.lit(True)
         for k, v in expected.items():
             ok = ok & (F.col(k) == F.lit(v))
@@ -25,13 +28,45 @@ def overwrite_partitions(df: DataFrame, path: str, by: Sequence[str], expected:
             f"row outside the replaced partition {expected}"))).cast("boolean"), F.lit(True)))
     (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy(*by).format(fmt).save(path))
+    if expected and not obs.get.get("rows"):
+        drop_partitions(df.sparkSession, path, [expected])
+
+
+def drop_partitions(spark: SparkSession, path: str, partitions: Sequence[dict]) -> int:
+    """Delete the partition directories whose leading columns have the given
+    values (compared as text); returns how many there were."""
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    wanted = [{k: str(v) for k, v in p.items()} for p in partitions]
+
+    def walk(at, found: dict) -> int:
+        n = 0
+        for s in fs.listStatus(at):
+            name, eq, value = s.getPath().getName().partition("=")
+            if not s.isDirectory() or not eq:
+                continue
+            now = found | {name: unquote(value)}
+            if now in wanted:
+                n += bool(fs.delete(s.getPath(), True))
+            elif any(now.items() <= w.items() for w in wanted):
+                n += walk(s.getPath(), now)
+        return n
+
+    return walk(root, {}) if fs.exists(root) else 0
+
+
+def rebalanced(df: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Rows clustered by ``by`` for a partitioned write; adaptive execution merges
+    small partitions and splits a hot one over several tasks."""
+    return df.hint("rebalance", *[F.col(c) for c in by])
 
 
 def write_partitioned(df: DataFrame, path: str, by: Sequence[str] = (), mode: str = "overwrite",
                       fmt: str = "parquet") -> None:
     """Create or fully overwrite a partitioned table (S6).  Rows are clustered
     by the partition columns first so each task writes few files."""
-    out = df.repartition(*[F.col(c) for c in by]) if by else df
+    out = rebalanced(df, by) if by else df
     w = out.write.mode(mode).format(fmt).option("partitionOverwriteMode", "static")
     if by:
         w = w.partitionBy(*by)
@@ -65,10 +100,10 @@ def register_view(name: str, df: DataFrame) -> DataFrame:
     return df
 
 
-def observed(df: DataFrame, name: str = "rows") -> tuple[DataFrame, Observation]:
+def observed(df: DataFrame, name: str | None = None) -> tuple[DataFrame, Observation]:
     """Count rows as a side effect of the next action on ``df`` (S11), so a
     write does not need a second scan for its row count."""
-    obs = Observation(name)
+    obs = Observation(name)  # no name: one of its own, so several counts may meet in a plan
     return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
 
 

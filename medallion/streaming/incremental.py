@@ -2,9 +2,10 @@
 
 A file stream with ``trigger(availableNow=True)`` processes every file not
 seen before and stops; the checkpoint remembers which files were done, so a
-re-run after new files arrive only reads those.  Each micro-batch is written
-with a dynamic partition overwrite, which is idempotent if a batch is retried
-after an executor loss."""
+re-run after new files arrive only reads those.  The sink accumulates: each
+micro-batch owns the partition ``_batch_id=<n>`` of the target, so batches and
+runs never replace each other's rows, however files are split over them, and a
+batch retried after an executor loss overwrites only itself."""
 
 from __future__ import annotations
 
@@ -17,16 +18,15 @@ from pyspark.sql import types as T
 from medallion.sources.tables import overwrite_partitions
 
 
+BATCH = "_batch_id"
+
+
 def bronze_incremental(spark: SparkSession, source_dir: str, schema: T.StructType, target: str,
                        partition_by: Sequence[str], checkpoint: str,
                        transform: Callable[[DataFrame], DataFrame] | None = None,
                        file_glob: str = "*.csv", max_files_per_trigger: int | None = None) -> int:
-    """Ingest new CSV files from ``source_dir`` into the partitioned ``target``.
-
-    Each batch replaces the partitions it holds (a reload), as with yearly
-    extracts where one file carries a whole year; a partition whose rows
-    arrive split over several runs must use an append sink instead.
-    Returns the number of micro-batches run."""
+    """Ingest new CSV files from ``source_dir`` into ``target``, partitioned by
+    ``_batch_id`` and ``partition_by``.  Returns the number of micro-batches run."""
     reader = (spark.readStream.format("csv").option("header", True).schema(schema)
               .option("pathGlobFilter", file_glob))
     if max_files_per_trigger:
@@ -37,8 +37,8 @@ def bronze_incremental(spark: SparkSession, source_dir: str, schema: T.StructTyp
     batches = []
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        overwrite_partitions(batch.withColumn("_bronze_loaded_at", F.current_timestamp()), target,
-                             partition_by)
+        overwrite_partitions(batch.withColumn(BATCH, F.lit(batch_id)).withColumn("_bronze_loaded_at", F.current_timestamp()), target,
+                             [BATCH, *partition_by])
         batches.append(batch_id)
 
     q = (stream.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
