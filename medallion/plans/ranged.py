@@ -1,35 +1,32 @@
 """Order-dependent windows that never put a whole partition in one task.
 
 A window such as ``lag(x) over (order by k)`` has no partition key, so Spark
-runs it in one task.  Here the rows are cut into ordered *range buckets*:
+runs it in one task.  Here the rows are dealt into ordered *buckets*:
 
-1. ``percentile_approx`` gives ``n - 1`` bounds on the order key — for the
-   whole input, or per group for the (at most n) groups bigger than one
-   bucket's share; smaller groups stay whole.  The bounds are brought to the
-   driver once and inlined, so all plan branches and retries use the same;
-2. a row's bucket is the number of bounds below its key — equal keys share a
-   bucket, NULL keys go to bucket 0 (NULLS FIRST);
-   a key that fills several quantiles (a hot value) is spread over those
-   buckets by a row hash when ties may be ordered freely;
+1. ``repartitionByRange`` over group, order columns and a hash of the whole row
+   deals the rows into partitions of like size, whatever the key's type: NULL keys
+   and hot values spread like others, since the hash is part of the order;
+2. the partition's number is the bucket, and the rows are written once to the
+   checkpoint folder, so all branches of the plan and all retries see the same;
 3. the window runs per ``(group, bucket)``;
 4. one row per non-empty bucket (its first / last value, its total) forms an
    edge table of at most ``n`` rows per group, windowed by group and joined
    back to patch the first / last row of each bucket.
 
-The result equals the unbucketed window (ties broken by a row hash).
+The result equals the unbucketed window (ties broken by the row hash).
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from medallion.session import checkpointed
 
 _B = "_rng_bucket"
 _TB = "_rng_tie"
-_K = "_rng_key"
 
 
 def default_buckets(df: DataFrame) -> int:
@@ -41,22 +38,6 @@ def default_buckets(df: DataFrame) -> int:
     return max(n, 2)
 
 
-def numeric_key(c: Column, dtype: T.DataType) -> Column:
-    """An order-preserving numeric image of an orderable column."""
-    if isinstance(dtype, T.TimestampType):
-        return F.unix_micros(c)
-    if isinstance(dtype, T.TimestampNTZType):
-        # wall-clock micros; the session zone only shifts all keys alike
-        return F.unix_micros(c.cast("timestamp"))
-    if isinstance(dtype, T.DateType):
-        return F.unix_date(c)
-    if isinstance(dtype, T.BooleanType):
-        return c.cast("int")
-    if isinstance(dtype, T.NumericType):
-        return c.cast("double")
-    raise TypeError(f"range buckets need a numeric, date or timestamp order key, got {dtype}")
-
-
 def _null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
     if not keys:
         return left.crossJoin(right)
@@ -69,127 +50,22 @@ def _null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
     return left.join(r, cond, how).drop(*[f"_r_{k}" for k in keys])
 
 
-def add_range_bucket(df: DataFrame, order_col: str, n_buckets: int | None = None,
-                     partition_cols: Sequence[str] = (), spread_ties: bool = True,
-                     accuracy: int = 10000) -> DataFrame:
-    """Add ``_rng_bucket`` (ordered bucket per group) and ``_rng_tie`` (row hash)."""
-    return _bucketize(df, order_col, n_buckets, partition_cols, spread_ties, accuracy)[0]
-
-
-def _bucketize(df: DataFrame, order_col: str, n_buckets: int | None, partition_cols: Sequence[str],
-               spread_ties: bool, accuracy: int = 10000,
-               second_col: str | None = None) -> tuple[DataFrame, bool]:
-    """``add_range_bucket`` plus whether any group was actually cut.
-
-    ``second_col``: a leading key value that fills several quantiles (of the
-    whole input or of a cut group) is spread over its buckets by ranges of the
-    second order key, so ties of the first key stay ordered by the second."""
+def add_range_bucket(df: DataFrame, order_cols: str | Sequence[str], n_buckets: int | None = None,
+                     partition_cols: Sequence[str] = ()) -> DataFrame:
+    """Add ``_rng_bucket`` (rows of a group are in bucket order) and ``_rng_tie``
+    (row hash, the last of the order)."""
     n = n_buckets or default_buckets(df)
-    dtype = df.schema[order_col].dataType
-    keyed = df.withColumn(_K, numeric_key(F.col(order_col), dtype)) \
-              .withColumn(_TB, F.xxhash64(*[F.col(c) for c in df.columns]))
+    order_cols = [order_cols] if isinstance(order_cols, str) else list(order_cols)
+    keyed = df.withColumn(_TB, F.xxhash64(*[F.col(c) for c in df.columns]))
     if n <= 1:
-        return keyed.withColumn(_B, F.lit(0)).drop(_K), False
-    probs = [i / n for i in range(1, n)]
-    # Every branch of the plan (the per-bucket window and the edge table) and
-    # every task retry must see the *same* bounds, and merging approximate
-    # quantile sketches depends on the order partial results arrive in.  So
-    # the bounds are computed once and brought to the driver — a proven small
-    # size: n - 1 numbers without groups; with groups, bounds are needed only
-    # for the groups larger than one bucket's share, of which there are at
-    # most n — and put back into the plan as literals.
-    pct = F.percentile_approx(F.col(_K), probs, accuracy).cast("array<double>").alias("_rng_bounds")
-    pcols = list(partition_cols)
-    if not pcols:
-        row = keyed.agg(pct).first()
-        values = [float(x) for x in (row[0] or [])] if row is not None else []
-        lit = F.array(*[F.lit(x) for x in values]) if values else F.array()
-        joined = keyed.withColumn("_rng_bounds", lit.cast("array<double>"))
-        bounds_by_group = [((), values)]
-    else:
-        spark = df.sparkSession
-        sizes = keyed.groupBy(*pcols).agg(F.count(F.lit(1)).alias("_rng_n"))
-        total = sizes.agg(F.sum("_rng_n")).first()[0] or 0
-        hot = sizes.where(F.col("_rng_n") > F.lit(total / n)).select(*pcols).collect()
-        if not hot:
-            return keyed.withColumn(_B, F.lit(0)).drop(_K), False
-        else:
-            key_schema = keyed.select(*pcols).schema
-            hot_df = spark.createDataFrame(hot, key_schema)
-            rows = (_null_safe_join(keyed, F.broadcast(hot_df), pcols, "left_semi")
-                    .groupBy(*pcols).agg(pct).collect())
-            bschema = T.StructType(list(key_schema.fields)
-                                   + [T.StructField("_rng_bounds", T.ArrayType(T.DoubleType()))])
-            bdf = spark.createDataFrame([tuple(r) for r in rows], bschema)
-            joined = _null_safe_join(keyed, F.broadcast(bdf), pcols, "left")
-            bounds_by_group = [(tuple(r[c] for c in pcols), [float(x) for x in (r["_rng_bounds"] or [])])
-                               for r in rows]
-    k = F.col(_K)
-    below = F.size(F.filter(F.coalesce(F.col("_rng_bounds"), F.array().cast("array<double>")),
-                            lambda b: b < k))
-    if not spread_ties and second_col is not None:
-        subs = _second_key_spread(keyed, bounds_by_group, pcols, second_col, accuracy)
-        if subs is not None:
-            k2 = numeric_key(F.col(second_col), keyed.schema[second_col].dataType)
-            joined = _null_safe_join(joined.withColumn(_K, F.col(_K).cast("double")), F.broadcast(subs),
-                                     [*pcols, _K], "left")
-            # NULL second keys sort first, so they take the first sub-bucket
-            sub = F.when(k2.isNull(), F.lit(0)).otherwise(
-                F.size(F.filter(F.coalesce(F.col("_rng_sub"), F.array().cast("array<double>")),
-                                lambda b: b < k2)))
-            return joined.withColumn(_B, F.when(k.isNull(), F.lit(-1)).otherwise(below + sub) + 1) \
-                         .drop("_rng_bounds", "_rng_sub", _K), True
-    if spread_ties:
-        at_or_below = F.size(F.filter(F.coalesce(F.col("_rng_bounds"), F.array().cast("array<double>")),
-                                      lambda b: b <= k))
-        width = at_or_below - below + 1
-        bucket = below + F.pmod(F.col(_TB), width.cast("long")).cast("int")
-    else:
-        bucket = below
-    return joined.withColumn(_B, F.when(k.isNull(), F.lit(-1)).otherwise(bucket) + 1) \
-                 .drop("_rng_bounds", _K), True
-
-
-def _second_key_spread(keyed: DataFrame, bounds_by_group: list, pcols: list[str], second_col: str,
-                       accuracy: int) -> DataFrame | None:
-    """Sub-bounds on the second order key for leading-key values that fill
-    several quantiles.  For a value v appearing c times among its group's
-    bounds, c quantiles of the second key over the rows (group, v) cut those
-    rows into c + 1 buckets below(v) … below(v) + c, in second-key order.
-    At most n - 1 such values per group and at most n cut groups, each value
-    with c ≤ n - 1 numbers: the result is brought to the driver and returned
-    as a small local table (group keys, ``_rng_key``, ``_rng_sub``)."""
-    pairs: dict[int, list] = {}
-    for gkey, bounds in bounds_by_group:
-        counts: dict[float, int] = {}
-        for v in bounds:
-            counts[v] = counts.get(v, 0) + 1
-        for v, c in counts.items():
-            pairs.setdefault(c, []).append((*gkey, v))
-    if not pairs:
-        return None
-    spark = keyed.sparkSession
-    key_fields = list(keyed.select(*pcols).schema.fields) + [T.StructField(_K, T.DoubleType())]
-    k2 = numeric_key(F.col(second_col), keyed.schema[second_col].dataType)
-    out = []
-    for c, plist in pairs.items():
-        sel = spark.createDataFrame(plist, T.StructType(key_fields))
-        probs = [j / (c + 1) for j in range(1, c + 1)]
-        rows = (_null_safe_join(keyed.withColumn(_K, F.col(_K).cast("double")), F.broadcast(sel),
-                                [*pcols, _K], "left_semi")
-                .groupBy(*pcols, _K).agg(F.percentile_approx(k2, probs, accuracy).cast("array<double>")
-                                         .alias("_rng_sub")).collect())
-        out.extend(tuple(r) for r in rows)
-    if not out:
-        return None
-    schema = T.StructType(key_fields + [T.StructField("_rng_sub", T.ArrayType(T.DoubleType()))])
-    return spark.createDataFrame(out, schema)
+        return keyed.withColumn(_B, F.lit(0))
+    order = [F.col(c).asc_nulls_first() for c in [*partition_cols, *order_cols, _TB]]
+    return checkpointed(keyed.repartitionByRange(n, *order).withColumn(_B, F.spark_partition_id()))
 
 
 def ranged_shift(df: DataFrame, value_col: str, order_cols: Sequence[str], out_col: str,
                  direction: str = "lag", partition_cols: Sequence[str] = (),
-                 n_buckets: int | None = None, spread_ties: bool | None = None,
-                 exists_col: str | None = None) -> DataFrame:
+                 n_buckets: int | None = None, exists_col: str | None = None) -> DataFrame:
     """``lag``/``lead`` of ``value_col`` by one row, ordered by ``order_cols``
     (ascending, NULLS FIRST) within ``partition_cols``, bucketed by range.
 
@@ -198,20 +74,11 @@ def ranged_shift(df: DataFrame, value_col: str, order_cols: Sequence[str], out_c
     if direction not in ("lag", "lead"):
         raise ValueError("direction must be 'lag' or 'lead'")
     order_cols = list(order_cols)
-    if spread_ties is None:
-        spread_ties = len(order_cols) == 1
-    second = order_cols[1] if len(order_cols) > 1 and not spread_ties else None
-    b, cut = _bucketize(df, order_cols[0], n_buckets, partition_cols, spread_ties, second_col=second)
+    b = add_range_bucket(df, order_cols, n_buckets, partition_cols)
     keys = list(partition_cols) + [_B]
     ordering = [F.col(c).asc_nulls_first() for c in order_cols] + [F.col(_TB)]
     w = Window.partitionBy(*keys).orderBy(*ordering)
     shift = F.lag if direction == "lag" else F.lead
-    if not cut:
-        # no group is bigger than a bucket's share: the plain per-group window
-        out = b.withColumn(out_col, shift(value_col).over(w))
-        if exists_col:
-            out = out.withColumn(exists_col, shift(F.lit(1)).over(w).isNotNull())
-        return out.drop(_B, _TB)
     # When the shifted value is the leading order key itself, a bucket's
     # last (first) value is simply its max (min): a fixed-width hash aggregate.
     # Otherwise it is max_by / min_by over the full ordering.
@@ -227,7 +94,9 @@ def ranged_shift(df: DataFrame, value_col: str, order_cols: Sequence[str], out_c
         # the last row by the *same* ordering as the lead (exact duplicate rows
         # tie on the hash too, so a second, reversed ordering could disagree)
         edge_at = F.row_number().over(w) == F.count(F.lit(1)).over(Window.partitionBy(*keys))
-        edge_val = F.min(value_col) if simple else F.min_by(F.col(value_col), order_struct)
+        # NULLs come first
+        edge_val = (F.when(F.count(value_col) == F.count(F.lit(1)), F.min(value_col)) if simple
+                    else F.min_by(F.col(value_col), order_struct))
     staged = b.withColumn("_rng_inner", inner).withColumn("_rng_edge", edge_at)
     edges = b.groupBy(*keys).agg(edge_val.alias("_rng_val"))
     ew = Window.partitionBy(*partition_cols).orderBy(F.col(_B)) if partition_cols \
@@ -246,13 +115,11 @@ def ranged_prefix_sum(df: DataFrame, weight_col: str, order_col: str, out_col: s
     """Exclusive running sum of ``weight_col`` in ``order_col`` order
     (NULLS FIRST) per group.  Meant for rows with distinct order keys per group
     (a histogram); equal keys would be summed in hash order."""
-    b, cut = _bucketize(df, order_col, n_buckets, partition_cols, spread_ties=False)
+    b = add_range_bucket(df, order_col, n_buckets, partition_cols)
     keys = list(partition_cols) + [_B]
     w = Window.partitionBy(*keys).orderBy(F.col(order_col).asc_nulls_first(), F.col(_TB)) \
               .rowsBetween(Window.unboundedPreceding, -1)
     inner = b.withColumn("_rng_in", F.coalesce(F.sum(weight_col).over(w), F.lit(0)))
-    if not cut:
-        return inner.withColumnRenamed("_rng_in", out_col).drop(_B, _TB)
     totals = b.groupBy(*keys).agg(F.sum(weight_col).alias("_rng_tot"))
     ew = (Window.partitionBy(*partition_cols) if partition_cols else Window.partitionBy()) \
         .orderBy(F.col(_B)).rowsBetween(Window.unboundedPreceding, -1)
