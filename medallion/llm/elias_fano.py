@@ -102,7 +102,7 @@ class Trie:
         start = np.flatnonzero(new)
         words = np.unique(word)
         rank = np.searchsorted(words, word).astype(np.uint64)
-        ends = np.append(start[1:], len(context)).astype(np.int64)
+        ends = np.append(start, len(context))[1:].astype(np.int64)
         last = rank[ends - 1] + np.uint64(1) if len(ends) else rank
         base = np.concatenate([[0], np.cumsum(last)[:-1]]).astype(np.uint64) if len(ends) else rank
         owner = np.cumsum(new) - 1
