@@ -42,31 +42,30 @@ def enforce_schema(spark: SparkSession, paths: str | Sequence[str], schema: T.St
 
     Every field is read as text and converted with ``try_cast``; a field whose
     text is present but does not convert is bad, and so is a NULL in a required
-    (non-nullable) field.  The check names every field explicitly, so it holds
-    whatever columns a later query selects (the CSV parser's own corrupt-record
-    detection skips fields a query does not read).
+    (non-nullable) field, and so is a line with a field too few or too many.  Every
+    line is parsed whole whatever columns a later query selects.
 
     ``mode="quarantine"`` returns ``(good, rejected)``; rejected rows carry the
-    source file, a reason ('unparsable' / 'null_required'), the names of the
-    bad fields and the raw text of every field.  ``mode="failfast"`` returns
+    source file, a reason ('malformed' / 'unparsable' / 'null_required'), the names
+    of the bad fields, the raw text of every field and a malformed line itself.  ``mode="failfast"`` returns
     ``(df, None)`` where reading a bad row raises."""
     if mode not in ("quarantine", "failfast"):
         raise ValueError("mode must be 'quarantine' or 'failfast'")
     req = list(required) if required is not None else [f.name for f in schema.fields if not f.nullable]
     text = T.StructType([T.StructField(f.name, T.StringType(), True) for f in schema.fields])
-    raw = read_typed_csv(spark, paths, text, **options)
+    raw = read_typed_csv(spark, paths, text, with_corrupt=True, columnPruning=False, **options)
     typed = [F.col(f.name).try_cast(f.dataType) if not isinstance(f.dataType, T.StringType)
              else F.col(f.name) for f in schema.fields]
     tagged = raw.select(*[F.col(f.name).alias(f"_raw_{f.name}") for f in schema.fields],
                         *[t.alias(f.name) for f, t in zip(schema.fields, typed)],
-                        F.col("_metadata.file_name").alias("_source_file"))
+                        F.col("_metadata.file_name").alias("_source_file"), F.col(CORRUPT).alias("_raw_line"))
     bad_fields_t = F.array_compact(F.array(*[
         F.when(F.col(f"_raw_{f.name}").isNotNull() & F.col(f.name).isNull(), F.lit(f.name))
         for f in schema.fields]))
     null_req_t = F.lit(False)
     for c in req:
         null_req_t = null_req_t | F.col(f"_raw_{c}").isNull()
-    reason_t = (F.when(F.size(bad_fields_t) > 0, F.lit("unparsable"))
+    reason_t = (F.when(F.col("_raw_line").isNotNull(), F.lit("malformed")).when(F.size(bad_fields_t) > 0, F.lit("unparsable"))
                 .when(null_req_t, F.lit("null_required")))
     tagged = tagged.withColumn("_reject_reason", reason_t).withColumn("_bad_fields", bad_fields_t)
     if mode == "failfast":
@@ -77,7 +76,7 @@ def enforce_schema(spark: SparkSession, paths: str | Sequence[str], schema: T.St
     good = tagged.where(F.col("_reject_reason").isNull()).select(*[f.name for f in schema.fields])
     rejected = tagged.where(F.col("_reject_reason").isNotNull()).select(
         "_source_file", "_reject_reason", "_bad_fields", *[f.name for f in schema.fields],
-        *[f"_raw_{f.name}" for f in schema.fields])
+        *[f"_raw_{f.name}" for f in schema.fields], "_raw_line")
     return good, rejected
 
 

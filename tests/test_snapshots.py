@@ -83,3 +83,23 @@ def test_partition_mode_with_null_partition(spark):
     assert got == sorted([("a", 2020, 1.0), ("b", None, 20.0), ("c", 2021, 3.0), ("d", 2021, 4.0)], key=str)
     stats = {r["ano"]: r["n_files"] for r in t.file_stats().collect()}
     assert set(stats) == {2020, 2021, None}
+
+
+def test_two_handles_and_a_dead_commit(spark, tmp_path):
+    import os
+    root = str(tmp_path / "two")
+    a, b = SnapshotTable(spark, root), SnapshotTable(spark, root)
+    one = lambda x: spark.createDataFrame([(x,)], "v string")
+    a.commit(one("a0"))
+    b.read()
+    a.commit(one("a1"))
+    assert b.commit(one("b2")) == 2
+    assert [SnapshotTable(spark, root).read(v).first()["v"] for v in (0, 1, 2)] == ["a0", "a1", "b2"]
+    os.makedirs(f"{root}/commit_log/v={3:020d}/_temporary/0")
+    assert a.commit(one("a3")) == 3 and b.read(3).first()["v"] == "a3"
+
+
+def test_data_diff_matches_null_keys(spark):
+    from medallion.sources.snapshots import data_diff
+    rows = spark.createDataFrame([(None, 1), ("k", 2)], "k string, v int")
+    assert data_diff(rows, rows, ["k"]).count() == 0
