@@ -234,7 +234,38 @@ def q_check_report(s, d):
     return C.run_checks(checks)
 
 
+def q_not_constant_failing(s, d):
+    li = table(s, d, "lineitem").withColumn("fixed", F.when(F.col("l_returnflag") == "N", F.col("l_quantity")).otherwise(1.0))
+    return C.not_constant(li, "fixed", group_by=["l_returnflag"]).failing_rows()
+
+
+def q_recency_failing(s, d):
+    return C.recency(table(s, d, "events"), "ts", "hour", 12, as_of=dt.datetime(2030, 1, 31),
+                     group_by=["event_type"]).failing_rows()
+
+
+def q_sequential_bigint(s, d):
+    """Ids a double cannot tell apart, with gaps."""
+    big = table(s, d, "orders").select((F.col("o_orderkey") + F.lit(2**60)).alias("big_key"))
+    return C.sequential_values(big.where("big_key % 7 <> 0"), "big_key").failing_rows()
+
+
+def q_sequential_dates_failing(s, d):
+    days = table(s, d, "orders").select(F.date_trunc("month", "o_orderdate").cast("timestamp_ntz").alias("month"))
+    return C.sequential_values(days.where(F.month("month") != 3).distinct(), "month", datepart="month").failing_rows()
+
+
+def q_at_least_one_failing(s, d):
+    o = table(s, d, "orders").select(F.when(F.col("o_orderkey") < 0, F.col("o_orderkey")).alias("never"))
+    return C.at_least_one(o, "never").failing_rows()
+
+
 QUERIES = {
+    "chk_not_constant_failing": q_not_constant_failing,
+    "chk_recency_failing": q_recency_failing,
+    "chk_sequential_bigint": q_sequential_bigint,
+    "chk_sequential_dates_failing": q_sequential_dates_failing,
+    "chk_at_least_one_failing": q_at_least_one_failing,
     "chk_not_null": q_not_null,
     "chk_accepted_values": q_accepted_values,
     "chk_unique": q_unique,
@@ -359,6 +390,20 @@ ORACLE = {
         GROUP BY o_orderstatus HAVING COUNT(f_price) = 0""",
     "chk_at_least_one_ungrouped": f"""SELECT COUNT(f_price) AS filler_column FROM
         (SELECT f_price FROM {_F_PRICE} t WHERE f_price IS NOT NULL LIMIT 1) x HAVING COUNT(f_price) = 0""",
+    "chk_not_constant_failing": """SELECT l_returnflag, COUNT(DISTINCT fixed) AS filler_column FROM (SELECT l_returnflag,
+        CASE WHEN l_returnflag = 'N' THEN l_quantity ELSE 1.0 END AS fixed FROM lineitem) x
+        GROUP BY l_returnflag HAVING COUNT(DISTINCT fixed) = 1""",
+    "chk_recency_failing": """SELECT event_type, most_recent, threshold FROM (SELECT event_type,
+        max(ts) AS most_recent, CAST(TIMESTAMP '2030-01-31 00:00:00' - INTERVAL 12 HOUR AS TIMESTAMP) AS threshold
+        FROM events GROUP BY event_type) r WHERE most_recent < threshold""",
+    "chk_sequential_bigint": """SELECT * FROM (SELECT big_key, lag(big_key) OVER (ORDER BY big_key) AS previous_big_key
+        FROM (SELECT o_orderkey + 1152921504606846976 AS big_key FROM orders) o WHERE big_key % 7 <> 0) w
+        WHERE NOT (big_key = previous_big_key + 1)""",
+    "chk_sequential_dates_failing": """SELECT * FROM (SELECT month, lag(month) OVER (ORDER BY month) AS previous_month
+        FROM (SELECT DISTINCT CAST(date_trunc('month', o_orderdate) AS TIMESTAMP) AS month FROM orders
+              WHERE month(o_orderdate) <> 3) m) w WHERE NOT (month = previous_month + INTERVAL 1 MONTH)""",
+    "chk_at_least_one_failing": """SELECT COUNT(never) AS filler_column FROM
+        (SELECT CASE WHEN o_orderkey < 0 THEN o_orderkey END AS never FROM orders) o HAVING COUNT(never) = 0""",
     "chk_not_constant": """SELECT l_returnflag, COUNT(DISTINCT l_linestatus) AS filler_column FROM lineitem
         GROUP BY l_returnflag HAVING COUNT(DISTINCT l_linestatus) = 1""",
     "chk_not_null_proportion": f"""{_SCORED} SELECT * FROM (SELECT regiao,
