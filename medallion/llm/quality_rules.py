@@ -119,7 +119,11 @@ def quality_clean(df: DataFrame, text_col: str = "text", chars_col: str | None =
     """The documents kept, failing lines removed, with their own columns;
     ``chars_col``, if there, is brought up to date."""
     names = df.columns
-    d = quality_measures(df, text_col, rules).filter("__kept").withColumn(text_col, F.col("__clean"))
+    d = quality_measures(df, text_col, rules)
+    # a column that is not a pure function of its row keeps the filter above the
+    # measures; pushed below them it would hold, and work out, all of them again
+    d = d.withColumn("__go", F.col("__kept") & (F.monotonically_increasing_id() >= 0)).filter("__go")
+    d = d.withColumn(text_col, F.col("__clean"))
     if chars_col in names:
         d = d.withColumn(chars_col, F.char_length("__clean").cast(df.schema[chars_col].dataType))
     return d.select(names)
