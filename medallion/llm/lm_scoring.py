@@ -37,10 +37,10 @@ from medallion.llm.common import ascii_lower, col, staged, text_or_empty
 from medallion.llm.elias_fano import Trie
 
 DISCOUNT, ADD = 0.75, 0.1
-BLOCK_BYTES, SHARD_BYTES = 16 << 20, 8 << 20
+BLOCK_BYTES, SHARD_BYTES = 8 << 20, 4 << 20
 HOT = 0.001
 _START, _END = np.uint64(1), np.uint64(2)
-_MEMO = 400_000
+_MEMO = 200_000
 _STEPS = 1024
 
 
@@ -73,7 +73,7 @@ def default_held_out(id_c: Column) -> Column:
 
 
 def _to_blocks(batches: Iterator[pa.RecordBatch], block_bytes: int, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
-    part, n = TaskContext.get().partitionId(), 0
+    task, n = TaskContext.get().partitionId(), 0
     ids, held, sizes, hashes, size = [], [], [], [], 0
 
     def block():
@@ -87,13 +87,13 @@ def _to_blocks(batches: Iterator[pa.RecordBatch], block_bytes: int, schema: pa.S
         lens = np.array(sizes)
         train = ~np.array(held)
         return pa.RecordBatch.from_pylist([{
-            "block": f"{part}-{n}", "ids": list(ids), "held": list(held), "sizes": list(sizes),
+            "block": f"{task}-{n}", "ids": list(ids), "held": list(held), "sizes": list(sizes),
             "vocab": vocab[by_count].tobytes(), "low": stream.astype(np.uint16).tobytes(),
             "high": (stream >> 16).astype(np.uint16).tobytes(), "tokens": int(lens.sum() + len(lens)),
             "train_tokens": int((lens + 1)[train].sum()), "train_texts": int(train.sum())}], schema)
 
-    for batch in batches:
-        for i, text, out in zip(*(c.to_pylist() for c in batch.columns)):
+    for part in (b.slice(at, 128) for b in batches for at in range(0, b.num_rows, 128)):
+        for i, text, out in zip(*(c.to_pylist() for c in part.columns)):
             words = text.encode("utf-8").split()
             ids.append(i)
             held.append(out)
@@ -125,9 +125,14 @@ class _Block:
         ctx = np.empty_like(nxt)
         ctx[1:] = nxt[:-1]
         ctx[ends - self.sizes] = 0
-        self.text = np.repeat(np.arange(len(sizes)), self.sizes)
+        self.text = np.repeat(np.arange(len(sizes), dtype=np.int32), self.sizes)
         m = len(self.hashes)
-        pairs, self.pair = np.unique(ctx * m + nxt, return_inverse=True)
+        ctx *= m
+        ctx += nxt
+        del words, stream, nxt
+        pairs, pair = np.unique(ctx, return_inverse=True)
+        self.pair = pair.astype(np.int32)
+        del pair
         ctx, nxt = pairs // m, pairs % m
         h1, h2 = self.hashes[ctx], self.hashes[nxt]
         spread = np.isin(h1, hot)
