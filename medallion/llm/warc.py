@@ -48,7 +48,6 @@ ARC_FIELDS = {
     2: "URL IP-address Archive-date Content-type Result-code Checksum Location Offset Filename Archive-length",
 }
 _PRINTABLE = "".join(map(chr, range(33, 127)))
-FILE_BYTES = 64 << 20
 _BATCH_BYTES = 4 << 20
 ID_HEADER = b"X-Page-Id: "
 
@@ -117,13 +116,11 @@ def read_arc(stream, name: str) -> Iterator[dict]:
 
 
 def write_arc(pages: DataFrame, path: str, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html",
-              date: str = "20240101000000", file_bytes: int = FILE_BYTES) -> None:
-    """Write pages as gzipped ARC files of about ``file_bytes`` (uncompressed),
-    version 1 and 2 in turn."""
+              date: str = "20240101000000") -> None:
+    """Write each partition of pages as a gzipped ARC file, version 1 and 2 in
+    turn; files are as large as the scan's splits, without a shuffle."""
     src = pages.select(col(id_col).cast("string").alias("id"), col(url_col).cast("string").alias("url"),
                        F.coalesce(col(payload_col).cast("binary"), F.lit(b"")).alias("payload"))
-    total = src.agg(F.sum(F.octet_length("payload") + 300)).first()[0] or 0
-    parts = src.repartition(max(1, -(-total // file_bytes)), F.xxhash64("id", "url"))
 
     def run(batches):
         part = TaskContext.get().partitionId()
@@ -146,7 +143,7 @@ def write_arc(pages: DataFrame, path: str, id_col: str = "page_id", url_col: str
 
         yield from _batches(rows(), pa.schema([("value", pa.binary())]), lambda r: len(r["value"]))
 
-    (parts.mapInArrow(run, "value binary").select(F.col("value").cast("string"))
+    (src.mapInArrow(run, "value binary").select(F.col("value").cast("string"))
      .write.option("lineSep", "\n").option("compression", "gzip").text(path))
 
 

@@ -58,7 +58,7 @@ def test_arc_versions(version):
 
 def test_conversion_fields(spark, tmp_path):
     df = spark.createDataFrame(PAGES, "page_id long, url string, html string")
-    write_arc(df, str(tmp_path / "arc"), file_bytes=100_000)
+    write_arc(df.repartition(3), str(tmp_path / "arc"))
     rows = convert_arc(spark, str(tmp_path / "arc")).collect()
     assert len({r.record_id for r in rows}) == len(PAGES) and {r.date for r in rows} == {"2024-01-01T00:00:00Z"}
     assert {(int(r.page), r.uri) for r in rows} >= {(0, "http://a/x%20y"), (2, "urn:unknown"), (6, "%C3%A9")}
