@@ -33,7 +33,7 @@ from medallion.llm.common import col, staged, text_or_empty
 from medallion.llm.components import components
 
 MAX_EDITS, MIN_CHARS, BLOCK = 2, 20, 256
-_TRIM = r"(?s)^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$"
+_SPACES = " \t\n\x0b\x0c\r"
 _SEEN = 200_000
 
 
@@ -211,7 +211,7 @@ def _lines(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """One row per line that is not blank: id, no, text."""
     src = df.select(col(id_col).alias("id"), text_or_empty(text_col).alias("t"))
     d = src.select("id", F.posexplode(F.split("t", "\n")).alias("no", "text"))
-    return d.withColumn("text", F.regexp_replace("text", _TRIM, "")).filter("text <> ''")
+    return d.withColumn("text", F.btrim("text", F.lit(_SPACES))).filter("text <> ''")
 
 
 def line_links(lines: DataFrame, max_edits: int = MAX_EDITS, min_chars: int = MIN_CHARS, block: int = BLOCK) -> DataFrame:
