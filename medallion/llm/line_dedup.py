@@ -1,6 +1,9 @@
-"""Near-duplicate lines by a segment-partition edit-distance join.
+"""Near-duplicate lines by an edit-distance join.
 
-Two lines within ``max_edits`` edits: cut the shorter into ``max_edits + 1`` segments
+Two lines are linked if they are within ``max_edits`` edits, or one edit for every
+``per`` characters of the shorter where that is more.
+
+Short lines (those allowed ``max_edits``): cut the shorter into ``max_edits + 1`` segments
 and one of them stands unchanged in the longer, near the same place.  Each distinct
 line gives its own segments (index side) and, for every length a partner may have,
 the substrings that can meet that partner's segments (probe side); the start places
@@ -14,6 +17,13 @@ need not be listed: blocks give each line's number of links and a spanning set o
 merges for the classes.  A key with more rows than a block holds is dealt as pairs of
 blocks, so no key is one task and no pair is left out.
 
+Long lines: the edits leave a run of ``_run_length`` characters of the shorter unchanged
+in the longer.  Of every window of so many characters each line gives the gram with the
+smallest hash, with its place, so both give the same gram of that run, at places no further
+apart than the edits allowed.  Rows of one gram join if place and length allow it (a gram of
+many rows is first dealt in cells of length and place), each pair is taken once, and only
+then the texts join and every pair is verified.  No pair is left out.
+
 Lines are the ``\\n``-separated parts of a text with white space trimmed.  Lines under
 ``min_chars`` characters match only equal lines, blank ones none.  Of each class the
 line that occurs first, by (id, line number), stays; null ids come last.  Null text
@@ -22,17 +32,20 @@ has no lines.  Rows that repeat an id and a text count as repeats of all their l
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from medallion.llm.common import col, staged, text_or_empty
 from medallion.llm.components import components
 
 MAX_EDITS, MIN_CHARS, BLOCK = 2, 20, 256
+#: Characters for one edit in a long line; places of grams are counted in units.
+PER, _UNIT = 32, 16
 _SPACES = " \t\n\x0b\x0c\r"
 _SEEN = 200_000
 
@@ -59,14 +72,14 @@ def probe_starts(length: int, partner: int, i: int, start: int, n: int, max_edit
     return range(lo, hi + 1)
 
 
-def line_keys(line: str, max_edits: int) -> list[tuple[int, bool]]:
-    """(key, is index side) rows of a line."""
+def line_keys(line: str, max_edits: int, below: int) -> list[tuple[int, bool]]:
+    """(key, is index side) rows of a line; the indexed lines are shorter than ``below``."""
     import xxhash
 
     size, out = len(line), []
-    for i, (at, n) in enumerate(segments(size, max_edits)):
+    for i, (at, n) in enumerate(segments(size, max_edits) if size < below else []):
         out.append((xxhash.xxh3_64_intdigest(line[at:at + n].encode(), size * 64 + i), True))
-    for partner in range(max(size - max_edits, max_edits + 1), size + 1):
+    for partner in range(max(size - max_edits, max_edits + 1), min(size + 1, below)):
         for i, (start, n) in enumerate(segments(partner, max_edits)):
             for at in probe_starts(size, partner, i, start, n, max_edits):
                 key = xxhash.xxh3_64_intdigest(line[at:at + n].encode(), partner * 64 + i)
@@ -74,61 +87,46 @@ def line_keys(line: str, max_edits: int) -> list[tuple[int, bool]]:
     return out
 
 
+def _common(a: str, i: int, b: str, j: int) -> int:
+    """Length of the common start of ``a[i:]`` and ``b[j:]``."""
+    n, at, step = min(len(a) - i, len(b) - j), 0, 8
+    while at < n:
+        m = min(step, n - at)
+        if a[i + at:i + at + m] == b[j + at:j + at + m]:
+            at += m
+            step *= 2
+        elif m == 1:
+            break
+        else:
+            n, step = at + m, m // 2
+    return at
+
+
 def within(a: str, b: str, most: int) -> bool:
-    """Edit distance at most ``most``: equal ends are cut off, then the band of
-    the matrix around the diagonal runs column by column as bits of one word."""
+    """Edit distance at most ``most``: for each number of edits, how far along
+    each diagonal of the matrix they reach; equal runs cost nothing."""
     if abs(len(a) - len(b)) > most:
         return False
-    lo, n = 0, min(len(a), len(b))
-    step = n
-    while step:  # longest common start, by halves
-        if lo + step <= n and a[lo:lo + step] == b[lo:lo + step]:
-            lo += step
-        step //= 2 if step > 1 else 1
-        if step == 1 and (lo >= n or a[lo] != b[lo]):
-            break
-    a, b = a[lo:], b[lo:]
-    n, lo, step = min(len(a), len(b)), 0, min(len(a), len(b))
-    while step:  # longest common end
-        if lo + step <= n and a[len(a) - lo - step:len(a) - lo] == b[len(b) - lo - step:len(b) - lo]:
-            lo += step
-        step //= 2 if step > 1 else 1
-        if step == 1 and (lo >= n or a[-1 - lo] != b[-1 - lo]):
-            break
-    a, b = a[:len(a) - lo], b[:len(b) - lo]
-    if not a or not b:
-        return max(len(a), len(b)) <= most
-    if len(a) > len(b):
-        a, b = b, a
-    # state[e]: bit d set if a[:j - most + d] and b[:j] are within e edits (band of 2*most+1)
-    width = 2 * most + 1
-    full = (1 << width) - 1
-    state = []
-    for e in range(most + 1):  # column 0: a[:i] costs i
-        state.append(sum(1 << d for d in range(width) if 0 <= d - most <= min(e, len(a))))
-    for j, c in enumerate(b, 1):
-        same = inside = 0
-        for d in range(width):
-            i = j - most + d
-            if 0 <= i <= len(a):
-                inside |= 1 << d
-                if i and a[i - 1] == c:
-                    same |= 1 << d
-        new = []
-        for e in range(most + 1):
-            # a match keeps the diagonal; with one edit more: replace (same d), insert (d + 1 before)
-            now = state[e] & same
-            if e:
-                now |= state[e - 1] | (state[e - 1] >> 1)
-                now |= new[e - 1] << 1  # delete from a: the next place of this column
-            new.append(now & inside & full)
-        state = new
-        if not state[most]:
-            return False
-    return bool(state[most] >> (len(a) - len(b) + most) & 1)
-
-
-def _key_rows(batches: Iterator[pa.RecordBatch], max_edits: int, min_chars: int) -> Iterator[pa.RecordBatch]:
+    end = len(b) - len(a)
+    reach: dict[int, int] = {}
+    for e in range(most + 1):
+        new = {}
+        for d in range(-e, e + 1):
+            if e:  # an edit of b's side, of both, or of a's side
+                i = max(reach.get(d - 1, -1), reach.get(d, -2) + 1, reach.get(d + 1, -2) + 1)
+            else:
+                i = 0
+            i = min(i, len(a), len(b) - d)
+            if i < 0 or i + d < 0 or abs(end - d) > most - e:
+                continue
+            new[d] = i + _common(a, i, b, i + d)
+        if new.get(end, -1) >= len(a):
+            return True
+        reach = new
+    return False
+
+
+def _key_rows(batches: Iterator[pa.RecordBatch], max_edits: int, min_chars: int, below: int) -> Iterator[pa.RecordBatch]:
     seen: set[int] = set()
     keys, lines, sides = [], [], []
     for batch in batches:
@@ -138,9 +136,9 @@ def _key_rows(batches: Iterator[pa.RecordBatch], max_edits: int, min_chars: int)
             if len(seen) >= _SEEN:
                 seen.clear()
             seen.add(line_id)
-            if len(line) < max(min_chars, max_edits + 1):
+            if not max(min_chars, max_edits + 1) <= len(line) < below + max_edits:
                 continue
-            for key, side in line_keys(line, max_edits):
+            for key, side in line_keys(line, max_edits, below):
                 keys.append(key)
                 lines.append(line_id)
                 sides.append(side)
@@ -150,6 +148,76 @@ def _key_rows(batches: Iterator[pa.RecordBatch], max_edits: int, min_chars: int)
             keys, lines, sides = [], [], []
 
 
+def _run_length(max_edits: int, per: int) -> int:
+    """Least length of the longest run that the edits leave in a long line."""
+    return -(-(per - 1) * (max_edits + 1) // (max_edits + 2))
+
+
+def _grams(texts: list[str], run: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(key, number of the text, unit of the place) of the grams picked from texts of
+    ``run`` characters or more: those of the smallest hash in a window of ``run``."""
+    k = min(run, run // 2 + 2)
+    w = run - k + 1
+    sizes = np.array([len(t) for t in texts])
+    a = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+    ends = np.repeat(np.cumsum(sizes), sizes)
+    n = len(a)
+    h = np.zeros(n, np.uint64)
+    for j in range(k):
+        h *= np.uint64(0x100000001B3)
+        h[:n - j] += a[j:]
+    h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    h ^= h >> np.uint64(31)
+    at = np.arange(n)
+    least = h.copy()  # of the window that starts here
+    for j in range(1, w):
+        np.minimum(least[:n - j], h[j:], out=least[:n - j])
+    least[at + run > ends] = 0
+    most = least.copy()  # of the windows that hold this place
+    for j in range(1, w):
+        np.maximum(most[j:], least[:n - j], out=most[j:])
+    pick = np.flatnonzero((most == h) & (at + k <= ends))
+    text = np.repeat(np.arange(len(texts)), sizes)[pick]
+    rows = np.stack([h[pick], text.astype(np.uint64), ((pick - (ends[pick] - sizes[text])) // _UNIT).astype(np.uint64)])
+    same = np.zeros(len(pick), bool)  # the same gram again in the same unit, next to it
+    same[1:] = (rows[:, 1:] == rows[:, :-1]).all(axis=0)
+    return tuple(rows[:, ~same])
+
+
+def _gram_rows(batches: Iterator[pa.RecordBatch], long_from: int, run: int) -> Iterator[pa.RecordBatch]:
+    """Rows (key, line, place) of lines of ``long_from`` characters or more; place
+    holds the line's length above 32 bits and the unit below."""
+    seen: set[int] = set()
+    for batch in batches:
+        ids, texts, chars = [], [], 0
+        for i, (line_id, line) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()), 1):
+            if len(line) >= long_from and line_id not in seen:
+                if len(seen) >= _SEEN:
+                    seen.clear()
+                seen.add(line_id)
+                ids.append(line_id)
+                texts.append(line)
+                chars += len(line)
+            if texts and (chars > 200_000 or i == batch.num_rows):
+                key, text, unit = _grams(texts, run)
+                text = text.astype(np.int64)
+                size = np.array([len(t) for t in texts])[text]
+                yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(np.array(ids, np.int64)[text]),
+                                                  pa.array((size << 32) + unit.astype(np.int64))], names=["key", "line", "place"])
+                ids, texts, chars = [], [], 0
+
+
+def _pair_links(batches: Iterator[pa.RecordBatch], per: int) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        out = []
+        for a, short, b, long in zip(*(c.to_pylist() for c in batch.columns)):
+            if within(short, long, len(short) // per):
+                out += [(max(a, b), min(a, b), 0), (a, None, 1), (b, None, 1)]
+        yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in out], pa.string()), pa.array([r[1] for r in out], pa.string()),
+                                          pa.array([r[2] for r in out], pa.int64())], names=["a", "b", "n"])
+
+
 def _first_segment(short: str, long: str, max_edits: int) -> tuple[int, int] | None:
     """(segment, place in the longer) at which the pair meets first."""
     for i, (start, n) in enumerate(segments(len(short), max_edits)):
@@ -160,7 +228,7 @@ def _first_segment(short: str, long: str, max_edits: int) -> tuple[int, int] | N
     return None
 
 
-def _block_links(max_edits: int):
+def _block_links(max_edits: int, below: int):
     def run(group: pa.Table) -> pa.Table:
         import xxhash
 
@@ -188,7 +256,7 @@ def _block_links(max_edits: int):
                 # of two lines of one length the smaller is the indexed one
                 if len(short) > len(long) or len(short) == len(long) and short >= long:
                     continue
-                if not within(short, long, max_edits):
+                if len(short) >= below or not within(short, long, max_edits):
                     continue
                 i, at = _first_segment(short, long, max_edits)
                 n = segments(len(short), max_edits)[i][1]
@@ -214,11 +282,52 @@ def _lines(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return d.withColumn("text", F.btrim("text", F.lit(_SPACES))).filter("text <> ''")
 
 
-def line_links(lines: DataFrame, max_edits: int = MAX_EDITS, min_chars: int = MIN_CHARS, block: int = BLOCK) -> DataFrame:
+def _long_links(lines: DataFrame, max_edits: int, per: int, block: int) -> DataFrame:
+    """``line_links`` of the pairs whose shorter line is allowed more than ``max_edits``."""
+    long_from, run = per * (max_edits + 1), _run_length(max_edits, per)
+    keyed = lines.mapInArrow(lambda b: _gram_rows(b, long_from, run), "key long, line long, place long")
+    same = Window.partitionBy("key")
+    shared = (keyed.withColumn("lo", F.min("line").over(same)).withColumn("hi", F.max("line").over(same))
+              .withColumn("n", F.count(F.lit(1)).over(same)).filter("lo < hi")
+              .select("key", "line", F.shiftright("place", 32).cast("int").alias("size"),
+                      F.col("place").bitwiseAND(2**32 - 1).cast("int").alias("unit"), (F.col("n") > block).alias("hot")))
+    shared = staged(shared.distinct(), "gram-keys")
+    # a hot gram: lines of one length class, or of two neighbours, whose places are in one or two neighbouring stretches
+    grow = math.log(1 + 1.01 / per)
+    level = F.floor(F.log("size") / grow)
+    rows = shared.withColumn("level", F.when(F.col("hot"), level).otherwise(0))
+
+    def stretch(lv: str) -> Column:
+        return F.when(F.col("hot"), F.floor(F.col("unit") / (F.exp((F.col(lv) + 1) * grow) / (per * _UNIT) + 2))).otherwise(0)
+
+    probe = rows.select("key", F.col("line").alias("y"), F.col("size").alias("y_size"), F.col("unit").alias("y_unit"),
+                        "level", stretch("level").alias("stretch"))
+    own = (rows.withColumn("level", F.explode(F.when(F.col("hot"), F.array(F.col("level"), F.col("level") + 1)).otherwise(F.array("level"))))
+           .withColumn("s", stretch("level"))
+           .withColumn("stretch", F.explode(F.when(F.col("hot"), F.array(F.col("s") - 1, F.col("s"), F.col("s") + 1)).otherwise(F.array("s"))))
+           .select("key", F.col("line").alias("x"), F.col("size").alias("x_size"), F.col("unit").alias("x_unit"), "level", "stretch"))
+    most = F.floor(F.col("x_size") / per)
+    pairs = (own.join(probe, ["key", "level", "stretch"])
+             .filter((F.col("x_size") < F.col("y_size")) | (F.col("x_size") == F.col("y_size")) & (F.col("x") < F.col("y")))
+             .filter((F.col("y_size") - F.col("x_size") <= most) & (F.abs(F.col("y_unit") - F.col("x_unit")) <= F.floor(most / _UNIT) + 1))
+             .select("x", "y").distinct())
+    pairs = staged(pairs, "gram-pairs")
+    ends = pairs.select(F.col("x").alias("line")).union(pairs.select(F.col("y").alias("line"))).distinct()
+    found = staged(lines.filter(F.char_length("text") >= long_from).join(ends, "line", "left_semi")
+                   .select("line", F.md5("text").alias("node"), "text").dropDuplicates(["line", "node"]), "gram-texts")
+    a = found.select(F.col("line").alias("x"), F.col("node").alias("a"), F.col("text").alias("short"))
+    b = found.select(F.col("line").alias("y"), F.col("node").alias("b"), F.col("text").alias("long"))
+    texts = pairs.join(a, "x").join(b, "y").select("a", "short", "b", "long")
+    return staged(texts.mapInArrow(lambda t: _pair_links(t, per), "a string, b string, n long"), "gram-links")
+
+
+def line_links(lines: DataFrame, max_edits: int = MAX_EDITS, min_chars: int = MIN_CHARS, block: int = BLOCK,
+               per: int = PER) -> DataFrame:
     """``(a, b, n)`` for the distinct texts of ``lines(text)``, named by their MD5:
     merges (b not null) and numbers of links (b null; to be summed per a)."""
     long_enough = lines.filter(F.char_length("text") >= min_chars).select(F.xxhash64("text").alias("line"), "text")
-    keyed = long_enough.mapInArrow(lambda b: _key_rows(b, max_edits, min_chars), "key long, line long, own boolean")
+    below = per * (max_edits + 1)
+    keyed = long_enough.mapInArrow(lambda b: _key_rows(b, max_edits, min_chars, below), "key long, line long, own boolean")
     same = Window.partitionBy("key")
     shared = (keyed.withColumn("lo", F.min("line").over(same)).withColumn("hi", F.max("line").over(same))
               .filter("lo < hi").select("key", "line", "own"))
@@ -238,15 +347,16 @@ def line_links(lines: DataFrame, max_edits: int = MAX_EDITS, min_chars: int = MI
     pairs = pairs.select("key", "line", "node", "own", "part", F.when(F.col("own"), F.col("part")).otherwise(F.col("o")).alias("pa"),
                          F.when(F.col("own"), F.col("o")).otherwise(F.col("part")).alias("pb"))
     pairs = pairs.join(found, ["line", "node"]).select("key", "pa", "pb", "node", "own", "part", "text")
-    return staged(pairs.groupBy("key", "pa", "pb").applyInArrow(_block_links(max_edits), "a string, b string, n long"), "line-links")
+    links = staged(pairs.groupBy("key", "pa", "pb").applyInArrow(_block_links(max_edits, below), "a string, b string, n long"), "line-links")
+    return links.unionByName(_long_links(long_enough, max_edits, per, block))
 
 
 def line_classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_edits: int = MAX_EDITS,
-                 min_chars: int = MIN_CHARS, block: int = BLOCK) -> DataFrame:
+                 min_chars: int = MIN_CHARS, block: int = BLOCK, per: int = PER) -> DataFrame:
     """One row per line that is not blank: id, ``line_no``, ``class_id`` (MD5 of one
     text of the class), ``n_links`` (other texts within the distance) and ``kept``."""
     lines = _lines(df, id_col, text_col)
-    links = line_links(lines.select("text"), max_edits, min_chars, block)
+    links = line_links(lines.select("text"), max_edits, min_chars, block, per)
     roots = components(links.filter("b is not null").select("a", "b")).select(F.col("node").alias("r_node"), "root")
     n = links.filter("b is null").groupBy(F.col("a").alias("l_node")).agg(F.sum("n").alias("n_links"))
     known = n.join(roots, n["l_node"] == roots["r_node"], "left").select("l_node", "n_links", "root")
@@ -262,20 +372,20 @@ def line_classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def line_dedup_report(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_edits: int = MAX_EDITS,
-                      min_chars: int = MIN_CHARS, block: int = BLOCK) -> DataFrame:
+                      min_chars: int = MIN_CHARS, block: int = BLOCK, per: int = PER) -> DataFrame:
     """One row per document id that has lines: ``n_lines``, ``n_removed``, ``n_links``
     (summed over its lines) and ``removed_lines`` (their numbers, in order)."""
-    c = line_classes(df, id_col, text_col, max_edits, min_chars, block)
+    c = line_classes(df, id_col, text_col, max_edits, min_chars, block, per)
     return c.groupBy(col(id_col)).agg(
         F.count(F.lit(1)).alias("n_lines"), F.count_if(~F.col("kept")).alias("n_removed"), F.sum("n_links").alias("n_links"),
         F.array_sort(F.collect_list(F.when(~F.col("kept"), F.col("line_no")))).alias("removed_lines"))
 
 
 def drop_repeated_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_edits: int = MAX_EDITS,
-                        min_chars: int = MIN_CHARS, block: int = BLOCK) -> DataFrame:
+                        min_chars: int = MIN_CHARS, block: int = BLOCK, per: int = PER) -> DataFrame:
     """``df`` with the lines that are not kept taken out of its texts; ids must
     be unique for the texts to be told apart."""
-    cut = (line_dedup_report(df, id_col, text_col, max_edits, min_chars, block)
+    cut = (line_dedup_report(df, id_col, text_col, max_edits, min_chars, block, per)
            .select(col(id_col).alias("__cut"), F.col("removed_lines").alias("__no")))
     d = df.withColumn("__key", col(id_col)).join(cut, F.col("__key").eqNullSafe(F.col("__cut")), "left")
     t = F.array_join(F.filter(F.split(text_or_empty(text_col), "\n"),

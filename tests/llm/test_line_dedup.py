@@ -78,3 +78,32 @@ def test_lines_are_taken_out(spark):
     out = {r.doc_id: r.text for r in drop_repeated_lines(df).collect()}
     assert out == {0: same + "\nown line one here", 1: "first", 2: None}
     assert drop_repeated_lines(df.filter("false")).count() == 0
+
+
+def test_long_lines_against_brute_force(spark):
+    """Words replaced, put in and left out on long lines; one edit for 32 characters."""
+    rnd = random.Random(8)
+    base = [prose(k, n) for k, n in ((1, 12), (2, 16), (3, 30), (4, 45), (5, 90))] + ["ab" * 200, "é" * 150]
+    texts = []
+    for _ in range(70):
+        w = rnd.choice(base).split(" ")
+        for _ in range(rnd.randint(0, 3)):
+            at = rnd.randrange(len(w) or 1)
+            w[at:at + rnd.randint(0, 1)] = rnd.choice([[], ["other"], ["x1"], ["replaced", "twice"]])
+        x = list(" ".join(w) or "-")
+        for _ in range(rnd.randint(0, 4)):
+            x[rnd.randrange(len(x))] = rnd.choice("xyz é")
+        texts.append("".join(x).strip())
+    texts = sorted({x for x in texts if x})
+
+    def linked(a, b):
+        short, long = sorted((a, b), key=len)
+        most = max(2, len(short) // 32)
+        return len(short) >= 20 and len(long) - len(short) <= most and distance(short, long) <= most
+
+    links = {i: sum(linked(a, b) for b in texts if a is not b) for i, a in enumerate(texts)}
+    wide = sum(2 < distance(a, b) and linked(a, b) for k, a in enumerate(texts) for b in texts[:k])
+    assert wide > 50
+    for block in (256, 2):
+        got = {r.doc_id: r.n_links for r in line_classes(documents(spark, texts), block=block).collect()}
+        assert got == links
