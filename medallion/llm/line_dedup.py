@@ -27,7 +27,7 @@ then the texts join and every pair is verified.  No pair is left out.
 Lines are the ``\\n``-separated parts of a text with white space trimmed.  Lines under
 ``min_chars`` characters match only equal lines, blank ones none.  Of each class the
 line that occurs first, by (id, line number), stays; null ids come last.  Null text
-has no lines.  Rows that repeat an id and a text count as repeats of all their lines.
+has no lines.  Of rows that repeat an id only one keeps a line of a class.
 """
 
 from __future__ import annotations
@@ -276,9 +276,9 @@ def _block_links(max_edits: int, below: int):
 
 
 def _lines(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """One row per line that is not blank: id, no, text."""
-    src = df.select(col(id_col).alias("id"), text_or_empty(text_col).alias("t"))
-    d = src.select("id", F.posexplode(F.split("t", "\n")).alias("no", "text"))
+    """One row per line that is not blank: id, row (tells rows of one id apart; holds once written), no, text."""
+    src = df.select(col(id_col).alias("id"), F.monotonically_increasing_id().alias("row"), text_or_empty(text_col).alias("t"))
+    d = src.select("id", "row", F.posexplode(F.split("t", "\n")).alias("no", "text"))
     return d.withColumn("text", F.btrim("text", F.lit(_SPACES))).filter("text <> ''")
 
 
@@ -360,17 +360,26 @@ def line_classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     roots = components(links.filter("b is not null").select("a", "b")).select(F.col("node").alias("r_node"), "root")
     n = links.filter("b is null").groupBy(F.col("a").alias("l_node")).agg(F.sum("n").alias("n_links"))
     known = n.join(roots, n["l_node"] == roots["r_node"], "left").select("l_node", "n_links", "root")
-    rows = lines.select("id", "no", F.md5("text").alias("node"))
+    rows = lines.select("id", "row", "no", F.md5("text").alias("node"))
     rows = rows.join(known, rows["node"] == known["l_node"], "left").select(
-        "id", "no", F.coalesce("root", "node").alias("cls"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
+        "id", "row", "no", F.coalesce("root", "node").alias("cls"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
     rows = staged(rows, "line-rows")
-    first = rows.groupBy("cls").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "no")).alias("first"))
+    first = rows.groupBy("cls").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "no", "row")).alias("first"))
     out = rows.join(staged(first.select(F.col("cls").alias("c"), "first"), "line-first"), F.col("cls") == F.col("c"))
-    kept = F.col("id").eqNullSafe(F.col("first.id")) & (F.col("no") == F.col("first.no"))
+    kept = (F.col("row") == F.col("first.row")) & (F.col("no") == F.col("first.no"))
     return out.select(F.col("id").alias(id_col), F.col("no").alias("line_no"), F.col("cls").alias("class_id"), "n_links",
                       kept.alias("kept"))
 
 
+def line_membership(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_edits: int = MAX_EDITS,
+                    min_chars: int = MIN_CHARS, block: int = BLOCK, per: int = PER) -> DataFrame:
+    """``line_classes`` and one row for each row of ``df`` that has no line, with nulls
+    after its id: every row of ``df`` is there, also those of a repeated or null id."""
+    c = line_classes(df, id_col, text_col, max_edits, min_chars, block, per)
+    blank = F.btrim(text_or_empty(text_col), F.lit(_SPACES)) == ""
+    return c.unionByName(df.filter(blank).select(col(id_col).alias(id_col)), allowMissingColumns=True)
+
+
 def line_dedup_report(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_edits: int = MAX_EDITS,
                       min_chars: int = MIN_CHARS, block: int = BLOCK, per: int = PER) -> DataFrame:
     """One row per document id that has lines: ``n_lines``, ``n_removed``, ``n_links``
@@ -385,8 +394,9 @@ def drop_repeated_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "
                         min_chars: int = MIN_CHARS, block: int = BLOCK, per: int = PER) -> DataFrame:
     """``df`` with the lines that are not kept taken out of its texts; ids must
     be unique for the texts to be told apart."""
-    cut = (line_dedup_report(df, id_col, text_col, max_edits, min_chars, block, per)
-           .select(col(id_col).alias("__cut"), F.col("removed_lines").alias("__no")))
+    cut = (line_classes(df, id_col, text_col, max_edits, min_chars, block, per)
+           .groupBy(col(id_col).alias("__cut"), "line_no").agg(F.max("kept").alias("any")).filter("not any")
+           .groupBy("__cut").agg(F.collect_set("line_no").alias("__no")))
     d = df.withColumn("__key", col(id_col)).join(cut, F.col("__key").eqNullSafe(F.col("__cut")), "left")
     t = F.array_join(F.filter(F.split(text_or_empty(text_col), "\n"),
                               lambda x, i: ~F.coalesce(F.array_contains("__no", i), F.lit(False))), "\n")

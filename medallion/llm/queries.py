@@ -7,7 +7,7 @@ import public_tokenizers
 from medallion.llm.bpe import bpe_digest, read_spec
 from medallion.llm.common import WORD, table
 from medallion.llm.exact_dedup import exact_labels
-from medallion.llm.line_dedup import line_dedup_report
+from medallion.llm.line_dedup import line_membership
 from medallion.llm.lm_scoring import lm_scores
 from medallion.llm.minhash import near_labels
 from medallion.llm.mixing import mixing_report
@@ -26,7 +26,7 @@ def op2_url_filters(spark, sf_dir):
 
 
 def op4_line_dedup(spark, sf_dir):
-    return line_dedup_report(table(spark, sf_dir, "documents"))
+    return line_membership(table(spark, sf_dir, "documents"))
 
 
 def op7_arc_to_warc(spark, sf_dir):

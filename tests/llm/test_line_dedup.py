@@ -1,6 +1,7 @@
 import random
 
-from medallion.llm.line_dedup import (_first_segment, drop_repeated_lines, line_classes, line_dedup_report, within)
+from medallion.llm.line_dedup import (_first_segment, drop_repeated_lines, line_classes, line_dedup_report, line_membership,
+                                      within)
 from tests.llm.helpers import documents, prose
 
 
@@ -101,9 +102,39 @@ def test_long_lines_against_brute_force(spark):
         most = max(2, len(short) // 32)
         return len(short) >= 20 and len(long) - len(short) <= most and distance(short, long) <= most
 
-    links = {i: sum(linked(a, b) for b in texts if a is not b) for i, a in enumerate(texts)}
-    wide = sum(2 < distance(a, b) and linked(a, b) for k, a in enumerate(texts) for b in texts[:k])
-    assert wide > 50
+    near = [(i, j) for i in range(len(texts)) for j in range(i) if linked(texts[i], texts[j])]
+    links = {i: sum(i in pair for pair in near) for i in range(len(texts))}
+    assert sum(distance(texts[i], texts[j]) > 2 for i, j in near) > 30
     for block in (256, 2):
         got = {r.doc_id: r.n_links for r in line_classes(documents(spark, texts), block=block).collect()}
         assert got == links
+
+
+def test_membership_has_every_line_and_document(spark):
+    a, b = prose(1, 6), prose(2, 6)
+    df = documents(spark, [a + "\n" + b, b + "x\nown", None, " \n\r\n", b, a, None, ""], ids=[1, 2, 3, 4, 5, None, None, 5])
+    rows = line_membership(df).collect()
+    assert sorted((str(r.doc_id), str(r.line_no)) for r in rows) == sorted(
+        [("1", "0"), ("1", "1"), ("2", "0"), ("2", "1"), ("3", "None"), ("4", "None"), ("5", "0"), ("None", "0"), ("None", "None"),
+         ("5", "None")])
+    cls = {(r.doc_id, r.line_no): r.class_id for r in rows}
+    assert cls[1, 1] == cls[2, 0] == cls[5, 0] and cls[1, 0] == cls[None, 0] and len(set(cls.values())) == 4
+    assert {r.kept for r in rows if r.line_no is None} == {None}
+
+
+def test_registered_query_gives_the_membership(spark, sf001):
+    from medallion.llm.queries import QUERIES
+
+    out = QUERIES["op4_line_dedup"](spark, sf001)
+    assert out.columns == ["doc_id", "line_no", "class_id", "n_links", "kept"]
+    docs = spark.read.parquet(f"{sf001}/documents.parquet")
+    assert out.select("doc_id").distinct().count() == docs.select("doc_id").distinct().count()
+
+
+def test_rows_that_repeat_an_id_keep_one_line(spark):
+    a = prose(1, 6)
+    for ids in ([1, 1, 2], [None, None, None]):
+        rows = line_classes(documents(spark, [a, a, a + "y"], ids=ids)).collect()
+        assert sorted(r.kept for r in rows) == [False, False, True]
+    same = documents(spark, [a, a], ids=[1, 1])
+    assert [r.text for r in drop_repeated_lines(same).collect()] == [a, a]  # rows of one id cannot be told apart
