@@ -14,8 +14,11 @@ different classes are compared, first by registers, then by the exact overlap of
 their multisets, and each link merges two classes.  Pairs already in one class are
 skipped, since no link between them can change a class, so a block never gives more
 links than it has texts.  Buckets whose texts all share a class are done.  Of the
-others, the texts outside the bucket's largest class then meet every block of it.
-No pair that shares a bucket and lies in two classes is left out.
+others, the texts outside the bucket's largest class (guests) then meet every block of
+it, themselves dealt in blocks: a task holds one block of texts and one of guests.  Where
+guests are more than a block, only texts that can have a link take part: of its rarest
+shingles each text gives so many that a pair at the threshold shares one, and a text
+whose given shingles are in no other class of the bucket is out.  No pair that shares a bucket and lies in two classes is left out.
 
 Equal texts (A-Z lower-cased) count once in all this.  Null text is empty.  Texts
 of fewer than five words are one shingle; texts without a word have none and are
@@ -162,11 +165,13 @@ def _alike(a: np.ndarray, b: np.ndarray) -> bool:
 
 
 def _links(group: pa.Table) -> pa.Table:
-    """Class merges found in one block; ``guest`` rows live in another block."""
+    """Class merges found in one block; where it has ``guest`` rows, those between
+    a guest and another row."""
     names, guest = group.column("comp").to_pylist(), np.array(group.column("guest").to_pylist(), bool)
     sig = np.frombuffer(b"".join(group.column("sig").to_pylist()), np.uint8).reshape(len(names), REGISTERS)
     bags = [np.frombuffer(x, np.uint64) for x in group.column("bag").to_pylist()]
     size = np.array([len(x) for x in bags], float)
+    mixed = guest.any()
     up = {c: c for c in names}
 
     def root(c):
@@ -178,7 +183,7 @@ def _links(group: pa.Table) -> pa.Table:
     for i in range(len(names) - 1):
         agree = (sig[i + 1:] == sig[i]).sum(axis=1)
         ratio = np.minimum(size[i + 1:], size[i]) / np.maximum(size[i + 1:], size[i])
-        near = np.flatnonzero((agree >= AGREE) & (ratio >= THRESHOLD - 1e-9) & ~(guest[i + 1:] & guest[i]))
+        near = np.flatnonzero((agree >= AGREE) & (ratio >= THRESHOLD - 1e-9) & (~mixed | (guest[i + 1:] != guest[i])))
         for j in near[np.argsort(-agree[near], kind="stable")] + i + 1:
             a, b = root(names[i]), root(names[j])
             if a != b and _alike(bags[i], bags[j]):
@@ -207,6 +212,66 @@ def _open(members: DataFrame, comps: DataFrame, block: int) -> DataFrame:
     return m.join(sizes, "bucket").withColumn("block", F.pmod(F.xxhash64("node", "bucket"), F.col("blocks")).cast("int"))
 
 
+def _shingle_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, batch.num_rows, 128):
+            part = batch.slice(at, 128)
+            bags = [np.frombuffer(x, np.int64) for x in part.column(1).to_pylist()]
+            node = np.repeat(np.arange(len(bags)), [len(x) for x in bags])
+            yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(node)), pa.array(np.concatenate(bags))], names=["node", "shingle"])
+
+
+def _prefixes(bags: DataFrame) -> DataFrame:
+    """``(node, shingle)``: of each text its rarest shingles (by count, then value), as
+    many as can be left out at the threshold and one more.  Alike texts share one."""
+    rows = staged(bags.select("node", "bag").mapInArrow(_shingle_rows, "node string, shingle long"), "near-shingles")
+    known = rows.join(rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("df")), "shingle")
+    held = known.groupBy("node").agg(F.array_sort(F.collect_list(F.struct("df", "shingle"))).alias("all"))
+    n = F.size("all")
+    given = F.slice("all", F.lit(1), n - F.ceil(n * THRESHOLD - 1e-6).cast("int") + 1)
+    return held.select("node", F.explode(given).alias("s")).select("node", "s.shingle")
+
+
+def _guests(wide: DataFrame) -> DataFrame:
+    """``wide(bucket, node, comp)`` with ``guest`` (outside the largest class) and the
+    numbers of texts ``n`` and guests ``g`` of the bucket."""
+    counts = wide.groupBy("bucket", "comp").count()
+    main = counts.groupBy("bucket").agg(F.max_by("comp", F.struct("count", "comp")).alias("main"), F.sum("count").alias("n"),
+                                        (F.sum("count") - F.max("count")).alias("g"))
+    return (wide.select("bucket", "node", "comp").join(main, "bucket")
+            .select("bucket", "node", "comp", (F.col("comp") != F.col("main")).alias("guest"), "n", "g"))
+
+
+def _wide_live(wide: DataFrame, bags: DataFrame, block: int) -> DataFrame:
+    """``wide`` without the texts that can have no link to another class of their
+    bucket, for buckets of more guests than a block holds."""
+    rows = staged(_guests(wide), "near-guests")
+    few, many = rows.filter(F.col("g") <= block), rows.filter(F.col("g") > block)
+    if not has_rows(many):
+        return wide
+    given = staged(_prefixes(bags.join(many.select("node").distinct(), "node", "left_semi")), "near-prefixes")
+    met = many.select("bucket", "node", "comp").join(given, "node")
+    both = (met.groupBy("bucket", "shingle").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1")).filter("c0 < c1")
+            .select("bucket", "shingle"))
+    live = met.join(both, ["bucket", "shingle"]).select("bucket", "node").distinct()
+    kept = many.join(live, ["bucket", "node"], "left_semi")
+    return staged(few.unionByName(kept).select("bucket", "node", "comp"), "near-live")
+
+
+def _dealt(wide: DataFrame, block: int) -> DataFrame:
+    """Every guest of a bucket to every block of its texts, both in blocks of bounded size."""
+    r = _guests(wide)
+    r = (r.withColumn("homes", F.ceil(F.col("n") / block).cast("int")).withColumn("stays", F.ceil(F.col("g") / block).cast("int"))
+         .withColumn("home", F.pmod(F.xxhash64("node", "bucket"), F.col("homes")).cast("int"))
+         .withColumn("stay", F.pmod(F.xxhash64("bucket", "node", F.lit(1)), F.col("stays")).cast("int"))
+         .filter("stays > 0"))
+    home = (r.withColumn("to", F.explode(F.sequence(F.lit(0), F.col("stays") - 1)))
+            .select("bucket", "node", "comp", F.struct(F.col("home"), F.col("to").alias("stay")).alias("block"), F.lit(False).alias("guest")))
+    away = (r.filter("guest").withColumn("to", F.explode(F.sequence(F.lit(0), F.col("homes") - 1)))
+            .select("bucket", "node", "comp", F.struct(F.col("to").alias("home"), F.col("stay")).alias("block"), F.lit(True).alias("guest")))
+    return home.unionByName(away)
+
+
 def near_classes(nodes: DataFrame, block: int = BLOCK) -> DataFrame:
     """``(node, comp)`` for the texts of ``nodes(node, text)`` that share a
     bucket with another text: the smallest node of each class names it."""
@@ -224,13 +289,7 @@ def near_classes(nodes: DataFrame, block: int = BLOCK) -> DataFrame:
         comps = _merged(comps, edges)
     wide = staged(_open(members.drop("band"), comps, block).filter("blocks > 1"), "near-wide")
     if has_rows(wide):
-        counts = wide.groupBy("bucket", "comp").count()
-        main = counts.groupBy("bucket").agg(F.max_by("comp", F.struct("count", "comp")).alias("main"))
-        guests = (wide.join(main, "bucket").filter("comp <> main")
-                  .withColumn("to", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).filter("`to` <> block")
-                  .select("bucket", "node", "comp", F.col("to").alias("block"), F.lit(True).alias("guest")))
-        home = wide.select("bucket", "node", "comp", "block", F.lit(False).alias("guest"))
-        comps = _merged(comps, _linked(home.unionByName(guests), bags))
+        comps = _merged(comps, _linked(_dealt(_wide_live(wide, bags, block), block), bags))
     return comps
 
 

@@ -68,3 +68,40 @@ def test_registers_estimate_weighted_similarity():
     true = sum((bags[0] & bags[1]).values()) / sum((bags[0] | bags[1]).values())
     t = signatures([_bag(shingles(x)) for x in (a, b)], 4000)
     assert abs(np.mean(t[0] == t[1]) - true) < 0.04
+
+
+def test_wide_bucket_of_many_classes(spark, monkeypatch):
+    """Texts of one template below the threshold share buckets and stay classes of
+    their own; no task holds a bucket, and links across blocks are found."""
+    from medallion.llm import minhash
+
+    base, texts = prose(9, 150).split(), []
+    for k in range(110):
+        texts.append(" ".join(base[:60] + prose(100 + k, 20).split() + base[80:]))
+    texts += [edited(t, [149]) for t in texts[:12]]
+    groups, dealt = [], minhash._linked
+
+    def seen(rows, bags):
+        groups.append(rows.groupBy("bucket", "block").count().agg(F.max("count")).first()[0] or 0)
+        return dealt(rows, bags)
+
+    monkeypatch.setattr(minhash, "_linked", seen)
+    got = defaultdict(list)
+    for r in near_labels(documents(spark, texts).repartition(3), block=8).collect():
+        got[r.class_id].append(r.doc_id)
+    want = brute(list(enumerate(texts)))
+    assert {tuple(sorted(g)) for g in got.values()} == want and len(want) == 110
+    assert len(groups) == 3 and max(groups) <= 32
+
+
+def test_guests_are_dealt_in_blocks(spark):
+    from medallion.llm.minhash import _dealt
+
+    wide = spark.range(300).selectExpr("7L as bucket", "cast(id as string) as node", "if(id < 20, '0', cast(id as string)) as comp")
+    groups, met = defaultdict(list), set()
+    for r in _dealt(wide, 16).collect():
+        groups[r.block].append(r)
+    for rows in groups.values():
+        assert len(rows) <= 80
+        met |= {frozenset((a.comp, b.comp)) for a in rows for b in rows if a.guest and not b.guest and a.comp != b.comp}
+    assert len(met) == 281 * 280 // 2
