@@ -14,7 +14,11 @@ Realisation.  A source of E epochs gives floor(E) whole copies of each document
 and a part epoch: its documents in an order drawn from a hash, in 2^16 blocks of
 that order.  Block sums find the block in which the quota ends, and only that
 block's rows are ordered to find the last document inside the quota.  What a
-source needs of this is one cut value, so documents are not shuffled.
+source needs of this is one cut value, so documents are not shuffled for it.
+
+Order of the mix.  Every epoch is a permutation of its own: a copy's hash of seed,
+epoch and document gives its block, by the upper bits, and its place there.  The mix
+is written epoch by epoch, block by block.
 
 A null source is a source.  A document without a word (null text too) weighs one
 token.  Rows that repeat id and text share their place in the order and are taken
@@ -139,7 +143,10 @@ def mixing_report(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 def mix_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
                   seed: int = 17, max_repeat: float | None = DEFAULT_REPEAT, min_entropy: float | None = None,
                   budget: float | None = None) -> DataFrame:
-    """The mix: every document as often as it has copies, with its own columns."""
+    """The mix: every document as often as it has copies, with its own columns, in
+    the block order of each epoch."""
     d = _mixed(df, id_col, text_col, source_col, seed, max_repeat=max_repeat, min_entropy=min_entropy, budget=budget)
     d = d.filter("__copies > 0").withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies"))))
+    place = F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.col("__copy"), F.col("__key")), 2)
+    d = d.withColumn("__place", place).orderBy("__copy", F.shiftright("__place", 62 - BLOCK_BITS), "__place")
     return d.select(*[col(c) for c in df.columns])

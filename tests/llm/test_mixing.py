@@ -54,3 +54,16 @@ def test_mix_repeats_rows(spark):
     assert mix_documents(df).columns == df.columns
     none = df.filter("false")
     assert mix_documents(none).count() == 0 and mixing_report(none).count() == 0
+
+
+def test_mix_is_a_permutation_of_each_epoch(spark):
+    df = corpus(spark).coalesce(1)
+    ids = [r.doc_id for r in mix_documents(df, max_repeat=3.0).collect()]
+    n = df.count()
+    first, second = ids[:n], ids[n:]
+    assert sorted(first) == list(range(n)) and first != sorted(first)
+    again = second[:len(set(second))]
+    assert len(again) > 8 and sorted(again) == sorted(set(second))
+    assert again != [i for i in first if i in set(again)] and again != sorted(again)
+    assert ids == [r.doc_id for r in mix_documents(df.repartition(3), max_repeat=3.0).collect()]
+    assert ids != [r.doc_id for r in mix_documents(df, max_repeat=3.0, seed=18).collect()]
