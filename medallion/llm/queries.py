@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
+from medallion.llm.alignment import align_report
 from medallion.llm.bpe import bpe_digest, read_spec
 from medallion.llm.common import WORD, table
 from medallion.llm.exact_dedup import exact_labels
@@ -57,9 +58,15 @@ def op9_temperature_mixing(spark, sf_dir):
     return mixing_report(table(spark, sf_dir, "documents"))
 
 
+def op11_lockstep_alignment(spark, sf_dir):
+    with open(public_tokenizers.path("piece_bpe_32k.model"), "rb") as f:
+        model = f.read()
+    return align_report(table(spark, sf_dir, "documents"), read_spec(public_tokenizers.path("byte_bpe_50k.json")), model)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_lm_scoring, op2_url_filters, op3_bagminhash, op4_line_dedup, op5_exact_dedup, op6_quality_rules,
-    op7_arc_to_warc, op8_bpe, op9_temperature_mixing, op10_minimax_sharding)}
+    op7_arc_to_warc, op8_bpe, op9_temperature_mixing, op10_minimax_sharding, op11_lockstep_alignment)}
 
 _NORM = "translate(coalesce({}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
