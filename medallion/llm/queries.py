@@ -14,6 +14,7 @@ from medallion.llm.minhash import near_labels
 from medallion.llm.mixing import mixing_report
 from medallion.llm.quality_rules import MARKS, SPACE, SYMBOLS, LineRules, quality_report
 from medallion.llm.sharding import shard_rows
+from medallion.llm.token_counts import token_counts
 from medallion.llm.url_filters import HOST_RULES, WORD_RULES, url_verdicts
 from medallion.llm.warc import warc_roundtrip
 
@@ -64,9 +65,13 @@ def op11_lockstep_alignment(spark, sf_dir):
     return align_report(table(spark, sf_dir, "documents"), read_spec(public_tokenizers.path("byte_bpe_50k.json")), model)
 
 
+def op13_token_counts(spark, sf_dir):
+    return token_counts(table(spark, sf_dir, "documents"), read_spec(public_tokenizers.path("word_bpe_49k.json")))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_lm_scoring, op2_url_filters, op3_bagminhash, op4_line_dedup, op5_exact_dedup, op6_quality_rules,
-    op7_arc_to_warc, op8_bpe, op9_temperature_mixing, op10_minimax_sharding, op11_lockstep_alignment)}
+    op7_arc_to_warc, op8_bpe, op9_temperature_mixing, op10_minimax_sharding, op11_lockstep_alignment, op13_token_counts)}
 
 _NORM = "translate(coalesce({}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
