@@ -7,6 +7,7 @@ import public_tokenizers
 from medallion.llm.alignment import align_report
 from medallion.llm.bpe import bpe_digest, read_spec
 from medallion.llm.common import WORD, table
+from medallion.llm.conversations import damage_and_repair
 from medallion.llm.exact_dedup import exact_labels
 from medallion.llm.line_dedup import line_membership
 from medallion.llm.lm_scoring import lm_scores
@@ -65,13 +66,18 @@ def op11_lockstep_alignment(spark, sf_dir):
     return align_report(table(spark, sf_dir, "documents"), read_spec(public_tokenizers.path("byte_bpe_50k.json")), model)
 
 
+def op12_conversation_repair(spark, sf_dir):
+    return damage_and_repair(table(spark, sf_dir, "conversations"))
+
+
 def op13_token_counts(spark, sf_dir):
     return token_counts(table(spark, sf_dir, "documents"), read_spec(public_tokenizers.path("word_bpe_49k.json")))
 
 
 QUERIES = {f.__name__: f for f in (
     op1_lm_scoring, op2_url_filters, op3_bagminhash, op4_line_dedup, op5_exact_dedup, op6_quality_rules,
-    op7_arc_to_warc, op8_bpe, op9_temperature_mixing, op10_minimax_sharding, op11_lockstep_alignment, op13_token_counts)}
+    op7_arc_to_warc, op8_bpe, op9_temperature_mixing, op10_minimax_sharding, op11_lockstep_alignment, op12_conversation_repair,
+    op13_token_counts)}
 
 _NORM = "translate(coalesce({}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
