@@ -25,8 +25,10 @@ id are texts of their own.  An empty table gives no rows; other columns are not
 from __future__ import annotations
 
 import hashlib
+import json
 import os
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -36,10 +38,12 @@ from pyspark.sql import functions as F
 
 from medallion.llm.bpe import _byte_alphabet
 from medallion.llm.common import col, staged, text_or_empty
+from medallion.llm.token_counts import KNOWN, splitter
 
 #: Tokens of a lockstep batch, A tokens of a lane, pairs a block holds, links of a piece.
 BATCH_TOKENS, LANE, BLOCK_PAIRS, LINKS = 1_500_000, 1000, 2_000_000, 4_000_000
 _TEXT_BYTES = 2 << 20
+_MEMO, _MEMO_CHARS = 300_000, 64
 
 
 # ---- lockstep ------------------------------------------------------------------
@@ -124,8 +128,6 @@ class _Pair:
     """Both tokenizers and their tables of token bytes."""
 
     def __init__(self, spec_a: str, model_b: bytes):
-        import json
-
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import sentencepiece
         import tokenizers
@@ -135,8 +137,11 @@ class _Pair:
         self.a.no_truncation()
         self.a.no_padding()
         self.b = sentencepiece.SentencePieceProcessor(model_proto=model_b)
-        back = _byte_alphabet()
-        vocab = json.loads(spec_a)["model"]["vocab"]
+        back, spec = _byte_alphabet(), json.loads(spec_a)
+        if spec.get("normalizer"):
+            raise ValueError("tokenizer A must keep the bytes of a text: a file with a normalizer does not")
+        self.split, self.memo = splitter(spec.get("pre_tokenizer")), {}
+        vocab = spec["model"]["vocab"]
         self.bytes_a = [b""] * (max(vocab.values(), default=0) + 1)
         for token, i in vocab.items():
             self.bytes_a[i] = bytes(back[c] for c in token)
@@ -149,7 +154,7 @@ class _Pair:
 
     def encode(self, texts: list[str]) -> tuple[list[list[int]], list[list[int]]]:
         """Ids of both sides; none where the text is empty or a side's bytes differ."""
-        a = [e.ids for e in self.a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
+        a = self._encode_a([" " + t for t in texts])
         b = self.b.encode(texts, num_threads=1)
         for k, t in enumerate(texts):
             want = (" " + t).encode("utf-8")
@@ -157,6 +162,21 @@ class _Pair:
                 a[k], b[k] = [], []
         return a, b
 
+    def _encode_a(self, texts: list[str]) -> list[list[int]]:
+        """Merges never leave a pre-token, so each different one is encoded once."""
+        pieces = [self.split.findall(t) if KNOWN.fullmatch(t) else [t] for t in texts]
+        new = set(chain.from_iterable(pieces)).difference(self.memo)
+        if len(self.memo) + len(new) > _MEMO:
+            self.memo.clear()
+            new = set(chain.from_iterable(pieces))
+        new = list(new)
+        self.memo.update(zip(new, (e.ids for e in self.a.encode_batch_fast(new, add_special_tokens=False))))
+        out = [list(chain.from_iterable(map(self.memo.__getitem__, p))) for p in pieces]
+        for p in new:
+            if len(p) > _MEMO_CHARS:
+                del self.memo[p]
+        return out
+
 
 _PAIRS: dict[str, _Pair] = {}
 
@@ -175,7 +195,7 @@ class _Batch:
     def __init__(self, pair: _Pair, a: list[list[int]], b: list[list[int]]):
         self.pair = pair
         self.n_a, self.n_b = (np.array([len(x) for x in ids], np.int64) for ids in (a, b))
-        self.a, self.b = (np.fromiter((i for x in ids for i in x), np.int32, int(n.sum())) for ids, n in ((a, self.n_a), (b, self.n_b)))
+        self.a, self.b = (np.fromiter(chain.from_iterable(ids), np.int32, int(n.sum())) for ids, n in ((a, self.n_a), (b, self.n_b)))
         self.at_a, self.at_b = (np.concatenate([[0], np.cumsum(n)]) for n in (self.n_a, self.n_b))
         ends = []
         for ids, n, at, size in ((self.a, self.n_a, self.at_a, pair.size_a), (self.b, self.n_b, self.at_b, pair.size_b)):

@@ -5,7 +5,7 @@ give back one token are *whole*.  A pre-token that is whole counts as one token
 merge; only the others are merged, by rank, and their counts are remembered.
 
 Read from the tokenizer file: vocabulary, merges, end-of-word suffix, added tokens, and of
-the normaliser and pre-tokeniser the parts named in ``_normal`` and ``_splitter``; a file
+the normaliser and pre-tokeniser the parts named in ``_normal`` and ``splitter``; a file
 with others raises ``ValueError``.  Characters below U+0530 are normalised and split here;
 a text with others is handed to the file's own normaliser and pre-tokeniser, so both use
 one version of the Unicode tables.  Added tokens inside a text count as one each.
@@ -32,7 +32,7 @@ from medallion.llm.common import col, text_or_empty
 LIMIT = 2048
 _MEMO, _PIECE_MEMO_CHARS = 300_000, 64
 #: Characters whose classes all versions of the Unicode tables agree on.
-_KNOWN = regex.compile(r"[\x00-ԯ]*")
+KNOWN = regex.compile(r"[\x00-ԯ]*")
 
 
 def _lowered(text: str) -> str:
@@ -62,7 +62,7 @@ def _normal(spec: dict | None) -> Callable[[str], str]:
     raise ValueError(f"normalizer {kind} is not supported")
 
 
-def _splitter(spec: dict | None) -> regex.Pattern:
+def splitter(spec: dict | None) -> regex.Pattern:
     """The pattern whose matches are the pre-tokens."""
     steps = spec["pretokenizers"] if spec and spec["type"] == "Sequence" else [spec or {"type": None}]
     last = steps[-1]
@@ -162,7 +162,7 @@ class TokenCounter:
     def __init__(self, spec_json: str, whole: frozenset[str]):
         spec = json.loads(spec_json)
         self.spec_json, self._library = spec_json, None
-        self.normal, self.split = _normal(spec.get("normalizer")), _splitter(spec.get("pre_tokenizer"))
+        self.normal, self.split = _normal(spec.get("normalizer")), splitter(spec.get("pre_tokenizer"))
         self.counts, self.whole = _Counts(Merger(spec), whole), whole
         added = spec.get("added_tokens") or []
         if any(t["single_word"] or t["lstrip"] or t["rstrip"] or t["normalized"] for t in added):
@@ -171,7 +171,7 @@ class TokenCounter:
         self.added = regex.compile("|".join(map(regex.escape, names))) if names else None
 
     def _pieces(self, text: str) -> list[str]:
-        if _KNOWN.fullmatch(text):
+        if KNOWN.fullmatch(text):
             return self.split.findall(self.normal(text))
         if self._library is None:
             from tokenizers import Tokenizer
