@@ -36,14 +36,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from medallion.llm.bpe import _byte_alphabet
+from medallion.llm.bpe import PATTERN, _byte_alphabet
 from medallion.llm.common import col, staged, text_or_empty
 from medallion.llm.token_counts import KNOWN, splitter
 
 #: Tokens of a lockstep batch, A tokens of a lane, pairs a block holds, links of a piece.
 BATCH_TOKENS, LANE, BLOCK_PAIRS, LINKS = 1_500_000, 1000, 2_000_000, 4_000_000
 _TEXT_BYTES = 2 << 20
-_MEMO, _MEMO_CHARS = 300_000, 64
 
 
 # ---- lockstep ------------------------------------------------------------------
@@ -124,6 +123,19 @@ def linked(runs: tuple[np.ndarray, ...], most: int = LINKS) -> Iterator[tuple[np
 # ---- tokens --------------------------------------------------------------------
 
 
+def _by_rank(spec: dict, bytes_of: list[bytes]):
+    """The vocabulary as ranks, where its merges make ids in rising order and every token
+    longer than a byte: lowest id first is then lowest merge first.  Otherwise None."""
+    import tiktoken
+
+    model, vocab = spec["model"], spec["model"]["vocab"]
+    made = [vocab["".join(m if isinstance(m, list) else m.split(" "))] for m in model["merges"]]
+    if (splitter(spec.get("pre_tokenizer")).pattern != PATTERN or model.get("end_of_word_suffix") or made != sorted(set(made))
+            or len(made) + 256 != len(vocab) or made[:1] < [max(vocab[c] for c in _byte_alphabet())]):
+        return None
+    return tiktoken.Encoding("a", pat_str=PATTERN, mergeable_ranks={bytes_of[i]: i for i in vocab.values()}, special_tokens={})
+
+
 class _Pair:
     """Both tokenizers and their tables of token bytes."""
 
@@ -140,11 +152,11 @@ class _Pair:
         back, spec = _byte_alphabet(), json.loads(spec_a)
         if spec.get("normalizer"):
             raise ValueError("tokenizer A must keep the bytes of a text: a file with a normalizer does not")
-        self.split, self.memo = splitter(spec.get("pre_tokenizer")), {}
         vocab = spec["model"]["vocab"]
         self.bytes_a = [b""] * (max(vocab.values(), default=0) + 1)
         for token, i in vocab.items():
             self.bytes_a[i] = bytes(back[c] for c in token)
+        self.fast = _by_rank(spec, self.bytes_a)
         names = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         self.bytes_b = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(names)]
         self.size_a, self.size_b = (np.array([len(x) for x in t], np.int64) for t in (self.bytes_a, self.bytes_b))
@@ -163,18 +175,18 @@ class _Pair:
         return a, b
 
     def _encode_a(self, texts: list[str]) -> list[list[int]]:
-        """Merges never leave a pre-token, so each different one is encoded once."""
-        pieces = [self.split.findall(t) if KNOWN.fullmatch(t) else [t] for t in texts]
-        new = set(chain.from_iterable(pieces)).difference(self.memo)
-        if len(self.memo) + len(new) > _MEMO:
-            self.memo.clear()
-            new = set(chain.from_iterable(pieces))
-        new = list(new)
-        self.memo.update(zip(new, (e.ids for e in self.a.encode_batch_fast(new, add_special_tokens=False))))
-        out = [list(chain.from_iterable(map(self.memo.__getitem__, p))) for p in pieces]
-        for p in new:
-            if len(p) > _MEMO_CHARS:
-                del self.memo[p]
+        """Texts of characters on whose classes all Unicode versions agree take the faster
+        library where it merges as the file says, the others the file's own."""
+        out: list[list[int]] = [[]] * len(texts)
+        slow = []
+        for k, t in enumerate(texts):
+            if self.fast is not None and KNOWN.fullmatch(t):
+                out[k] = self.fast.encode_ordinary(t)
+            else:
+                slow.append(k)
+        if slow:
+            for k, e in zip(slow, self.a.encode_batch_fast([texts[k] for k in slow], add_special_tokens=False)):
+                out[k] = e.ids
         return out
 
 

@@ -114,3 +114,16 @@ def test_very_long_text(spark):
     text = " ".join(prose(k, 500) for k in range(40))
     got = align_report(documents(spark, [text]), SPEC, MODEL).first()
     assert tuple(got)[1:] == brute([text])[0]
+
+
+def test_ranks_agree_with_the_merges_of_the_file():
+    """Side A by ranks and by the file's own library give the same ids."""
+    pair = alignment._Pair(SPEC, MODEL)
+    assert pair.fast is not None
+    rng = np.random.default_rng(3)
+    letters = np.array(list("abcdefghij ABC019.,'\n\t-éüßñ<|>"))
+    texts = [prose(k, 300) for k in range(20)] + ["".join(rng.choice(letters, 400)) for _ in range(300)] + [t for t in ODD if t]
+    by_file = [e.ids for e in pair.a.encode_batch_fast(texts, add_special_tokens=False)]
+    assert pair._encode_a(texts) == by_file
+    pair.fast = None
+    assert pair._encode_a(texts) == by_file
