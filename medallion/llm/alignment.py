@@ -32,6 +32,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -43,6 +44,8 @@ from medallion.llm.token_counts import KNOWN, splitter
 #: Tokens of a lockstep batch, A tokens of a lane, pairs a block holds, links of a piece.
 BATCH_TOKENS, LANE, BLOCK_PAIRS, LINKS = 1_500_000, 1000, 2_000_000, 4_000_000
 _TEXT_BYTES = 2 << 20
+#: Runs of white space that the faster library's pattern cannot step back over.
+_GAP = regex.compile(r"\s{1000}")
 
 
 # ---- lockstep ------------------------------------------------------------------
@@ -180,7 +183,7 @@ class _Pair:
         out: list[list[int]] = [[]] * len(texts)
         slow = []
         for k, t in enumerate(texts):
-            if self.fast is not None and KNOWN.fullmatch(t):
+            if self.fast is not None and KNOWN.fullmatch(t) and not _GAP.search(t):
                 out[k] = self.fast.encode_ordinary(t)
             else:
                 slow.append(k)

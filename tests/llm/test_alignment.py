@@ -123,6 +123,7 @@ def test_ranks_agree_with_the_merges_of_the_file():
     rng = np.random.default_rng(3)
     letters = np.array(list("abcdefghij ABC019.,'\n\t-éüßñ<|>"))
     texts = [prose(k, 300) for k in range(20)] + ["".join(rng.choice(letters, 400)) for _ in range(300)] + [t for t in ODD if t]
+    texts += ["a" + " " * 50_000 + "b", "x" * 50_000, "." * 50_000, "\n\t" * 20_000]
     by_file = [e.ids for e in pair.a.encode_batch_fast(texts, add_special_tokens=False)]
     assert pair._encode_a(texts) == by_file
     pair.fast = None
