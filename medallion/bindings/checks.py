@@ -8,12 +8,12 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from medallion import jobs
 from medallion.bindings.common import table
 from medallion.bindings.scored import SCORED_SQL, scored
 from medallion.bindings.tiers import GOLD_INCOME_SQL, GOLD_UF_SQL, GOLD_YOY_SQL, _W, silver_pct
 from medallion.functions import snap_round
 from medallion.operators import checks as C
-from medallion.operators import gold
 from medallion.session import checkpointed
 
 AS_OF = dt.datetime(2024, 2, 1, 0, 0, 0)
@@ -189,29 +189,9 @@ def q_assert_equal(s, d):
     return C.assert_equal(t, "actual", "expected").failing_rows()
 
 
-def declared_checks(s, d):
-    """The 11 checks declared on the three marts (K4)."""
-    # the three marts share one silver table: materialise it once in the
-    # shared checkpoint folder instead of recomputing it per mart
-    sp = checkpointed(silver_pct(s, d))
-    uf, inc, yoy = gold.performance_by_uf(sp), gold.performance_by_income(sp), gold.yearly_evolution(sp)
-    return [
-        C.not_null(uf, "uf", relation="gold_uf"),
-        C.not_null(uf, "ano", relation="gold_uf"),
-        C.not_null(uf, "total_candidatos", relation="gold_uf"),
-        C.not_null(uf, "media_geral", relation="gold_uf"),
-        C.not_null(uf, "pct_escola_publica", relation="gold_uf"),
-        C.accepted_range(uf, "pct_escola_publica", 0, 100, relation="gold_uf"),
-        C.not_null(inc, "grupo_renda", relation="gold_income"),
-        C.accepted_values(inc, "grupo_renda", ["Baixa", "Média", "Alta"], relation="gold_income"),
-        C.not_null(inc, "media_geral", relation="gold_income"),
-        C.not_null(yoy, "regiao", relation="gold_yoy"),
-        C.not_null(yoy, "ano", relation="gold_yoy"),
-    ]
-
-
 def q_quality_report(s, d):
-    return C.run_checks(declared_checks(s, d))
+    """K3 and K4: the checks declared on the three marts, which share one silver table."""
+    return jobs.quality(jobs.gold_marts(checkpointed(silver_pct(s, d))))
 
 
 def q_check_report(s, d):

@@ -100,10 +100,6 @@ def q_compare_summaries(s, d):
     return _versions(s, d).compare_summaries([0, 1], "o_totalprice")
 
 
-def q_file_stats(s, d):
-    return _versions(s, d).file_stats().select("o_year", (F.col("n_files") > 0).alias("has_files"))
-
-
 def q_overwrite_year(s, d):
     path = scratch_dir(s, "overwrite_year")
     o = _orders(s, d)
@@ -192,7 +188,6 @@ QUERIES = {
     "schema_evolution": q_schema_evolution,
     "schema_by_version": q_schema_by_version,
     "compare_summaries": q_compare_summaries,
-    "file_stats": q_file_stats,
     "overwrite_year": q_overwrite_year,
     "partition_pruned": q_partition_pruned,
     "csv_roundtrip": q_csv_roundtrip,
@@ -238,7 +233,6 @@ ORACLE = {
              AS DECIMAL(28,10)), 2) AS DOUBLE) AS avg_o_totalprice, 0 AS version FROM ({_V0}) a
         UNION ALL SELECT COUNT(*), CAST(ROUND(CAST(CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE)
              / COUNT(o_totalprice) AS DECIMAL(28,10)), 2) AS DOUBLE), 1 FROM ({_UPS}) b""",
-    "file_stats": f"SELECT DISTINCT o_year, true AS has_files FROM ({_O}) o",
     "overwrite_year": f"""SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate,
         CASE WHEN o_year = 1999 THEN '0-RELOADED' ELSE o_orderpriority END AS o_orderpriority, o_year
         FROM ({_O}) o""",

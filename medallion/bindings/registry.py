@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["tiers", "pages", "reshape", "scalars", "checks", "history"]
+MODULES = ["tiers", "pages", "reshape", "scalars", "checks", "history", "growing", "sqltext"]
 
 
 def _mods():

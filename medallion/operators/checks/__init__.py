@@ -11,3 +11,4 @@ from medallion.operators.checks.relation import (  # noqa: F401
 )
 from medallion.operators.checks.window import mutually_exclusive_ranges, sequential_values  # noqa: F401
 from medallion.operators.checks.runner import failed, run_checks  # noqa: F401
+from medallion.operators.checks.incremental import CheckStates  # noqa: F401

@@ -47,6 +47,18 @@ class Check:
     error_if: str = "!=0"
     severity: str = "error"
     meta: dict = field(default_factory=dict)
+    #: What the check needs to know of a part of the table, and how two parts combine:
+    #: name -> (aggregate over the rows, 'sum' / 'min' / 'max'); ``verdict`` gives the
+    #: failures from the combined values.
+    state: dict[str, tuple[Column, str]] | None = None
+    verdict: Callable[[Callable[[str], Column]], Column] | None = None
+    #: Checks on values: (text of a row's value, NULL for none; whether a value with so
+    #: many rows fails).  Parts combine by adding the rows of each value.
+    keyed: tuple[Column, Callable[[Column], Column]] | None = None
+
+    def __post_init__(self):
+        if self.state is None and self.keyed is None and self.fused is not None:
+            self.state, self.verdict = {"n": (self.fused, "sum")}, lambda s: s("n")
 
     def failing_rows(self) -> DataFrame:
         return self.rows()
@@ -68,7 +80,7 @@ class Check:
         custom failures measure over the failing rows (which disables fusion)."""
         if measure is not None:
             self.measure = measure
-            self.fused = None
+            self.fused = self.state = self.keyed = None
         if warn_if is not None:
             self.warn_if = warn_if
         if error_if is not None:

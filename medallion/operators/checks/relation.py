@@ -53,8 +53,9 @@ def _compare_columns(a: DataFrame, b: DataFrame, compare_columns, exclude_column
 
 def equality(a: DataFrame, b: DataFrame, compare_columns: Sequence[str] | None = None,
              exclude_columns: Sequence[str] | None = None, precision: int | None = None,
-             strategy: str = "aggregate", relation: str = "model") -> Check:
-    """Rows found in only one table, labelled ``which_diff``.
+             strategy: str = "digest", relation: str = "model") -> Check:
+    """Rows found in only one table, labelled ``which_diff`` (C16).  By default digests
+    of row buckets are compared first, since the tables are expected to be equal.
 
     Distinct semantics (like ``EXCEPT``): duplicates collapse, NULL equals NULL.
     ``precision`` rounds numeric columns as decimals before comparing.  The

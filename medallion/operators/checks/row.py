@@ -28,6 +28,11 @@ def _sum_if(pred: Column) -> Column:
     return F.sum(F.when(pred, F.lit(1)).otherwise(F.lit(0)))
 
 
+def _value_text(*columns) -> Column:
+    """One text per combination of values, NULLs told apart."""
+    return F.to_json(F.struct(*[col(c).alias(f"c{i}") for i, c in enumerate(columns)]), {"ignoreNullFields": "false"})
+
+
 def not_null(df: DataFrame, column: str, where=None, relation: str = "model") -> Check:
     """Rows whose ``column`` is NULL."""
     pred = col(column).isNull()
@@ -45,8 +50,8 @@ def accepted_values(df: DataFrame, column: str, values: Sequence, where=None,
                 .agg(F.count(F.lit(1)).alias("n_records")).where(~F.col("value_field").isin(list(values))))
     # not fused: a distinct count would turn the shared aggregate into a
     # distinct aggregation; alone it is one hash aggregate keyed by the value
-    del bad
-    return Check(f"accepted_values_{column}", relation, rows)
+    return Check(f"accepted_values_{column}", relation, rows,
+                 keyed=(F.when(where_col(where) & bad, _value_text(column)), lambda n: n > 0))
 
 
 def unique(df: DataFrame, column: str, where=None, relation: str = "model") -> Check:
@@ -55,7 +60,8 @@ def unique(df: DataFrame, column: str, where=None, relation: str = "model") -> C
         return (filtered(df, where).where(col(column).isNotNull())
                 .groupBy(col(column).alias("unique_field")).agg(F.count(F.lit(1)).alias("n_records"))
                 .where(F.col("n_records") > 1))
-    return Check(f"unique_{column}", relation, rows)
+    return Check(f"unique_{column}", relation, rows,
+                 keyed=(F.when(where_col(where) & col(column).isNotNull(), _value_text(column)), lambda n: n > 1))
 
 
 def accepted_range(df: DataFrame, column: str, min_value=None, max_value=None, inclusive: bool = True,
@@ -89,8 +95,9 @@ def at_least_one(df: DataFrame, column: str, group_by: Sequence[str] = (), where
     def rows():
         first = first_non_null(filtered(df, where), column)   # stops at the first hit
         return first.agg(F.count(col(column)).alias("filler_column")).where(F.col("filler_column") == 0)
-    return Check(f"at_least_one_{column}", relation, rows, source=df,
-                 fused=F.when(F.count(F.when(where_col(where), col(column))) == 0, 1).otherwise(0))
+    held = F.count(F.when(where_col(where), col(column)))
+    return Check(f"at_least_one_{column}", relation, rows, source=df, fused=F.when(held == 0, 1).otherwise(0),
+                 state={"n": (held, "sum")}, verdict=lambda s: F.when(s("n") == 0, 1).otherwise(0))
 
 
 def not_constant(df: DataFrame, column: str, group_by: Sequence[str] = (), where=None,
@@ -105,15 +112,17 @@ def not_constant(df: DataFrame, column: str, group_by: Sequence[str] = (), where
         return (filtered(df, where).groupBy(*group_by)
                 .agg(F.when(one_value, F.lit(1)).otherwise(F.lit(0)).cast("bigint").alias("filler_column"))
                 .where(F.col("filler_column") == 1))
-    fused = None
-    if not group_by and _fixed_width(df, column):
-        # min/max buffers of fixed width keep the shared aggregate a hash
-        # aggregate; a text column would force a sort-based one for all checks
+    fused = state = None
+    if not group_by:
         w = where_col(where)
         xw = F.when(w, x)
-        fused = F.when((F.count(xw) > 0) & (F.min(xw) == F.max(xw)), 1).otherwise(0)
+        state = {"n": (F.count(xw), "sum"), "lo": (F.min(xw), "min"), "hi": (F.max(xw), "max")}
+        # min/max buffers of fixed width keep the shared aggregate a hash
+        # aggregate; a text column would force a sort-based one for all checks
+        if _fixed_width(df, column):
+            fused = F.when((F.count(xw) > 0) & (F.min(xw) == F.max(xw)), 1).otherwise(0)
     return Check(f"not_constant_{column}", relation, rows, source=df if fused is not None else None,
-                 fused=fused)
+                 fused=fused, state=state, verdict=lambda s: F.when((s("n") > 0) & (s("lo") == s("hi")), 1).otherwise(0))
 
 
 def not_null_proportion(df: DataFrame, column: str, at_least: float, at_most: float = 1.0,
@@ -126,14 +135,17 @@ def not_null_proportion(df: DataFrame, column: str, at_least: float, at_most: fl
     def rows():
         return (filtered(df, where).groupBy(*group_by).agg(prop.alias("not_null_proportion"))
                 .where((F.col("not_null_proportion") < at_least) | (F.col("not_null_proportion") > at_most)))
-    fused = None
+    fused = state = None
+
+    def outside(held: Column, n: Column) -> Column:
+        p = held.cast("double") / F.nullif(n, F.lit(0)).cast("double")  # no row, no share: passes
+        return F.when((p < at_least) | (p > at_most), 1).otherwise(0)
     if not group_by:
         w = where_col(where)
-        p = (F.sum(F.when(w & col(column).isNotNull(), 1).otherwise(0)).cast("double")
-             / F.nullif(F.sum(F.when(w, 1).otherwise(0)), F.lit(0)).cast("double"))  # no row, no share: passes
-        fused = F.when((p < at_least) | (p > at_most), 1).otherwise(0)
-    return Check(f"not_null_proportion_{column}", relation, rows,
-                 source=df if fused is not None else None, fused=fused)
+        state = {"held": (_sum_if(w & col(column).isNotNull()), "sum"), "n": (_sum_if(w), "sum")}
+        fused = outside(state["held"][0], state["n"][0])
+    return Check(f"not_null_proportion_{column}", relation, rows, source=df if fused is not None else None,
+                 fused=fused, state=state, verdict=lambda s: outside(s("held"), s("n")))
 
 
 def not_empty_string(df: DataFrame, column: str, trim_whitespace: bool = True, where=None,
@@ -155,7 +167,8 @@ def not_accepted_values(df: DataFrame, column: str, values: Sequence, quote: boo
     def rows():
         return (filtered(df, where).select(col(column).alias("value_field")).distinct()
                 .where(F.col("value_field").isin(*vals)))
-    return Check(f"not_accepted_values_{column}", relation, rows)
+    return Check(f"not_accepted_values_{column}", relation, rows,
+                 keyed=(F.when(where_col(where) & col(column).isin(*vals), _value_text(column)), lambda n: n > 0))
 
 
 def unique_combination(df: DataFrame, columns: Sequence[str], where=None,
@@ -164,7 +177,8 @@ def unique_combination(df: DataFrame, columns: Sequence[str], where=None,
     def rows():
         return (filtered(df, where).groupBy(*columns).agg(F.count(F.lit(1)).alias("_n"))
                 .where(F.col("_n") > 1).drop("_n"))
-    return Check("unique_combination_of_" + "_".join(columns), relation, rows)
+    return Check("unique_combination_of_" + "_".join(columns), relation, rows,
+                 keyed=(F.when(where_col(where), _value_text(*columns)), lambda n: n > 1))
 
 
 def expression_is_true(df: DataFrame, expression: str | Column, column: str | None = None,
@@ -196,7 +210,10 @@ def recency(df: DataFrame, field: str, datepart: str, interval: int, as_of=None,
         return (filtered(df, where).groupBy(*group_by).agg(newest.alias("most_recent"))
                 .select(*group_by, "most_recent", thr.alias("threshold"))
                 .where(F.col("most_recent") < F.col("threshold")))
-    return Check(f"recency_{field}", relation, rows)
+    latest = F.max(F.when(where_col(where), col(field)))
+    latest = latest.cast("date") if ignore_time_component else latest.cast("timestamp_ntz")
+    return Check(f"recency_{field}", relation, rows, state=None if group_by else {"newest": (latest, "max")},
+                 verdict=lambda s: F.when(s("newest") < thr, 1).otherwise(0))
 
 
 def assert_equal(df: DataFrame, actual: str, expected: str, relation: str = "model") -> Check:

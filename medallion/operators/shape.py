@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from medallion.functions.names import normalized_alias
+from medallion.session import checkpointed
 
 
 def _lower_set(names) -> set[str]:
@@ -116,6 +118,37 @@ def value_counts(df: DataFrame | None, column: str, order_by: str | Column = "co
     return out.drop("_order") if "_order" in out.columns else out
 
 
+# Types that the frequent-items sketch holds.
+_TRACKED_TYPES = (T.StringType, T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.DateType, T.BooleanType)
+
+
+def top_values(df: DataFrame, column: str, n: int, where: str | Column | None = None, tracked: int = 10_000) -> DataFrame:
+    """The ``n`` most frequent values with their counts, as ``value_counts`` gives them,
+    without counting every value (A12).
+
+    A frequent-items sketch of ``tracked`` values names candidates, which one further pass
+    counts exactly; only candidates are shuffled.  They are the answer if their counts add
+    up to all rows, or if the n-th of them is more frequent than any value can be that the
+    sketch left out (twice its error, 3.5 / 2^ceil(log2(tracked / 0.75)) of the rows).
+    Otherwise every value is counted.  NULL is always a candidate."""
+    src = df.where(where) if where is not None else df
+    kind = src.schema[column].dataType
+    tracked = max(tracked, n + 1)
+    full = value_counts(df, column, where=where, max_records=n)
+    if not isinstance(kind, _TRACKED_TYPES) or tracked > 1_000_000:
+        return full
+    c = F.col(column)
+    seen = src.agg(F.count(F.lit(1)).alias("rows"), F.expr(f"approx_top_k(`{column}`, {tracked}, {tracked})").alias("top")).first()
+    items = [r["item"] for r in seen["top"] or [] if r["item"] is not None]
+    counts = checkpointed(src.where(c.isNull() | c.isin(items)).groupBy(c.alias("value")).agg(F.count(F.lit(1)).alias("n")))
+    best = counts.orderBy(F.col("n").desc(), F.col("value").asc_nulls_first()).limit(n)
+    told = counts.agg(F.sum("n").alias("held")).crossJoin(best.agg(F.min("n").alias("least"), F.count(F.lit(1)).alias("found"))).first()
+    left_out = 2 * 3.5 / 2 ** math.ceil(math.log2(math.ceil(tracked / 0.75))) * seen["rows"]
+    if (told["held"] or 0) == seen["rows"] or told["found"] == n and told["least"] > left_out:
+        return best
+    return full
+
+
 def column_values(df: DataFrame | None, column: str, max_records: int | None = None, default: Sequence | None = None,
                   **kw) -> list:
     """The values of ``value_counts`` as a Python list — only for building a
@@ -137,18 +170,80 @@ _CMPS = {"=": "__eq__", "!=": "__ne__", "<>": "__ne__", "<": "__lt__", "<=": "__
          ">": "__gt__", ">=": "__ge__"}
 
 
+# Aggregates whose value over the rows of a group follows from their values per pivot
+# value; those of types the pivot aggregate holds in place.
+_IN_PLACE = (T.BooleanType, T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
+
+
+def _plain_values(df: DataFrame, column: str, values: Sequence) -> bool:
+    """Whether the values are literals of the column's own kind, each once."""
+    kind = df.schema[column].dataType if column in df.columns else None
+    kinds = {T.StringType: str, T.BooleanType: bool, T.ByteType: int, T.ShortType: int, T.IntegerType: int, T.LongType: int}
+    want = kinds.get(type(kind))
+    return want is not None and all(type(v) is want for v in values) and len(set(values)) == len(values)
+
+
+def _pivot_in_place(df: DataFrame, by: Sequence[str], column: str, values: Sequence, agg: str, then_value, else_value) -> DataFrame | None:
+    """The pivot in two phases, or None where its aggregate cannot be split.
+
+    First one row per (group, value), with a partial aggregate before the shuffle; then
+    Spark's pivot aggregate puts each into its place of one row per group.  A row of the
+    input costs one update, whatever the number of columns."""
+    then_c = then_value if isinstance(then_value, Column) else F.lit(then_value)
+    if isinstance(else_value, (Column, str)) or agg == "avg" and else_value is not None or not _plain_values(df, column, values):
+        return None
+    fns = {"sum": F.sum, "count": F.count, "max": F.max, "min": F.min, "avg": F.avg}
+    whole = fns[agg](F.when(F.col(column).isNull(), then_c).otherwise(F.lit(else_value)))
+    kind = df.agg(whole.alias("x")).schema["x"].dataType
+    if not isinstance(kind, _IN_PLACE) or not isinstance(df.select(then_c.alias("x")).schema["x"].dataType, _IN_PLACE):
+        return None
+    # values without a column of their own share one NULL key
+    key = F.when(F.col(column).isin(list(values)), F.col(column))
+    cells = df.groupBy(*by, key.alias("_pv_key")).agg(fns[agg](then_c).alias("_pv_agg"), F.count(F.lit(1)).alias("_pv_n"))
+    if else_value is None:
+        wide = cells.groupBy(*by).pivot("_pv_key", list(values)).agg(F.first("_pv_agg"))
+        out = wide.columns[len(by):]
+        fill = F.lit(0) if agg == "count" else None
+        return wide.select(*[F.col(f"`{c}`") for c in by],
+                           *[(F.coalesce(F.col(f"`{c}`"), fill) if fill is not None else F.col(f"`{c}`")).cast(kind).alias(c) for c in out])
+    # the rows of a group that do not match count with else_value: their number is the
+    # group's rows less the value's; the window needs no shuffle of its own
+    total = F.sum("_pv_n").over(Window.partitionBy(*by)) if by else F.sum("_pv_n").over(Window.partitionBy(F.lit(0)))
+    wide = (cells.withColumn("_pv_total", total).groupBy(*by, "_pv_total").pivot("_pv_key", list(values))
+            .agg(F.first("_pv_agg").alias("a"), F.first("_pv_n").alias("n")))
+    cols = wide.columns[len(by) + 1:]
+    out = []
+    for v, a_name, n_name in zip(values, cols[::2], cols[1::2]):
+        a, n = F.col(f"`{a_name}`"), F.coalesce(F.col(f"`{n_name}`"), F.lit(0))
+        rest, e = F.col("_pv_total") - n, F.lit(else_value)
+        if agg == "sum":
+            cell = F.when(rest > 0, F.coalesce(a, F.lit(0)) + (rest * e if else_value else F.lit(0))).otherwise(a)
+        elif agg == "count":
+            cell = F.coalesce(a, F.lit(0)) + rest
+        else:
+            cell = F.when(rest > 0, (F.greatest if agg == "max" else F.least)(a, e)).otherwise(a)
+        out.append(cell.cast(kind).alias(str(v)))
+    return wide.select(*[F.col(f"`{c}`") for c in by], *out)
+
+
 def pivot_columns(df: DataFrame, by: Sequence[str], column: str, values: Sequence | None = None,
                   agg: str = "sum", cmp: str = "=", prefix: str = "", suffix: str = "",
                   then_value=1, else_value=0, distinct: bool = False,
-                  normalize_names: bool = False, max_values: int = 10_000) -> DataFrame:
-    """One conditional aggregate per value: ``agg(case when column <cmp> value
-    then then_value else else_value end)`` grouped by ``by`` (R1).
+                  normalize_names: bool = False, max_values: int = 10_000, strategy: str = "auto") -> DataFrame:
+    """One aggregate per value: ``agg(case when column <cmp> value then then_value
+    else else_value end)`` grouped by ``by`` (R1).
 
     The default counts matches per group (0 when none).  ``values=None`` takes
     the distinct values of ``column``, most frequent first; more than
-    ``max_values`` raise.  Values may hold quotes; they are passed as literals."""
+    ``max_values`` raise.  Values may hold quotes; they are passed as literals.
+
+    ``strategy="auto"`` aggregates by (group, value) first and then places the cells
+    where the comparison is ``=`` and the aggregate can be split; other pivots, and
+    ``strategy="conditional"``, evaluate one expression per value and row."""
     if cmp not in _CMPS:
         raise ValueError(f"cmp must be one of {sorted(_CMPS)}")
+    if strategy not in ("auto", "conditional"):
+        raise ValueError("strategy must be 'auto' or 'conditional'")
     if values is None:
         values = column_values(df, column, max_records=max_values)
     fns = {"sum": F.sum, "count": F.count, "max": F.max, "min": F.min, "avg": F.avg}
@@ -157,15 +252,20 @@ def pivot_columns(df: DataFrame, by: Sequence[str], column: str, values: Sequenc
         raise ValueError(f"agg must be one of {sorted(fns)}")
     if distinct and agg not in distinct_fns:
         raise ValueError("distinct is supported for agg='sum' and agg='count'")
+    names = [f"{prefix}{v}{suffix}" for v in values]
+    names = [normalized_alias(n) if normalize_names else n for n in names]
+    if strategy == "auto" and cmp == "=" and values and not distinct:
+        placed = _pivot_in_place(df, by, column, values, agg, then_value, else_value)
+        if placed is not None:
+            return placed.toDF(*by, *names)
     aggs = []
-    for v in values:
+    for v, name in zip(values, names):
         cond = getattr(F.col(column), _CMPS[cmp])(F.lit(v))
         then_c = then_value if isinstance(then_value, Column) else F.lit(then_value)
         else_c = else_value if isinstance(else_value, Column) else F.lit(else_value)
         expr = F.when(cond, then_c).otherwise(else_c)
         a = distinct_fns[agg](expr) if distinct else fns[agg](expr)
-        name = f"{prefix}{v}{suffix}"
-        aggs.append(a.alias(normalized_alias(name) if normalize_names else name))
+        aggs.append(a.alias(name))
     return df.groupBy(*by).agg(*aggs)
 
 
@@ -210,6 +310,20 @@ def normalize_column_names(df: DataFrame) -> DataFrame:
 SOURCE_COLUMN = "_dbt_source_relation"
 
 
+def superset_columns(schemas: Sequence[T.StructType], include: Sequence[str] = (), exclude: Sequence[str] = (),
+                     case_sensitive: bool = False) -> dict[str, tuple[str, T.DataType]]:
+    """Columns of all schemas in first-seen order: key → (name, type) as first seen.
+    Unless ``case_sensitive`` 'Name' and 'name' are one column."""
+    inc, exc = _lower_set(include), _lower_set(exclude)
+    out: dict[str, tuple[str, T.DataType]] = {}
+    for schema in schemas:
+        for f in schema.fields:
+            low = f.name.lower()
+            if not ((exc and low in exc) or (inc and low not in inc)):
+                out.setdefault(f.name if case_sensitive else low, (f.name, f.dataType))
+    return out
+
+
 def union_relations(relations: Mapping[str, DataFrame] | Sequence[DataFrame],
                     include: Sequence[str] = (), exclude: Sequence[str] = (),
                     column_override: Mapping[str, str] | None = None,
@@ -228,28 +342,16 @@ def union_relations(relations: Mapping[str, DataFrame] | Sequence[DataFrame],
         [(f"relation_{i}", r) for i, r in enumerate(relations)]
     if not named:
         raise ValueError("no relations to union")
-    inc, exc = _lower_set(include), _lower_set(exclude)
     override = {k.lower(): v for k, v in (column_override or {}).items()}
     # Spark resolves names case-insensitively by default: 'Name' and 'name'
     # are one column, spelled as first seen.
     case_sensitive = named[0][1].sparkSession.conf.get("spark.sql.caseSensitive", "false") == "true"
-    norm = (lambda n: n) if case_sensitive else (lambda n: n.lower())
-    superset: dict[str, tuple[str, T.DataType]] = {}
-    present: list[dict[str, str]] = []
-    for _, rel in named:
-        mine: dict[str, str] = {}
-        for f in rel.schema.fields:
-            low = f.name.lower()
-            if (exc and low in exc) or (inc and low not in inc):
-                continue
-            mine[norm(f.name)] = f.name
-            superset.setdefault(norm(f.name), (f.name, f.dataType))
-        present.append(mine)
+    superset = superset_columns([r.schema for _, r in named], include, exclude, case_sensitive)
     if not superset:
-        raise ValueError("there were no columns found to union for relations "
-                         + ", ".join(n for n, _ in named))
+        raise ValueError(f"nothing to union: include / exclude leave no column of {', '.join(n for n, _ in named)}")
     parts = []
-    for (name, rel), mine in zip(named, present):
+    for name, rel in named:
+        mine = {k: c for k, (c, _) in superset_columns([rel.schema], case_sensitive=case_sensitive).items()}
         sel = [F.lit(name).cast("string").alias(source_column)] if source_column else []
         for key, (c, dtype) in superset.items():
             target = override.get(c.lower(), dtype)

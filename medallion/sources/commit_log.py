@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 LOG_SCHEMA = """commitInfo struct<version: bigint, timestamp: bigint, operation: string,
                                  operationParameters: map<string, string>>,
                 metaData struct<schemaString: string, partitionColumns: array<string>>,
+                txn struct<appId: string, version: bigint>,
                 add struct<path: string>"""
 
 

@@ -8,7 +8,9 @@ Layout under ``root``::
 A commit file holds JSON lines in the common transaction-log shape:
 ``{"commitInfo": {version, timestamp, operation, operationParameters}}``,
 ``{"metaData": {"schemaString", "partitionColumns"}}`` and one
-``{"add": {"path"}}`` per data directory of the version.  A version may
+``{"add": {"path"}}`` per data directory of the version; a commit made for a
+micro-batch of a stream also holds ``{"txn": {"appId", "version"}}``, so that a
+replayed batch is known to be there.  A version may
 reference directories written by older versions (partition-level upsert,
 restore), so nothing is copied that did not change.  Data is written first,
 the commit last, so a reader never sees half a version.  Every write has a
@@ -46,7 +48,7 @@ class SnapshotTable:
         self.spark = spark
         self.root = root.rstrip("/")
         self.partition_by = list(partition_by)
-        self._cached_state: dict[int, dict] | None = None
+        self._commit_cache: dict[int, dict] = {}
 
     # ---- log -------------------------------------------------------------
     def _log_dir(self) -> str:
@@ -59,64 +61,74 @@ class SnapshotTable:
         """version, timestamp, operation, operationParameters, ordered (H2)."""
         return history_from_log(self.spark, self._log_dir()).orderBy("version")
 
-    def _commits(self) -> DataFrame:
-        return self.spark.read.json(self._log_dir())
-
-    def _state(self) -> dict[int, dict]:
-        """Per version: its data paths and schema — the commit log is metadata
-        (a few lines per version), read once with one small job and kept until
-        the next commit by this handle."""
-        if self._cached_state is None:
-            if not self.exists():
-                return {}
-            raw = (self.spark.read.schema(LOG_SCHEMA).option("recursiveFileLookup", "true").json(self._log_dir())
-                   .select(version_from_path(F.col("_metadata.file_path")).alias("version"),
-                           F.col("commitInfo.operation").alias("op"), F.col("add.path").alias("path"),
-                           F.col("metaData.schemaString").alias("schema")).collect())
-            state: dict[int, dict] = {}
-            for r in raw:
-                e = state.setdefault(r["version"], {"paths": set(), "schema": None, "committed": False})
-                if r["path"] is not None:
-                    e["paths"].add(r["path"])
-                if r["schema"] is not None:
-                    e["schema"] = r["schema"]
-                if r["op"] is not None:
-                    e["committed"] = True
-            self._cached_state = {v: e for v, e in state.items() if e["committed"]}
-        return self._cached_state
+    def _log(self) -> DataFrame:
+        """The lines of all commits with their version."""
+        return (self.spark.read.schema(LOG_SCHEMA).option("recursiveFileLookup", "true").json(self._log_dir())
+                .withColumn("version", version_from_path(F.col("_metadata.file_path"))))
+
+    def _commit_path(self, version: int) -> str:
+        return f"{self._log_dir()}/v={version:020d}"
+
+    def _adds(self, version: int) -> DataFrame:
+        """The data paths (``rel``) that the commit of ``version`` names."""
+        self._commit(version)
+        return (self.spark.read.schema(LOG_SCHEMA).json(self._commit_path(version))
+                .where(F.col("add").isNotNull()).select(F.col("add.path").alias("rel")))
+
+    def _commit(self, version: int, missing_ok: bool = False) -> dict | None:
+        """Paths and schema of one version, read from its own commit; the two last
+        read are kept (a committed version never changes)."""
+        if version not in self._commit_cache:
+            path = self._commit_path(version)
+            lines = [] if version < 0 or not path_exists(self.spark, path) else (
+                self.spark.read.schema(LOG_SCHEMA).json(path)
+                .select(F.col("commitInfo.operation").alias("op"), F.col("add.path").alias("path"),
+                        F.col("metaData.schemaString").alias("schema")).collect())
+            if not any(r["op"] is not None for r in lines):
+                if missing_ok:
+                    return None
+                raise ValueError(f"version {version} does not exist")
+            while len(self._commit_cache) > 1:
+                self._commit_cache.pop(next(iter(self._commit_cache)))
+            self._commit_cache[version] = {"paths": sorted({r["path"] for r in lines if r["path"] is not None}),
+                                           "schema": next(r["schema"] for r in lines if r["schema"] is not None)}
+        return self._commit_cache[version]
 
     def latest_version(self) -> int | None:
-        st = self._state()
-        return max(st) if st else None
+        """The greatest committed version: one aggregate over the log."""
+        if not self.exists():
+            return None
+        return self._log().where(F.col("commitInfo").isNotNull()).agg(F.max("version")).first()[0]
 
-    def _paths(self, version: int) -> list[str]:
-        st = self._state()
-        if version not in st:
-            raise ValueError(f"version {version} does not exist")
-        return sorted(st[version]["paths"])
+    def last_txn(self, app_id: str) -> int | None:
+        """The last micro-batch that ``app_id`` has committed."""
+        if not self.exists():
+            return None
+        return self._log().where(F.col("txn.appId") == F.lit(app_id)).agg(F.max("txn.version")).first()[0]
 
-    def _versions(self) -> set[int]:
-        return set(self._state())
+    def _paths(self, version: int) -> list[str]:
+        return self._commit(version)["paths"]
 
     def _schema(self, version: int) -> T.StructType:
-        st = self._state()
-        if version not in st:
-            raise ValueError(f"version {version} does not exist")
-        return T.StructType.fromJson(json.loads(st[version]["schema"]))
+        return T.StructType.fromJson(json.loads(self._commit(version)["schema"]))
 
     def _write_commit(self, version: int, operation: str, params: dict, schema: T.StructType,
-                      paths: Sequence[str]) -> None:
+                      paths: Sequence[str], more: DataFrame | None = None, txn: tuple[str, int] | None = None) -> None:
+        """Write the commit of a version as one file.  ``more`` holds further data
+        paths (``rel``), which go from Spark to the file without passing the driver."""
         info = {"commitInfo": {"version": version, "timestamp": int(time.time() * 1000),
                                "operation": operation,
                                "operationParameters": {k: str(v) for k, v in (params or {}).items()}}}
         meta = {"metaData": {"schemaString": schema.json(), "partitionColumns": self.partition_by}}
         lines = [json.dumps(info), json.dumps(meta)] + [json.dumps({"add": {"path": p}}) for p in paths]
-        path = f"{self._log_dir()}/v={version:020d}"
-        self._cached_state = None
-        dead = path_exists(self.spark, path) and version not in self._versions()
-        (self.spark.createDataFrame([(ln,) for ln in lines], "value string").coalesce(1)
-         .write.mode("overwrite" if dead else "errorifexists").text(path))
-        self._cached_state = None
+        if txn is not None:
+            lines.append(json.dumps({"txn": {"appId": txn[0], "version": txn[1]}}))
+        out = self.spark.createDataFrame([(ln,) for ln in lines], "value string")
+        if more is not None:
+            out = out.union(more.select(F.to_json(F.struct(F.struct(F.col("rel").alias("path")).alias("add")))))
+        path = self._commit_path(version)
+        dead = path_exists(self.spark, path) and self._commit(version, missing_ok=True) is None
+        out.coalesce(1).write.mode("overwrite" if dead else "errorifexists").text(path)
 
     # ---- read ------------------------------------------------------------
     def read(self, version: int | None = None) -> DataFrame:
@@ -156,7 +168,6 @@ class SnapshotTable:
 
     # ---- write -----------------------------------------------------------
     def _next_version(self) -> int:
-        self._cached_state = None
         v = self.latest_version()
         return 0 if v is None else v + 1
 
@@ -180,7 +191,7 @@ class SnapshotTable:
     def restore(self, version: int) -> int:
         """New version whose rows equal ``version``'s (H9); no data is copied."""
         v = self._next_version()
-        self._write_commit(v, "RESTORE", {"version": version}, self._schema(version), self._paths(version))
+        self._write_commit(v, "RESTORE", {"version": version}, self._schema(version), [], more=self._adds(version))
         return v
 
     def add_column(self, fn: Callable[[DataFrame], DataFrame], operation: str = "WRITE",
@@ -197,22 +208,24 @@ class SnapshotTable:
         files = (self.spark.read.format("binaryFile").option("recursiveFileLookup", "true")
                  .option("pathGlobFilter", "*.parquet").load([f"{self.root}/{p}" for p in self._paths(version)])
                  .select("path"))
-        rel = F.concat(F.lit("data/"), F.regexp_extract(F.col("path"), rf"^.*/data/({VERSION_DIR}=[^/]+/.*)/[^/]*$", 1))
+        rel = F.concat(F.lit("data/"), F.regexp_extract(F.col("path"), rf"^.*/data/({VERSION_DIR}=[^/]+(?:/[^/]+)*)/[^/]*$", 1))
         vals = [_dir_value(c).try_cast(schema[c].dataType).alias(c) for c in self.partition_by]
         return files.select(rel.alias("rel"), *vals).distinct()
 
     def upsert(self, source: DataFrame, keys: Sequence[str], operation: str = "MERGE",
-               by_partition: bool = False) -> int:
+               by_partition: bool = False, sequence_by: str | None = None, txn: tuple[str, int] | None = None) -> int:
         """Keyed upsert as a new version (J1): target rows whose key is in the
         source are replaced, other target rows kept, new keys inserted.  NULL
         keys never match (they are inserted).  Duplicate source keys raise.
 
         ``by_partition=True`` rewrites only partitions touched by the change
         (the source's partitions and those of replaced rows); untouched
-        partition directories are referenced, not copied."""
+        partition directories are referenced, not copied.  With ``sequence_by`` a
+        source row does not replace a target row whose value there is greater (a
+        NULL is the least).  ``txn`` (application, number) is part of the commit,
+        see ``last_txn``."""
         keys = list(keys)
         source = checkpointed(source)  # evaluated once: key check, partitions and rows read it
-        self._cached_state = None
         any_null = F.lit(False)
         for k in keys:
             any_null = any_null | F.col(k).isNull()
@@ -220,19 +233,25 @@ class SnapshotTable:
                .groupBy(*keys).count().where(F.col("count") > 1).limit(1).collect())
         if dup:
             raise ValueError(f"duplicate source keys, e.g. {dup[0].asDict()}")
-        if not self.exists():
-            return self.commit(source, operation, {"predicate": " AND ".join(keys)})
-        target = self.read()
+        v = self._next_version()
+        if not v:
+            rel = self._write_data(source, v)
+            self._write_commit(v, operation, {"predicate": " AND ".join(keys)}, source.schema, [rel], txn=txn)
+            return v
+        target = self.read(v - 1)
         src = ensure_columns(source, target.schema)
         src = src.select(*[F.col(f.name).cast(f.dataType) for f in target.schema.fields],
                          *[c for c in src.columns if c not in target.columns])
+        if sequence_by is not None:
+            held = target.select(*keys, F.col(sequence_by).alias("_snap_seq"))
+            late = F.col("_snap_seq").isNotNull() & ~F.coalesce(F.col(sequence_by) >= F.col("_snap_seq"), F.lit(False))
+            src = checkpointed(src.join(held, keys, "left").where(~late).select(*src.columns))
         kept = target.join(src.select(*keys), keys, "left_anti")
         merged = kept.unionByName(src, allowMissingColumns=True)
-        v = self._next_version()
         params = {"predicate": " AND ".join(f"target.{k} = source.{k}" for k in keys)}
         if not by_partition or not self.partition_by:
             rel = self._write_data(merged, v)
-            self._write_commit(v, operation, params, merged.schema, [rel])
+            self._write_commit(v, operation, params, merged.schema, [rel], txn=txn)
             return v
         # partitions touched: those of the source rows and of the replaced rows;
         # keys that hold the partition columns replace rows of the same partition
@@ -240,23 +259,22 @@ class SnapshotTable:
         touched = src.select(*p)
         if not set(p) <= set(keys):
             touched = touched.unionByName(target.join(src.select(*keys), keys, "left_semi").select(*p))
-        touched = checkpointed(touched.distinct())
         # of the table's partition directories (file listing only) the touched
         # ones are read and rewritten, the others are named by the new commit
         dirs = self._partition_dirs(v - 1).select("rel", *[F.col(c) for c in p])
-        changed = [r["rel"] for r in _null_safe_join(dirs, touched, p, "left_semi").select("rel").distinct().collect()]
-        keep_paths = [r["rel"] for r in _null_safe_join(dirs, touched, p, "left_anti").select("rel").distinct().collect()]
+        marked = checkpointed(_null_safe_join(dirs, touched.distinct().withColumn("_snap_hit", F.lit(True)), p, "left")
+                              .select("rel", "_snap_hit"))
+        changed = [r["rel"] for r in marked.where(F.col("_snap_hit")).collect()]
         kept_t = self._read_paths(target.schema, changed).join(src.select(*keys), keys, "left_anti")
         rel = self._write_data(kept_t.unionByName(src, allowMissingColumns=True), v)
-        self._write_commit(v, operation, params, merged.schema, [rel, *keep_paths])
+        self._write_commit(v, operation, params, merged.schema, [rel], more=marked.where(F.col("_snap_hit").isNull()), txn=txn)
         return v
 
     # ---- inspect ---------------------------------------------------------
     def schema_by_version(self) -> DataFrame:
         """version × column presence matrix from the logged schemas (H6)."""
         fields = "struct<fields: array<struct<name: string>>>"
-        m = (self._commits().where(F.col("metaData").isNotNull())
-             .withColumn("version", F.regexp_extract(F.col("_metadata.file_path"), r"/v=(\d+)/", 1).cast("long"))
+        m = (self._log().where(F.col("metaData").isNotNull())
              .select("version", F.explode(F.from_json("metaData.schemaString", fields)["fields"]).alias("f"))
              .select("version", F.col("f.name").alias("column")))
         return m.groupBy("version").pivot("column").agg(F.count(F.lit(1)) > 0).na.fill(False).orderBy("version")
@@ -271,9 +289,20 @@ class SnapshotTable:
             F.array_sort(F.array_except(ca, cb)).alias("removed"),
             F.array_sort(F.array_intersect(ca, cb)).alias("common"))
 
+    def _changed_dirs(self, a: int, b: int) -> tuple[list[str], list[str]]:
+        """Data directories of only the one or only the other version, by the file
+        listing: a set difference in Spark, so shared ones do not reach the driver."""
+        sides = (self._partition_dirs(a).select("rel", F.lit(1).alias("side"))
+                 .union(self._partition_dirs(b).select("rel", F.lit(2).alias("side")))
+                 .groupBy("rel").agg(F.bit_or("side").alias("sides")).where("sides <> 3").collect())
+        return tuple(sorted(r["rel"] for r in sides if r["sides"] == s) for s in (1, 2))
+
     def data_diff(self, a: int, b: int, keys: Sequence[str]) -> DataFrame:
-        """Rows added, removed or changed from version a to b, by key (H8)."""
-        return data_diff(self.read(a), self.read(b), keys)
+        """Rows added, removed or changed from version a to b, by key (H8).  Keys are
+        unique in a version, so rows of a directory that both versions share cannot
+        differ: only the directories of one of them are read and joined."""
+        only_a, only_b = self._changed_dirs(a, b)
+        return data_diff(self._read_paths(self._schema(a), only_a), self._read_paths(self._schema(b), only_b), keys)
 
     def compare_summaries(self, versions: Sequence[int], column: str) -> DataFrame:
         """Row count and rounded mean of ``column`` per version."""

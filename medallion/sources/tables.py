@@ -63,11 +63,25 @@ def rebalanced(df: DataFrame, by: Sequence[str]) -> DataFrame:
 
 
 def write_partitioned(df: DataFrame, path: str, by: Sequence[str] = (), mode: str = "overwrite",
-                      fmt: str = "parquet") -> None:
+                      fmt: str = "parquet", sort_by: Sequence[str] = (), bloom: Sequence[str] = (),
+                      row_group_bytes: int | None = None) -> None:
     """Create or fully overwrite a partitioned table (S6).  Rows are clustered
-    by the partition columns first so each task writes few files."""
+    by the partition columns first so each task writes few files.
+
+    For point reads (see ``read_where``): ``sort_by`` orders the rows of each partition over
+    its files, so a value's range of row groups is narrow; ``bloom`` columns get a Parquet
+    bloom filter per row group, which tells where a value is not, whatever the order;
+    ``row_group_bytes`` sets how much is skipped at a time."""
     out = rebalanced(df, by) if by else df
+    if sort_by:
+        if not by:  # ranges of the sort columns, so files do not overlap either
+            out = df.repartitionByRange(*[F.col(c) for c in sort_by])
+        out = out.sortWithinPartitions(*by, *sort_by)
     w = out.write.mode(mode).format(fmt).option("partitionOverwriteMode", "static")
+    for c in bloom:
+        w = w.option(f"parquet.bloom.filter.enabled#{c}", "true")
+    if row_group_bytes:
+        w = w.option("parquet.block.size", row_group_bytes)
     if by:
         w = w.partitionBy(*by)
     w.save(path)
@@ -89,6 +103,16 @@ def read_partition_pruned(spark: SparkSession, path: str, **values) -> DataFrame
     return df
 
 
+def read_where(spark: SparkSession, path: str, schema=None, **values) -> DataFrame:
+    """Rows whose columns equal the given values (S10).  Partition columns prune
+    directories; for others the row groups' ranges and bloom filters are asked, so of a
+    table written for it only row groups that may hold the value leave the scan."""
+    df = (spark.read.schema(schema) if schema is not None else spark.read).parquet(path)
+    for k, v in values.items():
+        df = df.where(F.col(k) == F.lit(v))
+    return df
+
+
 def export_parquet(df: DataFrame, path: str) -> None:
     """Plain Parquet copy of a table's current rows."""
     df.write.mode("overwrite").parquet(path)

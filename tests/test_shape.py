@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 
 from medallion.operators import sets, shape
 from medallion.operators.catalog import columns_as_arrays, with_scalar
+from medallion.plans.inspect import count_nodes, physical_plan
 
 
 def test_pivot_counts_and_apostrophe(spark):
@@ -99,3 +100,31 @@ def test_with_scalar_and_arrays(spark):
     t = spark.createDataFrame([(1, "a", True), (2, None, None), (3, "c", False)], "col_1 int, col_2 string, col_3 boolean")
     r = columns_as_arrays(t, ["col_1", "col_2", "col_3"], ["col_1"]).first()
     assert r["col_1"] == [1, 2, 3] and r["col_2"] == ["a", None, "c"] and r["col_3"] == [True, None, False]
+
+
+def _cells(df):
+    return sorted(map(str, df.collect()))
+
+
+@pytest.mark.parametrize("agg", ["sum", "count", "max", "min", "avg"])
+@pytest.mark.parametrize("else_value", [0, None, 5, -2.5])
+def test_pivot_strategies_agree(spark, agg, else_value):
+    rows = [(g, k, v) for g in ("x", "y", None) for k, v in (("a", 1.5), ("a", None), ("b", 2.0), (None, 4.0), ("z", 8.0))][:-2]
+    rows += [("only a", "a", None), ("no v", "q", 1.0)]
+    df = spark.createDataFrame(rows, "g string, k string, v double")
+    for then in (1, F.col("v"), F.col("v").cast("decimal(10,2)")):
+        one, two = (shape.pivot_columns(df, ["g"], "k", ["b", "a", "it's"], agg=agg, then_value=then, else_value=else_value, prefix="n.",
+                                  strategy=s) for s in ("conditional", "auto"))
+        assert one.dtypes == two.dtypes and _cells(one) == _cells(two), (then, else_value)
+
+
+def test_pivot_is_two_phase(spark):
+    df = spark.range(1000).selectExpr("id % 5 as g", "id % 100 as k")
+    wide = shape.pivot_columns(df, ["g"], "k", list(range(100)))
+    plan = physical_plan(wide)
+    assert "pivotfirst" in plan.lower() and plan.count("CASE WHEN (k") <= 1
+    # rows meet as partial cells by (group, value), cells by group
+    assert count_nodes(wide, "Exchange") == 2
+    assert _cells(wide) == _cells(shape.pivot_columns(df, ["g"], "k", list(range(100)), strategy="conditional"))
+    # no group: one row
+    assert shape.pivot_columns(df, [], "k", [1, 2]).collect() == shape.pivot_columns(df, [], "k", [1, 2], strategy="conditional").collect()
