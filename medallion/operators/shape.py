@@ -183,7 +183,12 @@ def _plain_values(df: DataFrame, column: str, values: Sequence) -> bool:
     return want is not None and all(type(v) is want for v in values) and len(set(values)) == len(values)
 
 
-def _pivot_in_place(df: DataFrame, by: Sequence[str], column: str, values: Sequence, agg: str, then_value, else_value) -> DataFrame | None:
+def _quote(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _pivot_in_place(df: DataFrame, by: Sequence[str], column: str, values: Sequence, names: Sequence[str], agg: str,
+                    then_value, else_value) -> DataFrame | None:
     """The pivot in two phases, or None where its aggregate cannot be split.
 
     First one row per (group, value), with a partial aggregate before the shuffle; then
@@ -194,36 +199,46 @@ def _pivot_in_place(df: DataFrame, by: Sequence[str], column: str, values: Seque
         return None
     fns = {"sum": F.sum, "count": F.count, "max": F.max, "min": F.min, "avg": F.avg}
     whole = fns[agg](F.when(F.col(column).isNull(), then_c).otherwise(F.lit(else_value)))
-    kind = df.agg(whole.alias("x")).schema["x"].dataType
-    if not isinstance(kind, _IN_PLACE) or not isinstance(df.select(then_c.alias("x")).schema["x"].dataType, _IN_PLACE):
+    kinds = df.agg(whole.alias("x"), F.first(then_c).alias("then")).schema
+    kind = kinds["x"].dataType
+    if not isinstance(kind, _IN_PLACE) or not isinstance(kinds["then"].dataType, _IN_PLACE):
         return None
     # values without a column of their own share one NULL key
     key = F.when(F.col(column).isin(list(values)), F.col(column))
-    cells = df.groupBy(*by, key.alias("_pv_key")).agg(fns[agg](then_c).alias("_pv_agg"), F.count(F.lit(1)).alias("_pv_n"))
-    if else_value is None:
-        wide = cells.groupBy(*by).pivot("_pv_key", list(values)).agg(F.first("_pv_agg"))
-        out = wide.columns[len(by):]
-        fill = F.lit(0) if agg == "count" else None
-        return wide.select(*[F.col(f"`{c}`") for c in by],
-                           *[(F.coalesce(F.col(f"`{c}`"), fill) if fill is not None else F.col(f"`{c}`")).cast(kind).alias(c) for c in out])
+    sql = kind.simpleString()
+    keys = [_quote(c) for c in by]
+    constant = not isinstance(then_value, Column) and then_value is not None
+    if else_value is None or constant and agg == "sum" and else_value == 0:
+        # a value no row of the group has: NULL, or the 0 that other rows count
+        wide = df.groupBy(*by, key.alias("_pv_key")).agg(fns[agg](then_c).alias("_pv_agg"))
+        wide = wide.groupBy(*by).pivot("_pv_key", list(values)).agg(F.first("_pv_agg"))
+        fill = else_value is not None or agg == "count"
+        cells = [f"CAST({f'coalesce({_quote(c)}, 0)' if fill else _quote(c)} AS {sql}) AS {_quote(n)}"
+                 for c, n in zip(wide.columns[len(by):], names)]
+        return wide.selectExpr(*keys, *cells)
     # the rows of a group that do not match count with else_value: their number is the
     # group's rows less the value's; the window needs no shuffle of its own
-    total = F.sum("_pv_n").over(Window.partitionBy(*by)) if by else F.sum("_pv_n").over(Window.partitionBy(F.lit(0)))
+    cells = df.groupBy(*by, key.alias("_pv_key")).agg(fns[agg](then_c).alias("_pv_agg"), F.count(F.lit(1)).alias("_pv_n"))
+    total = F.sum("_pv_n").over(Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0)))
     wide = (cells.withColumn("_pv_total", total).groupBy(*by, "_pv_total").pivot("_pv_key", list(values))
             .agg(F.first("_pv_agg").alias("a"), F.first("_pv_n").alias("n")))
     cols = wide.columns[len(by) + 1:]
     out = []
-    for v, a_name, n_name in zip(values, cols[::2], cols[1::2]):
-        a, n = F.col(f"`{a_name}`"), F.coalesce(F.col(f"`{n_name}`"), F.lit(0))
-        rest, e = F.col("_pv_total") - n, F.lit(else_value)
+    for name, a_name, n_name in zip(names, cols[::2], cols[1::2]):
+        a, rest = _quote(a_name), f"(_pv_total - coalesce({_quote(n_name)}, 0))"
         if agg == "sum":
-            cell = F.when(rest > 0, F.coalesce(a, F.lit(0)) + (rest * e if else_value else F.lit(0))).otherwise(a)
+            cell = f"CASE WHEN {rest} > 0 THEN coalesce({a}, 0) + {rest} * {_number(else_value)} ELSE {a} END"
         elif agg == "count":
-            cell = F.coalesce(a, F.lit(0)) + rest
+            cell = f"coalesce({a}, 0) + {rest}"
         else:
-            cell = F.when(rest > 0, (F.greatest if agg == "max" else F.least)(a, e)).otherwise(a)
-        out.append(cell.cast(kind).alias(str(v)))
-    return wide.select(*[F.col(f"`{c}`") for c in by], *out)
+            cell = f"CASE WHEN {rest} > 0 THEN {'greatest' if agg == 'max' else 'least'}({a}, {_number(else_value)}) ELSE {a} END"
+        out.append(f"CAST({cell} AS {sql}) AS {_quote(name)}")
+    return wide.selectExpr(*keys, *out)
+
+
+def _number(value) -> str:
+    """A Python number or boolean as the literal that ``lit`` makes of it."""
+    return str(value).lower() if isinstance(value, bool) else f"{value!r}D" if isinstance(value, float) else str(value)
 
 
 def pivot_columns(df: DataFrame, by: Sequence[str], column: str, values: Sequence | None = None,
@@ -255,9 +270,9 @@ def pivot_columns(df: DataFrame, by: Sequence[str], column: str, values: Sequenc
     names = [f"{prefix}{v}{suffix}" for v in values]
     names = [normalized_alias(n) if normalize_names else n for n in names]
     if strategy == "auto" and cmp == "=" and values and not distinct:
-        placed = _pivot_in_place(df, by, column, values, agg, then_value, else_value)
+        placed = _pivot_in_place(df, by, column, values, names, agg, then_value, else_value)
         if placed is not None:
-            return placed.toDF(*by, *names)
+            return placed
     aggs = []
     for v, name in zip(values, names):
         cond = getattr(F.col(column), _CMPS[cmp])(F.lit(v))
