@@ -1,8 +1,9 @@
 """Helpers shared by the training-data operators.
 
-A *word* is a run of characters other than U+0020 and U+0009..U+000D.  Internal
-columns start with ``__`` and inputs are narrowed to the columns an operator
-reads before any are added, so extra input columns cannot clash.
+A *word* is a run of characters other than U+0020 and U+0009..U+000D.  Operators
+narrow their input to the columns they read, or carry whole rows in one struct
+(``packed``), before they add columns of their own, so input columns of any name
+come out as they went in.
 """
 
 from __future__ import annotations
@@ -32,6 +33,16 @@ def ascii_lower(c: Column) -> Column:
     return F.when(F.octet_length(c) == F.char_length(c), F.lower(c)).otherwise(F.translate(c, _UPPER, _LOWER))
 
 
+def packed(df: DataFrame, **read: Column) -> DataFrame:
+    """The rows of ``df`` in one struct, ``__row``, beside the columns to be read."""
+    return df.select(F.struct(*[col(c) for c in df.columns]).alias("__row"), *[c.alias(n) for n, c in read.items()])
+
+
+def unpacked(df: DataFrame, columns: list[str], **instead: Column) -> DataFrame:
+    """The packed columns again, some of them replaced."""
+    return df.select(*[instead.get(c, F.col("__row").getField(c)).alias(c) for c in columns])
+
+
 def words(c: Column) -> Column:
     return F.regexp_extract_all(c, F.lit(f"({WORD})"), F.lit(1))
 

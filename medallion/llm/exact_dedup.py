@@ -22,7 +22,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from medallion.llm.common import ascii_lower, col, has_rows, staged, text_or_empty
+from medallion.llm.common import ascii_lower, col, has_rows, packed, staged, text_or_empty, unpacked
 
 
 def content_hash(c: Column) -> Column:
@@ -39,10 +39,9 @@ def _groups(df: DataFrame, id_col: str, text_col: str, keep: str, normalise, has
 
 
 def _labelled(df: DataFrame, id_col: str, text_col: str, keep: str, normalise, hash_fn) -> DataFrame:
-    """``df`` with ``__id __keep __n __sha __kept``."""
+    """The rows of ``df``, packed, with ``__id __keep __n __sha __kept``."""
     groups = _groups(df, id_col, text_col, keep, normalise, hash_fn)
-    docs = (df.withColumn("__id", col(id_col)).withColumn("__t", normalise(text_or_empty(text_col)))
-            .withColumn("__h", hash_fn(F.col("__t"))))
+    docs = packed(df, __id=col(id_col), __t=normalise(text_or_empty(text_col))).withColumn("__h", hash_fn(F.col("__t")))
     shared = groups.groupBy("__h").count().filter("count > 1").select("__h")
     plain = groups.drop("__x")
     if has_rows(shared):
@@ -78,5 +77,4 @@ def exact_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", k
                 normalise: Callable[[Column], Column] = ascii_lower,
                 hash_fn: Callable[[Column], Column] = content_hash) -> DataFrame:
     """The rows that stay, with their own columns."""
-    return (_labelled(df, id_col, text_col, keep, normalise, hash_fn)
-            .filter("__kept").drop("__id", "__keep", "__n", "__sha", "__kept"))
+    return unpacked(_labelled(df, id_col, text_col, keep, normalise, hash_fn).filter("__kept"), df.columns)

@@ -30,7 +30,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from medallion.llm.common import col, n_words, staged, text_or_empty
+from medallion.llm.common import col, n_words, packed, staged, text_or_empty, unpacked
 
 BLOCK_BITS = 16
 _WAYS, _ROUNDS = 32, 6
@@ -145,8 +145,9 @@ def mix_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                   budget: float | None = None) -> DataFrame:
     """The mix: every document as often as it has copies, with its own columns, in
     the block order of each epoch."""
-    d = _mixed(df, id_col, text_col, source_col, seed, max_repeat=max_repeat, min_entropy=min_entropy, budget=budget)
+    rows = packed(df, __doc=col(id_col), __in=col(text_col), __from=col(source_col))
+    d = _mixed(rows, "__doc", "__in", "__from", seed, max_repeat=max_repeat, min_entropy=min_entropy, budget=budget)
     d = d.filter("__copies > 0").withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies"))))
     place = F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.col("__copy"), F.col("__key")), 2)
     d = d.withColumn("__place", place).orderBy("__copy", F.shiftright("__place", 62 - BLOCK_BITS), "__place")
-    return d.select(*[col(c) for c in df.columns])
+    return unpacked(d, df.columns)

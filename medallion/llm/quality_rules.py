@@ -20,7 +20,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from medallion.llm.common import WORD, col, text_or_empty, words
+from medallion.llm.common import WORD, col, packed, text_or_empty, unpacked, words
 
 SYMBOLS = r"[#*$%&|<>]"
 SPACE = r"[\x20\x09-\x0D]"
@@ -118,12 +118,11 @@ def quality_clean(df: DataFrame, text_col: str = "text", chars_col: str | None =
                   rules: LineRules | None = None) -> DataFrame:
     """The documents kept, failing lines removed, with their own columns;
     ``chars_col``, if there, is brought up to date."""
-    names = df.columns
-    d = quality_measures(df, text_col, rules)
+    d = quality_measures(packed(df, __in=col(text_col)), "__in", rules)
     # a column that is not a pure function of its row keeps the filter above the
     # measures; pushed below them it would hold, and work out, all of them again
     d = d.withColumn("__go", F.col("__kept") & (F.monotonically_increasing_id() >= 0)).filter("__go")
-    d = d.withColumn(text_col, F.col("__clean"))
-    if chars_col in names:
-        d = d.withColumn(chars_col, F.char_length("__clean").cast(df.schema[chars_col].dataType))
-    return d.select(names)
+    new = {text_col: F.col("__clean")}
+    if chars_col in df.columns:
+        new[chars_col] = F.char_length("__clean").cast(df.schema[chars_col].dataType)
+    return unpacked(d, df.columns, **new)

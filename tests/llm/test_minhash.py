@@ -91,13 +91,14 @@ def test_wide_bucket_of_many_classes(spark, monkeypatch):
         got[r.class_id].append(r.doc_id)
     want = brute(list(enumerate(texts)))
     assert {tuple(sorted(g)) for g in got.values()} == want and len(want) == 110
-    assert len(groups) == 3 and max(groups) <= 32
+    # two passes inside blocks, the hubs, and guests against blocks
+    assert len(groups) == 4 and max(groups) <= 32
 
 
 def test_guests_are_dealt_in_blocks(spark):
     from medallion.llm.minhash import _dealt
 
-    wide = spark.range(300).selectExpr("7L as bucket", "cast(id as string) as node", "if(id < 20, '0', cast(id as string)) as comp")
+    wide = spark.range(300).selectExpr("7L as bucket", "cast(id as string) as node", "if(id < 20, '0', cast(id as string)) as comp", "1L as size")
     groups, met = defaultdict(list), set()
     for r in _dealt(wide, 16).collect():
         groups[r.block].append(r)
@@ -105,3 +106,45 @@ def test_guests_are_dealt_in_blocks(spark):
         assert len(rows) <= 80
         met |= {frozenset((a.comp, b.comp)) for a in rows for b in rows if a.guest and not b.guest and a.comp != b.comp}
     assert len(met) == 281 * 280 // 2
+
+
+def test_template_texts_take_bounded_work(spark, monkeypatch):
+    """2,000 texts of one template: copies of the template are one class, texts that
+    share four fifths of it stay apart, and rows and overlaps stay few."""
+    from medallion.llm import minhash
+
+    base = prose(9, 150).split()
+    near = [" ".join(base[:k % 140] + ["edit%d" % k] + base[k % 140 + 1:]) for k in range(1500)]
+    far = [" ".join(base[:60] + prose(1000 + k, 20).split() + base[80:]) for k in range(500)]
+    met, dealt = [], minhash._linked
+
+    def seen(rows, bags):
+        met.append(rows.count())
+        return dealt(rows, bags)
+
+    monkeypatch.setattr(minhash, "_linked", seen)
+    got = Counter(r.class_id for r in near_labels(documents(spark, [" ".join(base), *near, *far]).repartition(4)).collect())
+    assert sorted(got.values()) == [1] * 500 + [1501]
+    # a text is looked at once a bucket: at most 20 rows each over all passes but the last
+    assert sum(met) <= 20 * 2001
+
+
+def test_hub_makes_copies_one_class_at_once():
+    """In a block of copies the first row, the hub, links them all."""
+    import pyarrow as pa
+
+    from medallion.llm import minhash
+
+    base = prose(4, 200)
+    texts = [base] + [edited(base, [k % 200, (7 * k + 3) % 200]) for k in range(400)]
+    hs = [shingles(t) for t in texts]
+    sig = (minhash._prints(signatures([_bag(h) for h in hs])) >> np.uint64(56)).astype(np.uint8)
+    group = pa.table({"bucket": [5] * 401, "block": [0] * 401, "node": [str(k) for k in range(401)], "comp": [f"{k:03d}" for k in range(401)],
+                      "guest": [False] * 401, "sig": [s.tobytes() for s in sig], "bag": [minhash._numbered(h).tobytes() for h in hs]})
+    calls, real = [], minhash._overlaps
+    minhash._overlaps = lambda *a: (calls.append(len(a[4])), real(*a))[1]
+    try:
+        out = minhash._links(group).to_pylist()
+    finally:
+        minhash._overlaps = real
+    assert sum(r["a"] is not None for r in out) == 400 and out[-1]["node"] == "0" and sum(calls) < 2000
