@@ -1,53 +1,64 @@
 """Near-duplicate lines by an edit-distance join.
 
-Two lines are linked if they are within ``max_edits`` edits, or one edit for every
-``per`` characters of the shorter where that is more.
-
-Short lines (those allowed ``max_edits``): cut the shorter into ``max_edits + 1`` segments
-and one of them stands unchanged in the longer, near the same place.  Each distinct
-line gives its own segments (index side) and, for every length a partner may have,
-the substrings that can meet that partner's segments (probe side); the start places
-follow the multi-match rule.  One shuffle brings equal (length, segment, substring)
-keys together.  A key all of whose rows are one line is dropped there; the texts of
-the remaining lines join, keys are dealt in blocks of bounded size, and every pair
-of an index and a probe row is verified by banded bit-parallel edit distance.
+Units.  Lines of ``long_from`` characters and ``min_words`` words or more are compared word by
+word, others character by character.  Two lines are linked if the edits between them (units
+put in, left out or replaced) are at most those allowed for the shorter: ``max_edits``
+characters, or ``word_edits`` of its number of words.  A line of words and one of characters
+are compared as the shorter one is, if that is the one of characters.
+
+Join.  Cut the shorter line into as many segments as edits are allowed, and one more: one of
+them stands unchanged in the longer, near the same place.  Each line gives its own segments
+(index side) and the substrings of it that can meet a segment of any partner of fitting length
+(probe side); the start places follow the multi-match rule.  A task packs the keys of many
+lines for shards by hash; a shard keeps the keys that an index line and another probe line
+share.  A key that many lines of one task have goes past the shards, which only learn of it,
+so no shard holds all rows of a frequent key.  Then the texts of the lines that are left join,
+keys are dealt in blocks of bounded size, and pairs of an index and a probe row that agree in
+length and in a sketch of their units are verified by banded bit-parallel edit distance.
 
 A pair is counted at its first matching segment only, so links are counted once and
 need not be listed: blocks give each line's number of links and a spanning set of
 merges for the classes.  A key with more rows than a block holds is dealt as pairs of
 blocks, so no key is one task and no pair is left out.
 
-Long lines: the edits leave a run of ``_run_length`` characters of the shorter unchanged
-in the longer.  Of every window of so many characters each line gives the gram with the
-smallest hash, with its place, so both give the same gram of that run, at places no further
-apart than the edits allowed.  Rows of one gram join if place and length allow it (a gram of
-many rows is first dealt in cells of length and place), each pair is taken once, and only
-then the texts join and every pair is verified.  No pair is left out.
-
 Lines are the ``\\n``-separated parts of a text with white space trimmed.  Lines under
 ``min_chars`` characters match only equal lines, blank ones none.  Of each class the
 line that occurs first, by (id, line number), stays; null ids come last.  Null text
-has no lines.  Of rows that repeat an id only one keeps a line of a class.
+has no lines; very long lines cost time in proportion to length and edits.  An empty table
+gives no rows, other columns are not read.  Of rows that repeat an id only one keeps a line
+of a class.
 """
 
 from __future__ import annotations
 
-import math
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark import TaskContext
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from medallion.llm.common import col, staged, text_or_empty
 from medallion.llm.components import components
 
-MAX_EDITS, MIN_CHARS, BLOCK = 2, 20, 256
-#: Characters for one edit in a long line; places of grams are counted in units.
-PER, _UNIT = 32, 16
+MAX_EDITS, MIN_CHARS, LONG_FROM, MIN_WORDS, BLOCK = 2, 20, 96, 8, 256
+#: Word edits allowed from so many words on.
+WORD_EDITS = ((8, 1), (16, 2), (24, 3), (96, 4))
+#: Bytes of text for each shard; lines and characters of a task's block; lines of a key in a
+#: block from which it goes past the shards.
+SHARD_BYTES, BLOCK_LINES, BLOCK_CHARS, FREQUENT = 32 << 20, 100_000, 16 << 20, 64
 _SPACES = " \t\n\x0b\x0c\r"
-_SEEN = 200_000
+_MEMO = 300_000
+_ALL = 2**64 - 1
+_BASE = 0x9E3779B97F4A7C15  # odd, so powers of it have inverses
+_UNBASE = pow(_BASE, -1, 2**64)
+
+
+def word_edits(n: int) -> int:
+    """Edits allowed for a line of ``n`` words."""
+    return max((e for least, e in WORD_EDITS if n >= least), default=0)
 
 
 def segments(length: int, max_edits: int) -> list[tuple[int, int]]:
@@ -72,172 +83,301 @@ def probe_starts(length: int, partner: int, i: int, start: int, n: int, max_edit
     return range(lo, hi + 1)
 
 
-def line_keys(line: str, max_edits: int, below: int) -> list[tuple[int, bool]]:
-    """(key, is index side) rows of a line; the indexed lines are shorter than ``below``."""
-    import xxhash
-
-    size, out = len(line), []
-    for i, (at, n) in enumerate(segments(size, max_edits) if size < below else []):
-        out.append((xxhash.xxh3_64_intdigest(line[at:at + n].encode(), size * 64 + i), True))
-    for partner in range(max(size - max_edits, max_edits + 1), min(size + 1, below)):
-        for i, (start, n) in enumerate(segments(partner, max_edits)):
-            for at in probe_starts(size, partner, i, start, n, max_edits):
-                key = xxhash.xxh3_64_intdigest(line[at:at + n].encode(), partner * 64 + i)
-                out.append((key, False))
+@lru_cache(100_000)
+def _slices(length: int, words: bool, max_edits: int, own: bool) -> tuple[tuple[int, int, int, int], ...]:
+    """(segment, edits, start, length) of a line's own segments or of its probes; a
+    substring that serves partners of several lengths is one probe."""
+    edits = word_edits if words else lambda n: max_edits
+    if own:
+        return tuple((i, edits(length), at, n) for i, (at, n) in enumerate(segments(length, edits(length))))
+    out = set()
+    for partner in range(max(length - (max(e for _, e in WORD_EDITS) if words else max_edits), 1), length + 1):
+        e = edits(partner)
+        if length - partner <= e < partner and e:
+            for i, (start, n) in enumerate(segments(partner, e)):
+                out.update((i, e, at, n) for at in probe_starts(length, partner, i, start, n, e))
+    return tuple(sorted(out))
+
+
+def within(a: Sequence, b: Sequence, most: int) -> bool:
+    """Edit distance at most ``most``, by bit vectors of the cells near the diagonal: a
+    column of 2 ``most`` + 1 cells is a number, and a unit of ``b`` one step of it."""
+    if len(a) < len(b):
+        a, b = b, a
+    if len(a) - len(b) > most:
+        return False
+    if not most or not b:
+        return len(a) <= most or list(a) == list(b)
+    # units that both start or both end with do not matter
+    lo = _common(a, b)
+    a, b = a[lo:], b[lo:]
+    hi = _common(a[::-1], b[::-1])
+    a, b = a[:len(a) - hi], b[:len(b) - hi]
+    m, n = len(a), len(b)
+    if m <= most or not n:
+        return m <= most
+    # bit k of a column stands for row j + k - most - 1 of a: the top bit is the lowest row
+    width = 2 * most + 2
+    mask, top, last = (1 << width) - 1, 1 << (width - 1), 1 << (width - 2)
+    rows = _places(a)
+    up, down, cost = (mask << (most + 1)) & mask, 0, most
+    far = 2 * most + n - m  # from here on the rest cannot bring it back
+    for j, unit in enumerate(b):
+        at = j - most - 1
+        here = rows.get(unit, 0)
+        here = (here >> at if at >= 0 else here << -at) & mask
+        zero = ((((here & up) + up) ^ up) | here | down) & mask
+        right, left = (down | ~(zero | up)) & mask, zero & up
+        if j < m - most:
+            cost += not zero & top  # along the lowest diagonal
+        else:  # along the last row
+            cost += bool(right & last) - bool(left & last)
+            last >>= 1
+        if cost > far:
+            return False
+        zero >>= 1
+        up, down = (left | ~(zero | right)) & mask, zero & right
+    return cost <= most
+
+
+def _places(a: Sequence) -> dict:
+    """Unit → number whose bits are its places."""
+    where: dict = {}
+    for i, x in enumerate(a):
+        where.setdefault(x, []).append(i)
+    out = {}
+    for x, places in where.items():
+        bits = bytearray(places[-1] // 8 + 1)
+        for i in places:
+            bits[i >> 3] |= 1 << (i & 7)
+        out[x] = int.from_bytes(bits, "little")
     return out
 
 
-def _common(a: str, i: int, b: str, j: int) -> int:
-    """Length of the common start of ``a[i:]`` and ``b[j:]``."""
-    n, at, step = min(len(a) - i, len(b) - j), 0, 8
+def _common(a: Sequence, b: Sequence) -> int:
+    """Length of the common start."""
+    n, at, step = min(len(a), len(b)), 0, 64
     while at < n:
-        m = min(step, n - at)
-        if a[i + at:i + at + m] == b[j + at:j + at + m]:
-            at += m
+        part = min(step, n - at)
+        if a[at:at + part] == b[at:at + part]:
+            at += part
             step *= 2
-        elif m == 1:
+        elif part == 1:
             break
         else:
-            n, step = at + m, m // 2
+            n, step = at + part, max(part // 2, 1)
     return at
 
 
-def within(a: str, b: str, most: int) -> bool:
-    """Edit distance at most ``most``: for each number of edits, how far along
-    each diagonal of the matrix they reach; equal runs cost nothing."""
-    if abs(len(a) - len(b)) > most:
-        return False
-    end = len(b) - len(a)
-    reach: dict[int, int] = {}
-    for e in range(most + 1):
-        new = {}
-        for d in range(-e, e + 1):
-            if e:  # an edit of b's side, of both, or of a's side
-                i = max(reach.get(d - 1, -1), reach.get(d, -2) + 1, reach.get(d + 1, -2) + 1)
-            else:
-                i = 0
-            i = min(i, len(a), len(b) - d)
-            if i < 0 or i + d < 0 or abs(end - d) > most - e:
-                continue
-            new[d] = i + _common(a, i, b, i + d)
-        if new.get(end, -1) >= len(a):
-            return True
-        reach = new
-    return False
+# ---- keys ----------------------------------------------------------------------
 
 
-def _key_rows(batches: Iterator[pa.RecordBatch], max_edits: int, min_chars: int, below: int) -> Iterator[pa.RecordBatch]:
-    seen: set[int] = set()
-    keys, lines, sides = [], [], []
-    for batch in batches:
-        for line_id, line in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            if line_id in seen:
-                continue
-            if len(seen) >= _SEEN:
-                seen.clear()
-            seen.add(line_id)
-            if not max(min_chars, max_edits + 1) <= len(line) < below + max_edits:
+class _Words(dict):
+    """Word → 64-bit hash, forgetting all when it is full."""
+
+    def __missing__(self, word: bytes) -> int:
+        import xxhash
+
+        if len(self) >= _MEMO:
+            self.clear()
+        self[word] = h = xxhash.xxh3_64_intdigest(word)
+        return h
+
+
+_words = _Words()
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def _seed(i: int, edits: int) -> int:
+    return (i * 64 + edits + 1) * 0xD6E8FEB86659FD93 & _ALL
+
+
+def _word_slice(hashes: list[int], i: int, edits: int) -> int:
+    """Key of a substring given by its words' hashes."""
+    total = 0
+    for h in reversed(hashes):
+        total = (total * _BASE + h) & _ALL
+    return int(_mixed(np.array([total + _seed(i, edits) & _ALL], np.uint64))[0])
+
+
+def _char_slice(text: str, i: int) -> int:
+    import xxhash
+
+    return xxhash.xxh3_64_intdigest(text.encode("utf-8", "surrogatepass"), i + 1)
+
+
+def by_words(text: str, long_from: int) -> bool:
+    return len(text) >= long_from and len(text.encode("utf-8", "surrogatepass").split()) >= MIN_WORDS
+
+
+def _units(text: str, words: bool) -> Sequence:
+    return text.encode("utf-8", "surrogatepass").split() if words else text
+
+
+def _keys(lines: list[tuple[int, str]], max_edits: int, min_chars: int, long_from: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(key, line, is index side) of some lines."""
+    keys, owners, sides = [], [], []
+    groups: dict[int, tuple[list[int], list[list[int]]]] = {}
+    for line, text in lines:
+        if len(text) < max(min_chars, max_edits + 1):
+            continue
+        words = text.encode("utf-8", "surrogatepass").split() if len(text) >= long_from else []
+        if len(words) >= MIN_WORDS:
+            ids, rows = groups.setdefault(len(words), ([], []))
+            ids.append(line)
+            rows.append(list(map(_words.__getitem__, words)))
+            if len(text) >= long_from + max_edits:
                 continue
-            for key, side in line_keys(line, max_edits, below):
-                keys.append(key)
-                lines.append(line_id)
-                sides.append(side)
-        if keys:
-            yield pa.RecordBatch.from_arrays([pa.array(np.array(keys, np.uint64).view(np.int64)), pa.array(lines, pa.int64()),
-                                              pa.array(sides, pa.bool_())], names=["key", "line", "own"])
-            keys, lines, sides = [], [], []
-
-
-def _run_length(max_edits: int, per: int) -> int:
-    """Least length of the longest run that the edits leave in a long line."""
-    return -(-(per - 1) * (max_edits + 1) // (max_edits + 2))
-
-
-def _grams(texts: list[str], run: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(key, number of the text, unit of the place) of the grams picked from texts of
-    ``run`` characters or more: those of the smallest hash in a window of ``run``."""
-    k = min(run, run // 2 + 2)
-    w = run - k + 1
-    sizes = np.array([len(t) for t in texts])
-    a = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
-    ends = np.repeat(np.cumsum(sizes), sizes)
-    n = len(a)
-    h = np.zeros(n, np.uint64)
-    for j in range(k):
-        h *= np.uint64(0x100000001B3)
-        h[:n - j] += a[j:]
-    h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    h ^= h >> np.uint64(31)
-    at = np.arange(n)
-    least = h.copy()  # of the window that starts here
-    for j in range(1, w):
-        np.minimum(least[:n - j], h[j:], out=least[:n - j])
-    least[at + run > ends] = 0
-    most = least.copy()  # of the windows that hold this place
-    for j in range(1, w):
-        np.maximum(most[j:], least[:n - j], out=most[j:])
-    pick = np.flatnonzero((most == h) & (at + k <= ends))
-    text = np.repeat(np.arange(len(texts)), sizes)[pick]
-    rows = np.stack([h[pick], text.astype(np.uint64), ((pick - (ends[pick] - sizes[text])) // _UNIT).astype(np.uint64)])
-    same = np.zeros(len(pick), bool)  # the same gram again in the same unit, next to it
-    same[1:] = (rows[:, 1:] == rows[:, :-1]).all(axis=0)
-    return tuple(rows[:, ~same])
-
-
-def _gram_rows(batches: Iterator[pa.RecordBatch], long_from: int, run: int) -> Iterator[pa.RecordBatch]:
-    """Rows (key, line, place) of lines of ``long_from`` characters or more; place
-    holds the line's length above 32 bits and the unit below."""
-    seen: set[int] = set()
-    for batch in batches:
-        ids, texts, chars = [], [], 0
-        for i, (line_id, line) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()), 1):
-            if len(line) >= long_from and line_id not in seen:
-                if len(seen) >= _SEEN:
-                    seen.clear()
-                seen.add(line_id)
-                ids.append(line_id)
-                texts.append(line)
-                chars += len(line)
-            if texts and (chars > 200_000 or i == batch.num_rows):
-                key, text, unit = _grams(texts, run)
-                text = text.astype(np.int64)
-                size = np.array([len(t) for t in texts])[text]
-                yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(np.array(ids, np.int64)[text]),
-                                                  pa.array((size << 32) + unit.astype(np.int64))], names=["key", "line", "place"])
-                ids, texts, chars = [], [], 0
-
-
-def _pair_links(batches: Iterator[pa.RecordBatch], per: int) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+        else:
+            for i, _, at, n in _slices(len(text), False, max_edits, True):
+                keys.append(_char_slice(text[at:at + n], i))
+                owners.append(line)
+                sides.append(True)
+        # a line of words just above the border may be the longer one of a pair by characters
+        for i, _, at, n in _slices(len(text), False, max_edits, False):
+            keys.append(_char_slice(text[at:at + n], i))
+            owners.append(line)
+            sides.append(False)
+    parts = [(np.array(keys, np.uint64), np.array(owners, np.int64), np.array(sides, bool))]
+    with np.errstate(over="ignore"):
+        for n, (ids, rows) in groups.items():
+            h, ids = np.array(rows, np.uint64), np.array(ids, np.int64)
+            power = np.cumprod(np.append(np.uint64(1), np.full(n, _BASE, np.uint64)), dtype=np.uint64)
+            back = np.cumprod(np.append(np.uint64(1), np.full(n, _UNBASE, np.uint64)), dtype=np.uint64)
+            total = np.zeros((len(ids), n + 1), np.uint64)
+            np.cumsum(h * power[:n], axis=1, dtype=np.uint64, out=total[:, 1:])
+            for own in (True, False):
+                for i, e, at, size in _slices(n, True, max_edits, own):
+                    key = _mixed((total[:, at + size] - total[:, at]) * back[at] + np.uint64(_seed(i, e)))
+                    parts.append((key, ids, np.full(len(ids), own)))
+    return tuple(np.concatenate(x) for x in zip(*parts))
+
+
+def _placed(key: np.ndarray, shards: int) -> tuple[np.ndarray, np.ndarray]:
+    """(shard, key within it) of a 64-bit key."""
+    return ((key >> np.uint64(33)) % np.uint64(shards)).astype(np.int64), (key & np.uint64(0xFFFFFFFF)).astype(np.uint32)
+
+
+_SENT = pa.schema([("shard", pa.int32()), ("keys", pa.binary()), ("lines", pa.binary()), ("sides", pa.binary()), ("known", pa.bool_())])
+
+
+def _to_shards(batches: Iterator[pa.RecordBatch], shards: int, max_edits: int, min_chars: int, long_from: int) -> Iterator[pa.RecordBatch]:
+    """Rows of packed (key, line, side) for shards; ``known`` rows hold whole keys that are
+    frequent in their block and need no shard to find their partners."""
+    task, made = TaskContext.get().partitionId(), 0
+    held: dict[int, str] = {}
+    chars = 0
+
+    def rows() -> Iterator[pa.RecordBatch]:
+        nonlocal made
+        key, line, own = _keys(list(held.items()), max_edits, min_chars, long_from)
+        order = np.lexsort((own, line, key))
+        key, line, own = key[order], line[order], own[order]
+        new = np.ones(len(key), bool)
+        new[1:] = (key[1:] != key[:-1]) | (line[1:] != line[:-1]) | (own[1:] != own[:-1])
+        key, line, own = key[new], line[new], own[new]
+        shard, low = _placed(key, shards)
+        first = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.zeros(0, np.int64)
+        run = np.diff(np.append(first, len(key)))
+        often = np.repeat(run >= FREQUENT, run)
+        full = (shard << 32) | low
         out = []
-        for a, short, b, long in zip(*(c.to_pylist() for c in batch.columns)):
-            if within(short, long, len(short) // per):
-                out += [(max(a, b), min(a, b), 0), (a, None, 1), (b, None, 1)]
-        yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in out], pa.string()), pa.array([r[1] for r in out], pa.string()),
-                                          pa.array([r[2] for r in out], pa.int64())], names=["a", "b", "n"])
-
-
-def _first_segment(short: str, long: str, max_edits: int) -> tuple[int, int] | None:
-    """(segment, place in the longer) at which the pair meets first."""
-    for i, (start, n) in enumerate(segments(len(short), max_edits)):
-        piece = short[start:start + n]
-        for at in probe_starts(len(long), len(short), i, start, n, max_edits):
-            if long[at:at + n] == piece:
-                return i, at
+        for at in range(0, int(often.sum()), 100_000):
+            made += 1
+            pick = np.flatnonzero(often)[at:at + 100_000]
+            out.append(((task + made) % shards, full[pick], line[pick], own[pick], True))
+        # of a frequent key the shard learns two lines of each side, which is all it asks
+        nth = np.arange(len(key)) - np.repeat(first, run)
+        nth_own = np.cumsum(own) - np.repeat((np.cumsum(own) - own)[first], run)
+        nth_probe = nth + 1 - nth_own
+        told = ~often | np.where(own, nth_own <= 2, nth_probe <= 2)
+        shard, low, line, own = shard[told], low[told], line[told], own[told]
+        order = np.argsort(shard, kind="stable")
+        edges = np.flatnonzero(np.diff(shard[order])) + 1
+        out += [(int(shard[pick[0]]), low[pick], line[pick], own[pick], False) for pick in np.split(order, edges) if len(pick)]
+        for at in range(0, len(out), 64):
+            part = out[at:at + 64]
+            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in part], pa.int32()), *(pa.array([r[k].tobytes() for r in part], pa.binary())
+                                              for k in (1, 2, 3)), pa.array([r[4] for r in part])], schema=_SENT)
+
+    for batch in batches:
+        for line, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+            if line in held:
+                continue
+            held[line] = text = text.as_py()
+            chars += len(text)
+            if len(held) >= BLOCK_LINES or chars >= BLOCK_CHARS:
+                yield from rows()
+                held, chars = {}, 0
+    if held:
+        yield from rows()
+
+
+def _shared(group: pa.Table) -> pa.Table:
+    """Rows of the keys that an index line and another probe line share."""
+    keys, lines, sides, out = [], [], [], []
+    for shard, k, ln, s, known in zip(*(c.to_pylist() for c in group.columns)):
+        line, own = np.frombuffer(ln, np.int64), np.frombuffer(s, bool)
+        if known:
+            out.append((np.frombuffer(k, np.int64), line, own))
+        else:
+            keys.append((shard << 32) | np.frombuffer(k, np.uint32).astype(np.int64))
+            lines.append(line)
+            sides.append(own)
+    if keys:
+        key, line, own = np.concatenate(keys), np.concatenate(lines), np.concatenate(sides)
+        order = np.argsort(key, kind="stable")
+        key, line, own = key[order], line[order], own[order]
+        first = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+        differ = np.minimum.reduceat(line, first) < np.maximum.reduceat(line, first)
+        sided = np.logical_or.reduceat(own, first) & ~np.logical_and.reduceat(own, first)
+        keep = np.repeat(differ & sided, np.diff(np.append(first, len(key))))
+        out.append((key[keep], line[keep], own[keep]))
+    return pa.table([pa.array(np.concatenate(x)) for x in zip(*out)], names=["key", "line", "own"])
+
+
+# ---- pairs ---------------------------------------------------------------------
+
+
+def _first_key(short: str, long: str, words: bool, max_edits: int) -> int | None:
+    """Key at which the pair meets first."""
+    a, b = _units(short, words), _units(long, words)
+    edits = word_edits(len(a)) if words else max_edits
+    for i, (start, n) in enumerate(segments(len(a), edits)):
+        piece = a[start:start + n]
+        for at in probe_starts(len(b), len(a), i, start, n, edits):
+            if b[at:at + n] == piece:
+                return _word_slice([_words[w] for w in piece], i, edits) if words else _char_slice(piece, i)
     return None
 
 
-def _block_links(max_edits: int, below: int):
-    def run(group: pa.Table) -> pa.Table:
-        import xxhash
+_BINS = 32
+
+
+def _sketch(units: Sequence, words: bool) -> np.ndarray:
+    """How many units fall into each of some bins: an edit changes two of them at most."""
+    codes = np.array([_words[u] for u in units], np.uint64) if words else np.frombuffer(units.encode("utf-32-le", "surrogatepass"), np.uint32)
+    return np.bincount((codes % _BINS).astype(np.int64), minlength=_BINS)
 
+
+def _block_links(max_edits: int, long_from: int, shards: int):
+    def run(group: pa.Table) -> pa.Table:
         rows = group.to_pylist()
-        key = rows[0]["key"] % 2**64
+        key, pair = rows[0]["key"], (rows[0]["pa"], rows[0]["pb"])
         texts = {r["node"]: r["text"] for r in rows}
-        own = [(r["node"], r["part"]) for r in rows if r["own"]]
-        probes = [(r["node"], r["part"]) for r in rows if not r["own"]]
-        pair = (rows[0]["pa"], rows[0]["pb"])
+        words = {n: by_words(t, long_from) for n, t in texts.items()}
+        own = sorted({(r["node"], r["part"]) for r in rows if r["own"]})
+        probes = sorted({(r["node"], r["part"]) for r in rows if not r["own"]})
+        names = [y for y, _ in probes]
+        # probes by words and by characters; a line of words may be met either way
+        sizes = {w: np.array([len(_units(texts[y], w)) for y in names], np.int64) for w in (True, False)}
+        bins = {w: np.array([_sketch(_units(texts[y], w), w) for y in names], np.int64).reshape(len(names), _BINS) for w in (True, False)}
+        of_words, parts = np.array([words[y] for y in names], bool), np.array([p for _, p in probes], np.int64)
         count: dict[str, int] = {}
         up: dict[str, str] = {}
         out = []
@@ -248,26 +388,33 @@ def _block_links(max_edits: int, below: int):
             return x
 
         for x, x_part in own:
-            short = texts[x]
-            for y, y_part in probes:
-                if (x_part, y_part) != pair:
-                    continue
+            if x_part != pair[0]:
+                continue
+            short, w = texts[x], words[x]
+            a = _units(short, w)
+            edits = word_edits(len(a)) if w else max_edits
+            longer = sizes[w] - len(a)
+            fits = (parts == pair[1]) & (longer >= 0) & (longer <= edits) & (of_words | (not w))
+            fits &= np.abs(bins[w] - _sketch(a, w)).sum(axis=1) <= 2 * edits
+            for k in np.flatnonzero(fits):
+                y = names[k]
                 long = texts[y]
-                # of two lines of one length the smaller is the indexed one
-                if len(short) > len(long) or len(short) == len(long) and short >= long:
+                # of two lines of one length the smaller is the indexed one; a longer line of
+                # words meets a line of characters only by the latter's rule
+                if longer[k] == 0 and short >= long and not (words[y] and not w):
                     continue
-                if len(short) >= below or not within(short, long, max_edits):
+                if not within(a, _units(long, w), edits):
                     continue
-                i, at = _first_segment(short, long, max_edits)
-                n = segments(len(short), max_edits)[i][1]
-                if xxhash.xxh3_64_intdigest(long[at:at + n].encode(), len(short) * 64 + i) != key:
+                first = _first_key(short, long, w, max_edits)
+                shard, low = _placed(np.array([first], np.uint64), shards)
+                if int(shard[0]) << 32 | int(low[0]) != key:
                     continue
                 count[x] = count.get(x, 0) + 1
                 count[y] = count.get(y, 0) + 1
-                a, b = root(x), root(y)
-                if a != b:
-                    up[max(a, b)] = min(a, b)
-                    out.append((max(a, b), min(a, b), 0))
+                p, q = root(x), root(y)
+                if p != q:
+                    up[max(p, q)] = min(p, q)
+                    out.append((max(p, q), min(p, q), 0))
         out += [(x, None, n) for x, n in count.items()]
         return pa.table({"a": pa.array([r[0] for r in out], pa.string()), "b": pa.array([r[1] for r in out], pa.string()),
                          "n": pa.array([r[2] for r in out], pa.int64())})
@@ -282,56 +429,16 @@ def _lines(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return d.withColumn("text", F.btrim("text", F.lit(_SPACES))).filter("text <> ''")
 
 
-def _long_links(lines: DataFrame, max_edits: int, per: int, block: int) -> DataFrame:
-    """``line_links`` of the pairs whose shorter line is allowed more than ``max_edits``."""
-    long_from, run = per * (max_edits + 1), _run_length(max_edits, per)
-    keyed = lines.mapInArrow(lambda b: _gram_rows(b, long_from, run), "key long, line long, place long")
-    same = Window.partitionBy("key")
-    shared = (keyed.withColumn("lo", F.min("line").over(same)).withColumn("hi", F.max("line").over(same))
-              .withColumn("n", F.count(F.lit(1)).over(same)).filter("lo < hi")
-              .select("key", "line", F.shiftright("place", 32).cast("int").alias("size"),
-                      F.col("place").bitwiseAND(2**32 - 1).cast("int").alias("unit"), (F.col("n") > block).alias("hot")))
-    shared = staged(shared.distinct(), "gram-keys")
-    # a hot gram: lines of one length class, or of two neighbours, whose places are in one or two neighbouring stretches
-    grow = math.log(1 + 1.01 / per)
-    level = F.floor(F.log("size") / grow)
-    rows = shared.withColumn("level", F.when(F.col("hot"), level).otherwise(0))
-
-    def stretch(lv: str) -> Column:
-        return F.when(F.col("hot"), F.floor(F.col("unit") / (F.exp((F.col(lv) + 1) * grow) / (per * _UNIT) + 2))).otherwise(0)
-
-    probe = rows.select("key", F.col("line").alias("y"), F.col("size").alias("y_size"), F.col("unit").alias("y_unit"),
-                        "level", stretch("level").alias("stretch"))
-    own = (rows.withColumn("level", F.explode(F.when(F.col("hot"), F.array(F.col("level"), F.col("level") + 1)).otherwise(F.array("level"))))
-           .withColumn("s", stretch("level"))
-           .withColumn("stretch", F.explode(F.when(F.col("hot"), F.array(F.col("s") - 1, F.col("s"), F.col("s") + 1)).otherwise(F.array("s"))))
-           .select("key", F.col("line").alias("x"), F.col("size").alias("x_size"), F.col("unit").alias("x_unit"), "level", "stretch"))
-    most = F.floor(F.col("x_size") / per)
-    pairs = (own.join(probe, ["key", "level", "stretch"])
-             .filter((F.col("x_size") < F.col("y_size")) | (F.col("x_size") == F.col("y_size")) & (F.col("x") < F.col("y")))
-             .filter((F.col("y_size") - F.col("x_size") <= most) & (F.abs(F.col("y_unit") - F.col("x_unit")) <= F.floor(most / _UNIT) + 1))
-             .select("x", "y").distinct())
-    pairs = staged(pairs, "gram-pairs")
-    ends = pairs.select(F.col("x").alias("line")).union(pairs.select(F.col("y").alias("line"))).distinct()
-    found = staged(lines.filter(F.char_length("text") >= long_from).join(ends, "line", "left_semi")
-                   .select("line", F.md5("text").alias("node"), "text").dropDuplicates(["line", "node"]), "gram-texts")
-    a = found.select(F.col("line").alias("x"), F.col("node").alias("a"), F.col("text").alias("short"))
-    b = found.select(F.col("line").alias("y"), F.col("node").alias("b"), F.col("text").alias("long"))
-    texts = pairs.join(a, "x").join(b, "y").select("a", "short", "b", "long")
-    return staged(texts.mapInArrow(lambda t: _pair_links(t, per), "a string, b string, n long"), "gram-links")
-
-
 def line_links(lines: DataFrame, max_edits: int = MAX_EDITS, min_chars: int = MIN_CHARS, block: int = BLOCK,
-               per: int = PER) -> DataFrame:
+               long_from: int = LONG_FROM) -> DataFrame:
     """``(a, b, n)`` for the distinct texts of ``lines(text)``, named by their MD5:
     merges (b not null) and numbers of links (b null; to be summed per a)."""
     long_enough = lines.filter(F.char_length("text") >= min_chars).select(F.xxhash64("text").alias("line"), "text")
-    below = per * (max_edits + 1)
-    keyed = long_enough.mapInArrow(lambda b: _key_rows(b, max_edits, min_chars, below), "key long, line long, own boolean")
-    same = Window.partitionBy("key")
-    shared = (keyed.withColumn("lo", F.min("line").over(same)).withColumn("hi", F.max("line").over(same))
-              .filter("lo < hi").select("key", "line", "own"))
-    shared = staged(shared, "line-keys")
+    size = long_enough.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    shards = 1 + size // SHARD_BYTES
+    sent = long_enough.mapInArrow(lambda b: _to_shards(b, shards, max_edits, min_chars, long_from),
+                                  "shard int, keys binary, lines binary, sides binary, known boolean")
+    shared = staged(sent.groupBy("shard").applyInArrow(_shared, "key long, line long, own boolean"), "line-keys")
     found = (long_enough.join(shared.select("line").distinct(), "line", "left_semi")
              .select("line", F.md5("text").alias("node"), "text").dropDuplicates(["line", "node"]))
     found = staged(found, "line-texts")
@@ -347,16 +454,16 @@ def line_links(lines: DataFrame, max_edits: int = MAX_EDITS, min_chars: int = MI
     pairs = pairs.select("key", "line", "node", "own", "part", F.when(F.col("own"), F.col("part")).otherwise(F.col("o")).alias("pa"),
                          F.when(F.col("own"), F.col("o")).otherwise(F.col("part")).alias("pb"))
     pairs = pairs.join(found, ["line", "node"]).select("key", "pa", "pb", "node", "own", "part", "text")
-    links = staged(pairs.groupBy("key", "pa", "pb").applyInArrow(_block_links(max_edits, below), "a string, b string, n long"), "line-links")
-    return links.unionByName(_long_links(long_enough, max_edits, per, block))
+    return staged(pairs.groupBy("key", "pa", "pb").applyInArrow(_block_links(max_edits, long_from, shards), "a string, b string, n long"),
+                  "line-links")
 
 
 def line_classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_edits: int = MAX_EDITS,
-                 min_chars: int = MIN_CHARS, block: int = BLOCK, per: int = PER) -> DataFrame:
+                 min_chars: int = MIN_CHARS, block: int = BLOCK, long_from: int = LONG_FROM) -> DataFrame:
     """One row per line that is not blank: id, ``line_no``, ``class_id`` (MD5 of one
     text of the class), ``n_links`` (other texts within the distance) and ``kept``."""
     lines = _lines(df, id_col, text_col)
-    links = line_links(lines.select("text"), max_edits, min_chars, block, per)
+    links = line_links(lines.select("text"), max_edits, min_chars, block, long_from)
     roots = components(links.filter("b is not null").select("a", "b")).select(F.col("node").alias("r_node"), "root")
     n = links.filter("b is null").groupBy(F.col("a").alias("l_node")).agg(F.sum("n").alias("n_links"))
     known = n.join(roots, n["l_node"] == roots["r_node"], "left").select("l_node", "n_links", "root")
@@ -372,29 +479,29 @@ def line_classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def line_membership(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_edits: int = MAX_EDITS,
-                    min_chars: int = MIN_CHARS, block: int = BLOCK, per: int = PER) -> DataFrame:
+                    min_chars: int = MIN_CHARS, block: int = BLOCK, long_from: int = LONG_FROM) -> DataFrame:
     """``line_classes`` and one row for each row of ``df`` that has no line, with nulls
     after its id: every row of ``df`` is there, also those of a repeated or null id."""
-    c = line_classes(df, id_col, text_col, max_edits, min_chars, block, per)
+    c = line_classes(df, id_col, text_col, max_edits, min_chars, block, long_from)
     blank = F.btrim(text_or_empty(text_col), F.lit(_SPACES)) == ""
     return c.unionByName(df.filter(blank).select(col(id_col).alias(id_col)), allowMissingColumns=True)
 
 
 def line_dedup_report(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_edits: int = MAX_EDITS,
-                      min_chars: int = MIN_CHARS, block: int = BLOCK, per: int = PER) -> DataFrame:
+                      min_chars: int = MIN_CHARS, block: int = BLOCK, long_from: int = LONG_FROM) -> DataFrame:
     """One row per document id that has lines: ``n_lines``, ``n_removed``, ``n_links``
     (summed over its lines) and ``removed_lines`` (their numbers, in order)."""
-    c = line_classes(df, id_col, text_col, max_edits, min_chars, block, per)
+    c = line_classes(df, id_col, text_col, max_edits, min_chars, block, long_from)
     return c.groupBy(col(id_col)).agg(
         F.count(F.lit(1)).alias("n_lines"), F.count_if(~F.col("kept")).alias("n_removed"), F.sum("n_links").alias("n_links"),
         F.array_sort(F.collect_list(F.when(~F.col("kept"), F.col("line_no")))).alias("removed_lines"))
 
 
 def drop_repeated_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_edits: int = MAX_EDITS,
-                        min_chars: int = MIN_CHARS, block: int = BLOCK, per: int = PER) -> DataFrame:
+                        min_chars: int = MIN_CHARS, block: int = BLOCK, long_from: int = LONG_FROM) -> DataFrame:
     """``df`` with the lines that are not kept taken out of its texts; ids must
     be unique for the texts to be told apart."""
-    cut = (line_classes(df, id_col, text_col, max_edits, min_chars, block, per)
+    cut = (line_classes(df, id_col, text_col, max_edits, min_chars, block, long_from)
            .groupBy(col(id_col).alias("__cut"), "line_no").agg(F.max("kept").alias("any")).filter("not any")
            .groupBy("__cut").agg(F.collect_set("line_no").alias("__no")))
     d = df.withColumn("__key", col(id_col)).join(cut, F.col("__key").eqNullSafe(F.col("__cut")), "left")

@@ -1,7 +1,11 @@
 import random
+import time
 
-from medallion.llm.line_dedup import (_first_segment, drop_repeated_lines, line_classes, line_dedup_report, line_membership,
-                                      within)
+import numpy as np
+
+from medallion.llm import line_dedup
+from medallion.llm.line_dedup import (_first_key, by_words, drop_repeated_lines, line_classes, line_dedup_report, line_membership,
+                                      within, word_edits)
 from tests.llm.helpers import documents, prose
 
 
@@ -15,22 +19,65 @@ def distance(a, b):
     return row[-1]
 
 
-def test_distance_and_segments_against_the_matrix():
+def changed(rnd, units, edits, new):
+    units = list(units)
+    for _ in range(edits):
+        at = rnd.randint(0, len(units))
+        units[at:at + rnd.randint(0, 1)] = rnd.choice(new)
+    return units
+
+
+def test_distance_against_the_matrix():
     rnd = random.Random(5)
-    for _ in range(4000):
-        a = "".join(rnd.choice("ab") for _ in range(rnd.randint(4, 12)))
-        b = list(a)
-        for _ in range(rnd.randint(0, 4)):
-            at = rnd.randint(0, len(b))
-            b[at:at + rnd.randint(0, 1)] = rnd.choice(["", "a", "b"])
-        b, most = "".join(b), rnd.randint(0, 3)
-        near = distance(a, b) <= most
-        assert within(a, b, most) == near
-        if near and min(len(a), len(b)) > most:
-            assert _first_segment(*sorted((a, b), key=len), most)
-
-
-def brute(rows, most=2, least=20):
+    for _ in range(6000):
+        a = "".join(rnd.choice("abc") for _ in range(rnd.randint(1, 14)))
+        b = "".join(changed(rnd, a, rnd.randint(0, 6), ["", "a", "b"]))
+        for most in range(6):
+            assert within(a, b, most) == within(b, a, most) == (distance(a, b) <= most), (a, b, most)
+        assert within(list(a), list(b), 2) == (distance(a, b) <= 2)
+
+
+def test_distance_of_very_long_lines():
+    rnd = random.Random(6)
+    a = "".join(rnd.choice("abcdefgh ") for _ in range(130_000))
+    near, far = list(a), list(a)
+    for k in range(40):
+        near[k * 3000 + 7] = "x"
+        far[k * 3000 + 7:k * 3000 + 9] = "yz!"
+    began = time.process_time()
+    assert within(a, "".join(near), 40) and not within(a, "".join(near), 39)
+    assert not within(a, "".join(far), 40) and not within(a, a[::-1], 40)
+    assert time.process_time() - began < 4
+
+
+def test_pairs_meet_in_a_segment():
+    """Lines within the edits share a key; the vectorised keys are those of the pairs."""
+    rnd = random.Random(7)
+    for n in (8, 9, 15, 16, 20, 24, 30, 96, 130):
+        for _ in range(40):
+            a = [rnd.choice("alpha beta gamma delta epsilon zeta eta theta iota kappa".split()) + str(rnd.randrange(3)) for _ in range(n)]
+            b = changed(rnd, a, word_edits(n), [[], ["other"], ["alpha1"]])
+            x, y = (" ".join(w) + " " * 0 for w in sorted((a, b), key=len))
+            if len(x) < 96 or not (by_words(x, 96) and by_words(y, 96)) or not within(x.encode().split(), y.encode().split(), word_edits(len(x.split()))):
+                continue
+            key = _first_key(x, y, True, 2)
+            keys, lines, own = line_dedup._keys([(1, x), (2, y)], 2, 20, 96)
+            mine, theirs = (set(keys[(lines == i) & (own == o)].tolist()) for i, o in ((1, True), (2, False)))
+            assert key in mine & theirs
+
+
+def linked(a, b, most=2, least=20, long_from=96):
+    if by_words(a, long_from) and by_words(b, long_from):
+        x, y = sorted((a.split(), b.split()), key=len)
+        return len(y) - len(x) <= word_edits(len(x)) and distance(x, y) <= word_edits(len(x))
+    if by_words(a, long_from):
+        a, b = b, a
+    if by_words(b, long_from) and len(b) < len(a):
+        return False
+    return min(len(a), len(b)) >= least and abs(len(a) - len(b)) <= most and distance(a, b) <= most
+
+
+def brute(rows):
     lines = [(i, n, x.strip(" \t\n\x0b\x0c\r")) for i, t in rows for n, x in enumerate((t or "").split("\n"))]
     lines = [x for x in lines if x[2]]
     texts = sorted({x[2] for x in lines})
@@ -43,7 +90,7 @@ def brute(rows, most=2, least=20):
 
     for k, a in enumerate(texts):
         for b in texts[:k]:
-            if min(len(a), len(b)) >= least and abs(len(a) - len(b)) <= most and distance(a, b) <= most:
+            if linked(a, b):
                 links[a] += 1
                 links[b] += 1
                 up[root(a)] = root(b)
@@ -81,33 +128,57 @@ def test_lines_are_taken_out(spark):
     assert drop_repeated_lines(df.filter("false")).count() == 0
 
 
-def test_long_lines_against_brute_force(spark):
-    """Words replaced, put in and left out on long lines; one edit for 32 characters."""
+def test_long_lines_against_brute_force(spark, monkeypatch):
+    """Words replaced, put in and left out on long lines, lines at the border of the two
+    units, and lines without words; keys that are frequent in a block go past the shards."""
     rnd = random.Random(8)
-    base = [prose(k, n) for k, n in ((1, 12), (2, 16), (3, 30), (4, 45), (5, 90))] + ["ab" * 200, "é" * 150]
+    base = [prose(k, n) for k, n in ((1, 12), (2, 16), (3, 30), (4, 45), (5, 100))] + ["ab" * 60, "é" * 150, "abc de " * 14 + "x"]
     texts = []
-    for _ in range(70):
-        w = rnd.choice(base).split(" ")
-        for _ in range(rnd.randint(0, 3)):
-            at = rnd.randrange(len(w) or 1)
-            w[at:at + rnd.randint(0, 1)] = rnd.choice([[], ["other"], ["x1"], ["replaced", "twice"]])
+    for _ in range(110):
+        t = rnd.choice(base)
+        w = changed(rnd, t.split(" "), rnd.randint(0, 4), [[], ["other"], ["x1"], ["replaced", "twice"]])
         x = list(" ".join(w) or "-")
-        for _ in range(rnd.randint(0, 4)):
+        for _ in range(rnd.randint(0, 2)):
             x[rnd.randrange(len(x))] = rnd.choice("xyz é")
         texts.append("".join(x).strip())
     texts = sorted({x for x in texts if x})
-
-    def linked(a, b):
-        short, long = sorted((a, b), key=len)
-        most = max(2, len(short) // 32)
-        return len(short) >= 20 and len(long) - len(short) <= most and distance(short, long) <= most
-
     near = [(i, j) for i in range(len(texts)) for j in range(i) if linked(texts[i], texts[j])]
     links = {i: sum(i in pair for pair in near) for i in range(len(texts))}
     assert sum(distance(texts[i], texts[j]) > 2 for i, j in near) > 30
+    df = documents(spark, texts).repartition(3)
     for block in (256, 2):
-        got = {r.doc_id: r.n_links for r in line_classes(documents(spark, texts), block=block).collect()}
-        assert got == links
+        assert {r.doc_id: r.n_links for r in line_classes(df, block=block).collect()} == links
+    monkeypatch.setattr(line_dedup, "FREQUENT", 3)
+    monkeypatch.setattr(line_dedup, "SHARD_BYTES", 2000)
+    monkeypatch.setattr(line_dedup, "BLOCK_LINES", 20)
+    assert {r.doc_id: r.n_links for r in line_classes(df).collect()} == links
+
+
+def test_frequent_keys_go_past_the_shards():
+    """Of a key that many lines of a block share, the shard learns four rows."""
+    lines = [(k, prose(1, 40) + f" end{k}") for k in range(500)]
+
+    class Task:
+        def partitionId(self):
+            return 0
+
+    real = line_dedup.TaskContext.get
+    line_dedup.TaskContext.get = staticmethod(Task)
+    try:
+        import pyarrow as pa
+        batch = pa.RecordBatch.from_arrays([pa.array([k for k, _ in lines]), pa.array([t for _, t in lines])], names=["line", "text"])
+        sent = [r for b in line_dedup._to_shards(iter([batch]), 4, 2, 20, 96) for r in b.to_pylist()]
+    finally:
+        line_dedup.TaskContext.get = real
+    known = sum(len(r["sides"]) for r in sent if r["known"])
+    asked = sum(len(r["sides"]) for r in sent if not r["known"])
+    assert known >= 500 * 4 and asked < 500 * 8
+    per_key = {}
+    for r in sent:
+        if not r["known"]:
+            for k in np.frombuffer(r["keys"], np.uint32).tolist():
+                per_key[r["shard"], k] = per_key.get((r["shard"], k), 0) + 1
+    assert max(per_key.values()) < line_dedup.FREQUENT
 
 
 def test_membership_has_every_line_and_document(spark):
