@@ -14,9 +14,10 @@ last, then the larger record id); the others become revisits of it, with the HTT
 header and no payload.
 
 Files are written by Spark's text writer (one record a row, the format's own
-separator between rows, gzip), so a lost task leaves nothing half written, and are
-read as whole files of bounded size through streaming decompression.  Payloads of a
-partition pass through a task in small batches.
+separator between rows, gzip), so a lost task leaves nothing half written.  A task cuts
+its records into files of about ``FILE_BYTES`` before compression (a file holds one
+record at least), so a file is a row of bounded size when it is read back, through
+streaming decompression.  Payloads of a partition pass through a task in small batches.
 
 Null payloads are empty, null URLs are ``urn:unknown``.  Blanks, control and non-ASCII
 characters of URLs are percent-encoded.  Rows that repeat an id are records of their
@@ -49,6 +50,7 @@ ARC_FIELDS = {
 }
 _PRINTABLE = "".join(map(chr, range(33, 127)))
 _BATCH_BYTES = 4 << 20
+FILE_BYTES = 64 << 20
 ID_HEADER = b"X-Page-Id: "
 
 
@@ -115,40 +117,59 @@ def read_arc(stream, name: str) -> Iterator[dict]:
                "date": fields[2].decode("latin-1"), "mime": fields[3].decode("latin-1"), "doc": doc}
 
 
+_CUT = pa.schema([("file", pa.int32()), ("nth", pa.int64()), ("value", pa.binary())])
+
+
+def _cut(records: Iterator, make, gap: int, head, file_bytes: int) -> Iterator[dict]:
+    """Records numbered in files of about ``file_bytes``: ``head(file)`` opens a file,
+    ``make(record, file, offset)`` gives a record's bytes."""
+    file, offset, nth = -1, 0, 0
+    for r in records:
+        if file < 0 or offset >= file_bytes:
+            file, offset, nth = file + 1, 0, 0
+            if (first := head(file)) is not None:
+                yield {"file": file, "nth": 0, "value": first}
+                offset, nth = len(first) + gap, 1
+        value = make(r, file, offset)
+        yield {"file": file, "nth": nth, "value": value}
+        offset, nth = offset + len(value) + gap, nth + 1
+
+
+def _write_cut(rows: DataFrame, path: str, gap: str) -> None:
+    """A folder for each file number, in it a file of every task that has one."""
+    (rows.sortWithinPartitions("file", "nth").select("file", F.col("value").cast("string"))
+     .write.partitionBy("file").option("lineSep", gap).option("compression", "gzip").text(path))
+
+
 def write_arc(pages: DataFrame, path: str, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html",
-              date: str = "20240101000000") -> None:
-    """Write each partition of pages as a gzipped ARC file, version 1 and 2 in
-    turn; files are as large as the scan's splits, without a shuffle."""
+              date: str = "20240101000000", file_bytes: int = FILE_BYTES) -> None:
+    """Write each partition of pages as gzipped ARC files, version 1 and 2 in turn,
+    without a shuffle."""
     src = pages.select(col(id_col).cast("string").alias("id"), col(url_col).cast("string").alias("url"),
                        F.coalesce(col(payload_col).cast("binary"), F.lit(b"")).alias("payload"))
 
     def run(batches):
         part = TaskContext.get().partitionId()
-        version, name = 1 + part % 2, f"medallion-{part:06d}.arc"
 
-        def rows():
-            offset, head = 0, arc_version_block(version, name, date)
-            for batch in batches:
-                for r in batch.to_pylist():
-                    if head:
-                        yield {"value": head}
-                        offset, head = len(head) + 1, None
-                    own = b"" if r["id"] is None else ID_HEADER + quote(r["id"], safe="").encode() + b"\r\n"
-                    doc = (b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n" + own
-                           + b"Content-Length: %d\r\n\r\n" % len(r["payload"]) + r["payload"])
-                    url = quote(r["url"] or "urn:unknown", safe=_PRINTABLE)
-                    record = arc_record(version, name, url, "0.0.0.0", date, "text/html", doc, offset)
-                    offset += len(record) + 1
-                    yield {"value": record}
+        def name(file: int) -> tuple[int, str]:
+            return 1 + (part + file) % 2, f"medallion-{part:06d}-{file:04d}.arc"
+
+        def record(r: dict, file: int, offset: int) -> bytes:
+            own = b"" if r["id"] is None else ID_HEADER + quote(r["id"], safe="").encode() + b"\r\n"
+            doc = (b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n" + own
+                   + b"Content-Length: %d\r\n\r\n" % len(r["payload"]) + r["payload"])
+            url = quote(r["url"] or "urn:unknown", safe=_PRINTABLE)
+            return arc_record(*name(file), url, "0.0.0.0", date, "text/html", doc, offset)
 
-        yield from _batches(rows(), pa.schema([("value", pa.binary())]), lambda r: len(r["value"]))
+        rows = (r for b in batches for r in b.to_pylist())
+        cut = _cut(rows, record, 1, lambda file: arc_version_block(*name(file), date), file_bytes)
+        yield from _batches(cut, _CUT, lambda r: len(r["value"]))
 
-    (src.mapInArrow(run, "value binary").select(F.col("value").cast("string"))
-     .write.option("lineSep", "\n").option("compression", "gzip").text(path))
+    _write_cut(src.mapInArrow(run, "file int, nth long, value binary"), path, "\n")
 
 
 def _files(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.format("binaryFile").load(path).select("path", "content")
+    return spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path", "content")
 
 
 def _opened(content: bytes):
@@ -172,7 +193,8 @@ def _header_value(header: bytes, name: bytes) -> str | None:
 
 def _as_warc(r: dict, name: str) -> dict:
     header, payload = _split_http(r["doc"])
-    place = hashlib.sha1(f"{name.rsplit('/', 1)[-1]} {r['offset']}".encode()).digest()
+    # a file's name and that of its folder are its own
+    place = hashlib.sha1(f"{'/'.join(name.rsplit('/', 2)[-2:])} {r['offset']}".encode()).digest()
     d = r["date"]
     return {"record_id": f"<urn:uuid:{uuid.UUID(bytes=place[:16], version=5)}>", "uri": r["url"], "ip": r["ip"],
             "date": f"{d[:4]}-{d[4:6]}-{d[6:8]}T{d[8:10]}:{d[10:12]}:{d[12:14]}Z", "mime": r["mime"], "header": header,
@@ -235,13 +257,13 @@ def warc_record(r: dict) -> bytes:
     return "\r\n".join(lines).encode() + b"\r\n\r\n" + block
 
 
-def write_warc(records: DataFrame, path: str) -> None:
+def write_warc(records: DataFrame, path: str, file_bytes: int = FILE_BYTES) -> None:
     def run(batches):
-        rows = ({"value": warc_record(r)} for b in batches for r in b.to_pylist())
-        yield from _batches(rows, pa.schema([("value", pa.binary())]), lambda r: len(r["value"]))
+        rows = (r for b in batches for r in b.to_pylist())
+        cut = _cut(rows, lambda r, file, offset: warc_record(r), 4, lambda file: None, file_bytes)
+        yield from _batches(cut, _CUT, lambda r: len(r["value"]))
 
-    (records.mapInArrow(run, "value binary").select(F.col("value").cast("string"))
-     .write.option("lineSep", "\r\n\r\n").option("compression", "gzip").text(path))
+    _write_cut(records.mapInArrow(run, "file int, nth long, value binary"), path, "\r\n\r\n")
 
 
 def read_warc(stream, name: str) -> Iterator[tuple[dict, bytes]]:
@@ -299,5 +321,7 @@ def warc_roundtrip(pages: DataFrame, id_col: str = "page_id", url_col: str = "ur
     back = staged(warc_index(spark, warc), "warc-index")
     page = F.col("page").cast(id_type)
     leads = back.filter("record_type <> 'revisit'").select(F.col("record_id").alias("refers_to_id"), page.alias("refers_to"))
-    out = back.join(leads, "refers_to_id", "left")
-    return out.select(page.alias(id_col), "payload_bytes", "payload_digest", "record_type", "refers_to", "intact")
+    # responses refer to none: only revisits have a key to join by
+    alone = back.filter("record_type <> 'revisit'").withColumn("refers_to", F.lit(None).cast(id_type))
+    again = back.filter("record_type = 'revisit'").join(leads, "refers_to_id", "left")
+    return alone.unionByName(again).select(page.alias(id_col), "payload_bytes", "payload_digest", "record_type", "refers_to", "intact")
