@@ -16,7 +16,7 @@ from medallion.llm.mixing import mixing_report
 from medallion.llm.quality_rules import MARKS, SPACE, SYMBOLS, LineRules, quality_report
 from medallion.llm.sharding import shard_rows
 from medallion.llm.token_counts import token_counts
-from medallion.llm.url_filters import HOST_RULES, WORD_RULES, url_verdicts
+from medallion.llm.url_filters import HOST_RULES, PATTERN_RULES, WORD_RULES, url_verdicts
 from medallion.llm.warc import warc_roundtrip
 
 
@@ -83,9 +83,9 @@ _NORM = "translate(coalesce({}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijkl
 
 
 def _url_sql() -> str:
-    """Host rules by length, then the words, tried in their order of preference."""
+    """Host rules by length, then words and patterns, tried in their order of preference."""
     by_length = sorted(HOST_RULES, key=lambda r: (len(r.name), r.name), reverse=True)
-    words = sorted(WORD_RULES, key=lambda r: (len(r.name), r.name), reverse=True)
+    words = sorted(WORD_RULES + PATTERN_RULES, key=lambda r: (len(r.name), r.name), reverse=True)
 
     def fits(rule):
         host, path = rule.name.split("/", 1)

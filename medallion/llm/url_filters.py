@@ -2,7 +2,8 @@
 
 Each rule is a regular expression over ``host + path`` with the literal tokens
 that any match must hold.  The tokens' frequencies over the table's distinct URLs
-decide which of them indexes the rule; a URL's tokens fetch candidate rules by an
+decide which of them indexes the rule (a pattern of several fixed words by the one that the
+fewest URLs hold); a URL's tokens fetch candidate rules by an
 equi-join on the token and only candidates run their regular expression.  Rules
 without a literal token are tried on every URL.  Of the rules that match a URL the
 longest wins (ties: the larger rule text), and a host rule outranks the patterns.
@@ -12,11 +13,13 @@ row; a hot token reaches no rule that owns a rarer one.  The rule list is broadc
 up to ``BROADCAST_RULES`` and joined by a shuffle beyond.
 
 Null or empty URLs and URLs without ``://`` have empty host and path, match no rule
-and are allowed.  Rows that repeat an id keep one result row each.
+and are allowed.  Rows that repeat an id keep one result row each, an empty table gives
+none, and columns other than id and URL are not read.
 """
 
 from __future__ import annotations
 
+import json
 import re
 from dataclasses import dataclass
 
@@ -54,11 +57,36 @@ def word_rule(verdict: str, word: str) -> UrlRule:
     return UrlRule(f"~{word}", verdict, rf"(?i)(?:^|[^A-Za-z0-9]){re.escape(word)}(?:$|[^A-Za-z0-9])", (word.lower(),))
 
 
+def pattern_rule(verdict: str, text: str) -> UrlRule:
+    """A pattern over host and path: ``||`` at its start is the start of a host label, ``|`` at
+    its end the end of the path, ``*`` any run of characters and ``^`` a separator (a character
+    other than ASCII letters, digits and ``_ - . %``) or the end.  Case does not matter.  Its
+    tokens are those that marks of the pattern bound on both sides."""
+    anchored, ends = text.startswith("||"), text.endswith("|") and len(text) > 2
+    body = text[2 if anchored else 0:len(text) - ends]
+    parts = body.split("*")
+    made = [re.escape(p).replace(re.escape("^"), "(?:[^A-Za-z0-9_.%-]|$)") for p in parts]
+    tokens = []
+    for k, part in enumerate(parts):
+        for m in _TOKEN.finditer(part):
+            left = m.start() > 0 or k == 0 and anchored
+            right = m.end() < len(part) or k == len(parts) - 1 and ends
+            if left and right:
+                tokens.append(m.group().lower())
+    pattern = "(?is)" + (r"^(?:[^/]*\.)?" if anchored else "") + ".*".join(made) + ("$" if ends else "")
+    return UrlRule(text, verdict, pattern, tuple(tokens))
+
+
 HOST_RULES = (host_rule("block", "net", "/"), host_rule("allow", "example.net", "/en/"),
               host_rule("block", "example.com", "/de/"), host_rule("allow", "org", "/fr/"))
 WORD_RULES = tuple(word_rule("block", w) for w in (
     "adserver", "casino", "doubleclick", "phishing", "popunder", "poker", "porn", "slots", "torrent", "viagra", "warez", "xxx"))
-DEFAULT_RULES = HOST_RULES + WORD_RULES
+PATTERN_RULES = tuple(pattern_rule("block", t) for t in (
+    "||ads-track.", "||cheap-pills.", "||adserver-*.click^", "||track.*/pixel.gif|", "||*-casino.*/bonus/", "||*.top/win-*-prize/", "/ads/*/banner^",
+    "/banner/*/click^", "/popunder/*.js|", "/track/*/click^", "/affiliate/*/redirect^", "/sponsored/*/article-", "-free-*-download/crack^",
+    "/torrent/*/magnet^", "/wp-login.php/*/xmlrpc.php|", "/slots/*/free-spins^", "/loans/*/no-credit-check^", "/viagra-*/buy-online^",
+    "/live-cam/*/private^", "/phish-*/verify-account^"))
+DEFAULT_RULES = HOST_RULES + WORD_RULES + PATTERN_RULES
 
 
 def host_and_path(url: Column) -> tuple[Column, Column]:
@@ -69,11 +97,19 @@ def host_and_path(url: Column) -> tuple[Column, Column]:
     return ascii_lower(host), F.regexp_extract(after, r"(?s)^[^/?#]*([^?#]*)", 1)
 
 
+_RULE = "rule_no: int, name: string, verdict: string, pattern: string, tokens: array<string>, host_rule: boolean"
+
+
+def _listed(spark, rules) -> DataFrame:
+    """The rules as rows of one literal text: no Python worker, and no more than the list."""
+    said = json.dumps([{"rule_no": i, "name": r.name, "verdict": r.verdict, "pattern": r.pattern, "tokens": list(dict.fromkeys(r.tokens)),
+                        "host_rule": r.is_host_rule} for i, r in enumerate(rules)])
+    return spark.range(1).select(F.inline(F.from_json(F.lit(said), f"array<struct<{_RULE}>>")))
+
+
 def _index(urls: DataFrame, rules, spark) -> DataFrame:
     """``rules`` with the token that indexes each, null without one."""
-    listed = spark.createDataFrame(
-        [(i, r.name, r.verdict, r.pattern, list(dict.fromkeys(r.tokens)), r.is_host_rule) for i, r in enumerate(rules)],
-        "rule_no int, name string, verdict string, pattern string, tokens array<string>, host_rule boolean")
+    listed = _listed(spark, rules)
     own = listed.select("rule_no", F.explode("tokens").alias("token"))
     counts = (urls.select(F.explode("tokens").alias("token"))
               .join(_small(own.select("token").distinct(), rules), "token", "left_semi").groupBy("token").count())
@@ -82,6 +118,23 @@ def _index(urls: DataFrame, rules, spark) -> DataFrame:
     return listed.drop("tokens").join(rarest, "rule_no", "left")
 
 
+def _urls(src: DataFrame) -> DataFrame:
+    """Each host and path once, with its tokens."""
+    urls = src.select("host", "path").filter("host <> '' or path <> ''").distinct()
+    urls = urls.withColumn("at", F.concat("host", "path"))
+    return urls.withColumn("tokens", F.array_distinct(F.transform(
+        F.regexp_extract_all("at", F.lit("([A-Za-z0-9]+)"), F.lit(1)), F.lower)))
+
+
+def url_candidates(df: DataFrame, rules: tuple[UrlRule, ...] = DEFAULT_RULES, url_col: str = "url") -> DataFrame:
+    """``host``, ``path``, ``name``: the rules with tokens that each URL fetches, which is
+    what has to run a regular expression."""
+    host, path = host_and_path(col(url_col))
+    urls = _urls(df.select(host.alias("host"), path.alias("path")))
+    return (urls.select("host", "path", F.explode("tokens").alias("token")).join(_small(_index(urls, rules, df.sparkSession), rules), "token")
+            .select("host", "path", "name"))
+
+
 def _small(df: DataFrame, rules) -> DataFrame:
     return F.broadcast(df) if len(rules) <= BROADCAST_RULES else df
 
@@ -94,10 +147,7 @@ def url_verdicts(df: DataFrame, rules: tuple[UrlRule, ...] = DEFAULT_RULES, id_c
     src = df.select(col(id_col).alias("__id"), col(url_col).alias("__url"))
     host, path = host_and_path(F.col("__url"))
     src = src.withColumn("host", host).withColumn("path", path)
-    urls = src.select("host", "path").filter("host <> '' or path <> ''").distinct()
-    urls = urls.withColumn("at", F.concat("host", "path"))
-    urls = urls.withColumn("tokens", F.array_distinct(F.transform(
-        F.regexp_extract_all("at", F.lit("([A-Za-z0-9]+)"), F.lit(1)), F.lower)))
+    urls = _urls(src)
     index = _index(urls, rules, spark)
     fetched = urls.select("host", "path", "at", F.explode("tokens").alias("token")).join(_small(index, rules), "token")
     if any(not r.tokens for r in rules):
