@@ -7,7 +7,9 @@ is rejected, as is one that fails the base measures:
 * punctuation: hardly anything but marks (no letter or digit, or marks that
   close no clause make up more than ``max_marks`` of its characters);
 * navigation: more than ``max_separators`` menu separators;
-* boilerplate: script, cookie, licence and copyright notices.
+* boilerplate: script, cookie, licence and copyright notices, by phrases of the corpus's
+  four languages and, whatever the language, by their form (``structure``: rows of links,
+  copyright signs and years, names of licences, tags, script and style code, breadcrumbs).
 
 Null text has no words.  Blank lines are neither tested nor removed.  A
 document without a word loses nothing and fails on its word count.
@@ -36,18 +38,31 @@ class LineRules:
         "enable javascript", "javascript is disabled", "uses cookies", "accept cookies", "cookie policy",
         "privacy policy", "terms of use", "terms of service", "all rights reserved", "lorem ipsum",
         "licensed under", "spdx-license-identifier", "permission is hereby granted", "copyright (c)",
-        "subscribe to our newsletter", "click here to", "skip to content")
+        "subscribe to our newsletter", "click here to", "skip to content",
+        "tous droits réservés", "mentions légales", "politique de confidentialité", "conditions d'utilisation", "accepter les cookies",
+        "utilise des cookies", "abonnez-vous à", "cliquez ici pour", "aller au contenu",
+        "alle rechte vorbehalten", "datenschutzerklärung", "nutzungsbedingungen", "verwendet cookies", "cookies akzeptieren",
+        "newsletter abonnieren", "klicken sie hier", "zum inhalt springen",
+        "todos los derechos reservados", "aviso legal", "política de privacidad", "condiciones de uso", "aceptar cookies", "utiliza cookies",
+        "suscríbete a", "haga clic aquí", "saltar al contenido")
+    structure: str = (
+        r"(?:https?://|www\.)[^ \t\n]+[ \t]+(?:https?://|www\.)|©|\([cC]\)[ \t]*[12][0-9]{3}"
+        r"|(?:GPL|SPDX|AGPL|LGPL|CC[ -]BY(?:[ -][A-Z]{2})*|Apache|Mozilla Public)[ -](?:[Ll]icen[sc]e|[0-9]+\.[0-9])"
+        r"|</?[a-zA-Z][a-zA-Z0-9]*(?:[ \t][^<>\n]*)?>|function[ \t]*\([^()\n]*\)[ \t]*\{|\{[^{}\n]*[:;][^{}\n]*\}"
+        r"|(?:[ \t][>/·][ \t][^>/·\n]+){3}")
     max_lost: float = 0.5
     min_words: int = 50
     max_repeat_pct: int = 50
 
 
-def _line_fails(line: Column, low: Column, r: LineRules) -> Column:
+def _line_fails(line: Column, low: Column, said: Column, formed: Column, r: LineRules) -> Column:
+    """``said`` and ``formed``: whether any line of the text can fail by a phrase or by form."""
     phrases = F.array(*[F.lit(p) for p in r.boilerplate])
     return (~line.rlike(r"[\p{L}\p{N}]")
             | (F.regexp_count(line, F.lit(MARKS)) > F.char_length(line) * F.lit(r.max_marks))
             | (F.regexp_count(line, F.lit(r.separators)) > r.max_separators)
-            | F.exists(phrases, lambda p: F.contains(low, p)))
+            | (formed & line.rlike(r.structure))
+            | (said & F.exists(phrases, lambda p: F.contains(low, p))))
 
 
 # Up to so many repeated windows are looked up one by one, more by a sort.
@@ -80,13 +95,20 @@ def quality_measures(df: DataFrame, text_col: str = "text", rules: LineRules | N
         "__hash": F.expr("case when size(__w) < 3 then array() else "
                          "transform(slice(__w, 1, size(__w) - 2), (x, i) -> xxhash64(x, __w[i + 1], __w[i + 2])) end"),
         "__both": F.transform("__lines", lambda x: F.struct(x.alias("l"), F.lower(x).alias("low"))),
+        "__formed": F.col("__t").rlike(r.structure),
+        "__low": F.lower("__t"),
     })
+    # one look at the whole text spares most texts the look at every line
+    said = F.lit(False)
+    for phrase in r.boilerplate:
+        said = said | F.contains(F.col("__low"), F.lit(phrase))
+    d = d.withColumn("__said", said).drop("__low")
     d = d.drop("__w", "__lines").withColumns({
         "__n_dup_lines": (F.size("__full") - F.size(F.array_distinct("__full"))).cast("long"),
         "__sorted": F.sort_array("__hash"),
-        "__good": F.filter("__both", lambda x: ~(x["l"].rlike(WORD) & _line_fails(x["l"], x["low"], r))),
+        "__good": F.filter("__both", lambda x: ~(x["l"].rlike(WORD) & _line_fails(x["l"], x["low"], F.col("__said"), F.col("__formed"), r))),
     })
-    d = d.drop("__both", "__full").withColumns({
+    d = d.drop("__both", "__full", "__said", "__formed").withColumns({
         "__rep": F.expr("case when size(array_distinct(__hash)) = size(__hash) then array() else "
                         "array_distinct(filter(__sorted, (x, i) -> i > 0 and __sorted[i - 1] = x)) end"),
         "__clean": F.array_join(F.col("__good.l"), "\n"),

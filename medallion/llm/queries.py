@@ -108,7 +108,8 @@ def _url_sql() -> str:
 
 
 def _quality_sql(r: LineRules) -> str:
-    said = " OR ".join(f"contains(lower(line), '{p}')" for p in r.boilerplate)
+    said = " OR ".join("contains(lower(line), '{}')".format(p.replace("'", "''")) for p in r.boilerplate)
+    said += f" OR regexp_matches(line, '{r.structure}')"
     return rf"""
         WITH d AS (SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '{WORD}') AS ws FROM documents),
              g AS (SELECT doc_id, i, ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2] AS tri

@@ -49,3 +49,18 @@ def test_cleaning_takes_lines_out(spark):
     assert out[0].text == CLEAN and out[8].text == CLEAN and out[8].n_chars == len(CLEAN)
     assert quality_clean(df).columns == df.columns
     assert quality_clean(df.filter("false")).count() == 0
+
+
+FAILING = ["Tous droits réservés, Paris.", "ALLE RECHTE VORBEHALTEN", "Utiliza cookies propias", "Conditions d'utilisation", "© Beispiel Verlag",
+           "(c) 1999 by someone", "Inicio > Noticias > Deportes > Tenis", "https://a.b/c  www.d.e/f", "<div class=x>text", "a { color: red }",
+           "onload = function (x) {", "SPDX-License-Identifier: MIT", "GPL-3.0 or later", "Home | About | News | Contact | Help", "***", "wow!!!! so??"]
+PASSING = ["Er sagte: alles ist gut; sie ging.", "See https://a.b/c for more.", "5 < 6 and 7 > 3, he said.", "The function (of x) is clear.",
+           "Le chat (noir) dort.", "Apache helicopters flew.", "El precio es 3/4 de antes.", "Rates rose from 3.5 to 4.0 percent"]
+
+
+def test_lines_fail_by_form_and_by_phrases_of_four_languages(spark):
+    body = "\n".join(prose(k, 60) for k in range(6))
+    docs = documents(spark, [body + "\n" + x for x in FAILING + PASSING])
+    out = {r.doc_id: r.text for r in quality_clean(docs).collect()}
+    for k, x in enumerate(FAILING + PASSING):
+        assert (out[k] == body) == (x in FAILING) and (x in FAILING or out[k] == body + "\n" + x), x
