@@ -10,8 +10,11 @@ Two tokens are compatible if BPE keeps them apart: no merge joins a piece on the
 right edge of the first to a piece on the left edge of the second before either
 is consumed by its own next merge.
 
-The work runs in ``mapInPandas`` over whole rows; a worker keeps one vocabulary
+The work runs in ``mapInArrow`` over whole rows; a worker keeps one vocabulary
 and a bounded memory of encoded pieces.  Null text is empty: no ids, empty text.
+Rows that repeat an id are encoded each, an empty table gives no rows, and other
+columns are not read.  A tokenizer file with a normaliser, another pre-tokeniser or
+conditions on its added tokens raises ``ValueError``.
 """
 
 from __future__ import annotations
@@ -42,12 +45,27 @@ def _byte_alphabet() -> dict[str, int]:
     return out
 
 
+def _supported(spec: dict) -> None:
+    """Raise for what this codec would encode otherwise than the file says."""
+    model, pre = spec["model"], spec.get("pre_tokenizer") or {}
+    if spec.get("normalizer"):
+        raise ValueError("a tokenizer with a normalizer is not supported")
+    if pre.get("type") != "ByteLevel" or pre.get("add_prefix_space") or not pre.get("use_regex", True):
+        raise ValueError("only the byte-level pre-tokenizer without a prefix space is supported")
+    if model.get("type", "BPE") != "BPE" or any(model.get(k) for k in ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix",
+                                                                       "byte_fallback", "ignore_merges")):
+        raise ValueError("only plain byte-level BPE is supported")
+    if any(t.get(k) for t in spec.get("added_tokens", []) for k in ("single_word", "lstrip", "rstrip", "normalized")):
+        raise ValueError("added tokens with conditions are not supported")
+
+
 class BpeCodec:
     """A byte-level BPE vocabulary read from a tokenizer JSON file."""
 
     def __init__(self, spec: dict):
         import ahocorasick
 
+        _supported(spec)
         model, back = spec["model"], _byte_alphabet()
         raw = {k: bytes(back[c] for c in k) for k in model["vocab"]}
         self.bytes_of: dict[int, bytes] = {i: raw[k] for k, i in model["vocab"].items()}

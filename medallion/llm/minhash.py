@@ -46,7 +46,7 @@ REGISTERS = BANDS * ROWS
 #: Texts and shingles in a block; hubs that a bucket of several blocks sends to each; registers
 #: that must agree before texts are compared (0.6 of them, 4.5 standard deviations below the
 #: threshold).
-BLOCK, BLOCK_SHINGLES, HUBS, AGREE = 2048, 1 << 20, 16, int(0.6 * REGISTERS)
+BLOCK, BLOCK_SHINGLES, HUBS, AGREE = 2048, 1 << 19, 16, int(0.6 * REGISTERS)
 _MEMO = 300_000
 
 _K1, _K2, _GOLD = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
@@ -164,7 +164,7 @@ def _signed(batches: Iterator[pa.RecordBatch], full: bool) -> Iterator[pa.Record
 
 def _numbers(bags: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """Each bag's elements as small numbers, one bag after the other, and where bags begin."""
-    known, ids = np.unique(np.concatenate(bags), return_inverse=True)
+    ids = np.unique(np.concatenate(bags), return_inverse=True)[1].astype(np.int32)
     return ids, np.concatenate([[0], np.cumsum([len(x) for x in bags])])
 
 
@@ -174,7 +174,7 @@ def _overlaps(ids: np.ndarray, at: np.ndarray, flags: np.ndarray, i: int, others
     flags[mine] = 1
     sizes = at[others + 1] - at[others]
     first = np.cumsum(sizes) - sizes
-    place = np.repeat(at[others] - first, sizes) + np.arange(int(sizes.sum()))
+    place = np.repeat((at[others] - first).astype(np.int32), sizes) + np.arange(int(sizes.sum()), dtype=np.int32)
     both = np.add.reduceat(flags[ids[place]], first)
     flags[mine] = 0
     return both

@@ -135,7 +135,23 @@ def _quality_sql(r: LineRules) -> str:
         SELECT *, NOT base_failed AND lost_chars <= {r.max_lost} * word_chars AS kept FROM f"""
 
 
+def _warc_sql() -> str:
+    """SHA-1 as base 32: forty hexadecimal digits to bits, five bits a letter."""
+    digits = ", ".join(f"'{i:04b}'" for i in range(16))
+    five = " + ".join(f"CASE WHEN substr(bits, CAST(5 * i + {k + 1} AS INTEGER), 1) = '1' THEN {16 >> k} ELSE 0 END" for k in range(5))
+    return f"""
+        WITH p AS (SELECT page_id, coalesce(html, '') AS t FROM pages),
+             b AS (SELECT *, sha1(t) AS h, max(page_id) OVER (PARTITION BY t) AS lead FROM p),
+             x AS (SELECT *, array_to_string([[{digits}][strpos('0123456789abcdef', substr(h, CAST(j AS INTEGER), 1))]
+                                                    FOR j IN range(1, 41)], '') AS bits FROM b)
+        SELECT page_id, CAST(octet_length(encode(t)) AS BIGINT) AS payload_bytes,
+               array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + {five}, 1) FOR i IN range(0, 32)], '') AS payload_digest,
+               CASE WHEN page_id = lead THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN page_id <> lead THEN lead END AS refers_to, true AS intact FROM x"""
+
+
 ORACLE = {
+    "op7_arc_to_warc": _warc_sql(),
     "op2_url_filters": _url_sql(),
     "op5_exact_dedup": f"""
         WITH d AS (SELECT doc_id, {_NORM.format("text")} AS t FROM documents)

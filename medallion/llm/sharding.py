@@ -20,7 +20,9 @@ each cell's first slot and only cells are ordered, so no shard is one task.
 
 Null text has no bytes; a row's size is its UTF-8 bytes plus one.  Rows that repeat
 id and text are distinct rows with slots of their own.  Fewer groups than shards
-leave shards empty; an empty table gives an empty result.
+leave shards empty; an empty table gives an empty result; other columns are not read.
+Up to ``MAX_SHARDS`` (256) shards: every open cut keeps ranges on the driver, so more
+raise ``ValueError``.
 """
 
 from __future__ import annotations

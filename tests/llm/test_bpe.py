@@ -47,3 +47,21 @@ def test_documents(spark, theirs):
     back = {r.doc_id: r.text for r in bpe_decode(bpe_encode(df, spec), spec).collect()}
     assert back == {k: v or "" for k, v in by_id.items()}
     assert bpe_digest(df.filter("false"), spec).count() == 0
+
+
+@pytest.mark.parametrize("change", [{"normalizer": {"type": "NFC"}}, {"pre_tokenizer": {"type": "Whitespace"}},
+                                    {"pre_tokenizer": {"type": "ByteLevel", "add_prefix_space": True, "use_regex": True}}])
+def test_other_tokenizer_files_are_refused(change):
+    import json
+
+    with pytest.raises(ValueError):
+        codec_of(json.dumps(json.loads(read_spec(PATH)) | change))
+
+
+def test_repeated_ids_and_clashing_columns(spark):
+    from pyspark.sql import functions as F
+
+    df = documents(spark, ["a b", "a b", None], ids=[1, 1, None]).withColumn("n_tokens", F.lit("x")).withColumn("__t", F.lit(1))
+    rows = bpe_digest(df, read_spec(PATH)).collect()
+    assert sorted((str(r.doc_id), r.n_tokens) for r in rows) == [("1", 2), ("1", 2), ("None", 0)]
+    assert bpe_digest(df.filter("false"), read_spec(PATH)).count() == 0
