@@ -1,18 +1,20 @@
-"""Elias-Fano sequences and a two-level n-gram trie over numpy arrays.
+"""Elias-Fano sequences and a level-by-level n-gram trie over numpy arrays.
 
 A monotone sequence keeps the low bits of each value in whole bytes and the high
 bits as unary gaps in a bit vector with a small directory.  The trie's first level
 holds the contexts, the second their successors; pointers mark where each context's
 successors start.  A successor is stored as its rank among the trie's words plus the
 last value of the range before, so the whole level is one monotone sequence, and a
-lookup searches from the value its context starts at.  Levels are written to one file
-and memory-mapped; all lookups take arrays.
+lookup searches from the value its context starts at.  A further level is a trie of the
+same kind whose contexts are places in the level before it.  Levels are written to one
+mapping, over a file if one is named and over anonymous memory otherwise; all lookups take
+arrays.
 """
 
 from __future__ import annotations
 
+import mmap
 import os
-import tempfile
 
 import numpy as np
 
@@ -87,7 +89,8 @@ class EliasFano:
 
 
 class Trie:
-    """Bigrams (context hash, word hash) with a code each and totals per context."""
+    """N-grams (context, word hash) with a code each and totals per context.  A context is
+    a word's hash, or an n-gram's place in the level before."""
 
     LEVELS = ("contexts", "words", "pointers", "successors")
 
@@ -113,30 +116,34 @@ class Trie:
         return cls({k: EliasFano.build(v.astype(np.uint64)) for k, v in levels.items()}, totals,
                    ends - start, code(count))
 
-    def mapped(self) -> tuple[Trie, str]:
-        """The trie over a memory-mapped file, and the file (the caller removes it)."""
+    def mapped(self, path: str | None = None) -> Trie:
+        """The trie over a memory mapping: of a new file at ``path`` (the caller removes
+        it), or without a file."""
         arrays = [a for k in self.LEVELS for a in (self.levels[k].low, self.levels[k].high)]
         arrays += [self.totals, self.kinds, self.codes]
-        fd, path = tempfile.mkstemp(suffix=".trie")
-        with os.fdopen(fd, "wb") as f:
-            for a in arrays:
-                f.write(np.ascontiguousarray(a).tobytes())
-            f.write(b"\0")
-        whole, at, views = np.memmap(path, np.uint8, "r"), 0, []
+        size = sum(a.nbytes for a in arrays) + 1
+        if path is None:
+            space = mmap.mmap(-1, size)
+        else:
+            with open(path, "xb+") as f:
+                f.truncate(size)
+                space = mmap.mmap(f.fileno(), size)
+        whole, at, views = np.frombuffer(space, np.uint8), 0, []
         for a in arrays:
+            whole[at:at + a.nbytes] = np.frombuffer(np.ascontiguousarray(a).tobytes(), np.uint8)
             views.append(whole[at:at + a.nbytes].view(a.dtype).reshape(a.shape) if a.dtype.itemsize == 1
-                         else np.frombuffer(whole, a.dtype, a.size, at).reshape(a.shape))
+                         else np.frombuffer(space, a.dtype, a.size, at).reshape(a.shape))
             at += a.nbytes
         levels = {k: EliasFano(self.levels[k].count, self.levels[k].shift, views[2 * i], views[2 * i + 1])
                   for i, k in enumerate(self.LEVELS)}
-        return Trie(levels, *views[8:]), path
+        return Trie(levels, *views[8:])
 
     def contexts(self, context: np.ndarray) -> np.ndarray:
         return self.levels["contexts"].find(context)
 
-    def lookup(self, at: np.ndarray, word: np.ndarray) -> np.ndarray:
-        """Codes of the bigrams (context at place ``at``, word); 0: not there."""
-        out = np.zeros(len(at), self.codes.dtype)
+    def places(self, at: np.ndarray, word: np.ndarray) -> np.ndarray:
+        """Place of the n-grams (context at place ``at``, word), -1 if not there."""
+        out = np.full(len(at), -1, np.int64)
         rank = self.levels["words"].find(word)
         some = np.flatnonzero((at >= 0) & (rank >= 0))
         if not len(some):
@@ -148,5 +155,13 @@ class Trie:
         base = np.where(first > 0, seq.values(np.maximum(first - 1, 0)) + np.uint64(1), np.uint64(0))
         place = seq.find(base + rank)
         ok = (place >= first) & (place < end)
-        out[some[ok]] = self.codes[place[ok]]
+        out[some[ok]] = place[ok]
         return out
+
+    def of(self, values: np.ndarray, place: np.ndarray) -> np.ndarray:
+        """What the level holds at each place (``totals``, ``kinds`` or ``codes``), 0 at -1."""
+        return np.where(place >= 0, values[np.maximum(place, 0)], 0).astype(values.dtype) if len(values) else np.zeros(len(place), values.dtype)
+
+    def lookup(self, at: np.ndarray, word: np.ndarray) -> np.ndarray:
+        """Codes of the n-grams (context at place ``at``, word); 0: not there."""
+        return self.of(self.codes, self.places(at, word))

@@ -1,21 +1,26 @@
-"""Bigram language-model scores from Elias-Fano tries, trained and queried in shards.
+"""N-gram language-model scores from Elias-Fano tries, trained and queried in shards.
 
 Model.  Interpolated absolute discounting: P(w|v) = (c(vw) - D) / c(v) + D n(v) / c(v) P1(w)
 with c(v) occurrences and n(v) different successors of v, the additive-smoothed unigram
-P1(w) = (c(w) + 0.1) / (N + 0.1 (V + 1)), and P1 alone after an unseen context.  Each
-text is its words and an end; its first word follows a start mark.  Discounted counts are
-stored as 16-bit logarithmic codes (steps of 0.07 %), totals per context exactly.
+P1(w) = (c(w) + 0.1) / (N + 0.1 (V + 1)), and P1 alone after an unseen context.  At order 3
+P(w|uv) is the same over P(w|v), with the counts of what follows uv; a text's first word has
+no such context.  Each text is its words and an end; its first word follows a start mark.
+Discounted counts are stored as 16-bit logarithmic codes (steps of 0.07 %), totals per
+context exactly.
 
 Data flow.  Texts become blocks of about ``block_bytes``, each a stream of local word
 numbers, written once to the shared folder.  A block sends its different bigrams, with
 their training counts, to shards that own them by context; a shard adds the counts,
-builds its trie, and answers every request of each block in the order it came.  Totals
+builds its trie, and answers every request of each block in the order it came.  Trigrams
+go with the bigram that is their context and form a further level of the shard's trie, keyed
+by the context's place.  Totals
 of a context are the counts of that word as a token, so the answers also hold all unigram
 counts.  Blocks meet their answers and score their documents.  Both shuffles carry one
 packed row per (block, shard), and nothing held by one task grows with the corpus: the
-number of shards does.  A word with more than ``HOT`` of all tokens spreads its successors
-over all shards; there are at most 1/HOT such words, and their totals are the only counts
-that pass the driver.
+number of shards does.  A word with more than ``HOT`` of all tokens, or more than
+``CONTEXT_SHARDS`` shards would hold, spreads its successors over all shards; the totals of
+such words are the only counts that pass the driver.  Tries are mapped over files in the
+shared folder where it is a path of the file system, else over memory.
 
 Words are read after A-Z are lower-cased and told apart by a 64-bit hash.  Null text is
 empty: its only token is the end.  Rows that repeat an id are texts of their own.  With no
@@ -24,7 +29,9 @@ training text, N = V = 0 and every token has probability 1.
 
 from __future__ import annotations
 
+import contextlib
 import os
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,10 +42,11 @@ from pyspark.sql import functions as F
 
 from medallion.llm.common import ascii_lower, col, staged, text_or_empty
 from medallion.llm.elias_fano import Trie
+from medallion.session import scratch_dir
 
 DISCOUNT, ADD = 0.75, 0.1
 BLOCK_BYTES, SHARD_BYTES = 8 << 20, 4 << 20
-HOT = 0.001
+HOT, CONTEXT_SHARDS = 0.001, 4
 _START, _END = np.uint64(1), np.uint64(2)
 _MEMO = 200_000
 _STEPS = 1024
@@ -110,7 +118,7 @@ def _to_blocks(batches: Iterator[pa.RecordBatch], block_bytes: int, schema: pa.S
 class _Block:
     """A block's texts as bigrams, in the order of their shards."""
 
-    def __init__(self, row: dict, shards: int, hot: np.ndarray):
+    def __init__(self, row: dict, shards: int, hot: np.ndarray, order: int = 2):
         self.ids, self.held = row["ids"], np.array(row["held"], bool)
         sizes = np.array(row["sizes"], np.int64)
         stream = (np.frombuffer(row["low"], np.uint16).astype(np.int64)
@@ -140,29 +148,58 @@ class _Block:
             own = np.where(spread, h1 ^ (h2 * np.uint64(0x9E3779B97F4A7C15)), h1)
             own = (own ^ (own >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
         self.shard = ((own >> np.uint64(32)) % np.uint64(shards)).astype(np.int64)
-        order = np.argsort(self.shard, kind="stable")
-        self.order, self.ctx, self.nxt = order, ctx, nxt
+        by_shard = np.argsort(self.shard, kind="stable")
+        self.order, self.ctx, self.nxt = by_shard, ctx, nxt
+        self.runs3 = None
+        if order > 2:
+            self._trigrams(ends - self.sizes, m)
+
+    def _trigrams(self, starts: np.ndarray, m: int) -> None:
+        """Different (bigram, next word), in the order of their bigrams' shards."""
+        later = np.ones(len(self.pair), bool)
+        later[starts] = False
+        self.at3 = np.flatnonzero(later)
+        pair = self.pair[self.at3]
+        tri, self.tri = np.unique(self.pair[self.at3 - 1].astype(np.int64) * m + self.nxt[pair], return_inverse=True)
+        self.ctx3, self.nxt3 = tri // m, tri % m
+        self.pair3 = np.empty(len(tri), np.int64)  # the bigram that ends the trigram
+        self.pair3[self.tri] = pair
+        self.runs3 = np.bincount(self.ctx3, minlength=len(self.ctx))
+        rank = np.empty(len(self.order), np.int64)
+        rank[self.order] = np.arange(len(self.order))
+        self.order3 = np.argsort(rank[self.ctx3], kind="stable")
+        self.edge3 = np.concatenate([[0], np.cumsum(self.runs3[self.order])])
 
     def shares(self):
-        """(shard, places of its bigrams, start of each context among them)."""
+        """(shard, places of its bigrams, start of each context among them, places of the
+        trigrams that follow these bigrams)."""
         edges = np.flatnonzero(np.diff(self.shard[self.order])) + 1
+        at = 0
         for places in np.split(self.order, edges):
             c = self.ctx[places]
             new = np.ones(len(c), bool)
             new[1:] = c[1:] != c[:-1]
-            yield int(self.shard[places[0]]), places, np.flatnonzero(new)
+            third = None if self.runs3 is None else self.order3[self.edge3[at]:self.edge3[at + len(places)]]
+            at += len(places)
+            yield int(self.shard[places[0]]), places, np.flatnonzero(new), third
 
 
-def _requests(batches, shards: int, hot: np.ndarray) -> Iterator[pa.RecordBatch]:
+def _requests(batches, shards: int, hot: np.ndarray, order: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for row in batch.to_pylist():
-            b = _Block(row, shards, hot)
-            train = np.bincount(b.pair, weights=~b.held[b.text], minlength=len(b.ctx)).astype(np.uint32)
+            b = _Block(row, shards, hot, order)
+            learned = ~b.held[b.text]
+            train = np.bincount(b.pair, weights=learned, minlength=len(b.ctx)).astype(np.uint32)
+            if order > 2:
+                train3 = np.bincount(b.tri, weights=learned[b.at3], minlength=len(b.ctx3)).astype(np.uint32)
             out = []
-            for shard, places, starts in b.shares():
+            for shard, places, starts, third in b.shares():
                 runs = np.diff(np.append(starts, len(places))).astype(np.uint32)
                 out.append({"shard": shard, "block": row["block"], "h1": b.hashes[b.ctx[places[starts]]].tobytes(),
                             "runs": runs.tobytes(), "h2": b.hashes[b.nxt[places]].tobytes(), "n": train[places].tobytes()})
+                if order > 2:
+                    out[-1] |= {"runs3": b.runs3[places].astype(np.uint32).tobytes(), "h3": b.hashes[b.nxt3[third]].tobytes(),
+                                "n3": train3[third].tobytes()}
                 if len(out) == 64:
                     yield pa.RecordBatch.from_pylist(out, _REQUEST)
                     out = []
@@ -170,52 +207,82 @@ def _requests(batches, shards: int, hot: np.ndarray) -> Iterator[pa.RecordBatch]
                 yield pa.RecordBatch.from_pylist(out, _REQUEST)
 
 
-_REQUEST = pa.schema([("shard", pa.int32()), ("block", pa.string()), ("h1", pa.binary()), ("runs", pa.binary()),
-                      ("h2", pa.binary()), ("n", pa.binary())])
+_REQUEST = pa.schema([("shard", pa.int32()), ("block", pa.string()), *((k, pa.binary()) for k in ("h1", "runs", "h2", "n", "runs3", "h3", "n3"))])
 _ANSWER = pa.schema([("shard", pa.int32()), ("block", pa.string()), ("totals", pa.binary()), ("kinds", pa.binary()),
-                     ("codes", pa.binary()), ("hot_word", pa.int64()), ("n", pa.int64()), ("k", pa.int64())])
-
-
-def _answers(hot: np.ndarray):
+                     ("codes", pa.binary()), ("totals3", pa.binary()), ("kinds3", pa.binary()), ("codes3", pa.binary()),
+                     ("hot_word", pa.int64()), ("n", pa.int64()), ("k", pa.int64())])
+
+
+def _summed(context: np.ndarray, word: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, ...]:
+    """N-grams sorted by (context, word), each once, with their counts added."""
+    order = np.lexsort((word, context))
+    context, word, n = context[order], word[order], n[order]
+    new = np.ones(len(context), bool)
+    new[1:] = (context[1:] != context[:-1]) | (word[1:] != word[:-1])
+    first = np.flatnonzero(new)
+    return context[first], word[first], np.add.reduceat(n, first) if len(first) else n
+
+
+@contextlib.contextmanager
+def _mapped(trie: Trie, folder: str | None):
+    """The trie over a mapping that is gone afterwards; a file is named by the attempt."""
+    path = None
+    if folder is not None:
+        os.makedirs(folder, exist_ok=True)
+        path = f"{folder}/{uuid.uuid4().hex}.trie"
+    try:
+        yield trie.mapped(path)
+    finally:
+        if path is not None:
+            with contextlib.suppress(FileNotFoundError):
+                os.unlink(path)
+
+
+def _read(rows: list[dict], name: str, kind) -> list[np.ndarray]:
+    return [np.frombuffer(r[name], kind) for r in rows]
+
+
+def _further(trie: Trie, rows: list[dict], places: list[np.ndarray], folder: str | None, out: list[dict]) -> None:
+    """Answers about trigrams: a level keyed by the places of their bigrams."""
+    runs, h3, n3 = _read(rows, "runs3", np.uint32), _read(rows, "h3", np.uint64), _read(rows, "n3", np.uint32)
+    context = np.concatenate([np.repeat(p, k) for p, k in zip(places, runs)])
+    word, n = np.concatenate(h3), np.concatenate(n3).astype(np.int64)
+    seen = n > 0  # their bigrams are learned too
+    with _mapped(Trie.build(*_summed(context[seen].astype(np.uint64), word[seen], n[seen]), _code), folder) as upper:
+        for o, p, k, y in zip(out, places, runs, h3):
+            at = np.where(p >= 0, upper.contexts(np.maximum(p, 0).astype(np.uint64)), -1)
+            o |= {"totals3": upper.of(upper.totals, at).astype(np.uint32).tobytes(), "kinds3": upper.of(upper.kinds, at).astype(np.uint32).tobytes(),
+                  "codes3": upper.lookup(np.repeat(at, k), y).tobytes()}
+
+
+def _answers(hot: np.ndarray, order: int, folder: str | None):
     def run(group: pa.Table) -> pa.Table:
         rows = group.to_pylist()
-        h1 = [np.frombuffer(r["h1"], np.uint64) for r in rows]
-        h2 = [np.frombuffer(r["h2"], np.uint64) for r in rows]
-        runs = [np.frombuffer(r["runs"], np.uint32) for r in rows]
-        n = np.concatenate([np.frombuffer(r["n"], np.uint32) for r in rows])
+        h1, h2, runs = _read(rows, "h1", np.uint64), _read(rows, "h2", np.uint64), _read(rows, "runs", np.uint32)
+        n = np.concatenate(_read(rows, "n", np.uint32)).astype(np.int64)
         seen = n > 0
-        a = np.concatenate([np.repeat(x, k) for x, k in zip(h1, runs)])[seen]
-        b, n = np.concatenate(h2)[seen], n[seen].astype(np.int64)
-        order = np.lexsort((b, a))
-        a, b, n = a[order], b[order], n[order]
-        new = np.ones(len(a), bool)
-        new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
-        first = np.flatnonzero(new)
-        a, b, n = a[first], b[first], np.add.reduceat(n, first) if len(first) else n
-        trie, path = Trie.build(a, b, n, _code).mapped()
-        try:
-            out = []
+        context = np.concatenate([np.repeat(x, k) for x, k in zip(h1, runs)])[seen]
+        with _mapped(Trie.build(*_summed(context, np.concatenate(h2)[seen], n[seen]), _code), folder) as trie:
+            out, places = [], []
             for r, x, y, k in zip(rows, h1, h2, runs):
                 at = trie.contexts(x)
-                known = at >= 0
-                out.append({"shard": r["shard"], "block": r["block"],
-                            "totals": np.where(known, trie.totals[at] if len(trie.totals) else 0, 0).astype(np.int64).tobytes(),
-                            "kinds": np.where(known, trie.kinds[at] if len(trie.kinds) else 0, 0).astype(np.int64).tobytes(),
-                            "codes": trie.lookup(np.repeat(at, k), y).tobytes()})
+                places.append(trie.places(np.repeat(at, k), y))
+                out.append({"shard": r["shard"], "block": r["block"], "totals": trie.of(trie.totals, at).astype(np.int64).tobytes(),
+                            "kinds": trie.of(trie.kinds, at).astype(np.int64).tobytes(), "codes": trie.of(trie.codes, places[-1]).tobytes()})
+            if order > 2:
+                _further(trie, rows, places, folder, out)
             names = trie.levels["contexts"].values(np.arange(trie.levels["contexts"].count))
             is_hot = np.isin(names, hot)
             out += [{"shard": rows[0]["shard"], "hot_word": int(h.view(np.int64)), "n": int(t), "k": int(k)}
                     for h, t, k in zip(names[is_hot], trie.totals[is_hot], trie.kinds[is_hot])]
             # the other contexts, without the start mark, are this shard's part of V
             out.append({"shard": rows[0]["shard"], "n": int((~is_hot & (names != _START)).sum())})
-        finally:
-            os.unlink(path)
         return pa.Table.from_pylist(out, _ANSWER)
 
     return run
 
 
-def _scores(shards: int, hot_stats: dict[int, tuple[int, int]], total: int, kinds: int, texts: int, schema: pa.Schema):
+def _scores(shards: int, hot_stats: dict[int, tuple[int, int]], total: int, kinds: int, texts: int, schema: pa.Schema, order: int):
     hot = np.array(sorted(hot_stats), np.uint64)
     floor = total + ADD * (kinds + 1)
 
@@ -223,14 +290,19 @@ def _scores(shards: int, hot_stats: dict[int, tuple[int, int]], total: int, kind
         out = []
         by_shard = {r["shard"]: r for r in answers.to_pylist()}
         for row in blocks.to_pylist():
-            b = _Block(row, shards, hot)
+            b = _Block(row, shards, hot, order)
             count, followers = np.zeros(len(b.hashes)), np.zeros(len(b.hashes))
             held = np.zeros(len(b.ctx))
-            for shard, places, starts in b.shares():
+            if order > 2:
+                count3, followers3, held3 = np.zeros(len(b.ctx)), np.zeros(len(b.ctx)), np.zeros(len(b.ctx3))
+            for shard, places, starts, third in b.shares():
                 r, c = by_shard[shard], b.ctx[places[starts]]
                 count[c] = np.frombuffer(r["totals"], np.int64)
                 followers[c] = np.frombuffer(r["kinds"], np.int64)
                 held[places] = _decode(np.frombuffer(r["codes"], np.uint16))
+                if order > 2:
+                    count3[places], followers3[places] = np.frombuffer(r["totals3"], np.uint32), np.frombuffer(r["kinds3"], np.uint32)
+                    held3[third] = _decode(np.frombuffer(r["codes3"], np.uint16))
             for i in np.flatnonzero(np.isin(b.hashes, hot)):
                 count[i], followers[i] = hot_stats[int(b.hashes[i])]
             token = count.copy()
@@ -241,8 +313,13 @@ def _scores(shards: int, hot_stats: dict[int, tuple[int, int]], total: int, kind
             if not total:
                 p, p1 = np.ones_like(p), np.ones_like(p1)
             n = len(b.sizes)
-            per_text = lambda x: np.bincount(b.text, weights=x[b.pair], minlength=n)
-            score, base, known = per_text(np.log10(p)), per_text(np.log10(p1)[b.nxt]), per_text((token > 0)[b.nxt])
+            per_text = lambda x: np.bincount(b.text, weights=x, minlength=n)
+            each = np.log10(p)[b.pair]
+            if order > 2 and total:
+                c = count3[b.ctx3]
+                p3 = np.where(c > 0, (held3 + DISCOUNT * followers3[b.ctx3] * p[b.pair3]) / np.maximum(c, 1), p[b.pair3])
+                each[b.at3] = np.log10(p3)[b.tri]
+            score, base, known = per_text(each), per_text(np.log10(p1)[b.nxt][b.pair]), per_text((token > 0)[b.nxt][b.pair])
             out.append(pa.table([pa.array(b.ids, schema.field(0).type), pa.array(b.held), pa.array(b.sizes),
                                  pa.array(known.astype(np.int64)), pa.array(np.full(n, total)), pa.array(base),
                                  pa.array(score)], schema=schema))
@@ -251,10 +328,20 @@ def _scores(shards: int, hot_stats: dict[int, tuple[int, int]], total: int, kind
     return run
 
 
+def _file_system(path: str) -> str | None:
+    """A path that executors open themselves, None for other stores."""
+    if path.startswith("/"):
+        return path
+    return "/" + path[5:].lstrip("/") if path.startswith("file:") else None
+
+
 def lm_scores(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", held_out: Column | None = None,
-              block_bytes: int = BLOCK_BYTES, shard_bytes: int = SHARD_BYTES, hot_share: float = HOT) -> DataFrame:
+              block_bytes: int = BLOCK_BYTES, shard_bytes: int = SHARD_BYTES, hot_share: float = HOT, order: int = 2) -> DataFrame:
     """One row per document: id, ``held_out`` (not learned from), ``n_tokens``,
-    ``n_known``, ``train_tokens``, ``base_score`` (unigrams) and ``score``."""
+    ``n_known``, ``train_tokens``, ``base_score`` (unigrams) and ``score`` by n-grams up to
+    ``order`` (2 or 3)."""
+    if order not in (2, 3):
+        raise ValueError("order must be 2 or 3")
     out_flag = default_held_out(col(id_col)) if held_out is None else held_out
     src = df.select(col(id_col).alias("id"), ascii_lower(text_or_empty(text_col)).alias("t"), out_flag.alias("held"))
     kind = src.schema["id"].dataType.simpleString()
@@ -268,13 +355,17 @@ def lm_scores(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", hel
     sums = blocks.agg(F.sum("tokens").alias("tokens"), F.sum("train_tokens").alias("n"), F.sum("train_texts").alias("t"),
                       F.sum(F.octet_length("low") + F.octet_length("vocab")).alias("bytes")).first()
     tokens = sums["tokens"] or 0
+    shards = max(1, -(-6 * (order - 1) * tokens // shard_bytes))
+    hot_share = min(hot_share, CONTEXT_SHARDS / shards)
     hot_words = np.array([r["h"] % 2**64 for r in _frequent(blocks, hot_share, tokens)], np.uint64)
     hot_words = np.unique(np.append(hot_words, _START))
-    shards = max(1, -(-6 * tokens // shard_bytes))
+    folder = _file_system(scratch_dir(df.sparkSession, "lm-tries"))
     asked = blocks.select("block", "ids", "held", "sizes", "vocab", "low", "high").mapInArrow(
-        lambda b: _requests(b, shards, hot_words), "shard int, block string, h1 binary, runs binary, h2 binary, n binary")
+        lambda b: _requests(b, shards, hot_words, order),
+        "shard int, block string, h1 binary, runs binary, h2 binary, n binary, runs3 binary, h3 binary, n3 binary")
     answers = staged(asked.groupBy("shard").applyInArrow(
-        _answers(hot_words), "shard int, block string, totals binary, kinds binary, codes binary, hot_word long, n long, k long"),
+        _answers(hot_words, order, folder),
+        "shard int, block string, totals binary, kinds binary, codes binary, totals3 binary, kinds3 binary, codes3 binary, hot_word long, n long, k long"),
         "lm-answers")
     hot_stats = {int(h): (0, 0) for h in hot_words}
     for r in (answers.filter("hot_word is not null").groupBy("hot_word").agg(F.sum("n").alias("n"), F.sum("k").alias("k")).collect()):
@@ -285,8 +376,8 @@ def lm_scores(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", hel
     result = pa.schema([("id", id_arrow), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()),
                         ("train_tokens", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())])
     scored = (blocks.select("block", "ids", "held", "sizes", "vocab", "low", "high").groupBy("block")
-              .cogroup(answers.filter("block is not null").select("shard", "block", "totals", "kinds", "codes").groupBy("block"))
-              .applyInArrow(_scores(shards, hot_stats, int(sums["n"] or 0), int(kinds), int(texts), result),
+              .cogroup(answers.filter("block is not null").select("shard", "block", "totals", "kinds", "codes", "totals3", "kinds3", "codes3").groupBy("block"))
+              .applyInArrow(_scores(shards, hot_stats, int(sums["n"] or 0), int(kinds), int(texts), result, order),
                             f"id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"))
     return scored.withColumnRenamed("id", id_col)
 

@@ -35,42 +35,76 @@ def test_trie_finds_each_bigram_and_no_other():
     assert got.tolist() == [known.get(tuple(p), 0) for p in grid.tolist()]
 
 
-def brute(rows):
+def brute(rows, order=2):
     words = [WORD.findall(ascii_lower(t or "")) for _, t in rows]
     held = [zlib.crc32(("" if i is None else str(i)).encode()) % 10 == 0 for i, _ in rows]
-    uni, pairs, ctx = Counter(), Counter(), Counter()
+    uni, pairs, ctx, tris, ctx3 = (Counter() for _ in range(5))
     for w, h in zip(words, held):
         if not h:
             s = [None, *w, 0]
             uni.update(s[1:])
             pairs.update(zip(s, s[1:]))
             ctx.update(s[:-1])
-    kinds = Counter(a for a, _ in pairs)
+            tris.update(zip(s, s[1:], s[2:]))
+            ctx3.update(zip(s, s[1:-1]))
+    kinds, kinds3 = Counter(a for a, _ in pairs), Counter((a, b) for a, b, _ in tris)
     n, v = sum(uni.values()), len(uni)
     out = []
     for (i, _), w, h in zip(rows, words, held):
         s, base, score = [None, *w, 0], 0.0, 0.0
-        for a, b in zip(s, s[1:]):
+        for k, (a, b) in enumerate(zip(s, s[1:])):
             p1 = (uni[b] + 0.1) / (n + 0.1 * (v + 1)) if n else 1
             p = (max(pairs[a, b] - 0.75, 0) + 0.75 * kinds[a] * p1) / ctx[a] if ctx[a] else p1
+            if order > 2 and k and ctx3[z := (s[k - 1], a)]:
+                p = (max(tris[(*z, b)] - 0.75, 0) + 0.75 * kinds3[z] * p) / ctx3[z]
             base, score = base + math.log10(p1), score + math.log10(p)
         out.append((i, h, len(s) - 1, sum(uni[b] > 0 for b in s[1:]), n, base, score))
     return out
 
 
-@pytest.mark.parametrize("opts", [{}, {"block_bytes": 3000, "shard_bytes": 2000, "hot_share": 0.02}])
+SMALL = {"block_bytes": 3000, "shard_bytes": 2000, "hot_share": 0.02}
+
+
+@pytest.mark.parametrize("opts", [{}, SMALL, {"order": 3}, SMALL | {"order": 3}])
 def test_scores_against_counters(spark, opts):
     texts = [prose(k, 20 + k) for k in range(60)] + ["the the the the cat", None, "", " \n", "The CAT É", "w" * 100_000, prose(1, 20)]
     ids = [*range(len(texts) - 1), None]
     df = documents(spark, texts, ids=ids).withColumn("score", F.lit("clash"))
     key = lambda r: (r[0] is None, r[0])
     got = sorted(map(tuple, lm_scores(df, **opts).collect()), key=key)
-    for g, w in zip(got, sorted(brute(list(zip(ids, texts))), key=key), strict=True):
+    for g, w in zip(got, sorted(brute(list(zip(ids, texts)), opts.get("order", 2)), key=key), strict=True):
         assert g[:5] == w[:5]
         assert g[5] == pytest.approx(w[5], rel=1e-9) and g[6] == pytest.approx(w[6], rel=2e-3)
 
 
 def test_no_text_and_nothing_to_learn_from(spark):
     assert lm_scores(documents(spark, ["a"]).filter("false")).count() == 0
+    with pytest.raises(ValueError):
+        lm_scores(documents(spark, ["a"]), order=4)
+    assert lm_scores(documents(spark, ["a b"]), held_out=F.lit(True), order=3).first().score == 0.0
     r = lm_scores(documents(spark, ["a b"]), held_out=F.lit(True)).first()
     assert (r.n_tokens, r.n_known, r.train_tokens, r.base_score, r.score) == (3, 0, 0, 0.0, 0.0)
+
+
+def test_further_level_is_keyed_by_places(tmp_path):
+    """A level over a level, mapped from a file and from memory, finds each n-gram."""
+    rng = np.random.default_rng(4)
+    tri = np.unique(rng.integers(1, 30, (4000, 3)).astype(np.uint64), axis=0)
+    pairs, of = np.unique(tri[:, :2], axis=0, return_inverse=True)
+    code = lambda c: c.astype(np.uint16)
+    for path in (None, str(tmp_path / "a.trie")):
+        lower = Trie.build(pairs[:, 0], pairs[:, 1], np.arange(len(pairs)), code).mapped(path)
+        upper = Trie.build(of.reshape(-1).astype(np.uint64), tri[:, 2], np.arange(1, len(tri) + 1), code).mapped(path and path + "3")
+        place = lower.places(lower.contexts(tri[:, 0]), tri[:, 1])
+        assert (place == of.reshape(-1)).all()
+        assert (upper.lookup(upper.contexts(place.astype(np.uint64)), tri[:, 2]) == np.arange(1, len(tri) + 1)).all()
+        assert (upper.lookup(upper.contexts(place.astype(np.uint64)), tri[:, 2] + np.uint64(50)) == 0).all()
+
+
+def test_tries_leave_no_file(spark):
+    import pathlib
+
+    from medallion.session import ensure_checkpoint_dir
+    root = pathlib.Path(ensure_checkpoint_dir(spark).removeprefix("file:"))
+    assert lm_scores(documents(spark, [prose(1, 50)] * 3), order=3).count() == 3
+    assert not list(root.rglob("*.trie"))
