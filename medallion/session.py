@@ -11,6 +11,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -89,10 +90,36 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir() or local
 
 
+_RUN = "medallion.scratch.run"
+
+
 def scratch_dir(spark: SparkSession, name: str) -> str:
-    """A new, unique folder under the shared checkpoint folder."""
+    """A new, unique folder under the shared checkpoint folder, inside the folder of the
+    run if one is open (see ``scratch_run``)."""
     base = ensure_checkpoint_dir(spark)
-    return f"{base.rstrip('/')}/medallion/{name}-{uuid.uuid4().hex[:12]}"
+    run = spark.conf.get(_RUN, "")
+    return f"{base.rstrip('/')}/medallion/{run + '/' if run else ''}{name}-{uuid.uuid4().hex[:12]}"
+
+
+@contextmanager
+def scratch_run(spark: SparkSession):
+    """Intermediate tables written inside the block are deleted at its end, also if it
+    fails.  DataFrames are lazy and may read those tables, so write the results (or take
+    their rows) inside the block.  Blocks may be nested; tables of one session's threads
+    share the block."""
+    base, old = ensure_checkpoint_dir(spark), spark.conf.get(_RUN, "")
+    run = f"{old + '/' if old else ''}run-{uuid.uuid4().hex[:12]}"
+    folder = f"{base.rstrip('/')}/medallion/{run}"
+    spark.conf.set(_RUN, run)
+    try:
+        yield folder
+    finally:
+        if old:
+            spark.conf.set(_RUN, old)
+        else:
+            spark.conf.unset(_RUN)
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def checkpointed(df, eager: bool = True):

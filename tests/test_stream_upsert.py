@@ -97,3 +97,11 @@ def test_commit_reads_do_not_grow_with_the_log(spark):
     assert len(t._paths(3)) == 12 and t.read(1).where("k = '0'").first().v == 0.0
     with pytest.raises(ValueError):
         t.read(7)
+
+
+def test_progress_is_kept_under_the_streams_own_id(spark):
+    src, t, run = _setup(spark)
+    _write(spark, src, [("a", 2020, 1.0, 1)])
+    run()
+    names = [r.n for r in t._log().where("txn is not null").selectExpr("txn.appId as n").collect()]
+    assert len(names) == 1 and len(names[0]) == 36 and "/" not in names[0] and t.last_txn(names[0]) == 0
