@@ -104,9 +104,9 @@ def percent_rank_pct(df: DataFrame, partition_by: Sequence[str] = ("ano",), orde
         # count, the totals): materialise it once in the shared checkpoint
         # folder so the input's lineage is evaluated once for it; partitions
         # with more distinct values than one bucket's share are range-bucketed
-        hist = checkpointed(hist)
-        hist = ranged_prefix_sum(hist, "_pr_c", order_by, "_pr_before", parts, n_buckets)
-        totals = hist.groupBy(*parts).agg(F.sum("_pr_c").alias("_pr_n"))
+        counts = checkpointed(hist)
+        hist = ranged_prefix_sum(counts, "_pr_c", order_by, "_pr_before", parts, n_buckets)
+        totals = counts.groupBy(*parts).agg(F.sum("_pr_c").alias("_pr_n"))
         hist = _null_safe_join(hist, totals, parts, "left") if parts else hist.crossJoin(F.broadcast(totals))
     pr = F.when(F.col("_pr_n") > 1, F.col("_pr_before").cast("double") / (F.col("_pr_n") - 1).cast("double")) \
           .otherwise(F.lit(0.0))
