@@ -53,6 +53,8 @@ class LineRules:
         r"|(?:GPL|SPDX|AGPL|LGPL|CC[ -]BY(?:[ -][A-Z]{2})*|Apache|Mozilla Public)[ -](?:[Ll]icen[sc]e|[0-9]+\.[0-9])"
         r"|</?[a-zA-Z][a-zA-Z0-9]*(?:[ \t][^<>\n]*)?>|function[ \t]*\([^()\n]*\)[ \t]*\{|\{[^{}\n]*[:;][^{}\n]*\}"
         r"|(?:[ \t][>/·][ \t][^>/·\n]+){3}")
+    #: Every match of ``structure`` holds one of these.
+    signs: tuple[str, ...] = ("http", "www.", "©", "(c)", "(C)", "GPL", "SPDX", "CC", "Apache", "Mozilla", "<", "{", ">", "·", " /", "\t/")
     max_lost: float = 0.5
     min_words: int = 50
     max_repeat_pct: int = 50
@@ -85,6 +87,13 @@ def _repeat_words() -> Column:
                   f"if(size(__rep) <= {_FEW}, {few}, {many}), i -> array(i, i + 1, i + 2))))) end").cast("long")
 
 
+def _holds(text: str, any_of: tuple[str, ...]) -> Column:
+    out = F.lit(False)
+    for part in any_of:
+        out = out | F.contains(F.col(text), F.lit(part))
+    return out
+
+
 def quality_measures(df: DataFrame, text_col: str = "text", rules: LineRules | None = None) -> DataFrame:
     """``df`` plus ``__``-columns: the base measures, cleaned text, verdicts."""
     r = rules or LineRules()
@@ -98,20 +107,18 @@ def quality_measures(df: DataFrame, text_col: str = "text", rules: LineRules | N
         "__hash": F.expr("case when size(__w) < 3 then array() else "
                          "transform(slice(__w, 1, size(__w) - 2), (x, i) -> xxhash64(x, __w[i + 1], __w[i + 2])) end"),
         "__both": F.transform("__lines", lambda x: F.struct(x.alias("l"), F.lower(x).alias("low"))),
-        "__formed": F.col("__t").rlike(r.structure),
         "__low": F.lower("__t"),
     })
-    # one look at the whole text spares most texts the look at every line
-    said = F.lit(False)
-    for phrase in r.boilerplate:
-        said = said | F.contains(F.col("__low"), F.lit(phrase))
-    d = d.withColumn("__said", said).drop("__low")
+    # one look at the whole text for fixed strings spares most texts the look at every line;
+    # held in a struct, it is taken once and not for each line
+    seen = F.struct(_holds("__low", r.boilerplate).alias("said"), _holds("__t", r.signs).alias("formed"), F.col("__both").alias("lines"))
     d = d.drop("__w", "__lines").withColumns({
         "__n_dup_lines": (F.size("__full") - F.size(F.array_distinct("__full"))).cast("long"),
         "__sorted": F.sort_array("__hash"),
-        "__good": F.filter("__both", lambda x: ~(x["l"].rlike(WORD) & _line_fails(x["l"], x["low"], F.col("__said"), F.col("__formed"), r))),
+        "__good": F.transform(F.array(seen), lambda s: F.filter(
+            s["lines"], lambda x: ~(x["l"].rlike(WORD) & _line_fails(x["l"], x["low"], s["said"], s["formed"], r))))[0],
     })
-    d = d.drop("__both", "__full", "__said", "__formed").withColumns({
+    d = d.drop("__both", "__full", "__low").withColumns({
         "__rep": F.expr("case when size(array_distinct(__hash)) = size(__hash) then array() else "
                         "array_distinct(filter(__sorted, (x, i) -> i > 0 and __sorted[i - 1] = x)) end"),
         "__clean": F.array_join(F.col("__good.l"), "\n"),
