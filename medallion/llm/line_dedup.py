@@ -49,6 +49,8 @@ WORD_EDITS = ((8, 1), (16, 2), (24, 3), (96, 4))
 #: Bytes of text for each shard; lines and characters of a task's block; lines of a key in a
 #: block from which it goes past the shards.
 SHARD_BYTES, BLOCK_LINES, BLOCK_CHARS, FREQUENT = 32 << 20, 100_000, 16 << 20, 64
+#: Rows of a group of keys whose pairs are verified together.
+GROUP_ROWS = 2000
 _SPACES = " \t\n\x0b\x0c\r"
 _MEMO = 300_000
 _ALL = 2**64 - 1
@@ -276,11 +278,8 @@ def _to_shards(batches: Iterator[pa.RecordBatch], shards: int, max_edits: int, m
     def rows() -> Iterator[pa.RecordBatch]:
         nonlocal made
         key, line, own = _keys(list(held.items()), max_edits, min_chars, long_from)
-        order = np.lexsort((own, line, key))
+        order = np.argsort(key, kind="stable")
         key, line, own = key[order], line[order], own[order]
-        new = np.ones(len(key), bool)
-        new[1:] = (key[1:] != key[:-1]) | (line[1:] != line[:-1]) | (own[1:] != own[:-1])
-        key, line, own = key[new], line[new], own[new]
         shard, low = _placed(key, shards)
         first = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.zeros(0, np.int64)
         run = np.diff(np.append(first, len(key)))
@@ -365,19 +364,67 @@ def _sketch(units: Sequence, words: bool) -> np.ndarray:
     return np.bincount((codes % _BINS).astype(np.int64), minlength=_BINS)
 
 
+class _Texts:
+    """Units, lengths and sketches of the lines of a group, each made once."""
+
+    def __init__(self, rows: list[dict], long_from: int):
+        self.text = {r["node"]: r["text"] for r in rows}
+        self.words = {n: by_words(t, long_from) for n, t in self.text.items()}
+        self._units: dict = {}
+        self._sketch: dict = {}
+
+    def units(self, node: str, words: bool) -> Sequence:
+        if (node, words) not in self._units:
+            self._units[node, words] = _units(self.text[node], words)
+        return self._units[node, words]
+
+    def sketch(self, node: str, words: bool) -> np.ndarray:
+        if (node, words) not in self._sketch:
+            self._sketch[node, words] = _sketch(self.units(node, words), words)
+        return self._sketch[node, words]
+
+
+def _key_links(rows: list[dict], held: _Texts, max_edits: int, shards: int) -> Iterator[tuple[str, str]]:
+    """Linked pairs whose first matching segment is this key's."""
+    key, pair = rows[0]["key"], (rows[0]["pa"], rows[0]["pb"])
+    own = sorted({r["node"] for r in rows if r["own"] and r["part"] == pair[0]})
+    names = sorted({r["node"] for r in rows if not r["own"] and r["part"] == pair[1]})
+    if not own or not names:
+        return
+    of_words = np.array([held.words[y] for y in names], bool)
+    sizes, bins = {}, {}  # of the probes, by words and by characters
+    for x in own:
+        w = held.words[x]
+        if w not in sizes:
+            sizes[w] = np.array([len(held.units(y, w)) for y in names], np.int64)
+            bins[w] = np.array([held.sketch(y, w) for y in names], np.int64)
+        short, a = held.text[x], held.units(x, w)
+        edits = word_edits(len(a)) if w else max_edits
+        longer = sizes[w] - len(a)
+        fits = (longer >= 0) & (longer <= edits) & (of_words | (not w))
+        fits &= np.abs(bins[w] - held.sketch(x, w)).sum(axis=1) <= 2 * edits
+        for k in np.flatnonzero(fits):
+            y = names[k]
+            long = held.text[y]
+            # of two lines of one length the smaller is the indexed one; a longer line of
+            # words meets a line of characters only by the latter's rule
+            if longer[k] == 0 and short >= long and not (held.words[y] and not w):
+                continue
+            if not within(a, held.units(y, w), edits):
+                continue
+            shard, low = _placed(np.array([_first_key(short, long, w, max_edits)], np.uint64), shards)
+            if int(shard[0]) << 32 | int(low[0]) == key:
+                yield x, y
+
+
 def _block_links(max_edits: int, long_from: int, shards: int):
+    """Links and merges of the keys of a group: some keys of few rows, or two blocks of one."""
     def run(group: pa.Table) -> pa.Table:
+        by_key: dict[int, list[dict]] = {}
         rows = group.to_pylist()
-        key, pair = rows[0]["key"], (rows[0]["pa"], rows[0]["pb"])
-        texts = {r["node"]: r["text"] for r in rows}
-        words = {n: by_words(t, long_from) for n, t in texts.items()}
-        own = sorted({(r["node"], r["part"]) for r in rows if r["own"]})
-        probes = sorted({(r["node"], r["part"]) for r in rows if not r["own"]})
-        names = [y for y, _ in probes]
-        # probes by words and by characters; a line of words may be met either way
-        sizes = {w: np.array([len(_units(texts[y], w)) for y in names], np.int64) for w in (True, False)}
-        bins = {w: np.array([_sketch(_units(texts[y], w), w) for y in names], np.int64).reshape(len(names), _BINS) for w in (True, False)}
-        of_words, parts = np.array([words[y] for y in names], bool), np.array([p for _, p in probes], np.int64)
+        for r in rows:
+            by_key.setdefault(r["key"], []).append(r)
+        held = _Texts(rows, long_from)
         count: dict[str, int] = {}
         up: dict[str, str] = {}
         out = []
@@ -387,28 +434,8 @@ def _block_links(max_edits: int, long_from: int, shards: int):
                 x = up[x]
             return x
 
-        for x, x_part in own:
-            if x_part != pair[0]:
-                continue
-            short, w = texts[x], words[x]
-            a = _units(short, w)
-            edits = word_edits(len(a)) if w else max_edits
-            longer = sizes[w] - len(a)
-            fits = (parts == pair[1]) & (longer >= 0) & (longer <= edits) & (of_words | (not w))
-            fits &= np.abs(bins[w] - _sketch(a, w)).sum(axis=1) <= 2 * edits
-            for k in np.flatnonzero(fits):
-                y = names[k]
-                long = texts[y]
-                # of two lines of one length the smaller is the indexed one; a longer line of
-                # words meets a line of characters only by the latter's rule
-                if longer[k] == 0 and short >= long and not (words[y] and not w):
-                    continue
-                if not within(a, _units(long, w), edits):
-                    continue
-                first = _first_key(short, long, w, max_edits)
-                shard, low = _placed(np.array([first], np.uint64), shards)
-                if int(shard[0]) << 32 | int(low[0]) != key:
-                    continue
+        for some in by_key.values():
+            for x, y in _key_links(some, held, max_edits, shards):
                 count[x] = count.get(x, 0) + 1
                 count[y] = count.get(y, 0) + 1
                 p, q = root(x), root(y)
@@ -430,11 +457,13 @@ def _lines(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def line_links(lines: DataFrame, max_edits: int = MAX_EDITS, min_chars: int = MIN_CHARS, block: int = BLOCK,
-               long_from: int = LONG_FROM) -> DataFrame:
+               long_from: int = LONG_FROM, size: int | None = None) -> DataFrame:
     """``(a, b, n)`` for the distinct texts of ``lines(text)``, named by their MD5:
-    merges (b not null) and numbers of links (b null; to be summed per a)."""
+    merges (b not null) and numbers of links (b null; to be summed per a).  ``size``: bytes
+    of all lines, if known."""
     long_enough = lines.filter(F.char_length("text") >= min_chars).select(F.xxhash64("text").alias("line"), "text")
-    size = long_enough.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    if size is None:
+        size = long_enough.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shards = 1 + size // SHARD_BYTES
     sent = long_enough.mapInArrow(lambda b: _to_shards(b, shards, max_edits, min_chars, long_from),
                                   "shard int, keys binary, lines binary, sides binary, known boolean")
@@ -450,11 +479,16 @@ def line_links(lines: DataFrame, max_edits: int = MAX_EDITS, min_chars: int = MI
     rows = rows.join(sizes, "key").withColumn("part", F.pmod(F.xxhash64("node", "key"), F.col("parts")).cast("int"))
     # index rows of a part meet the probe rows of every part
     other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("o")
-    pairs = rows.select("key", "line", "node", "own", "part", other)
-    pairs = pairs.select("key", "line", "node", "own", "part", F.when(F.col("own"), F.col("part")).otherwise(F.col("o")).alias("pa"),
+    pairs = rows.select("key", "line", "node", "own", "part", "parts", other)
+    pairs = pairs.select("key", "line", "node", "own", "part", "parts", F.when(F.col("own"), F.col("part")).otherwise(F.col("o")).alias("pa"),
                          F.when(F.col("own"), F.col("o")).otherwise(F.col("part")).alias("pb"))
-    pairs = pairs.join(found, ["line", "node"]).select("key", "pa", "pb", "node", "own", "part", "text")
-    return staged(pairs.groupBy("key", "pa", "pb").applyInArrow(_block_links(max_edits, long_from, shards), "a string, b string, n long"),
+    pairs = pairs.join(found, ["line", "node"])
+    # keys of one block share groups of some thousand rows
+    groups = 1 + shared.count() // GROUP_ROWS
+    one = F.col("parts") == 1
+    pairs = pairs.select(F.when(one, F.pmod(F.xxhash64("key"), F.lit(groups))).otherwise(F.col("key")).alias("g"), one.alias("one"),
+                         "key", "pa", "pb", "node", "own", "part", "text")
+    return staged(pairs.groupBy("one", "g", "pa", "pb").applyInArrow(_block_links(max_edits, long_from, shards), "a string, b string, n long"),
                   "line-links")
 
 
@@ -463,7 +497,8 @@ def line_classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """One row per line that is not blank: id, ``line_no``, ``class_id`` (MD5 of one
     text of the class), ``n_links`` (other texts within the distance) and ``kept``."""
     lines = _lines(df, id_col, text_col)
-    links = line_links(lines.select("text"), max_edits, min_chars, block, long_from)
+    size = df.agg(F.sum(F.octet_length(text_or_empty(text_col)))).first()[0] or 0
+    links = line_links(lines.select("text"), max_edits, min_chars, block, long_from, size)
     roots = components(links.filter("b is not null").select("a", "b")).select(F.col("node").alias("r_node"), "root")
     n = links.filter("b is null").groupBy(F.col("a").alias("l_node")).agg(F.sum("n").alias("n_links"))
     known = n.join(roots, n["l_node"] == roots["r_node"], "left").select("l_node", "n_links", "root")
