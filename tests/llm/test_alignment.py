@@ -36,8 +36,9 @@ def brute(texts):
             continue
         ex, ey = np.cumsum([len(v) for v in bx]).tolist(), np.cumsum([len(v) for v in by]).tolist()
         groups, i, j = [], 0, 0
+        at_x, at_y = ({e: k + 1 for k, e in enumerate(es)} for es in (ex, ey))
         for cut in sorted(set(ex) & set(ey)):
-            i2, j2 = ex.index(cut) + 1, ey.index(cut) + 1
+            i2, j2 = at_x[cut], at_y[cut]
             groups.append((x[i:i2], y[j:j2]))
             i, j = i2, j2
         links = Counter((p, q) for g in groups for p in g[0] for q in g[1])
