@@ -45,7 +45,7 @@ from medallion.llm.components import components
 
 MAX_EDITS, MIN_CHARS, LONG_FROM, MIN_WORDS, BLOCK = 2, 20, 96, 8, 256
 #: Word edits allowed from so many words on.
-WORD_EDITS = ((8, 1), (16, 2), (24, 3), (96, 4))
+WORD_EDITS = ((8, 1), (16, 2), (24, 4))
 #: Bytes of text for each shard; lines and characters of a task's block; lines of a key in a
 #: block from which it goes past the shards.
 SHARD_BYTES, BLOCK_LINES, BLOCK_CHARS, FREQUENT = 32 << 20, 100_000, 16 << 20, 64
