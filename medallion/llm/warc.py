@@ -51,6 +51,8 @@ ARC_FIELDS = {
 _PRINTABLE = "".join(map(chr, range(33, 127)))
 _BATCH_BYTES = 4 << 20
 FILE_BYTES = 64 << 20
+#: Of gzip's nine levels: about half the time of the sixth for a twentieth more bytes.
+GZIP_LEVEL = "THREE"
 ID_HEADER = b"X-Page-Id: "
 
 
@@ -138,7 +140,7 @@ def _cut(records: Iterator, make, gap: int, head, file_bytes: int) -> Iterator[d
 def _write_cut(rows: DataFrame, path: str, gap: str) -> None:
     """A folder for each file number, in it a file of every task that has one."""
     (rows.sortWithinPartitions("file", "nth").select("file", F.col("value").cast("string"))
-     .write.partitionBy("file").option("lineSep", gap).option("compression", "gzip").text(path))
+     .write.partitionBy("file").option("lineSep", gap).option("compression", "gzip").option("zlib.compress.level", GZIP_LEVEL).text(path))
 
 
 def write_arc(pages: DataFrame, path: str, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html",
