@@ -343,16 +343,15 @@ def _shared(group: pa.Table) -> pa.Table:
 # ---- pairs ---------------------------------------------------------------------
 
 
-def _first_key(short: str, long: str, words: bool, max_edits: int) -> int | None:
-    """Key at which the pair meets first."""
-    a, b = _units(short, words), _units(long, words)
+def _first_key(a: Sequence, b: Sequence, words: bool, max_edits: int) -> int:
+    """Key of the first segment of ``a`` that stands in ``b`` where it may, 0 if none does."""
     edits = word_edits(len(a)) if words else max_edits
     for i, (start, n) in enumerate(segments(len(a), edits)):
         piece = a[start:start + n]
         for at in probe_starts(len(b), len(a), i, start, n, edits):
             if b[at:at + n] == piece:
                 return _word_slice([_words[w] for w in piece], i, edits) if words else _char_slice(piece, i)
-    return None
+    return 0
 
 
 _BINS = 32
@@ -372,6 +371,7 @@ class _Texts:
         self.words = {n: by_words(t, long_from) for n, t in self.text.items()}
         self._units: dict = {}
         self._sketch: dict = {}
+        self._first: dict = {}
 
     def units(self, node: str, words: bool) -> Sequence:
         if (node, words) not in self._units:
@@ -384,6 +384,15 @@ class _Texts:
         return self._sketch[node, words]
 
 
+    def first(self, short: str, long: str, words: bool, max_edits: int, shards: int) -> int:
+        """The key at which a pair meets first, as shards name it."""
+        if (short, long) not in self._first:
+            first = _first_key(self.units(short, words), self.units(long, words), words, max_edits)
+            shard, low = _placed(np.array([first], np.uint64), shards)
+            self._first[short, long] = int(shard[0]) << 32 | int(low[0])
+        return self._first[short, long]
+
+
 def _key_links(rows: list[dict], held: _Texts, max_edits: int, shards: int) -> Iterator[tuple[str, str]]:
     """Linked pairs whose first matching segment is this key's."""
     key, pair = rows[0]["key"], (rows[0]["pa"], rows[0]["pb"])
@@ -410,10 +419,8 @@ def _key_links(rows: list[dict], held: _Texts, max_edits: int, shards: int) -> I
             # words meets a line of characters only by the latter's rule
             if longer[k] == 0 and short >= long and not (held.words[y] and not w):
                 continue
-            if not within(a, held.units(y, w), edits):
-                continue
-            shard, low = _placed(np.array([_first_key(short, long, w, max_edits)], np.uint64), shards)
-            if int(shard[0]) << 32 | int(low[0]) == key:
+            # a pair is verified where it meets first, and nowhere else
+            if held.first(x, y, w, max_edits, shards) == key and within(a, held.units(y, w), edits):
                 yield x, y
 
 
@@ -475,18 +482,19 @@ def line_links(lines: DataFrame, max_edits: int = MAX_EDITS, min_chars: int = MI
     sizes = (rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.max("own").alias("any_own"), F.min("own").alias("all_own"),
                                      F.min("line").alias("lo"), F.max("line").alias("hi"))
              .filter("lo < hi and any_own and not all_own")
-             .select("key", F.ceil(F.col("n") / block).cast("int").alias("parts")))
+             .select("key", F.ceil(F.col("n") / block).cast("int").alias("parts"), "lo"))
     rows = rows.join(sizes, "key").withColumn("part", F.pmod(F.xxhash64("node", "key"), F.col("parts")).cast("int"))
     # index rows of a part meet the probe rows of every part
     other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("o")
-    pairs = rows.select("key", "line", "node", "own", "part", "parts", other)
-    pairs = pairs.select("key", "line", "node", "own", "part", "parts", F.when(F.col("own"), F.col("part")).otherwise(F.col("o")).alias("pa"),
+    pairs = rows.select("key", "line", "node", "own", "part", "parts", "lo", other)
+    pairs = pairs.select("key", "line", "node", "own", "part", "parts", "lo", F.when(F.col("own"), F.col("part")).otherwise(F.col("o")).alias("pa"),
                          F.when(F.col("own"), F.col("o")).otherwise(F.col("part")).alias("pb"))
     pairs = pairs.join(found, ["line", "node"])
-    # keys of one block share groups of some thousand rows
+    # keys of one block share groups of some thousand rows: those of one least line, which
+    # has a bounded number of keys, so the keys that two lines share mostly meet
     groups = 1 + shared.count() // GROUP_ROWS
     one = F.col("parts") == 1
-    pairs = pairs.select(F.when(one, F.pmod(F.xxhash64("key"), F.lit(groups))).otherwise(F.col("key")).alias("g"), one.alias("one"),
+    pairs = pairs.select(F.when(one, F.pmod(F.xxhash64("lo"), F.lit(groups))).otherwise(F.col("key")).alias("g"), one.alias("one"),
                          "key", "pa", "pb", "node", "own", "part", "text")
     return staged(pairs.groupBy("one", "g", "pa", "pb").applyInArrow(_block_links(max_edits, long_from, shards), "a string, b string, n long"),
                   "line-links")

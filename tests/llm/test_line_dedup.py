@@ -60,7 +60,7 @@ def test_pairs_meet_in_a_segment():
             x, y = (" ".join(w) + " " * 0 for w in sorted((a, b), key=len))
             if len(x) < 96 or not (by_words(x, 96) and by_words(y, 96)) or not within(x.encode().split(), y.encode().split(), word_edits(len(x.split()))):
                 continue
-            key = _first_key(x, y, True, 2)
+            key = _first_key(x.encode().split(), y.encode().split(), True, 2)
             keys, lines, own = line_dedup._keys([(1, x), (2, y)], 2, 20, 96)
             mine, theirs = (set(keys[(lines == i) & (own == o)].tolist()) for i, o in ((1, True), (2, False)))
             assert key in mine & theirs
