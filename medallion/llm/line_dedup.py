@@ -43,7 +43,7 @@ from pyspark.sql import functions as F
 from medallion.llm.common import col, staged, text_or_empty
 from medallion.llm.components import components
 
-MAX_EDITS, MIN_CHARS, LONG_FROM, MIN_WORDS, BLOCK = 2, 20, 96, 8, 256
+MAX_EDITS, MIN_CHARS, LONG_FROM, MIN_WORDS, BLOCK = 2, 20, 96, 8, 2048
 #: Word edits allowed from so many words on.
 WORD_EDITS = ((8, 1), (16, 2), (24, 4))
 #: Bytes of text for each shard; lines and characters of a task's block; lines of a key in a
