@@ -214,13 +214,14 @@ def q_union_matching(spark, d):
                                                                 include=["user_id", "TS"]))
 
 
-def q_pivot_wide(spark, d):
-    """One column per user of the events table: as many as there are."""
-    wide = shape.pivot_columns(table(spark, d, "events"), ["event_type"], "user_id", prefix="u_")
-    ids = [F.regexp_replace(F.lit(c), "^u_", "").cast("long") for c in wide.columns[1:]]
-    cells = F.arrays_zip(F.array(*ids).alias("user_id"), F.array(*[F.col(c) for c in wide.columns[1:]]).alias("n"))
-    return (wide.select("event_type", F.explode(cells).alias("c"))
-            .select("event_type", F.col("c.user_id").alias("user_id"), F.col("c.n").alias("n")).filter("n > 0"))
+def q_pivot_wide(spark, d, width=1000):
+    """One column per user of the events table, as many as there are, in blocks of ``width``."""
+    ev = table(spark, d, "events").select("event_type", "user_id")
+    users = shape.value_places(ev, "user_id", width)
+    placed = ev.join(users, F.col("user_id").eqNullSafe(F.col("value"))).select("event_type", "block", "place")
+    wide = shape.pivot_columns(placed, ["event_type", "block"], "place", range(width), prefix="u_")
+    cells = wide.select("event_type", "block", F.posexplode(F.array(*[F.col(c) for c in wide.columns[2:]])).alias("place", "n"))
+    return cells.filter("n > 0").join(users, ["block", "place"]).select("event_type", F.col("value").alias("user_id"), "n")
 
 
 def q_avg_many_decimals(spark, d):

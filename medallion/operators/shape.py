@@ -284,6 +284,24 @@ def pivot_columns(df: DataFrame, by: Sequence[str], column: str, values: Sequenc
     return df.groupBy(*by).agg(*aggs)
 
 
+def value_places(df: DataFrame, column: str, width: int) -> DataFrame:
+    """The distinct values of ``column`` (NULL is one) with their places in blocks of at
+    most ``width``: value, ``block`` and ``place`` below ``width`` (R1).
+
+    For pivots to more columns than a plan holds: with ``block`` among the groups and
+    ``place`` as the pivot column, a wide row is one block of columns, and the number of
+    columns is bounded whatever the number of values.  Values are dealt by hash and numbered
+    within their part, so none passes the driver; a part that is too full gives several blocks."""
+    if width < 1:
+        raise ValueError("width must be positive")
+    values = df.select(F.col(column).alias("value")).distinct()
+    parts = 1 + values.count() * 5 // (4 * width)  # filled to 80 % on average
+    place = F.row_number().over(Window.partitionBy("_part").orderBy("value")) - 1
+    numbered = values.withColumn("_part", F.pmod(F.xxhash64("value"), F.lit(parts))).withColumn("_n", place)
+    return numbered.select("value", (F.col("_part") + F.floor(F.col("_n") / width) * parts).alias("block"),
+                           (F.col("_n") % width).cast("int").alias("place"))
+
+
 def unpivot_columns(df: DataFrame, exclude: Sequence[str] = (), remove: Sequence[str] = (),
                     field_name: str = "field_name", value_name: str = "value",
                     cast_to: str = "string") -> DataFrame:

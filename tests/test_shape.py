@@ -16,6 +16,21 @@ def test_pivot_counts_and_apostrophe(spark):
     assert set(auto.columns) == {"size", "n_red", "n_blue", "n_blues"}
 
 
+def test_pivot_in_blocks_of_columns(spark, tmp_path):
+    from medallion.bindings.reshape import q_pivot_wide
+
+    # more users than a pivot has columns, and rows without a user
+    ev = spark.range(25_000).selectExpr("CASE WHEN id % 5000 > 0 THEN id % 12000 END AS user_id", "concat('t', id % 3) AS event_type")
+    ev.write.parquet(f"{tmp_path}/events.parquet")
+    want = ev.groupBy("event_type", "user_id").agg(F.count(F.lit(1)).alias("n"))
+    got = q_pivot_wide(spark, str(tmp_path))
+    assert got.schema.simpleString() == want.schema.simpleString()
+    assert got.count() == want.count() and got.exceptAll(want).isEmpty()
+    places = shape.value_places(ev, "user_id", 7).collect()
+    assert len({(r["block"], r["place"]) for r in places}) == len(places) == ev.select("user_id").distinct().count()
+    assert {r["place"] for r in places} == set(range(7))
+
+
 def test_unpivot_bool_and_roundtrip(spark):
     df = spark.createDataFrame([(1, True, "x"), (2, False, None)], "Customer_Id int, is_active boolean, name string")
     long = shape.unpivot_columns(df, exclude=["customer_id"], field_name="prop", value_name="val")
