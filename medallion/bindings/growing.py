@@ -25,18 +25,20 @@ def _orders(s, d):
 
 
 def q_stream_upsert(s, d):
-    """Orders, then changes of two kinds in two files, then late changes that must lose."""
+    """Orders, then changes of two kinds in two batches, then late changes that must lose.
+    A change has a file per partition of the orders, and a batch as many files."""
     src, ckpt = scratch_dir(s, "upsert_src"), scratch_dir(s, "upsert_ckpt")
     t = SnapshotTable(s, scratch_dir(s, "upsert_snap"), ["o_year"])
     o = _orders(s, d)
+    files = o.rdd.getNumPartitions()
 
     def change(status, more, seq):
         return o.where(F.col("o_orderstatus") == status).withColumn("o_totalprice", F.col("o_totalprice") + more).withColumn("seq", F.lit(seq))
 
-    for files in ([o.withColumn("seq", F.lit(0))], [change("F", 1, 2), change("O", 5, 1)], [change("F", 100, 1)]):
-        for f in files:
-            f.coalesce(1).write.mode("append").parquet(src)
-        stream = s.readStream.schema(o.withColumn("seq", F.lit(0)).schema).option("maxFilesPerTrigger", 1).parquet(src)
+    for changes in ([o.withColumn("seq", F.lit(0))], [change("F", 1, 2), change("O", 5, 1)], [change("F", 100, 1)]):
+        for c in changes:
+            c.write.mode("append").parquet(src)
+        stream = s.readStream.schema(o.withColumn("seq", F.lit(0)).schema).option("maxFilesPerTrigger", files).parquet(src)
         upsert_stream(stream, t, ["o_orderkey"], ckpt, sequence_by="seq", by_partition=True)
     return t.read()
 

@@ -20,19 +20,25 @@ from pyspark.sql import functions as F
 
 from medallion.operators.shape import deduplicate
 from medallion.sources.snapshots import SnapshotTable
+from medallion.sources.tables import rebalanced
 
 _QUERY_ID = "sql.streaming.queryId"
 
 
 def latest_changes(batch: DataFrame, keys: Sequence[str], sequence_by: str | None) -> DataFrame:
     """One row per key: the greatest ``sequence_by`` (NULLs last), of equal ones the same
-    row whatever the order of arrival.  Rows with a NULL in a key are all kept."""
+    row whatever the order of arrival.  Rows with a NULL in a key are all kept.
+
+    A file may be one task, so its rows are dealt out before they are sorted: adaptive
+    execution makes the shares about one size, and of a hot key each sends one row on."""
     keyed = F.lit(True)
     for k in keys:
         keyed = keyed & F.col(k).isNotNull()
     order = [F.col(sequence_by).desc_nulls_last()] if sequence_by else []
-    order += [F.xxhash64(*[F.col(c) for c in batch.columns])]
-    return deduplicate(batch.where(keyed), keys, order).unionByName(batch.where(~keyed))
+    row = F.xxhash64(*[F.col(c) for c in batch.columns])
+    dealt = rebalanced(batch.where(keyed).withColumn("_upsert_row", row), ["_upsert_row"])
+    latest = deduplicate(dealt, keys, [*order, F.col("_upsert_row")]).drop("_upsert_row")
+    return latest.unionByName(batch.where(~keyed))
 
 
 def merge_batch(table: SnapshotTable, batch: DataFrame, batch_id: int, app_id: str, keys: Sequence[str],

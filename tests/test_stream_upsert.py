@@ -1,8 +1,11 @@
+import os
 import tempfile
 
 import pytest
 from pyspark.sql import functions as F
 
+from medallion.bindings import growing
+from medallion.plans.inspect import physical_plan
 from medallion.sources.snapshots import SnapshotTable
 from medallion.streaming.upsert import latest_changes, upsert_stream
 
@@ -105,3 +108,34 @@ def test_progress_is_kept_under_the_streams_own_id(spark):
     run()
     names = [r.n for r in t._log().where("txn is not null").selectExpr("txn.appId as n").collect()]
     assert len(names) == 1 and len(names[0]) == 36 and "/" not in names[0] and t.last_txn(names[0]) == 0
+
+
+def test_changes_are_dealt_out_before_they_are_sorted(spark):
+    """A batch that is one task sorts none of its rows there."""
+    batch = spark.range(100).selectExpr("cast(id % 7 AS string) AS k", "2020 AS ano", "id * 1.0D AS v", "id % 50 AS seq").coalesce(1)
+    latest = latest_changes(batch, ["k"], "seq")
+    assert sorted((r["k"], r["seq"]) for r in latest.collect()) == [(str(k), max(i % 50 for i in range(k, 100, 7))) for k in range(7)]
+    lines = [line.strip(" :+-*()0123456789") for line in physical_plan(latest_changes(batch, ["k"], "seq")).splitlines()]
+    lowest = max(i for i, x in enumerate(lines) if x.startswith("Sort"))
+    assert any(x.startswith("Exchange") for x in lines[lowest:])
+
+
+def test_a_change_is_written_by_as_many_tasks_as_read_it(spark, tmp_path, monkeypatch):
+    made = []
+    monkeypatch.setattr(growing, "scratch_dir", lambda s, name: made.append(f"{tmp_path}/{name}") or made[-1])
+    o = spark.range(90).selectExpr("id AS o_orderkey", "id % 5 AS o_custkey", "element_at(array('F', 'O', 'P'), cast(id % 3 AS int) + 1) AS o_orderstatus",
+                                   "cast(id AS double) AS o_totalprice", "timestamp '1996-01-01' + make_dt_interval(cast(id AS int) * 20) AS o_orderdate",
+                                   "'5-LOW' AS o_orderpriority")
+    for i in range(3):
+        o.where(F.col("o_orderkey") % 3 == i).coalesce(1).write.mode("append").parquet(f"{tmp_path}/orders.parquet")
+    spark.conf.set("spark.sql.files.openCostInBytes", 64 << 20)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", 64 << 20)
+    try:
+        got = growing.q_stream_upsert(spark, str(tmp_path)).collect()
+        files = [f for f in os.listdir(made[0]) if f.endswith(".parquet")]
+    finally:
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert len(files) > 4
+    more, seq = {"F": 1, "O": 5, "P": 0}, {"F": 2, "O": 1, "P": 0}
+    assert len(got) == 90 and all(r["o_totalprice"] == r["o_orderkey"] + more[r["o_orderstatus"]] and r["seq"] == seq[r["o_orderstatus"]] for r in got)
