@@ -115,6 +115,32 @@ def _to_blocks(batches: Iterator[pa.RecordBatch], block_bytes: int, schema: pa.S
         yield block()
 
 
+def _numbered(x: np.ndarray, below: int) -> tuple[np.ndarray, np.ndarray]:
+    """The different numbers of ``x`` (0 to ``below``), ascending, and the place of each
+    item among them.  ``x`` is written over: one sort in place of (number, position), as
+    long as both fit in 63 bits, holds far less than a sort of positions."""
+    bits = max(len(x) - 1, 1).bit_length()
+    if max(below, 1).bit_length() + bits > 63:
+        values, at = np.unique(x, return_inverse=True)
+        return values, at.astype(np.int32)
+    x <<= bits
+    x |= np.arange(len(x), dtype=np.int64)
+    x.sort()
+    position = (x & ((1 << bits) - 1)).astype(np.int32)
+    x >>= bits
+    new = np.ones(len(x), bool)
+    np.not_equal(x[1:], x[:-1], out=new[1:])
+    at = np.empty(len(x), np.int32)
+    at[position] = np.cumsum(new, dtype=np.int32) - 1
+    return x[new], at
+
+
+def _each(batch: pa.RecordBatch) -> Iterator[dict]:
+    """The rows of a batch, one at a time."""
+    for i in range(batch.num_rows):
+        yield batch.slice(i, 1).to_pylist()[0]
+
+
 class _Block:
     """A block's texts as bigrams, in the order of their shards."""
 
@@ -138,29 +164,37 @@ class _Block:
         ctx *= m
         ctx += nxt
         del words, stream, nxt
-        pairs, pair = np.unique(ctx, return_inverse=True)
-        self.pair = pair.astype(np.int32)
-        del pair
-        ctx, nxt = pairs // m, pairs % m
-        h1, h2 = self.hashes[ctx], self.hashes[nxt]
-        spread = np.isin(h1, hot)
-        with np.errstate(over="ignore"):
-            own = np.where(spread, h1 ^ (h2 * np.uint64(0x9E3779B97F4A7C15)), h1)
-            own = (own ^ (own >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
-        self.shard = ((own >> np.uint64(32)) % np.uint64(shards)).astype(np.int64)
-        by_shard = np.argsort(self.shard, kind="stable")
-        self.order, self.ctx, self.nxt = by_shard, ctx, nxt
+        pairs, self.pair = _numbered(ctx, m * m)
+        del ctx
+        self.ctx = (pairs // m).astype(np.int32)
+        pairs %= m
+        self.nxt = pairs.astype(np.int32)
+        del pairs
+        self.shard = self._owners(shards, hot)
+        self.order = np.argsort(self.shard, kind="stable").astype(np.int32)
         self.runs3 = None
         if order > 2:
             self._trigrams(ends - self.sizes, m)
 
+    def _owners(self, shards: int, hot: np.ndarray) -> np.ndarray:
+        """The shard of each bigram."""
+        own = self.hashes[self.ctx]
+        spread = np.flatnonzero(np.isin(self.hashes, hot)[self.ctx])
+        with np.errstate(over="ignore"):
+            own[spread] ^= self.hashes[self.nxt[spread]] * np.uint64(0x9E3779B97F4A7C15)
+            own ^= own >> np.uint64(32)
+            own *= np.uint64(0xD6E8FEB86659FD93)
+        own >>= np.uint64(32)
+        own %= np.uint64(shards)
+        return own.astype(np.int32)
+
     def _trigrams(self, starts: np.ndarray, m: int) -> None:
         """Different (bigram, next word), in the order of their bigrams' shards."""
         later = np.ones(len(self.pair), bool)
         later[starts] = False
         self.at3 = np.flatnonzero(later)
         pair = self.pair[self.at3]
-        tri, self.tri = np.unique(self.pair[self.at3 - 1].astype(np.int64) * m + self.nxt[pair], return_inverse=True)
+        tri, self.tri = _numbered(self.pair[self.at3 - 1].astype(np.int64) * m + self.nxt[pair], len(self.ctx) * m)
         self.ctx3, self.nxt3 = tri // m, tri % m
         self.pair3 = np.empty(len(tri), np.int64)  # the bigram that ends the trigram
         self.pair3[self.tri] = pair
@@ -186,12 +220,12 @@ class _Block:
 
 def _requests(batches, shards: int, hot: np.ndarray, order: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for row in batch.to_pylist():
+        for row in _each(batch):
             b = _Block(row, shards, hot, order)
             learned = ~b.held[b.text]
-            train = np.bincount(b.pair, weights=learned, minlength=len(b.ctx)).astype(np.uint32)
+            train = np.bincount(b.pair[learned], minlength=len(b.ctx)).astype(np.uint32)
             if order > 2:
-                train3 = np.bincount(b.tri, weights=learned[b.at3], minlength=len(b.ctx3)).astype(np.uint32)
+                train3 = np.bincount(b.tri[learned[b.at3]], minlength=len(b.ctx3)).astype(np.uint32)
             out = []
             for shard, places, starts, third in b.shares():
                 runs = np.diff(np.append(starts, len(places))).astype(np.uint32)
@@ -200,7 +234,7 @@ def _requests(batches, shards: int, hot: np.ndarray, order: int) -> Iterator[pa.
                 if order > 2:
                     out[-1] |= {"runs3": b.runs3[places].astype(np.uint32).tobytes(), "h3": b.hashes[b.nxt3[third]].tobytes(),
                                 "n3": train3[third].tobytes()}
-                if len(out) == 64:
+                if len(out) == 16:
                     yield pa.RecordBatch.from_pylist(out, _REQUEST)
                     out = []
             if out:
@@ -289,7 +323,7 @@ def _scores(shards: int, hot_stats: dict[int, tuple[int, int]], total: int, kind
     def run(blocks: pa.Table, answers: pa.Table) -> pa.Table:
         out = []
         by_shard = {r["shard"]: r for r in answers.to_pylist()}
-        for row in blocks.to_pylist():
+        for row in (r for batch in blocks.to_batches() for r in _each(batch)):
             b = _Block(row, shards, hot, order)
             count, followers = np.zeros(len(b.hashes)), np.zeros(len(b.hashes))
             held = np.zeros(len(b.ctx))
@@ -389,7 +423,7 @@ def _frequent(blocks: DataFrame, share: float, tokens: int) -> list:
 
     def run(batches):
         for batch in batches:
-            for r in batch.to_pylist():
+            for r in _each(batch):
                 vocab = np.frombuffer(r["vocab"], np.uint64)
                 stream = np.frombuffer(r["low"], np.uint16)[np.frombuffer(r["high"], np.uint16) == 0]
                 n = np.bincount(stream, minlength=min(len(vocab), 1))[:len(vocab)]

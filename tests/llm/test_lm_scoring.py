@@ -108,3 +108,29 @@ def test_tries_leave_no_file(spark):
     root = pathlib.Path(ensure_checkpoint_dir(spark).removeprefix("file:"))
     assert lm_scores(documents(spark, [prose(1, 50)] * 3), order=3).count() == 3
     assert not list(root.rglob("*.trie"))
+
+
+def test_a_block_holds_few_bytes_a_token():
+    """Numbering a block's bigrams takes one sort in place, so a task's memory stays small."""
+    import tracemalloc
+
+    from medallion.llm.lm_scoring import _Block, _numbered
+
+    rng = np.random.default_rng(5)
+    texts, words, tokens = 300, 30_000, 300_000
+    stream = (words * rng.random(tokens) ** 3).astype(np.uint32)
+    row = {"ids": list(range(texts)), "held": [False] * texts, "sizes": [tokens // texts] * texts,
+           "vocab": rng.integers(3, 2**63, words).astype(np.uint64).tobytes(),
+           "low": stream.astype(np.uint16).tobytes(), "high": (stream >> 16).astype(np.uint16).tobytes()}
+    _Block(row, 9, np.array([1], np.uint64))
+    tracemalloc.start()
+    b = _Block(row, 9, np.array([1], np.uint64))
+    held, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert held < 40 * tokens and peak < 60 * tokens, (held / tokens, peak / tokens)
+    again = b.ctx[b.pair].astype(np.int64) * len(b.hashes) + b.nxt[b.pair]
+    start = np.repeat([0], texts)
+    assert (b.nxt[b.pair].reshape(texts, -1)[:, :-1].ravel() == stream + 2).all() and (b.ctx[b.pair].reshape(texts, -1)[:, 0] == start).all()
+    for below in (int(again.max()) + 1, 2**62):  # sorted in place, and where that needs more than 63 bits
+        values, at = _numbered(again.copy(), below)
+        assert (values[at] == again).all() and (np.diff(values) > 0).all()
