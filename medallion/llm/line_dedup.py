@@ -32,7 +32,8 @@ of a class.
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
-from functools import lru_cache
+from functools import lru_cache, reduce
+from operator import ne, or_
 
 import numpy as np
 import pyarrow as pa
@@ -49,10 +50,12 @@ WORD_EDITS = ((8, 1), (16, 2), (24, 4))
 #: Bytes of text for each shard; lines and characters of a task's block; lines of a key in a
 #: block from which it goes past the shards.
 SHARD_BYTES, BLOCK_LINES, BLOCK_CHARS, FREQUENT = 32 << 20, 100_000, 16 << 20, 64
-#: Rows of a group of keys whose pairs are verified together.
-GROUP_ROWS = 2000
+#: Characters of the lines whose words are hashed at once, or one line.
+PART_CHARS = 1 << 20
+#: Rows of a group of keys whose pairs are verified together; pairs whose lengths and sketches
+#: are compared at once, or those of one index row.
+GROUP_ROWS, PAIRS = 2000, 50_000
 _SPACES = " \t\n\x0b\x0c\r"
-_MEMO = 300_000
 _ALL = 2**64 - 1
 _BASE = 0x9E3779B97F4A7C15  # odd, so powers of it have inverses
 _UNBASE = pow(_BASE, -1, 2**64)
@@ -110,6 +113,8 @@ def within(a: Sequence, b: Sequence, most: int) -> bool:
         return False
     if not most or not b:
         return len(a) <= most or list(a) == list(b)
+    if len(a) == len(b) and sum(map(ne, a, b)) <= most:
+        return True
     # units that both start or both end with do not matter
     lo = _common(a, b)
     a, b = a[lo:], b[lo:]
@@ -174,19 +179,49 @@ def _common(a: Sequence, b: Sequence) -> int:
 # ---- keys ----------------------------------------------------------------------
 
 
-class _Words(dict):
-    """Word → 64-bit hash, forgetting all when it is full."""
+_SPACE = np.isin(np.arange(256), list(_SPACES.encode()))
 
-    def __missing__(self, word: bytes) -> int:
-        import xxhash
 
-        if len(self) >= _MEMO:
-            self.clear()
-        self[word] = h = xxhash.xxh3_64_intdigest(word)
-        return h
+def _power_table(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers 0 to ``n`` - 1 of the base and of its inverse."""
+    return tuple(np.cumprod(np.append(np.uint64(1), np.full(n - 1, b, np.uint64)), dtype=np.uint64) for b in (_BASE, _UNBASE))
 
 
-_words = _Words()
+@lru_cache(1)
+def _usual_powers() -> tuple[np.ndarray, np.ndarray]:
+    return _power_table(PART_CHARS + (PART_CHARS >> 2))
+
+
+def _sums(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sums of the first k ``values``, each times its power of the base, and the inverse powers:
+    the hash of values a to b - 1 is ``(sums[b] - sums[a]) * back[a]``, wherever they stand."""
+    n = len(values) + 1
+    power, back = _usual_powers() if n <= len(_usual_powers()[0]) else _power_table(n)
+    sums = np.zeros(n, np.uint64)
+    np.cumsum(values * power[:n - 1], out=sums[1:])
+    return sums, back[:n]
+
+
+def _spans(sizes: Sequence[int]) -> Iterator[tuple[int, int]]:
+    """Cuts texts of so many characters into runs of ``PART_CHARS`` or one text, at least one run."""
+    start, chars = 0, 0
+    for k, n in enumerate(sizes):
+        if k > start and chars + n > PART_CHARS:
+            yield start, k
+            start, chars = k, 0
+        chars += n
+    yield start, len(sizes)
+
+
+def _word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of the words of all texts, and the number of words of each."""
+    data = np.frombuffer(b" " + b" ".join(texts) + b" ", np.uint8)
+    edge = np.flatnonzero(np.diff(_SPACE[data])) + 1  # where words start and end, by turns
+    start, end = edge[::2], edge[1::2]
+    after = np.cumsum([len(t) + 1 for t in texts])
+    count = np.diff(np.searchsorted(start, after, "right"), prepend=0)
+    sums, back = _sums(data.astype(np.uint64) + np.uint64(1))
+    return _mixed((sums[end] - sums[start]) * back[start]), count
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -195,15 +230,18 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+_SEED = 0xD6E8FEB86659FD93
+
+
 def _seed(i: int, edits: int) -> int:
-    return (i * 64 + edits + 1) * 0xD6E8FEB86659FD93 & _ALL
+    return (i * 64 + edits + 1) * _SEED & _ALL
 
 
-def _word_slice(hashes: list[int], i: int, edits: int) -> int:
+def _word_slice(hashes: Sequence[int], i: int, edits: int) -> int:
     """Key of a substring given by its words' hashes."""
     total = 0
     for h in reversed(hashes):
-        total = (total * _BASE + h) & _ALL
+        total = (total * _BASE + int(h)) & _ALL
     return int(_mixed(np.array([total + _seed(i, edits) & _ALL], np.uint64))[0])
 
 
@@ -221,18 +259,42 @@ def _units(text: str, words: bool) -> Sequence:
     return text.encode("utf-8", "surrogatepass").split() if words else text
 
 
-def _keys(lines: list[tuple[int, str]], max_edits: int, min_chars: int, long_from: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(key, line, is index side) of some lines."""
+@lru_cache(100_000)
+def _slice_table(words: int, own: bool) -> np.ndarray:
+    """Rows of the start, end and seed number of a line's slices by words."""
+    return np.array([(at, at + n, i * 64 + e + 1) for i, e, at, n in _slices(words, True, 0, own)], np.int64).reshape(-1, 3).T
+
+
+def _word_keys(ids: np.ndarray, hashes: np.ndarray, count: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(key, line, is index side) of lines of words, the words of all of them one after another."""
+    sums, back = _sums(hashes)
+    start = np.cumsum(count) - count
+    for own in (True, False):
+        tables = [_slice_table(n, own) for n in count.tolist()]
+        each = np.array([t.shape[1] for t in tables])
+        at, end, seed = np.concatenate(tables, axis=1)
+        begin = np.repeat(start, each)
+        end += begin
+        at += begin
+        key = _mixed((sums[end] - sums[at]) * back[at] + seed.astype(np.uint64) * np.uint64(_SEED))
+        yield key, np.repeat(ids, each), np.full(len(key), own)
+
+
+def _part_keys(lines: list[tuple[int, str]], max_edits: int, min_chars: int, long_from: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     keys, owners, sides = [], [], []
-    groups: dict[int, tuple[list[int], list[list[int]]]] = {}
+    long = [(line, text) for line, text in lines if len(text) >= max(long_from, min_chars, max_edits + 1)]
+    by_word: set[int] = set()
+    if long:
+        hashes, count = _word_hashes([text.encode("utf-8", "surrogatepass") for _, text in long])
+        many = count >= MIN_WORDS
+        if many.any():
+            ids = np.array([line for line, _ in long], np.int64)[many]
+            by_word = set(ids.tolist())
+            yield from _word_keys(ids, hashes[np.repeat(many, count)], count[many])
     for line, text in lines:
         if len(text) < max(min_chars, max_edits + 1):
             continue
-        words = text.encode("utf-8", "surrogatepass").split() if len(text) >= long_from else []
-        if len(words) >= MIN_WORDS:
-            ids, rows = groups.setdefault(len(words), ([], []))
-            ids.append(line)
-            rows.append(list(map(_words.__getitem__, words)))
+        if line in by_word:
             if len(text) >= long_from + max_edits:
                 continue
         else:
@@ -245,24 +307,19 @@ def _keys(lines: list[tuple[int, str]], max_edits: int, min_chars: int, long_fro
             keys.append(_char_slice(text[at:at + n], i))
             owners.append(line)
             sides.append(False)
-    parts = [(np.array(keys, np.uint64), np.array(owners, np.int64), np.array(sides, bool))]
-    with np.errstate(over="ignore"):
-        for n, (ids, rows) in groups.items():
-            h, ids = np.array(rows, np.uint64), np.array(ids, np.int64)
-            power = np.cumprod(np.append(np.uint64(1), np.full(n, _BASE, np.uint64)), dtype=np.uint64)
-            back = np.cumprod(np.append(np.uint64(1), np.full(n, _UNBASE, np.uint64)), dtype=np.uint64)
-            total = np.zeros((len(ids), n + 1), np.uint64)
-            np.cumsum(h * power[:n], axis=1, dtype=np.uint64, out=total[:, 1:])
-            for own in (True, False):
-                for i, e, at, size in _slices(n, True, max_edits, own):
-                    key = _mixed((total[:, at + size] - total[:, at]) * back[at] + np.uint64(_seed(i, e)))
-                    parts.append((key, ids, np.full(len(ids), own)))
+    yield np.array(keys, np.uint64), np.array(owners, np.int64), np.array(sides, bool)
+
+
+def _keys(lines: list[tuple[int, str]], max_edits: int, min_chars: int, long_from: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(key, line, is index side) of some lines, each named once; the keys of a line and side
+    come in the order of its segments."""
+    parts = [part for a, b in _spans([len(text) for _, text in lines]) for part in _part_keys(lines[a:b], max_edits, min_chars, long_from)]
     return tuple(np.concatenate(x) for x in zip(*parts))
 
 
 def _placed(key: np.ndarray, shards: int) -> tuple[np.ndarray, np.ndarray]:
-    """(shard, key within it) of a 64-bit key."""
-    return ((key >> np.uint64(33)) % np.uint64(shards)).astype(np.int64), (key & np.uint64(0xFFFFFFFF)).astype(np.uint32)
+    """(shard, key within it) of a 64-bit key; shards follow the order of the keys."""
+    return ((key >> np.uint64(32)) * np.uint64(shards) >> np.uint64(32)).astype(np.int64), (key & np.uint64(0xFFFFFFFF)).astype(np.uint32)
 
 
 _SENT = pa.schema([("shard", pa.int32()), ("keys", pa.binary()), ("lines", pa.binary()), ("sides", pa.binary()), ("known", pa.bool_())])
@@ -296,19 +353,18 @@ def _to_shards(batches: Iterator[pa.RecordBatch], shards: int, max_edits: int, m
         nth_probe = nth + 1 - nth_own
         told = ~often | np.where(own, nth_own <= 2, nth_probe <= 2)
         shard, low, line, own = shard[told], low[told], line[told], own[told]
-        order = np.argsort(shard, kind="stable")
-        edges = np.flatnonzero(np.diff(shard[order])) + 1
-        out += [(int(shard[pick[0]]), low[pick], line[pick], own[pick], False) for pick in np.split(order, edges) if len(pick)]
+        edges = [0, *(np.flatnonzero(np.diff(shard)) + 1).tolist(), len(shard)]
+        out += [(int(shard[a]), low[a:b], line[a:b], own[a:b], False) for a, b in zip(edges, edges[1:]) if a < b]
         for at in range(0, len(out), 64):
             part = out[at:at + 64]
             yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in part], pa.int32()), *(pa.array([r[k].tobytes() for r in part], pa.binary())
                                               for k in (1, 2, 3)), pa.array([r[4] for r in part])], schema=_SENT)
 
     for batch in batches:
-        for line, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+        for line, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             if line in held:
                 continue
-            held[line] = text = text.as_py()
+            held[line] = text
             chars += len(text)
             if len(held) >= BLOCK_LINES or chars >= BLOCK_CHARS:
                 yield from rows()
@@ -344,112 +400,131 @@ def _shared(group: pa.Table) -> pa.Table:
 
 
 def _first_key(a: Sequence, b: Sequence, words: bool, max_edits: int) -> int:
-    """Key of the first segment of ``a`` that stands in ``b`` where it may, 0 if none does."""
+    """Key of the first segment of ``a`` that stands in ``b`` where it may, 0 if none does: what
+    ``_keys`` gives both lines, by its definition."""
     edits = word_edits(len(a)) if words else max_edits
     for i, (start, n) in enumerate(segments(len(a), edits)):
         piece = a[start:start + n]
         for at in probe_starts(len(b), len(a), i, start, n, edits):
             if b[at:at + n] == piece:
-                return _word_slice([_words[w] for w in piece], i, edits) if words else _char_slice(piece, i)
+                return _word_slice(_word_hashes(piece)[0], i, edits) if words else _char_slice(piece, i)
     return 0
 
 
 _BINS = 32
 
 
-def _sketch(units: Sequence, words: bool) -> np.ndarray:
-    """How many units fall into each of some bins: an edit changes two of them at most."""
-    codes = np.array([_words[u] for u in units], np.uint64) if words else np.frombuffer(units.encode("utf-32-le", "surrogatepass"), np.uint32)
-    return np.bincount((codes % _BINS).astype(np.int64), minlength=_BINS)
-
-
 class _Texts:
-    """Units, lengths and sketches of the lines of a group, each made once."""
-
-    def __init__(self, rows: list[dict], long_from: int):
-        self.text = {r["node"]: r["text"] for r in rows}
-        self.words = {n: by_words(t, long_from) for n, t in self.text.items()}
-        self._units: dict = {}
-        self._sketch: dict = {}
-        self._first: dict = {}
-
-    def units(self, node: str, words: bool) -> Sequence:
-        if (node, words) not in self._units:
-            self._units[node, words] = _units(self.text[node], words)
-        return self._units[node, words]
-
-    def sketch(self, node: str, words: bool) -> np.ndarray:
-        if (node, words) not in self._sketch:
-            self._sketch[node, words] = _sketch(self.units(node, words), words)
-        return self._sketch[node, words]
-
-
-    def first(self, short: str, long: str, words: bool, max_edits: int, shards: int) -> int:
-        """The key at which a pair meets first, as shards name it."""
-        if (short, long) not in self._first:
-            first = _first_key(self.units(short, words), self.units(long, words), words, max_edits)
-            shard, low = _placed(np.array([first], np.uint64), shards)
-            self._first[short, long] = int(shard[0]) << 32 | int(low[0])
-        return self._first[short, long]
-
-
-def _key_links(rows: list[dict], held: _Texts, max_edits: int, shards: int) -> Iterator[tuple[str, str]]:
-    """Linked pairs whose first matching segment is this key's."""
-    key, pair = rows[0]["key"], (rows[0]["pa"], rows[0]["pb"])
-    own = sorted({r["node"] for r in rows if r["own"] and r["part"] == pair[0]})
-    names = sorted({r["node"] for r in rows if not r["own"] and r["part"] == pair[1]})
-    if not own or not names:
-        return
-    of_words = np.array([held.words[y] for y in names], bool)
-    sizes, bins = {}, {}  # of the probes, by words and by characters
-    for x in own:
-        w = held.words[x]
-        if w not in sizes:
-            sizes[w] = np.array([len(held.units(y, w)) for y in names], np.int64)
-            bins[w] = np.array([held.sketch(y, w) for y in names], np.int64)
-        short, a = held.text[x], held.units(x, w)
-        edits = word_edits(len(a)) if w else max_edits
-        longer = sizes[w] - len(a)
-        fits = (longer >= 0) & (longer <= edits) & (of_words | (not w))
-        fits &= np.abs(bins[w] - held.sketch(x, w)).sum(axis=1) <= 2 * edits
-        for k in np.flatnonzero(fits):
-            y = names[k]
-            long = held.text[y]
-            # of two lines of one length the smaller is the indexed one; a longer line of
-            # words meets a line of characters only by the latter's rule
-            if longer[k] == 0 and short >= long and not (held.words[y] and not w):
-                continue
-            # a pair is verified where it meets first, and nowhere else
-            if held.first(x, y, w, max_edits, shards) == key and within(a, held.units(y, w), edits):
-                yield x, y
+    """Units, lengths, sketches and keys of the lines of a group, by their number in it."""
+
+    def __init__(self, texts: list[str], max_edits: int, long_from: int, shards: int):
+        self.text = texts
+        self.chars = np.array([len(t) for t in texts], np.int64)
+        self._units: dict[tuple[int, bool], Sequence] = {}
+        self._char_sketch = np.full((len(texts), _BINS), -1, np.int32)
+        # how many words fall into each of some bins: an edit changes two of them at most
+        self.count = np.zeros(len(texts), np.int64)
+        self._word_sketch = np.zeros((len(texts), _BINS), np.int32)
+        for a, b in _spans(self.chars.tolist()):
+            hashes, self.count[a:b] = _word_hashes([t.encode("utf-8", "surrogatepass") for t in texts[a:b]])
+            which = np.repeat(np.arange(b - a), self.count[a:b]) * _BINS + (hashes % np.uint64(_BINS)).astype(np.int64)
+            self._word_sketch[a:b] = np.bincount(which, minlength=(b - a) * _BINS).reshape(-1, _BINS)
+        self.words = (self.chars >= long_from) & (self.count >= MIN_WORDS)
+        self.edits = np.array([word_edits(n) if w else max_edits for n, w in zip(self.count.tolist(), self.words.tolist())], np.int64)
+        key, line, own = _keys(list(enumerate(texts)), max_edits, 0, long_from)
+        shard, low = _placed(key, shards)
+        key = shard << 32 | low
+        self.own: list[list[int]] = [[] for _ in texts]
+        for n, k in zip(line[own].tolist(), key[own].tolist()):
+            self.own[n].append(k)
+        self.probes: list[set[int]] = [set() for _ in texts]
+        met = ~own & np.isin(key, key[own])
+        for n, k in zip(line[met].tolist(), key[met].tolist()):
+            self.probes[n].add(k)
+
+    def units(self, n: int, words: bool) -> Sequence:
+        if (n, words) not in self._units:
+            self._units[n, words] = _units(self.text[n], words)
+        return self._units[n, words]
+
+    def sketch(self, nodes: np.ndarray, words: bool) -> np.ndarray:
+        if words:
+            return self._word_sketch[nodes]
+        for n in np.unique(nodes[self._char_sketch[nodes, 0] < 0]).tolist():
+            codes = np.frombuffer(self.text[n].encode("utf-32-le", "surrogatepass"), np.uint32)
+            self._char_sketch[n] = np.bincount(codes % _BINS, minlength=_BINS)
+        return self._char_sketch[nodes]
+
+
+def _near(x: np.ndarray, y: np.ndarray, held: _Texts) -> Iterator[tuple[np.ndarray, bool]]:
+    """Places of the pairs of an index line and a probe line that agree in length and sketch,
+    and whether they are compared by words."""
+    for w in (True, False):
+        size = held.count if w else held.chars
+        at = np.flatnonzero((held.words[x] & held.words[y]) if w else ~held.words[x])
+        longer = size[y[at]] - size[x[at]]
+        at = at[(longer >= 0) & (longer <= held.edits[x[at]])]
+        apart = np.abs(held.sketch(x[at], w) - held.sketch(y[at], w)).sum(axis=1)
+        yield at[apart <= 2 * held.edits[x[at]]], w
+
+
+def _first_links(key: np.ndarray, node: np.ndarray, index: np.ndarray, probe: np.ndarray, held: _Texts) -> Iterator[tuple[int, int]]:
+    """Linked pairs of an index and a probe row of one key that is the first they share; rows
+    are in the order of their keys."""
+    mine, theirs = np.flatnonzero(index), np.flatnonzero(probe)
+    start = np.searchsorted(key[theirs], key[mine])
+    each = np.searchsorted(key[theirs], key[mine], "right") - start
+    upto = np.cumsum(each)
+    a = 0
+    while a < len(mine):
+        b = max(int(np.searchsorted(upto, upto[a] - each[a] + PAIRS, "right")), a + 1)
+        n = each[a:b]
+        left = np.repeat(mine[a:b], n)
+        right = theirs[np.arange(len(left)) + np.repeat(start[a:b] - (np.cumsum(n) - n), n)]
+        for at, w in _near(node[left], node[right], held):
+            for k, x, y in zip(key[left[at]].tolist(), node[left[at]].tolist(), node[right[at]].tolist()):
+                # a pair is verified where it meets first, and nowhere else
+                own, probes = held.own[x], held.probes[y]
+                if next((o for o in own if o in probes), None) != k:
+                    continue
+                # of two lines of one length the smaller is the indexed one; a longer line of
+                # words meets a line of characters only by the latter's rule
+                s, t = held.units(x, w), held.units(y, w)
+                if len(s) == len(t) and held.text[x] >= held.text[y] and w == held.words[y]:
+                    continue
+                if within(s, t, int(held.edits[x])):
+                    yield x, y
+        a = b
 
 
 def _block_links(max_edits: int, long_from: int, shards: int):
     """Links and merges of the keys of a group: some keys of few rows, or two blocks of one."""
     def run(group: pa.Table) -> pa.Table:
-        by_key: dict[int, list[dict]] = {}
-        rows = group.to_pylist()
-        for r in rows:
-            by_key.setdefault(r["key"], []).append(r)
-        held = _Texts(rows, long_from)
-        count: dict[str, int] = {}
-        up: dict[str, str] = {}
+        named = group["node"].combine_chunks().dictionary_encode()
+        names, node = named.dictionary.to_pylist(), named.indices.to_numpy()
+        held = _Texts(group["text"].take(np.unique(node, return_index=True)[1]).to_pylist(), max_edits, long_from, shards)
+        key, own, part = (group[c].to_numpy() for c in ("key", "own", "part"))
+        index = own & (part == group["pa"][0].as_py())
+        probe = ~own & (part == group["pb"][0].as_py())
+        order = np.lexsort((node, own, key))
+        key, node, index, probe = key[order], node[order], index[order], probe[order]
+        count = [0] * len(names)
+        up = list(range(len(names)))
         out = []
 
         def root(x):
-            while up.setdefault(x, x) != x:
-                x = up[x]
+            while up[x] != x:
+                up[x] = x = up[up[x]]
             return x
 
-        for some in by_key.values():
-            for x, y in _key_links(some, held, max_edits, shards):
-                count[x] = count.get(x, 0) + 1
-                count[y] = count.get(y, 0) + 1
-                p, q = root(x), root(y)
-                if p != q:
-                    up[max(p, q)] = min(p, q)
-                    out.append((max(p, q), min(p, q), 0))
-        out += [(x, None, n) for x, n in count.items()]
+        for x, y in _first_links(key, node, index, probe, held):
+            count[x] += 1
+            count[y] += 1
+            p, q = sorted((root(x), root(y)))
+            if p != q:
+                up[q] = p
+                out.append((names[q], names[p], 0))
+        out += [(names[x], None, n) for x, n in enumerate(count) if n]
         return pa.table({"a": pa.array([r[0] for r in out], pa.string()), "b": pa.array([r[1] for r in out], pa.string()),
                          "n": pa.array([r[2] for r in out], pa.int64())})
 
@@ -460,7 +535,9 @@ def _lines(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """One row per line that is not blank: id, row (tells rows of one id apart; holds once written), no, text."""
     src = df.select(col(id_col).alias("id"), F.monotonically_increasing_id().alias("row"), text_or_empty(text_col).alias("t"))
     d = src.select("id", "row", F.posexplode(F.split("t", "\n")).alias("no", "text"))
-    return d.withColumn("text", F.btrim("text", F.lit(_SPACES))).filter("text <> ''")
+    # btrim looks at every character, and few lines need it
+    spaced = reduce(or_, (f(F.col("text"), F.lit(c)) for f in (F.startswith, F.endswith) for c in _SPACES))
+    return d.withColumn("text", F.when(spaced, F.btrim("text", F.lit(_SPACES))).otherwise(F.col("text"))).filter("text <> ''")
 
 
 def line_links(lines: DataFrame, max_edits: int = MAX_EDITS, min_chars: int = MIN_CHARS, block: int = BLOCK,
@@ -475,7 +552,8 @@ def line_links(lines: DataFrame, max_edits: int = MAX_EDITS, min_chars: int = MI
     sent = long_enough.mapInArrow(lambda b: _to_shards(b, shards, max_edits, min_chars, long_from),
                                   "shard int, keys binary, lines binary, sides binary, known boolean")
     shared = staged(sent.groupBy("shard").applyInArrow(_shared, "key long, line long, own boolean"), "line-keys")
-    found = (long_enough.join(shared.select("line").distinct(), "line", "left_semi")
+    # hashed, so that texts that are not needed are not sorted
+    found = (long_enough.join(shared.select("line").distinct().hint("shuffle_hash"), "line", "left_semi")
              .select("line", F.md5("text").alias("node"), "text").dropDuplicates(["line", "node"]))
     found = staged(found, "line-texts")
     rows = shared.distinct().join(found.select("line", "node"), "line")

@@ -1,7 +1,9 @@
 import random
 import time
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 
 from medallion.llm import line_dedup
 from medallion.llm.line_dedup import (_first_key, by_words, drop_repeated_lines, line_classes, line_dedup_report, line_membership,
@@ -66,6 +68,44 @@ def test_pairs_meet_in_a_segment():
             assert key in mine & theirs
 
 
+def test_keys_do_not_depend_on_the_lines_beside(monkeypatch):
+    """Words are hashed for many lines at once; a line's keys are those it has alone."""
+    lines = [(k, prose(k % 9, 8 + 7 * (k % 11)) + "  \té" * (k % 3)) for k in range(60)] + [(60, "x" * 120), (61, "short one of twenty characters")]
+    alone = sorted((k, n, bool(o)) for row in lines for k, n, o in zip(*(x.tolist() for x in line_dedup._keys([row], 2, 20, 96))))
+    for chars in (1 << 20, 700):
+        monkeypatch.setattr(line_dedup, "PART_CHARS", chars)
+        assert sorted(zip(*(x.tolist() for x in line_dedup._keys(lines, 2, 20, 96)))) == alone
+    hashes, count = line_dedup._word_hashes([b"", b" one  two\tone", b"two"])
+    assert count.tolist() == [0, 3, 1] and hashes[0] == hashes[2] != hashes[1] == hashes[3]
+
+
+def peak(run):
+    tracemalloc.start()
+    try:
+        run()
+        return tracemalloc.get_traced_memory()[1] / 1e6
+    finally:
+        tracemalloc.stop()
+
+
+def test_memory_of_pairs_does_not_grow_with_their_number(monkeypatch):
+    """Lines that all share a key are verified in steps, and no pair is remembered."""
+    monkeypatch.setattr(line_dedup, "PAIRS", 1000, raising=False)
+    words = prose(3, 40).split()
+    texts = [" ".join(words[:39] + [f"end{k}"]) for k in range(250)]
+    key, line, own = line_dedup._keys(list(enumerate(texts)), 2, 20, 96)
+    shard, low = line_dedup._placed(key, 1)
+    full = shard << 32 | low
+    pick = full == full[own & (line == 0)][0]
+    n = int(pick.sum())
+    group = pa.table({"one": [False] * n, "g": full[pick], "key": full[pick], "pa": pa.array([0] * n, pa.int32()), "pb": pa.array([0] * n, pa.int32()),
+                      "node": [f"{k:032d}" for k in line[pick]], "own": own[pick], "part": pa.array([0] * n, pa.int32()),
+                      "text": [texts[k] for k in line[pick]]})
+    out = []
+    assert peak(lambda: out.append(line_dedup._block_links(2, 96, 1)(group))) < 4
+    assert sum(r["n"] for r in out[0].to_pylist()) == 250 * 249
+
+
 def linked(a, b, most=2, least=20, long_from=96):
     if by_words(a, long_from) and by_words(b, long_from):
         x, y = sorted((a.split(), b.split()), key=len)
@@ -165,7 +205,6 @@ def test_frequent_keys_go_past_the_shards():
     real = line_dedup.TaskContext.get
     line_dedup.TaskContext.get = staticmethod(Task)
     try:
-        import pyarrow as pa
         batch = pa.RecordBatch.from_arrays([pa.array([k for k, _ in lines]), pa.array([t for _, t in lines])], names=["line", "text"])
         sent = [r for b in line_dedup._to_shards(iter([batch]), 4, 2, 20, 96) for r in b.to_pylist()]
     finally:
