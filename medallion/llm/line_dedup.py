@@ -16,7 +16,7 @@ so no shard holds all rows of a frequent key.  Then the texts of the lines that
 keys are dealt in blocks of bounded size, and pairs of an index and a probe row that agree in
 length and in a sketch of their units are verified by banded bit-parallel edit distance.
 
-A pair is counted at its first matching segment only, so links are counted once and
+A pair is counted at the first key the two share only, so links are counted once and
 need not be listed: blocks give each line's number of links and a spanning set of
 merges for the classes.  A key with more rows than a block holds is dealt as pairs of
 blocks, so no key is one task and no pair is left out.
